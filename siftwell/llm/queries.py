@@ -1,10 +1,14 @@
 """The registered queries of the corpus operators and the SQL that some of them have."""
 
+from siftwell.llm.fingerprint import op1_fingerprints
+from siftwell.llm.language_id import op8_language_id
 from siftwell.llm.media import op4_media_columns
 from siftwell.llm.url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op4_media_columns": op4_media_columns,
+    "op8_language_id": op8_language_id,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES = {"op10_url_filter": OP10_SQL}
