@@ -5,6 +5,7 @@ from siftwell.llm.language_id import op8_language_id
 from siftwell.llm.media import op4_media_columns
 from siftwell.llm.packing import op2_packing
 from siftwell.llm.simhash import op6_simhash
+from siftwell.llm.toxicity import op7_toxicity
 from siftwell.llm.url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_media_columns": op4_media_columns,
     "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op10_url_filter": op10_url_filter,
 }
