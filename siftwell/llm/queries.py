@@ -4,14 +4,18 @@ from siftwell.llm.fingerprint import op1_fingerprints
 from siftwell.llm.language_id import op8_language_id
 from siftwell.llm.media import op4_media_columns
 from siftwell.llm.packing import op2_packing
+from siftwell.llm.secrets import op3_secrets
 from siftwell.llm.simhash import op6_simhash
+from siftwell.llm.suffix_dedup import op5_suffix_dedup
 from siftwell.llm.toxicity import op7_toxicity
 from siftwell.llm.url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
+    "op3_secrets": op3_secrets,
     "op4_media_columns": op4_media_columns,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
