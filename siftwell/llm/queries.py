@@ -4,6 +4,7 @@ from siftwell.llm.fingerprint import op1_fingerprints
 from siftwell.llm.language_id import op8_language_id
 from siftwell.llm.media import op4_media_columns
 from siftwell.llm.packing import op2_packing
+from siftwell.llm.piece_sampling import op9_piece_sampling
 from siftwell.llm.secrets import op3_secrets
 from siftwell.llm.simhash import op6_simhash
 from siftwell.llm.suffix_dedup import op5_suffix_dedup
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
+    "op9_piece_sampling": op9_piece_sampling,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES = {"op10_url_filter": OP10_SQL}
