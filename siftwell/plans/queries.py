@@ -1,4 +1,694 @@
-"""Registered queries of the ranking engine, each with its SQL oracle."""
+"""Registered queries of the ranking engine, each with its SQL oracle.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+The driver's tables hold no candidate records, so every operator is applied to
+an analogous table: documents for texts, conversations for ordered entries,
+events for signals, orders and lineitem for dated roles and capped groups.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from siftwell.functions import columns as C
+from siftwell.functions import folds
+from siftwell.plans.session import prepare, read_table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+FLAGSHIP = "q_base_fit_score"
+
+EVENT_REF, ORDER_REF = "2024-02-01", "2001-08-01"
+#: (category, polarity, weight, cap, terms)
+LEXICON = [
+    ("connectives", "positive", 1.0, 1.6, ["that", "this", "with"]),
+    ("sources", "positive", 0.9, 1.2, ["apache", "free", "license", "licensed"]),
+    ("function_words", "positive", 0.6, 1.0, ["from", "mit"]),
+    ("contacts", "negative", 0.8, 0.9, ["@", "token"]),
+]
+WORDS = ["mit", "free", "license", "from", "token"]
+BANDS = [(0.0, 5000.0, 1.0), (-500.0, 8000.0, 0.6), (-1000.0, 10000.0, 0.25)]
+RANK_BANDS = [(1, 10, "1-10"), (11, 30, "11-30"), (31, 60, "31-60"), (61, 100, "61-100")]
+
+
+def query(name: str, sql: str | None = None):
+    def register(f: Callable[..., DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
+            return f(lambda table: read_table(spark, sf_dir, table))
+
+        run.__name__, run.__doc__ = name, f.__doc__
+        QUERIES[name] = run
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return register
+
+
+def quoted(terms: list[str]) -> str:
+    return "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in sorted(terms)) + "]"
+
+
+def long(c: Column | str) -> Column:
+    return C.col(c).cast("long")
+
+
+# -- scans, validation, deduplication ---------------------------------------------------------------------------------
+
+
+@query(
+    "q_scan_reject_counts",
+    """SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS valid_rows,
+    CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS malformed_rows, CAST(count(*) FILTER (WHERE ok AND value > 300) AS BIGINT) AS severe_rows
+    FROM (SELECT *, json_valid(props) AND value >= 0.1 AS ok FROM events)""",
+)
+def scan_reject_counts(t):
+    """Counters of a permissive scan: rows whose props parse as an object and whose value is in range."""
+    ok = F.json_object_keys("props").isNotNull() & (F.col("value") >= 0.1)
+    e = t("events").select("value", F.coalesce(ok, F.lit(False)).alias("ok"))
+    return e.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if("ok").alias("valid_rows"),
+        F.count_if(~F.col("ok")).alias("malformed_rows"),
+        F.count_if(F.col("ok") & (F.col("value") > 300)).alias("severe_rows"),
+    )
+
+
+@query(
+    "q_shape_issues",
+    """SELECT 'page' AS kind, page_id AS id, 'short_html' AS issue FROM pages WHERE length(html) < 2000
+    UNION ALL SELECT 'page', page_id, 'insecure_url' FROM pages WHERE starts_with(url, 'http://')
+    UNION ALL SELECT 'document', doc_id, 'short_text' FROM documents WHERE text IS NULL OR length(text) < 200
+    UNION ALL SELECT 'document', doc_id, 'length_mismatch' FROM documents WHERE length(text) <> n_chars""",
+)
+def shape_issues(t):
+    """One row for each failed shape check, several a record."""
+    p = t("pages").select(
+        F.lit("page").alias("kind"),
+        F.col("page_id").alias("id"),
+        F.explode(F.array_compact(F.array(F.when(F.length("html") < 2000, F.lit("short_html")), F.when(F.startswith("url", F.lit("http://")), F.lit("insecure_url"))))).alias("issue"),
+    )
+    short = F.col("text").isNull() | (F.length("text") < 200)
+    d = t("documents").select(
+        F.lit("document").alias("kind"),
+        F.col("doc_id").alias("id"),
+        F.explode(F.array_compact(F.array(F.when(short, F.lit("short_text")), F.when(F.length("text") != F.col("n_chars"), F.lit("length_mismatch"))))).alias("issue"),
+    )
+    return p.unionByName(d)
+
+
+@query(
+    "q_keep_first",
+    """SELECT conv_id, role, turn, length(text) AS n_chars FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n FROM conversations) WHERE n = 1""",
+)
+def keep_first(t):
+    """Keep-first deduplication in input order."""
+    return C.first_of_each(t("conversations"), ["conv_id", "role"], "turn").select("conv_id", "role", "turn", long(F.length("text")).alias("n_chars"))
+
+
+@query(
+    "q_duplicate_ids",
+    """SELECT doc_id, first_id, CAST(n AS BIGINT) AS copy_number FROM (
+    SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents) WHERE n > 1""",
+)
+def duplicate_ids(t):
+    """Every later row of one key: here of one text, by its hash pair, so no text is shuffled."""
+    key = t("documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("k"))
+    w = Window.partitionBy("k").orderBy("doc_id")
+    return key.select("doc_id", F.min("doc_id").over(w).alias("first_id"), long(F.row_number().over(w)).alias("copy_number")).where("copy_number > 1")
+
+
+@query(
+    "q_flatten_context",
+    """SELECT conv_id, CAST(count(*) AS BIGINT) AS entry_count, CAST(count(*) FILTER (WHERE role = 'user') AS BIGINT) AS user_count,
+    CAST(sum(length(text)) AS BIGINT) AS total_chars, max(turn) AS last_turn, sha256(string_agg(trim(text, ' '), ' ' ORDER BY turn)) AS combined_text_hash
+    FROM conversations GROUP BY conv_id""",
+)
+def flatten_context(t):
+    """Nested entries in order, then one flat row of folds over them."""
+    entries = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    c = t("conversations").groupBy("conv_id").agg(entries.alias("entries"))
+    return c.select(
+        "conv_id",
+        long(F.size("entries")).alias("entry_count"),
+        long(F.size(F.filter("entries", lambda e: e["role"] == "user"))).alias("user_count"),
+        F.aggregate("entries", F.lit(0).cast("long"), lambda a, e: a + F.length(e["text"])).alias("total_chars"),
+        F.array_max(F.transform("entries", lambda e: e["turn"])).alias("last_turn"),
+        F.sha2(C.text_join(F.transform("entries", lambda e: e["text"])).cast("binary"), 256).alias("combined_text_hash"),
+    )
+
+
+@query(
+    "q_array_index_explode",
+    """SELECT doc_id, CAST(i - 1 AS BIGINT) AS word_index, w[i] AS word FROM (
+    SELECT doc_id, string_split(text, ' ') AS w, unnest(generate_series(1, least(5, len(string_split(text, ' '))))) AS i FROM documents)""",
+)
+def array_index_explode(t):
+    """Array elements with their position."""
+    return t("documents").select("doc_id", F.posexplode(F.slice(F.split("text", " "), 1, 5)).alias("i", "word")).select("doc_id", long("i").alias("word_index"), "word")
+
+
+@query(
+    "q_safe_date_parse",
+    """SELECT o_orderkey, raw, CASE WHEN regexp_full_match(left(raw, 10), '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN try_cast(left(raw, 10) AS DATE) END AS parsed FROM (
+    SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T10:00:00'
+    WHEN 2 THEN strftime(o_orderdate, '%Y-') || '13-40' WHEN 3 THEN strftime(o_orderdate, '%Y') ELSE '' END AS raw FROM orders)""",
+)
+def safe_date_parse(t):
+    """Guarded ISO date parse of clean, suffixed, impossible, partial and empty strings."""
+    k, d = F.col("o_orderkey") % 5, F.date_format("o_orderdate", "yyyy-MM-dd")
+    raw = F.when(k == 0, d).when(k == 1, F.concat(d, F.lit("T10:00:00"))).when(k == 2, F.concat(F.date_format("o_orderdate", "yyyy-"), F.lit("13-40"))).when(k == 3, F.date_format("o_orderdate", "yyyy")).otherwise(F.lit(""))
+    return t("orders").select("o_orderkey", raw.alias("raw")).select("o_orderkey", "raw", C.parse_date("raw").alias("parsed"))
+
+
+# -- counters and histograms ------------------------------------------------------------------------------------------
+
+
+@query("q_value_counts_top", "SELECT source, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first_seen FROM documents GROUP BY source ORDER BY n DESC, first_seen LIMIT 30")
+def value_counts_top(t):
+    """Most frequent values, ties by first appearance (the limit is the feature)."""
+    return t("documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_seen")).orderBy(F.desc("n"), "first_seen").limit(30)
+
+
+@query("q_histogram", "SELECT CAST(floor(n_chars / 1000) AS BIGINT) AS bucket, lang, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY ALL")
+def histogram(t):
+    """Full histogram over a derived bucket."""
+    return t("documents").groupBy(long(F.floor(F.col("n_chars") / 1000)).alias("bucket"), "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "q_issue_subsets",
+    """SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE value > 100) AS BIGINT) AS n_high,
+    event_type LIKE '%e%' AS has_e, event_type LIKE '%sign%' AS is_signup FROM events GROUP BY event_type""",
+)
+def issue_subsets(t):
+    """Counts by issue type with subsets by name."""
+    return t("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") > 100).alias("n_high")).select(
+        "event_type", "n", "n_high", F.contains("event_type", F.lit("e")).alias("has_e"), F.contains("event_type", F.lit("sign")).alias("is_signup")
+    )
+
+
+@query(
+    "q_availability_counts",
+    """SELECT CAST(count(*) FILTER (WHERE c_acctbal > 0) AS BIGINT) AS open_count, CAST(count(*) FILTER (WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')) AS BIGINT) AS flexible_count,
+    round(avg(c_acctbal), 6) AS mean_balance FROM customer""",
+)
+def availability_counts(t):
+    """Conditional counts and a global mean, one row."""
+    return t("customer").agg(F.count_if(F.col("c_acctbal") > 0).alias("open_count"), F.count_if(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).alias("flexible_count"), C.r6(F.avg("c_acctbal")).alias("mean_balance"))
+
+
+# -- lexicons and evidence --------------------------------------------------------------------------------------------
+
+_NORM = "trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))"
+_LEX_SQL = " UNION ALL ".join(
+    f"SELECT doc_id, source, n_chars, '{c}' AS category, '{p}' AS polarity, {w}::DOUBLE AS weight, {cap}::DOUBLE AS cap, {i} AS seq, list_filter({quoted(ts)}, lambda x: contains(txt, x)) AS terms FROM (SELECT *, {_NORM} AS txt FROM documents)"
+    for i, (c, p, w, cap, ts) in enumerate(LEXICON)
+)
+_LEDGER_SQL = f"SELECT *, least(1.0, len(terms) / 2.0) AS strength FROM ({_LEX_SQL}) WHERE len(terms) > 0"
+
+
+def ledger(docs: DataFrame) -> DataFrame:
+    """Fact table of matched categories: the text is scanned once and leaves the plan at the explode."""
+    text = C.normalize_text("text")
+    hits = F.array(
+        *[
+            F.struct(F.lit(c).alias("category"), F.lit(p).alias("polarity"), F.lit(w).alias("weight"), F.lit(cap).alias("cap"), F.lit(i).alias("seq"), C.matched_terms(F.col("txt"), ts).alias("terms"))
+            for i, (c, p, w, cap, ts) in enumerate(LEXICON)
+        ]
+    )
+    rows = docs.select("doc_id", "source", "n_chars", text.alias("txt")).select("doc_id", "source", "n_chars", F.explode(F.filter(hits, lambda h: F.size(h["terms"]) > 0)).alias("h"))
+    return rows.select("doc_id", "source", "n_chars", "h.*").withColumn("strength", F.least(F.lit(1.0), F.size("terms") / F.lit(2.0)))
+
+
+@query("q_lexicon_substring", f"SELECT doc_id, category, array_to_string(terms, ',') AS matched, CAST(len(terms) AS BIGINT) AS n_terms FROM ({_LEDGER_SQL})")
+def lexicon_substring(t):
+    """Substring lexicon with sorted matches."""
+    return ledger(t("documents")).select("doc_id", "category", F.array_join("terms", ",").alias("matched"), long(F.size("terms")).alias("n_terms"))
+
+
+@query(
+    "q_lexicon_word_boundary",
+    "SELECT doc_id, CAST(" + " + ".join(f"regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}_]){w}([^\\p{{L}}\\p{{N}}_]|$)')::INT" for w in WORDS) + " AS BIGINT) AS hits, "
+    "round(least(1.0, (" + " + ".join(f"regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}_]){w}([^\\p{{L}}\\p{{N}}_]|$)')::INT" for w in WORDS) + ") / 4.0), 6) AS score FROM documents",
+)
+def lexicon_word_boundary(t):
+    """Word-boundary lexicon, capped by a divisor."""
+    return t("documents").select("doc_id", long(C.word_hits(F.col("text"), WORDS)).alias("hits"), C.r6(C.word_score(F.col("text"), WORDS, 4)).alias("score"))
+
+
+@query(
+    "q_corroboration",
+    f"""SELECT category, polarity, source, CAST(count(*) AS BIGINT) AS n, round(least(1.0, count(DISTINCT array_to_string(terms, ',')) / 3.0), 6) AS corroboration_level
+    FROM ({_LEDGER_SQL}) GROUP BY category, polarity, source""",
+)
+def corroboration(t):
+    """Distinct kinds of support in each group, as a capped share."""
+    return ledger(t("documents")).groupBy("category", "polarity", "source").agg(F.count(F.lit(1)).alias("n"), C.r6(F.least(F.lit(1.0), F.countDistinct(F.array_join("terms", ",")) / F.lit(3.0))).alias("corroboration_level"))
+
+
+@query(
+    "q_greedy_cap",
+    """SELECT l_orderkey, l_linenumber, round(least(60.0, s) - least(60.0, s - l_quantity), 6) AS after_cap FROM (
+    SELECT *, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS s FROM lineitem)""",
+)
+def greedy_cap(t):
+    """Greedy ordered cap within a group, as the difference of capped running sums."""
+    return t("lineitem").select("l_orderkey", "l_linenumber", C.r6(folds.capped(F.col("l_quantity"), F.lit(60.0), ["l_orderkey"], F.desc("l_quantity"), "l_linenumber", "l_partkey", "l_suppkey")).alias("after_cap"))
+
+
+@query(
+    "q_evidence_index",
+    """SELECT l_orderkey, l_linenumber, l_partkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag, l_extendedprice DESC, l_linenumber, l_partkey) - 1 AS BIGINT) AS evidence_index,
+    'EVID_' || l_orderkey || '_' || lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag, l_extendedprice DESC, l_linenumber, l_partkey) - 1 AS VARCHAR), 4, '0') AS evidence_id FROM lineitem""",
+)
+def evidence_index(t):
+    """Row numbers across the ordered groups of one entity, and the ids made of them."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_returnflag", F.desc("l_extendedprice"), "l_linenumber", "l_partkey")
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", long(F.row_number().over(w) - 1).alias("evidence_index"))
+    return rows.withColumn("evidence_id", F.format_string("EVID_%d_%04d", "l_orderkey", "evidence_index"))
+
+
+@query(
+    "q_category_pivot",
+    """SELECT user_id, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE event_type <> 'error') AS BIGINT) AS positive_count, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS negative_count,
+    """ + ", ".join(f"round(coalesce(sum(value) FILTER (WHERE event_type = '{e}'), 0), 4) AS {e}_score" for e in ("click", "error", "purchase", "signup", "view")) + " FROM events GROUP BY user_id",
+)
+def category_pivot(t):
+    """Per-entity roll-up: counts by polarity and sums by category as columns."""
+    kinds = ("click", "error", "purchase", "signup", "view")
+    return t("events").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") != "error").alias("positive_count"), F.count_if(F.col("event_type") == "error").alias("negative_count"),
+        *[F.round(F.coalesce(F.sum(F.when(F.col("event_type") == e, F.col("value"))), F.lit(0.0)), 4).alias(f"{e}_score") for e in kinds],
+    )
+
+
+@query(
+    "q_top3_ids",
+    "SELECT l_orderkey, array_to_string(list(CAST(l_partkey AS VARCHAR) ORDER BY l_extendedprice DESC, l_partkey, l_linenumber)[1:3], ',') AS top_ids FROM lineitem GROUP BY l_orderkey",
+)
+def top3_ids(t):
+    """Ordered top three ids of each entity."""
+    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("l_extendedprice")).alias("p"), "l_partkey", "l_linenumber"))), 1, 3)
+    return t("lineitem").groupBy("l_orderkey").agg(best.alias("b")).select("l_orderkey", F.array_join(F.transform("b", lambda x: x["l_partkey"].cast("string")), ",").alias("top_ids"))
+
+
+@query(
+    "q_skill_corroboration",
+    f"""WITH g AS (SELECT doc_id, category, bool_or(n_chars < 1500) AS in_short, bool_or(n_chars >= 300) AS in_long FROM ({_LEDGER_SQL}) WHERE polarity = 'positive' GROUP BY doc_id, category)
+    SELECT doc_id, round(CASE WHEN count(*) FILTER (WHERE in_short) > 0 THEN count(*) FILTER (WHERE in_short AND in_long) / count(*) FILTER (WHERE in_short)::DOUBLE ELSE 0 END, 6) AS corroboration_score,
+    round(CASE WHEN count(*) FILTER (WHERE in_short) > 0 THEN count(*) FILTER (WHERE in_short AND NOT in_long) / count(*) FILTER (WHERE in_short)::DOUBLE ELSE 0 END, 6) AS unsupported_risk FROM g GROUP BY doc_id""",
+)
+def skill_corroboration(t):
+    """Share of one family's categories that another family supports, and the rest."""
+    g = ledger(t("documents")).where("polarity = 'positive'").groupBy("doc_id", "category").agg(F.bool_or(F.col("n_chars") < 1500).alias("s"), F.bool_or(F.col("n_chars") >= 300).alias("l"))
+    n = F.count_if("s")
+    share = lambda c: C.r6(F.when(n > 0, F.count_if(c) / n.cast("double")).otherwise(F.lit(0.0)))
+    return g.groupBy("doc_id").agg(share(F.col("s") & F.col("l")).alias("corroboration_score"), share(F.col("s") & ~F.col("l")).alias("unsupported_risk"))
+
+
+# -- dates and recency ------------------------------------------------------------------------------------------------
+
+
+@query(
+    "q_recency_linear",
+    f"""SELECT user_id, age_days, round(CASE WHEN age_days <= 2 THEN 1.0 WHEN age_days >= 8 THEN 0.35 ELSE 1.0 - (age_days - 2) / 6.0 * 0.65 END, 6) AS recency_score FROM (
+    SELECT user_id, greatest(0, date_diff('day', max(ts)::DATE, DATE '{EVENT_REF}'))::BIGINT AS age_days FROM events WHERE event_type = 'purchase' GROUP BY user_id)""",
+)
+def recency_linear(t):
+    """Piecewise linear recency of each user's last purchase."""
+    age = C.day_age(F.max("ts").cast("date"), C.date_lit(EVENT_REF))
+    u = t("events").where("event_type = 'purchase'").groupBy("user_id").agg(long(age).alias("age_days"))
+    return u.withColumn("recency_score", C.r6(C.linear_recency(F.col("age_days"), 2, 8)))
+
+
+@query(
+    "q_recency_decay",
+    f"""SELECT o_orderkey, round(greatest(0, date_diff('day', o_orderdate::DATE, DATE '{ORDER_REF}')) / 365.25::DOUBLE, 6) AS years_old,
+    CASE WHEN o_orderstatus = 'O' THEN 1.0::DOUBLE WHEN greatest(0, date_diff('day', o_orderdate::DATE, DATE '{ORDER_REF}')) / 365.25::DOUBLE <= 3 THEN 1.0::DOUBLE ELSE 0.85::DOUBLE END AS recency_weight FROM orders""",
+)
+def recency_decay(t):
+    """Older entries weigh less, current ones full."""
+    d = F.date_format("o_orderdate", "yyyy-MM-dd")
+    weight = C.role_recency(F.col("o_orderstatus") == "O", d, F.lit(None).cast("string"), C.date_lit(ORDER_REF), 1.0, 3, 0.85)
+    return t("orders").select("o_orderkey", C.r6(C.year_age(F.col("o_orderdate").cast("date"), C.date_lit(ORDER_REF))).alias("years_old"), weight.alias("recency_weight"))
+
+
+@query(
+    "q_month_diff",
+    """SELECT l_orderkey, l_linenumber, l_partkey, CAST(greatest(0, (year(l_shipdate) - year(o_orderdate)) * 12 + month(l_shipdate) - month(o_orderdate)) AS BIGINT) AS months
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+)
+def month_diff(t):
+    """Calendar months between an order and its shipments."""
+    o = t("orders").select("o_orderkey", "o_orderdate")
+    j = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.select("l_orderkey", "l_linenumber", "l_partkey", long(C.months_between("o_orderdate", "l_shipdate")).alias("months"))
+
+
+@query(
+    "q_overlap_months",
+    """SELECT o_custkey, CAST(sum(CASE WHEN ns < e THEN greatest(0, (year(least(e, ne)) - year(ns)) * 12 + month(least(e, ne)) - month(ns)) ELSE 0 END) AS BIGINT) AS overlap_months FROM (
+    SELECT o_custkey, e, lead(s) OVER w AS ns, lead(e) OVER w AS ne FROM (SELECT o_custkey, o_orderdate::DATE AS s, o_orderdate::DATE + 120 + CAST(o_orderkey % 60 AS INT) AS e FROM orders)
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY s, e)) GROUP BY o_custkey""",
+)
+def overlap_months(t):
+    """Months by which neighbouring intervals of an entity overlap."""
+    s = F.col("o_orderdate").cast("date")
+    o = t("orders").select("o_custkey", s.alias("s"), F.date_add(s, 120 + (F.col("o_orderkey") % 60).cast("int")).alias("e"))
+    return folds.overlap_months(o, "o_custkey", "s", "e")
+
+
+# -- rules, multipliers, scores ---------------------------------------------------------------------------------------
+
+
+@query("q_band_score", "SELECT c_custkey, CASE " + " ".join(f"WHEN c_acctbal BETWEEN {a} AND {b} THEN {s}::DOUBLE" for a, b, s in BANDS) + " ELSE 0.0::DOUBLE END AS band_score FROM customer")
+def band_score(t):
+    """First band that holds the value, both ends included."""
+    return t("customer").select("c_custkey", C.first_band("c_acctbal", BANDS).alias("band_score"))
+
+
+@query(
+    "q_logistics_or",
+    """SELECT c_custkey, CASE WHEN lower(c_mktsegment) IN ('building', 'machinery') OR c_acctbal > 5000 OR n_name = 'NATION_7' THEN 1.0::DOUBLE ELSE 0.55::DOUBLE END AS location_score
+    FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def logistics_or(t):
+    """Preferred by mode, by willingness or by country."""
+    good = F.lower("c_mktsegment").isin("building", "machinery") | (F.col("c_acctbal") > 5000) | (F.col("n_name") == "NATION_7")
+    j = t("customer").join(t("nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.select("c_custkey", F.when(good, F.lit(1.0)).otherwise(F.lit(0.55)).alias("location_score"))
+
+
+RULES = [("late_ship", "severe", 0.35), ("large_discount", "minor", 0.08), ("price_outlier", "moderate", 0.18)]
+_RULE_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, type FROM (
+  SELECT l_orderkey, l_linenumber, l_partkey, 'late_ship' AS type FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE date_diff('day', o_orderdate::DATE, l_shipdate::DATE) > 110
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'large_discount' FROM lineitem WHERE l_discount > 0.09
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'price_outlier' FROM lineitem WHERE l_extendedprice > 95000)"""
+_RULE_TABLE = "(VALUES " + ", ".join(f"('{a}', '{b}', {c}::DOUBLE)" for a, b, c in RULES) + ") r(rule_id, severity, contribution)"
+
+
+def triggers(t) -> DataFrame:
+    """Record-level rules as one array, exploded, joined to the rule table by its id."""
+    line = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_discount", "l_extendedprice")
+    j = line.join(t("orders").select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    fired = F.array_compact(
+        F.array(
+            F.when(F.datediff("l_shipdate", "o_orderdate") > 110, F.lit("late_ship")),
+            F.when(F.col("l_discount") > 0.09, F.lit("large_discount")),
+            F.when(F.col("l_extendedprice") > 95000, F.lit("price_outlier")),
+        )
+    )
+    rules = line.sparkSession.createDataFrame(RULES, "rule_id string, severity string, contribution double")
+    rows = j.select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", F.explode(fired).alias("type"))
+    return rows.join(F.broadcast(rules), F.col("type") == F.col("rule_id")).drop("rule_id")
+
+
+@query("q_rules_trigger", f"SELECT l_orderkey, l_linenumber, l_partkey, type, severity, contribution FROM ({_RULE_SQL}) JOIN {_RULE_TABLE} ON type = rule_id")
+def rules_trigger(t):
+    """One row for each fired rule, with the rule's severity and contribution."""
+    return triggers(t).select("l_orderkey", "l_linenumber", "l_partkey", "type", "severity", "contribution")
+
+
+@query(
+    "q_risk_multiplier",
+    f"""SELECT o_orderkey, CAST(count(type) AS BIGINT) AS triggered, CAST(count(*) FILTER (WHERE severity = 'minor') AS BIGINT) AS minor_count, CAST(count(*) FILTER (WHERE severity = 'severe') AS BIGINT) AS severe_count,
+    round(least(1.0, coalesce(sum(contribution), 0)), 6) AS risk, greatest(0.25, round(1 - least(1.0, coalesce(sum(contribution), 0)), 6)) AS multiplier
+    FROM orders LEFT JOIN (SELECT * FROM ({_RULE_SQL}) JOIN {_RULE_TABLE} ON type = rule_id) ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
+)
+def risk_multiplier(t):
+    """Capped risk sum and the bounded multiplier of every entity, with none for those without a trigger."""
+    g = triggers(t).groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("severity") == "minor").alias("mi"), F.count_if(F.col("severity") == "severe").alias("se"), F.sum("contribution").alias("s")
+    )
+    j = t("orders").select("o_orderkey").join(g, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    risk = F.least(F.lit(1.0), F.coalesce("s", F.lit(0.0)))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    return j.select("o_orderkey", zero("n").alias("triggered"), zero("mi").alias("minor_count"), zero("se").alias("severe_count"), C.r6(risk).alias("risk"), F.greatest(F.lit(0.25), C.r6(1 - risk)).alias("multiplier"))
+
+
+_SIGNAL_SQL = f"""SELECT user_id, round(least(greatest(0.72 + 0.36 * (0.2 * open + 0.18 * least(1, purchases / 20.0) + 0.12 * (1 - least(1, errors / 30.0)) + 0.12 * least(1, mean_value / 100.0)
+  + 0.04 * CASE WHEN age <= 2 THEN 1.0 WHEN age >= 8 THEN 0.35 ELSE 1.0 - (age - 2) / 6.0 * 0.65 END), 0.72), 1.08), 6) AS availability_multiplier FROM (
+  SELECT user_id, max((event_type = 'signup')::INT) AS open, count(*) FILTER (WHERE event_type = 'purchase') AS purchases, count(*) FILTER (WHERE event_type = 'error') AS errors,
+  avg(value) AS mean_value, greatest(0, date_diff('day', max(ts)::DATE, DATE '{EVENT_REF}')) AS age FROM events GROUP BY user_id)"""
+
+
+def availability(t) -> DataFrame:
+    """Weighted components of each user's signals, as a bounded multiplier."""
+    e = F.col("event_type")
+    u = t("events").groupBy("user_id").agg(
+        F.max((e == "signup").cast("int")).alias("open"), F.count_if(e == "purchase").alias("purchases"), F.count_if(e == "error").alias("errors"), F.avg("value").alias("mean_value"),
+        C.day_age(F.max("ts").cast("date"), C.date_lit(EVENT_REF)).alias("age"),
+    )
+    total = 0.2 * F.col("open") + 0.18 * C.to_cap("purchases", 20) + 0.12 * (1 - C.to_cap("errors", 30)) + 0.12 * C.to_cap("mean_value", 100) + 0.04 * C.linear_recency(F.col("age"), 2, 8)
+    return u.select("user_id", C.r6(C.clamp(0.72 + 0.36 * total, 0.72, 1.08)).alias("availability_multiplier"))
+
+
+@query("q_availability_multiplier", _SIGNAL_SQL)
+def availability_multiplier(t):
+    """Bounded availability multiplier."""
+    return availability(t)
+
+
+_BASE_SQL = f"""WITH ev AS (SELECT doc_id, sum(strength * weight) FILTER (WHERE polarity = 'positive') AS pos, sum(strength * weight) FILTER (WHERE polarity = 'negative') AS neg FROM ({_LEDGER_SQL}) GROUP BY doc_id)
+  SELECT d.doc_id, round(least(1, greatest(0, 0.6 * least(1, coalesce(ev.pos, 0) / 2.0) + 0.25 * CASE WHEN d.n_chars BETWEEN 400 AND 4000 THEN 1.0 WHEN d.n_chars BETWEEN 100 AND 12000 THEN 0.6 ELSE 0.25 END
+  + 0.15 * coalesce(l.quality, 0) - 0.08 * coalesce(l.toxic, 0) - 0.05 * least(1, coalesce(ev.neg, 0))))
+  * CASE WHEN coalesce(l.toxic, 0) = 1 THEN 0.65 ELSE 1.0 END * 100, 6) AS final_score
+  FROM documents d LEFT JOIN ev USING (doc_id) LEFT JOIN labels l USING (doc_id)"""
+
+
+def base_fit(t) -> DataFrame:
+    """Evidence and the sparse side table joined 1:1 to every document, missing values 0."""
+    signed = F.col("strength") * F.col("weight")
+    ev = ledger(t("documents")).groupBy("doc_id").agg(F.sum(F.when(F.col("polarity") == "positive", signed)).alias("pos"), F.sum(F.when(F.col("polarity") == "negative", signed)).alias("neg"))
+    docs = t("documents").select("doc_id", "lang", "n_chars")
+    j = docs.join(ev, "doc_id", "left").join(t("labels"), "doc_id", "left").fillna(0, ["pos", "neg", "quality", "toxic"])
+    band = C.first_band("n_chars", [(400, 4000, 1.0), (100, 12000, 0.6)], 0.25)
+    base = C.clamp(0.6 * C.to_cap("pos", 2) + 0.25 * band + 0.15 * F.col("quality") - 0.08 * F.col("toxic") - 0.05 * C.to_cap("neg", 1))
+    return j.select("doc_id", "lang", C.r6(base * F.when(F.col("toxic") == 1, F.lit(0.65)).otherwise(F.lit(1.0)) * 100).alias("final_score"))
+
+
+@query("q_base_fit_score", _BASE_SQL)
+def base_fit_score(t):
+    """Joined features, weighted, clamped and multiplied."""
+    return base_fit(t).select("doc_id", "final_score")
+
+
+_WB = lambda w: f"regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}_]){w}([^\\p{{L}}\\p{{N}}_]|$)')::INT"
+
+
+@query(
+    "q_baseline_score",
+    f"""SELECT doc_id, round(CASE WHEN rel < 0.3 THEN least(greatest(0, raw), 35) ELSE greatest(0, raw) END, 6) AS final_score FROM (SELECT doc_id, rel, (0.4 * rel + 0.2 * prod + 0.1 * band - penalty) * 100 AS raw FROM (
+    SELECT doc_id, least(1.0, ({_WB('from')} + {_WB('mit')} + {_WB('that')}) / 3.0) AS rel, least(1.0, ({_WB('license')} + {_WB('free')}) / 2.0) AS prod,
+    CASE WHEN n_chars BETWEEN 400 AND 4000 THEN 1.0 ELSE 0.25 END AS band, CASE WHEN lang = 'en' THEN 0.0 ELSE 0.08 END AS penalty FROM documents))""",
+)
+def baseline_score(t):
+    """Word-boundary relevance with floor and low-relevance cap."""
+    x = F.col("text")
+    f = t("documents").select(
+        "doc_id", C.word_score(x, ["from", "mit", "that"], 3).alias("rel"), C.word_score(x, ["license", "free"], 2).alias("prod"),
+        C.first_band("n_chars", [(400, 4000, 1.0)], 0.25).alias("band"), F.when(F.col("lang") == "en", F.lit(0.0)).otherwise(F.lit(0.08)).alias("penalty"),
+    )
+    raw = F.greatest(F.lit(0.0), (0.4 * F.col("rel") + 0.2 * F.col("prod") + 0.1 * F.col("band") - F.col("penalty")) * 100)
+    return f.select("doc_id", C.r6(F.when(F.col("rel") < 0.3, F.least(raw, F.lit(35.0))).otherwise(raw)).alias("final_score"))
+
+
+# -- ranking, sets, comparison ----------------------------------------------------------------------------------------
+
+
+@query("q_rank_full", f"SELECT doc_id, final_score, row_number() OVER (ORDER BY final_score DESC, doc_id) AS rank FROM ({_BASE_SQL})")
+def rank_full(t):
+    """Total order by score and id, without a single-partition window."""
+    return folds.ranked(base_fit(t).select("doc_id", "final_score"), F.desc("final_score"), "doc_id")
+
+
+_TOP_SQL = f"SELECT doc_id, lang, final_score, k AS rank FROM (SELECT doc_id, lang, final_score, row_number() OVER (ORDER BY final_score DESC, doc_id) AS k FROM ({_BASE_SQL}) JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)) WHERE k <= 100"
+
+
+def top100(t) -> DataFrame:
+    return folds.top(base_fit(t), 100, F.desc("final_score"), "doc_id")
+
+
+@query("q_top100", f"SELECT doc_id, rank, printf('%.6f', final_score) AS score FROM ({_TOP_SQL})")
+def top_100(t):
+    """The top hundred with formatted scores (the limit is the feature)."""
+    return top100(t).select("doc_id", "rank", C.score_text("final_score").alias("score"))
+
+
+@query(
+    "q_semantic_gate",
+    """SELECT CAST(count(DISTINCT doc_id) AS BIGINT) AS ids, CAST((SELECT count(*) FROM documents ANTI JOIN labels USING (doc_id)) AS BIGINT) AS missing,
+    CAST((SELECT count(*) FROM labels ANTI JOIN documents USING (doc_id)) AS BIGINT) AS unexpected,
+    CASE WHEN (SELECT count(*) FROM documents ANTI JOIN labels USING (doc_id)) + (SELECT count(*) FROM labels ANTI JOIN documents USING (doc_id)) = 0 THEN 'loaded' ELSE 'mismatch' END AS status FROM documents""",
+)
+def semantic_gate(t):
+    """Set equality of a side table's ids and the entities' ids, by two anti-joins."""
+    d, l_ = t("documents").select("doc_id").distinct(), t("labels").select("doc_id").distinct()
+    both = d.withColumn("d", F.lit(1)).join(l_.withColumn("l", F.lit(1)), "doc_id", "full")
+    n = both.agg(F.count("d").alias("ids"), F.count_if(F.col("l").isNull()).alias("missing"), F.count_if(F.col("d").isNull()).alias("unexpected"))
+    return n.withColumn("status", F.when(F.col("missing") + F.col("unexpected") == 0, F.lit("loaded")).otherwise(F.lit("mismatch")))
+
+
+_BY_LEN = "SELECT doc_id, k AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS k FROM documents) WHERE k <= 100"
+
+
+def by_length(t) -> DataFrame:
+    return folds.top(t("documents").select("doc_id", "n_chars"), 100, F.desc("n_chars"), "doc_id").select("doc_id", "rank")
+
+
+@query(
+    "q_set_entrants_exits",
+    f"""WITH a AS (SELECT doc_id FROM ({_TOP_SQL})), b AS (SELECT doc_id FROM ({_BY_LEN}))
+    SELECT doc_id, 'entrant' AS kind FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT doc_id, 'exit' FROM (SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL SELECT doc_id, 'shared' FROM (SELECT * FROM a INTERSECT SELECT * FROM b)""",
+)
+def set_entrants_exits(t):
+    """Entrants, exits and shared ids of two top lists."""
+    a, b = top100(t).select("doc_id"), by_length(t).select("doc_id")
+    kind = lambda df, k: df.select("doc_id", F.lit(k).alias("kind"))
+    return kind(a.exceptAll(b), "entrant").unionByName(kind(b.exceptAll(a), "exit")).unionByName(kind(a.intersect(b), "shared"))
+
+
+@query("q_rank_delta", f"SELECT a.doc_id, a.rank AS rank_before, b.rank AS rank_after, CAST(abs(a.rank - b.rank) AS BIGINT) AS delta FROM ({_TOP_SQL}) a LEFT JOIN ({_BY_LEN}) b ON a.doc_id = b.doc_id WHERE b.rank IS NULL OR a.rank <> b.rank")
+def rank_delta(t):
+    """Rows of one ranking that another lacks or ranks otherwise."""
+    a, b = top100(t).select("doc_id", F.col("rank").alias("rank_before")), by_length(t).withColumnRenamed("rank", "rank_after")
+    j = a.join(b, "doc_id", "left").where("rank_after IS NULL OR rank_before <> rank_after")
+    return j.select("doc_id", "rank_before", "rank_after", F.abs(F.col("rank_before") - F.col("rank_after")).alias("delta"))
+
+
+@query("q_semi_top_ledger", f"SELECT doc_id, category, round(strength * weight, 6) AS contribution FROM ({_LEDGER_SQL}) WHERE doc_id IN (SELECT doc_id FROM ({_TOP_SQL}))")
+def semi_top_ledger(t):
+    """The ledger of the top hundred only: a semi-join on a side of a hundred rows."""
+    top_ids = F.broadcast(top100(t).select("doc_id"))
+    docs = t("documents").join(top_ids, "doc_id", "left_semi")
+    return ledger(docs).select("doc_id", "category", C.r6(F.col("strength") * F.col("weight")).alias("contribution"))
+
+
+_BAND_SQL = "CASE " + " ".join(f"WHEN rank BETWEEN {a} AND {b} THEN '{n}'" for a, b, n in RANK_BANDS) + " ELSE '61-100' END"
+
+
+@query("q_rank_bands", f"SELECT {_BAND_SQL} AS band, lang, CAST(count(*) AS BIGINT) AS n FROM ({_TOP_SQL}) GROUP BY ALL")
+def rank_bands(t):
+    """Nested counts by rank band and family."""
+    return top100(t).groupBy(C.rank_band("rank", RANK_BANDS).alias("band"), "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("q_sampled_ranks", f"SELECT rank, doc_id, final_score FROM ({_TOP_SQL}) WHERE rank IN (1, 5, 10, 25, 50, 61, 75, 100)")
+def sampled_ranks(t):
+    """Fixed sample of ranks (the feature of the report)."""
+    return top100(t).where(F.col("rank").isin(1, 5, 10, 25, 50, 61, 75, 100)).select("rank", "doc_id", "final_score")
+
+
+@query(
+    "q_pick_by_priority",
+    """SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY CASE role WHEN 'assistant' THEN 0 WHEN 'user' THEN 1 ELSE 2 END, length(text) DESC, turn) AS n FROM conversations) WHERE n = 1""",
+)
+def pick_by_priority(t):
+    """Best entry of each entity: source priority, then size, then order."""
+    p = F.when(F.col("role") == "assistant", 0).when(F.col("role") == "user", 1).otherwise(2)
+    best = F.min_by(F.struct("turn", "role"), F.struct(p.alias("p"), (-F.length("text")).alias("n"), F.col("turn")))
+    return t("conversations").groupBy("conv_id").agg(best.alias("b")).select("conv_id", "b.turn", "b.role")
+
+
+@query(
+    "q_monotone_check",
+    f"""SELECT rank, doc_id, CASE WHEN final_score > prev THEN 'score_increases' WHEN final_score = prev AND doc_id < prev_id THEN 'tie_order' ELSE 'ok' END AS status FROM (
+    SELECT *, lag(final_score) OVER (ORDER BY rank) AS prev, lag(doc_id) OVER (ORDER BY rank) AS prev_id FROM ({_TOP_SQL}))""",
+)
+def monotone_check(t):
+    """Score and tie order between neighbouring ranks of a list of a hundred."""
+    w = Window.orderBy("rank")
+    prev, prev_id = F.lag("final_score").over(w), F.lag("doc_id").over(w)
+    status = F.when(F.col("final_score") > prev, F.lit("score_increases")).when((F.col("final_score") == prev) & (F.col("doc_id") < prev_id), F.lit("tie_order")).otherwise(F.lit("ok"))
+    return top100(t).select("rank", "doc_id", status.alias("status"))
+
+
+@query(
+    "q_missing_ranks",
+    f"SELECT CAST(r AS BIGINT) AS rank FROM generate_series(1, 120) g(r) WHERE r NOT IN (SELECT rank FROM ({_TOP_SQL}))",
+)
+def missing_ranks(t):
+    """Expected ranks that a list lacks."""
+    top_ = top100(t)
+    return top_.sparkSession.range(1, 121).select(F.col("id").alias("rank")).join(top_.select("rank"), "rank", "left_anti")
+
+
+@query(
+    "q_cohort_counts",
+    f"""SELECT lang, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE final_score >= 95) AS BIGINT) AS high, CAST(count(*) FILTER (WHERE final_score < 95 AND final_score >= 80) AS BIGINT) AS middle,
+    CAST(count(*) FILTER (WHERE final_score < 80) AS BIGINT) AS low FROM ({_TOP_SQL}) GROUP BY lang""",
+)
+def cohort_counts(t):
+    """Cohort and band counts of the top list."""
+    s = F.col("final_score")
+    return top100(t).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(s >= 95).alias("high"), F.count_if((s < 95) & (s >= 80)).alias("middle"), F.count_if(s < 80).alias("low"))
+
+
+# -- generated text and its checks ------------------------------------------------------------------------------------
+
+_SENT = "list_filter(list_transform(string_split(regexp_replace(trim(text, E' \\n\\t\\r'), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, E' \\n\\t\\r')), lambda x: x <> '')"
+
+
+@query(
+    "q_sentence_stats",
+    f"""SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, CAST(length(coalesce(s[1], '')) AS BIGINT) AS first_chars,
+    array_to_string(string_split(trim(regexp_replace(lower(coalesce(s[1], '')), '[^a-z0-9]+', ' ', 'g')), ' ')[1:5], ' ') AS opening_key FROM (SELECT doc_id, {_SENT} AS s FROM documents)""",
+)
+def sentence_stats(t):
+    """Sentence count, first sentence and its opening words."""
+    s = C.sentences(F.regexp_replace("text", r"^\s+|\s+$", ""))
+    d = t("documents").select("doc_id", s.alias("s")).withColumn("f", F.coalesce(F.get("s", F.lit(0)), F.lit("")))
+    return d.select("doc_id", long(F.size("s")).alias("n_sentences"), long(F.length("f")).alias("first_chars"), C.opening_key(F.col("f")).alias("opening_key"))
+
+
+@query(
+    "q_sliding_openings",
+    """SELECT conv_id, turn, CAST(list_max(list_transform(k, lambda x: len(list_filter(k, lambda y: y = x)))) AS BIGINT) AS most_repeated FROM (
+    SELECT conv_id, turn, list(lower(left(text, 1))) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS k FROM conversations)""",
+)
+def sliding_openings(t):
+    """Most repeated opening within a window of five entries."""
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(0, 4)
+    c = t("conversations").select("conv_id", "turn", F.collect_list(F.lower(F.left("text", F.lit(1)))).over(w).alias("k"))
+    return c.select("conv_id", "turn", long(F.array_max(F.transform("k", lambda x: F.size(F.filter("k", lambda y: y == x))))).alias("most_repeated"))
+
+
+@query(
+    "q_lint_checks",
+    """SELECT failed, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(list_filter([CASE WHEN NOT regexp_matches(text, '[.!?]$') THEN 'missing_terminal_punctuation' END,
+    CASE WHEN regexp_matches(text, '^[a-z]') THEN 'lowercase_sentence_start' END, CASE WHEN len(string_split(text, ' ')) <= 4 THEN 'bare_fragment' END,
+    CASE WHEN regexp_matches(lower(text), '(^| )(and|of|to|with|for)[.!?]?$') THEN 'dangling_fragment' END, CASE WHEN NOT contains(lower(text), 'the') THEN 'missing_limitation' END], lambda x: x IS NOT NULL)) AS failed FROM conversations) GROUP BY failed""",
+)
+def lint_checks(t):
+    """Style checks as one array of names, counted by check."""
+    x, low = F.col("text"), F.lower("text")
+    checks = F.array_compact(
+        F.array(
+            F.when(~x.rlike(r"[.!?]\z"), F.lit("missing_terminal_punctuation")),
+            F.when(x.rlike("^[a-z]"), F.lit("lowercase_sentence_start")),
+            F.when(F.size(F.split(x, " ")) <= 4, F.lit("bare_fragment")),
+            F.when(low.rlike(r"(^| )(and|of|to|with|for)[.!?]?\z"), F.lit("dangling_fragment")),
+            F.when(~F.contains(low, F.lit("the")), F.lit("missing_limitation")),
+        )
+    )
+    return t("conversations").select(F.explode(checks).alias("failed")).groupBy("failed").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("q_duplicate_text", "SELECT sha256(text) AS text_hash, CAST(count(*) AS BIGINT) AS copies, min(doc_id) AS first_id FROM documents GROUP BY text HAVING count(*) > 1")
+def duplicate_text(t):
+    """Texts that occur more than once."""
+    d = t("documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_hash"))
+    return d.groupBy("text_hash").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
+
+
+@query("q_canonical_hash", "SELECT source, CAST(count(*) AS BIGINT) AS n, sha256('[' || string_agg('\"' || doc_id || '\"', ', ' ORDER BY CAST(doc_id AS VARCHAR)) || ']') AS checksum FROM documents GROUP BY source")
+def canonical_hash(t):
+    """Canonical hash of a sorted list of ids."""
+    ids = F.sort_array(F.collect_list(F.col("doc_id").cast("string")))
+    text = F.concat(F.lit("["), F.array_join(F.transform(ids, lambda i: F.concat(F.lit('"'), i, F.lit('"'))), ", "), F.lit("]"))
+    return t("documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sha2(text.cast("binary"), 256).alias("checksum"))
