@@ -44,7 +44,9 @@ LENGTH = 100
 #: The q of the initial buckets.
 GRAM = 24
 #: Bytes that are hashed at once, and rows that a task gathers before it sends.
-BLOCK, FLUSH = 2 << 20, 4_000_000
+BLOCK, FLUSH = 1 << 20, 4_000_000
+#: Parts of the second exchange for each one of the session's: refinement holds some tens of bytes for each byte.
+SPREAD = 4
 _POS = 24  # bits of a position within a block
 _LAST = (1 << 63) - 1  # the place of a null key
 _BASE = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F)
@@ -341,8 +343,11 @@ def _judge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield from _flag_batches(key[told], row[told], flag(off, n, kind, bucket)[told])
 
 
-def _send_open(length: int, parts: int):
-    """Contexts of the starts in open buckets, by bucket; in crowded ones, each start by the hash of its string."""
+def _send_open(length: int, parts: int, text_at: int):
+    """Contexts of the starts in open buckets, by bucket; in crowded ones, each start by the hash of its string.
+
+    Rows have key and row first, the text at ``text_at`` and the flags last.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
@@ -369,7 +374,7 @@ def _send_open(length: int, parts: int):
                 yield _blob_batch(out[i : i + 64])
 
         for b in batches:
-            for key, row, text, told in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), b.column(3), strict=True):
+            for key, row, text, told in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(text_at)), b.column(b.num_columns - 1), strict=True):
                 off, bucket, n, kind = unflag(told.values.to_numpy())
                 plain = kind == OPEN
                 for o, k, m in zip(off[plain].tolist(), bucket[plain].tolist(), n[plain].tolist(), strict=True):
@@ -439,17 +444,19 @@ def spans_of(flags: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nd
 def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(key, row, r): for each document with any, the flags of the starts whose string starts earlier elsewhere.
 
-    ``docs`` has columns key, row and text; ``row`` tells texts with one key apart.
+    ``docs`` has columns key, row and text; ``row`` tells texts with one key
+    apart. Its further columns only ride along, so that a later join of the
+    result with ``docs`` finds the same exchange of the texts and reuses it.
     """
     spark = prepare(docs.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     told = "key long, row int, r long"
-    dealt = docs.mapInArrow(_send_anchors(length, gram, parts), "part int, blob binary").repartitionById(parts, "part")
+    dealt = docs.select("key", "row", "text").mapInArrow(_send_anchors(length, gram, parts), "part int, blob binary").repartitionById(parts, "part")
     first = cut(dealt.mapInArrow(_judge_buckets, told).groupBy("key", "row").agg(F.collect_list("r").alias("r")))
     still = first.select("key", "row", F.filter("r", lambda x: x.bitwiseAND(F.lit(3)) > 0).alias("r")).where("size(r) > 0")
-    looked = docs.join(still.hint("shuffle_hash"), ["key", "row"]).select("key", "row", "text", "r")
-    again = looked.mapInArrow(_send_open(length, parts), "part int, blob binary").repartitionById(parts, "part")
-    second = cut(again.mapInArrow(_judge_open(length), told).groupBy("key", "row").agg(F.collect_list("r").alias("r")))
+    looked = docs.join(still.hint("shuffle_hash"), ["key", "row"])
+    again = looked.mapInArrow(_send_open(length, SPREAD * parts, docs.columns.index("text")), "part int, blob binary").repartitionById(SPREAD * parts, "part")
+    second = again.mapInArrow(_judge_open(length), told).groupBy("key", "row").agg(F.collect_list("r").alias("r"))
     done = first.select("key", "row", F.filter("r", lambda x: x.bitwiseAND(F.lit(3)) == 0).alias("r")).unionByName(second)
     return done.groupBy("key", "row").agg(F.flatten(F.collect_list("r")).alias("r")).where("size(r) > 0")
 
@@ -461,11 +468,11 @@ def remove_repeats(df: DataFrame, key: str, text: str, keep: list[str], finish,
     values of ``schema``'s further columns.
     """
     own = df.select(*[F.col(c) for c in keep], F.col(key).alias("__key"), F.col(text).alias("text"))
-    rows = own.select(*keep, F.coalesce(F.col("__key").cast("long"), F.lit(_LAST)).alias("key"), F.hash(F.coalesce("text", F.lit(""))).alias("row"), "text")
-    flags = repeated_starts(rows.select("key", "row", "text"), length)
-    n = len(keep)
+    rows = own.select(F.coalesce(F.col("__key").cast("long"), F.lit(_LAST)).alias("key"), F.hash(F.coalesce("text", F.lit(""))).alias("row"), *keep, "text")
+    flags = repeated_starts(rows, length)
+    n = len(keep) + 2
     none = np.zeros(0, np.int64)
-    joined = rows.join(flags.hint("shuffle_hash"), ["key", "row"], "left").select(*keep, "text", "r")
+    joined = rows.join(flags.hint("shuffle_hash"), ["key", "row"], "left")
     out = df.select(*keep).schema
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out] + [schema])
     made_schema = to_arrow_schema(StructType.fromDDL(schema))
@@ -476,7 +483,7 @@ def remove_repeats(df: DataFrame, key: str, text: str, keep: list[str], finish,
             made = []
             for t, r in zip(utf8(b.column(n)), b.column(n + 1), strict=True):
                 made.append(finish(t, *(spans_of(r.values.to_numpy(), length) if r.is_valid else (none, none))))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), *(pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True))], names=names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(2, n)), *(pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True))], names=names)
 
     return joined.mapInArrow(run, ddl)
 
