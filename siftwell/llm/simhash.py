@@ -59,10 +59,12 @@ def shingle_hashes(text: bytes, words: int = WORDS) -> list[int]:
 
 def majority(hashes: list[int]) -> int:
     """The 64-bit number whose bits are set in over half of ``hashes`` (none: zero)."""
-    if not hashes:
-        return 0
+    return majority_of(np.array(hashes, np.uint64)) if hashes else 0
+
+
+def majority_of(hashes: np.ndarray) -> int:
     n, ones = len(hashes), np.zeros(64, np.int64)
-    a = np.array(hashes, np.uint64).astype("<u8")
+    a = hashes.astype("<u8", copy=False)
     for i in range(0, n, 1 << 16):
         ones += np.unpackbits(a[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
@@ -219,3 +221,193 @@ def op6_simhash(spark, sf_dir: str) -> DataFrame:
     """One row per document: doc_id, its fingerprint in hex, and the smallest doc_id that links reach."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# -- by similarity ----------------------------------------------------------------------------------------------------
+#
+# For a similarity the fingerprint is wider (``WIDE`` words of 64 bits), blocks
+# are sets of bits drawn by rule, as many as a pair at the threshold needs to
+# share one with probability ``RECALL``, and what the Hamming check lets through
+# is held against a bottom-k sketch of the shingles, which is exact for texts of
+# up to ``SKETCH`` different shingles.
+
+WIDE = 4
+SKETCH = 256
+SIMILARITY = 0.8
+SIMILAR_WORDS = 5
+RECALL = 0.985
+#: Buckets of up to this many rows give all their close pairs, larger ones a spanning forest.
+SMALL = 32
+#: Hot buckets that are named in the plan, at most; more are joined by a shuffle.
+NAMED = 10_000
+
+
+def _expand(hashes: np.ndarray, word: int) -> np.ndarray:
+    x = hashes + np.uint64((word * 0x9E3779B97F4A7C15) & (2**64 - 1))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_print(hashes: list[int]) -> tuple[list[int], bytes]:
+    """(``WIDE`` signed words, bottom-k sketch) of a text's shingle hashes."""
+    if not hashes:
+        return [0] * WIDE, b""
+    a = np.array(hashes, np.uint64)
+    words = [majority_of(_expand(a, w)) if w else majority_of(a) for w in range(WIDE)]
+    own = np.unique((a >> np.uint64(32)).astype(np.uint32))[:SKETCH]
+    return [int(np.uint64(w).astype(np.int64)) for w in words], own.tobytes()
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    """Similarity of two shingle sets from their sketches."""
+    if a == b:
+        return 1.0
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    both = np.union1d(x, y)
+    if max(len(x), len(y)) >= SKETCH:
+        both = both[:SKETCH]
+    return float((np.isin(both, x) & np.isin(both, y)).sum() / max(1, len(both)))
+
+
+def differing_share(similarity: float) -> float:
+    """Share of differing bits to expect at a Jaccard similarity of equal-sized sets."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def bit_blocks(rows: int, similarity: float, recall: float = RECALL) -> list[list[int]]:
+    """Signed masks of every block. Longer blocks for more rows keep buckets small; more of them keep the recall."""
+    bits = min(28, max(12, int(rows).bit_length() - 1))
+    share = (1 - differing_share(similarity)) ** bits
+    count = int(np.ceil(np.log(1 - recall) / np.log(1 - share)))
+    rng = np.random.default_rng(64 * WIDE)
+    out = []
+    for _ in range(count):
+        mask = np.zeros(64 * WIDE, np.uint8)
+        mask[rng.permutation(64 * WIDE)[:bits]] = 1
+        out.append(np.packbits(mask, bitorder="little").view("<i8").tolist())
+    return out
+
+
+def most_bits(similarity: float) -> int:
+    """Differing bits that a pair at the threshold passes in all but a few of a thousand cases."""
+    p, n = differing_share(similarity), 64 * WIDE
+    return int(n * p + 2.5 * np.sqrt(n * p * (1 - p)))
+
+
+def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Close pairs (indices) within the runs of equal slots."""
+    edge = np.flatnonzero(slot[1:] != slot[:-1]) + 1
+    starts, stops = np.append(0, edge), np.append(edge, len(slot))
+    size = np.repeat(stops - starts, stops - starts)
+    left, right = [], []
+    small = size <= SMALL
+    for d in range(1, SMALL):
+        at = np.flatnonzero(small[:-d] & (slot[d:] == slot[:-d])) if d < len(slot) else np.zeros(0, np.int64)
+        if not len(at):
+            break
+        near = at[np.bitwise_count(bits[at] ^ bits[at + d]).sum(1) <= most]
+        left.append(near)
+        right.append(near + d)
+    for a, z in zip(starts[stops - starts > SMALL].tolist(), stops[stops - starts > SMALL].tolist(), strict=True):
+        open_ = np.arange(a, z)
+        while len(open_):
+            todo, open_ = [int(open_[0])], open_[1:]
+            while todo and len(open_):
+                i = todo.pop()
+                near = np.bitwise_count(bits[open_] ^ bits[i]).sum(1) <= most
+                if near.any():
+                    hits = open_[near]
+                    left.append(np.full(len(hits), i))
+                    right.append(hits)
+                    todo += hits.tolist()
+                    open_ = open_[~near]
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(left or none), np.concatenate(right or none)
+
+
+def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
+    """(a, b): candidate pairs of nodes (columns node, f0..) whose wide fingerprints are close.
+
+    A bucket of more than ``bucket`` rows is dealt anew in parts of about half
+    of that by node, and all its rows are also held against its first one, so no
+    task gathers it; what such a bucket's parts miss, the other blocks' parts find.
+    """
+    f = [f"f{i}" for i in range(WIDE)]
+    masks, most = bit_blocks(nodes.count(), similarity), most_bits(similarity)
+    slots = F.array(*[F.xxhash64(F.lit(c), *[F.col(x).bitwiseAND(F.lit(m)) for x, m in zip(f, block, strict=True)]) for c, block in enumerate(masks)])
+    keyed = nodes.select("node", *f, F.explode(slots).alias("slot"))
+    hot = cut(keyed.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket))
+    n_hot = hot.count()
+    near: list[DataFrame] = []
+    if n_hot:
+        keyed = keyed.join(F.broadcast(hot) if n_hot <= NAMED else hot, "slot", "left")
+        crowd = keyed.where("n is not null")
+        first = crowd.groupBy("slot").agg(F.min_by(F.struct("node", *f), "node").alias("first"))
+        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col("first")[x])) for x in f), F.lit(0))
+        led = crowd.join(F.broadcast(first) if n_hot <= NAMED else first, "slot")
+        near.append(led.where((apart <= most) & (F.col("node") != F.col("first")["node"])).select(F.col("first")["node"].alias("a"), F.col("node").alias("b")))
+        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") * 2 / bucket).cast("long"))
+        keyed = keyed.withColumn("slot", F.when(F.col("n").isNotNull(), F.xxhash64("slot", part)).otherwise(F.col("slot"))).drop("n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def emit(rows: np.ndarray) -> pa.RecordBatch | None:
+            i, j = _pairs(rows[:, 0], rows[:, 2:].view(np.uint64), most)
+            if not len(i):
+                return None
+            a, b = rows[i, 1], rows[j, 1]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        for b in batches:
+            rows = np.stack([b.column(k).to_numpy() for k in range(2 + WIDE)], 1)
+            rows = np.concatenate([*held, rows]) if held else rows
+            last = int(np.flatnonzero(rows[:, 0] != rows[-1, 0])[-1]) + 1 if (rows[:, 0] != rows[-1, 0]).any() else 0
+            held = [np.ascontiguousarray(rows[last:])]  # the last run may go on
+            if last and (out := emit(np.ascontiguousarray(rows[:last]))) is not None:
+                yield out
+        if held and (out := emit(held[0])) is not None:
+            yield out
+
+    near.append(keyed.select("slot", "node", *f).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "a long, b long"))
+    out = near[0]
+    for x in near[1:]:
+        out = out.unionByName(x)
+    return out.distinct()
+
+
+def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """(key, component_id) for every row: components of texts whose word shingles are at least so similar.
+
+    Texts with no word are alike. A null key joins a component but never names it.
+    """
+    prepare(df.sparkSession)
+    f = [f"f{i}" for i in range(WIDE)]
+    names = [key, *f, "sketch"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [wide_print(shingle_hashes(t, words)) for t in utf8(b.column(1))]
+            columns = [pa.array([m[0][i] for m in made], pa.int64()) for i in range(WIDE)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns, pa.array([m[1] for m in made], pa.binary())], names=names)
+
+    schema = f"`{key}` long, " + ", ".join(f"{x} long" for x in f) + ", sketch binary"
+    prints = df.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, schema)
+    prints = cut(prints.withColumn("print", F.sha2(F.concat_ws(":", F.hex("sketch"), *f).cast("binary"), 256)))
+    nodes = cut(prints.groupBy("print").agg(F.min(key).alias("least"), F.first("sketch").alias("sketch"), *[F.first(x).alias(x) for x in f]).withColumn("node", F.monotonically_increasing_id()))
+    candidates = similar_links(nodes.select("node", *f), similarity)
+    side = lambda n: nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"s{n}"))
+    both = candidates.join(side("a"), "a").join(side("b"), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [jaccard(x, y) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            mask = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], names=["a", "b"])
+
+    found = components(both.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"))
+    member = nodes.join(found, "node", "left").select("print", "least", F.coalesce("root", "node").alias("root"))
+    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.select(key, "print").join(member.join(named, "root").select("print", "component_id"), "print").select(key, "component_id")
