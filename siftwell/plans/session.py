@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from pathlib import Path
 
@@ -28,8 +29,19 @@ def local_session(app: str = "siftwell", cores: int | str = "*", **conf: str) ->
     return prepare(builder.getOrCreate())
 
 
+#: Rows and bytes of an Arrow batch: a worker and the JVM each hold a few batches at once, and texts make rows large.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package, whatever folder the driver was started in."""
+    """Let Python workers import this package, whatever folder the driver was started in, and bound their batches.
+
+    Batch sizes that the session was given smaller are left as they are.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        now = int(re.sub(r"\D", "", spark.conf.get(key)) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if REPO_ROOT not in paths:
