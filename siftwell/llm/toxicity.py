@@ -46,7 +46,6 @@ SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine t
 LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l", "+": "t"})
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…¿¡"
 _NOT_LETTER = re.compile(r"[\W\d_]+")
-FEATURES = 20
 
 
 def words_of(text: str) -> list[str]:
@@ -120,7 +119,7 @@ class Featurizer:
         upper = sum(map(str.isupper, text)) if len(text) < 400 else len(_UPPER.findall(text))
         marks = len(_MARKS.findall(text))
         return [
-            math.log1p(n), math.log1p(len(text)), len(odds), len(odds) / max(1, n), max(odds, default=0.0), min(sum(odds), 200.0),
+            len(odds), len(odds) / max(1, n), max(odds, default=0.0), min(sum(odds), 200.0),
             len(stems), len(stems) / max(1, n), max(stems, default=0.0), min(sum(stems), 200.0), hidden, hidden / max(1, n),
             1 / (1 + near), len(you) / max(1, n), upper / chars, marks / chars, text.count("!") / chars, len(_RUNS.findall(text)) / chars, digits / max(1, n), len(set(at)) / max(1, n),
         ]
@@ -191,11 +190,10 @@ def raw_scores(model: Model, x: np.ndarray) -> np.ndarray:
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators; (knots, values) for linear interpolation, values within 0.001 and 0.999."""
     blocks: list[list[float]] = []  # sum of labels, rows, first score, last score
-    for s, v in sorted(zip(score.tolist(), y.tolist(), strict=True)):
-        blocks.append([v, 1, s, s])
-        if len(blocks) > 1 and blocks[-2][3] == s:  # ties are one block
-            a = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + a[0], blocks[-1][1] + a[1], blocks[-1][2], s]
+    scores, place = np.unique(score, return_inverse=True)  # ties are one block
+    sums, counts = np.bincount(place, y), np.bincount(place)
+    for s, v, n in zip(scores.tolist(), sums.tolist(), counts.tolist(), strict=True):
+        blocks.append([v, n, s, s])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             a = blocks.pop()
             blocks[-1] = [blocks[-1][0] + a[0], blocks[-1][1] + a[1], blocks[-1][2], a[3]]
