@@ -20,6 +20,7 @@ last. Lone rows are their own next document.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -188,21 +189,26 @@ def neighbours(df: DataFrame, key: str, text: str, parts: int) -> DataFrame:
     ids = src.select(key)
     cuts = ids.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10000)).head()[0] if parts > 1 else []
     cuts = sorted(set(cuts or []), reverse=True)
-    # Part 0 has the largest keys; nulls come last.
+    # Part 0 has the largest keys; nulls come last. The place among the cuts is found in two steps of about their root.
     own = F.lit(0)
     if cuts:
-        own = F.when(F.col(key).isNull(), F.lit(len(cuts))).otherwise(F.size(F.filter(F.lit(cuts), lambda c: F.col(key) < c)))
+        step = math.isqrt(len(cuts)) + 1
+        below = lambda bounds: F.size(F.filter(bounds, lambda c: F.col(key) < c))
+        coarse = cuts[step - 1 :: step]
+        first = (below(F.lit(coarse)) if coarse else F.lit(0)) * step
+        own = F.when(F.col(key).isNull(), F.lit(len(cuts))).otherwise(first + below(F.slice(F.lit(cuts), first + 1, F.lit(step))))
     placed = src.withColumn("part", own.cast("int"))
     tops = {r["part"]: r["top"] for r in placed.groupBy("part").agg(F.max(key).alias("top")).collect()}
     full = sorted(tops)
     # The first row of a part is also sent, as a guest, to the part before it; the first of all to the last part.
-    guests = {tops[p]: full[i - 1] for i, p in enumerate(full)}
-    named = {k: v for k, v in guests.items() if k is not None}
-    lookup = F.element_at(F.create_map(*[F.lit(x) for kv in named.items() for x in kv]), F.col(key)) if named else F.lit(None).cast("int")
-    lookup = F.when(F.col(key).isNull(), F.lit(guests.get(None)).cast("int")).otherwise(lookup)
+    before = {p: full[i - 1] for i, p in enumerate(full)}
+    parts = len(cuts) + 1
+    top = F.get(F.array(*[F.lit(tops.get(p)).cast("long") for p in range(parts)]), F.col("part"))
+    ahead = F.get(F.array(*[F.lit(before.get(p)).cast("int") for p in range(parts)]), F.col("part"))
+    lookup = F.when(F.col(key).eqNullSafe(top), ahead)
     copies = F.array_compact(F.array(F.struct("part", F.lit(False).alias("guest")), F.when(lookup.isNotNull(), F.struct(lookup.alias("part"), F.lit(True).alias("guest")))))
     dealt = placed.withColumn("at", F.explode(copies)).select(key, text, "at.part", "at.guest")
-    return dealt.repartitionById(max(1, len(cuts) + 1), "part").sortWithinPartitions("part", "guest", F.desc_nulls_last(key), text)
+    return dealt.repartitionById(parts, "part").sortWithinPartitions("part", "guest", F.desc_nulls_last(key), text)
 
 
 def op1_schema(key: str) -> str:

@@ -467,10 +467,10 @@ def remove_repeats(df: DataFrame, key: str, text: str, keep: list[str], finish,
     ``starts`` and ``ends`` are the maximal runs to remove; ``finish`` gives the
     values of ``schema``'s further columns.
     """
-    own = df.select(*[F.col(c) for c in keep], F.col(key).alias("__key"), F.col(text).alias("text"))
-    rows = own.select(F.coalesce(F.col("__key").cast("long"), F.lit(_LAST)).alias("key"), F.hash(F.coalesce("text", F.lit(""))).alias("row"), *keep, "text")
+    ride = [F.col(c).alias(f"keep{i}") for i, c in enumerate(keep)]  # other names, as the kept columns may be called as those here
+    rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("key"), F.hash(F.coalesce(F.col(text), F.lit(""))).alias("row"), *ride, F.col(text).alias("text"))
     flags = repeated_starts(rows, length)
-    n = len(keep) + 2
+    n = len(keep) + 2  # key and row come first
     none = np.zeros(0, np.int64)
     joined = rows.join(flags.hint("shuffle_hash"), ["key", "row"], "left")
     out = df.select(*keep).schema
