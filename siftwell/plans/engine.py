@@ -1,8 +1,8 @@
 """The ranking runs: baseline and evidence-based, over JSON lines of candidate records.
 
 Each stage's result is a table below the run folder; everything within a stage
-is one lazy plan. Parsed records are read from the input once, into the
-normalized table, which carries the nested context columns too.
+is one lazy plan. The input's JSON is parsed once, by the audit; the normalized
+table carries the nested context columns too.
 """
 
 from __future__ import annotations
@@ -58,7 +58,8 @@ class Engine:
 
     def audit(self, source: str, malformed_threshold: int, allow_duplicates: bool = False) -> None:
         def work():
-            records, issues, stats = candidates.scan(self.spark, source, malformed_threshold)
+            parsed = sinks.write_table(candidates.parse(candidates.read_lines(self.spark, source)), self.path("audit/parsed"), ["candidate_id"])
+            records, issues, stats = candidates.check(parsed, malformed_threshold)
             columns = ["file", "row_num", "candidate_id", "type", "severity"]
             none = F.lit(None).cast("string")
             fired = audit.issue_rows(records, self.reference).select(*columns, "reason", none.alias("field"))
@@ -70,7 +71,7 @@ class Engine:
             out.append(sinks.write_text(self.path("audit/audit_summary.md"), report("Audit", {**stats, **profile["issue_counts"]})))
             if stats["duplicate"] and not allow_duplicates:
                 raise DuplicateCandidates(f"{stats['duplicate']} rows repeat a candidate id")
-            return [self.path("audit/issues"), *out], stats
+            return [self.path("audit/parsed"), self.path("audit/issues"), *out], stats
 
         self._stage("audit", (), work)
 
@@ -78,7 +79,8 @@ class Engine:
         """The normalized table. Both processing modes are one plan: partitions stand for chunks."""
 
         def work():
-            parsed = candidates.parse(candidates.read_lines(self.spark, source))
+            audited = "audit" in self.runner.stages.state["stages"]
+            parsed = self.table("audit/parsed") if audited else candidates.parse(candidates.read_lines(self.spark, source))
             rows = normalize.normalized(candidates.valid_records(parsed), self.reference)
             table = sinks.write_table(rows.drop("file", "row_num"), self.path("normalized/candidates"), normalize.FLAT)
             n = table.count()

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import resource
+import subprocess
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +15,15 @@ from pyspark.sql import functions as F
 from siftwell.config import load
 from siftwell.functions import columns as C
 from siftwell.operators import audit as rules
-from siftwell.operators import normalize, scoring, semantic
+from siftwell.operators import normalize, scoring, semantic, submission
 from siftwell.plans import lifecycle
-from siftwell.sources import candidates
+from siftwell.sources import candidates, sinks
 
 #: command: positional arguments
 COMMANDS = {
     "audit": ["candidates"], "inspect-top": ["run_dir"], "cohorts": ["run_dir"], "compare": ["before", "after"], "build-semantic": ["candidates", "run_dir"],
     "inspect-run": ["run_dir"], "timings": ["run_dir"], "same-output": ["run_dir", "other_dir"], "changes": ["current", "earlier"],
+    "invariance": ["run_dir", "other_dir"], "export-release": ["run_dir", "target"],
 }
 RUNTIME_GATES = ((240.0, "PASS"), (270.0, "WARNING"))
 SUBMISSION = "candidate_id string, rank int, score double, reasoning string"
@@ -117,3 +120,51 @@ def same_output(spark: SparkSession, run_dir: str, other_dir: str) -> dict:
         "only_second": y.exceptAll(x).count(),
         "same_submission": bool(files[0]) and [f.read_bytes() for f in files[0]] == [f.read_bytes() for f in files[1]],
     }
+
+
+def measured(command: Sequence[str]) -> dict:
+    """Run a command as a child: exit code, wall seconds, gate and the largest memory of any child in MB."""
+    began = time.perf_counter()
+    code = subprocess.run(list(command), check=False).returncode
+    took = time.perf_counter() - began
+    peak = resource.getrusage(resource.RUSAGE_CHILDREN).ru_maxrss / 1024
+    return {"exit_code": code, "seconds": round(took, 3), "status": runtime_status(took) if code == 0 else "BLOCKED", "peak_memory_mb": round(peak, 1)}
+
+
+def _submission_of(run_dir: str) -> Path | None:
+    return next(iter(sorted(Path(run_dir, "submission").glob("*.csv"))), None)
+
+
+def invariance(spark: SparkSession, run_dir: str, other_dir: str, resume_seconds: float | None = None) -> dict:
+    """Whether a run still gives what another gave: scores as rows, submission bytes, changed rows, timings and gates."""
+    here, there = _submission_of(run_dir), _submission_of(other_dir)
+    quality = Path(run_dir, "reports", "reasoning_quality.json")
+    return {
+        **same_output(spark, run_dir, other_dir),
+        "submission_sha256": {"run": here and lifecycle.path_hash(here), "other": there and lifecycle.path_hash(there)},
+        "changed_rows": changes(spark, str(here), str(there)) if here and there else None,
+        "submission_problems": submission.problems(here) if here else ["no submission"],
+        "explanations": json.loads(quality.read_text())["explanation_quality_status"] if quality.exists() else None,
+        "timings": timings(spark, run_dir),
+        "resume_seconds": resume_seconds,
+    }
+
+
+def export_release(spark: SparkSession, run_dir: str, target: str) -> dict:
+    """Copy a run's valid submission, manifest and reports to a folder, with a hash beside each and the validator's result."""
+    source = _submission_of(run_dir)
+    if source is None:
+        raise sinks.SinkError(f"{run_dir} has no submission")
+    submission.require_valid(source)
+    out = Path(target)
+    files = [source, Path(run_dir, "manifest.json"), *sorted(Path(run_dir, "reports").glob("*"))]
+    hashes = {}
+    for f in files:
+        sinks.copy(f, out / f.name)
+        hashes[f.name] = lifecycle.path_hash(out / f.name)
+        sinks.write_text(out / f"{f.name}.sha256", f"{hashes[f.name]}  {f.name}\n")
+    sinks.write_text(out / "validator.txt", "valid\n")
+    manifest = {"files": hashes, "rows": submission.LIMIT, "timings": timings(spark, run_dir)}
+    sinks.write_json(out / "release_manifest.json", manifest)
+    sinks.write_text(out / "release_manifest.md", "# Release\n\n" + "".join(f"- {k}: {v}\n" for k, v in hashes.items()))
+    return manifest

@@ -89,16 +89,20 @@ class MalformedInput(ValueError):
     """More malformed lines than the threshold allows."""
 
 
-def scan(spark: SparkSession, path: str, malformed_threshold: int = 10000) -> tuple[DataFrame, DataFrame, dict[str, int]]:
-    """(valid records, issues, counters); raises where malformed lines pass the threshold."""
-    parsed = parse(read_lines(spark, path))
-    issues = shape_issues(parsed).unionByName(duplicates(parsed))
+def check(parsed: DataFrame, malformed_threshold: int = 10000) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(valid records, issues, counters) of parsed rows, which are read more than once; raises where malformed lines pass the threshold."""
+    copies = duplicates(parsed)
     counts = parsed.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("keys").isNull()).alias("malformed"), F.count_if(is_valid()).alias("shaped")).head()
-    stats = {"total": counts["total"], "malformed": counts["malformed"], "invalid": counts["total"] - counts["shaped"], "duplicate": duplicates(parsed).count()}
+    if counts["malformed"] > malformed_threshold:
+        raise MalformedInput(f"{counts['malformed']} malformed lines pass the threshold of {malformed_threshold}")
+    stats = {"total": counts["total"], "malformed": counts["malformed"], "invalid": counts["total"] - counts["shaped"], "duplicate": copies.count()}
     stats["valid"] = counts["shaped"] - stats["duplicate"]
-    if stats["malformed"] > malformed_threshold:
-        raise MalformedInput(f"{stats['malformed']} malformed lines pass the threshold of {malformed_threshold}")
-    return valid_records(parsed), issues, stats
+    return valid_records(parsed), shape_issues(parsed).unionByName(copies), stats
+
+
+def scan(spark: SparkSession, path: str, malformed_threshold: int = 10000) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """``check`` of a file's lines."""
+    return check(parse(read_lines(spark, path)), malformed_threshold)
 
 
 # -- uploads of up to a hundred records -------------------------------------------------------------------------------

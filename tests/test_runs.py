@@ -69,6 +69,16 @@ def test_baseline_and_comparison(spark, done, tmp_path):
     assert len(tools.changes(spark, str(d / "out.csv"), str(tmp_path / "base.csv"))) == 20
 
 
+def test_release_and_invariance(spark, done, tmp_path):
+    d, _ = done
+    r = tools.invariance(spark, str(d / "run"), str(d / "run"))
+    assert r["same_submission"] and r["changed_rows"] == [] and r["submission_problems"] == [] and r["explanations"] == "PASS"
+    m = tools.export_release(spark, str(d / "run"), str(tmp_path / "release"))
+    assert "submission.csv" in m["files"] and (tmp_path / "release/submission.csv").read_bytes() == (d / "out.csv").read_bytes()
+    assert (tmp_path / "release/validator.txt").read_text() == "valid\n"
+    assert tools.measured(["true"])["exit_code"] == 0 and tools.runtime_status(250) == "WARNING" and tools.runtime_status(271) == "BLOCKED"
+
+
 def test_gates(spark, tmp_path):
     two = R.write(tmp_path / "two.jsonl", R.varied(2))
     with pytest.raises(TooFewCandidates):
