@@ -36,8 +36,8 @@ def resolve(run_dir: str | Path, config: Config) -> tuple[Path, Path]:
 
 
 def build(flat: DataFrame, run_dir: str | Path, config: Config, dataset_hash: str) -> DataFrame:
-    """Lexical proxy scores of every candidate, with their manifest."""
-    artifact, manifest = resolve(run_dir, config)
+    """Lexical proxy scores of every candidate, with their manifest; relative paths are below the run."""
+    artifact, manifest = (Path(run_dir) / config["semantic"][k] for k in ("artifact_path", "manifest_path"))
     artifact.parent.mkdir(parents=True, exist_ok=True)
     scores = flat.select("candidate_id", C.r6(C.lexical_share(F.col("combined_candidate_text"), V.SEMANTIC_TERMS)).alias("semantic_score"))
     table = sinks.write_table(scores, str(artifact), ["candidate_id", "semantic_score"])

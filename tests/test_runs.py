@@ -74,7 +74,7 @@ def test_release_and_invariance(spark, done, tmp_path):
     r = tools.invariance(spark, str(d / "run"), str(d / "run"))
     assert r["same_submission"] and r["changed_rows"] == [] and r["submission_problems"] == [] and r["explanations"] == "PASS"
     m = tools.export_release(spark, str(d / "run"), str(tmp_path / "release"))
-    assert "submission.csv" in m["files"] and (tmp_path / "release/submission.csv").read_bytes() == (d / "out.csv").read_bytes()
+    assert "submission.csv" in m["files"] and (tmp_path / "release/submission.csv").read_bytes() == (d / "run/submission/submission.csv").read_bytes()
     assert (tmp_path / "release/validator.txt").read_text() == "valid\n"
     assert tools.measured(["true"])["exit_code"] == 0 and tools.runtime_status(250) == "WARNING" and tools.runtime_status(271) == "BLOCKED"
 
@@ -96,7 +96,8 @@ def test_upload(spark, tmp_path):
     assert r["rows"][0]["evidence"] and "open_to_work_component" in r["rows"][0]["components"]
 
 
-def test_semantic_gate(spark, done, tmp_path):
+def test_semantic_gate(spark, done, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
     from siftwell.operators import semantic
     from siftwell.plans import lifecycle
 
