@@ -232,12 +232,14 @@ def op6_simhash(spark, sf_dir: str) -> DataFrame:
 # up to ``SKETCH`` different shingles.
 
 WIDE = 4
+#: Words of it that travel with a row for the check within a bucket.
+CARRIED = 2
 SKETCH = 256
 SIMILARITY = 0.8
 SIMILAR_WORDS = 5
 RECALL = 0.985
 #: Buckets of up to this many rows give all their close pairs, larger ones a spanning forest.
-SMALL = 32
+SMALL = 8
 #: Hot buckets that are named in the plan, at most; more are joined by a shuffle.
 NAMED = 10_000
 
@@ -290,9 +292,9 @@ def bit_blocks(rows: int, similarity: float, recall: float = RECALL) -> list[lis
 
 
 def most_bits(similarity: float) -> int:
-    """Differing bits that a pair at the threshold passes in all but a few of a thousand cases."""
-    p, n = differing_share(similarity), 64 * WIDE
-    return int(n * p + 2.5 * np.sqrt(n * p * (1 - p)))
+    """Differing bits of the carried words that a pair at the threshold passes in all but a few of a thousand cases."""
+    p, n = differing_share(similarity), 64 * CARRIED
+    return int(n * p + 2.75 * np.sqrt(n * p * (1 - p)))
 
 
 def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -326,6 +328,24 @@ def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, n
     return np.concatenate(left or none), np.concatenate(right or none)
 
 
+def crowded_slots(slots: DataFrame, tasks: int, bucket: int) -> DataFrame:
+    """(slot, n): every slot of more than ``bucket`` rows, and some of over half of that; n is at most half a bucket too low.
+
+    A task tells only slots that it has often enough for such a total, so that
+    nearly nothing is shuffled.
+    """
+    least = max(1, bucket // (2 * max(1, tasks)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b.column(0).to_numpy() for b in batches]
+        if parts:
+            own, n = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own[n >= least]), pa.array(n[n >= least])], names=["slot", "n"])
+
+    told = slots.mapInArrow(run, "slot long, n long")
+    return told.groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > bucket // 2)
+
+
 def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
     """(a, b): candidate pairs of nodes (columns node, f0..) whose wide fingerprints are close.
 
@@ -333,18 +353,18 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
     of that by node, and all its rows are also held against its first one, so no
     task gathers it; what such a bucket's parts miss, the other blocks' parts find.
     """
-    f = [f"f{i}" for i in range(WIDE)]
+    f, carried = [f"f{i}" for i in range(WIDE)], [f"f{i}" for i in range(CARRIED)]
     masks, most = bit_blocks(nodes.count(), similarity), most_bits(similarity)
     slots = F.array(*[F.xxhash64(F.lit(c), *[F.col(x).bitwiseAND(F.lit(m)) for x, m in zip(f, block, strict=True)]) for c, block in enumerate(masks)])
-    keyed = nodes.select("node", *f, F.explode(slots).alias("slot"))
-    hot = cut(keyed.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket))
+    keyed = nodes.select("node", *carried, F.explode(slots).alias("slot"))
+    hot = cut(crowded_slots(keyed.select("slot"), nodes.rdd.getNumPartitions(), bucket))
     n_hot = hot.count()
     near: list[DataFrame] = []
     if n_hot:
         keyed = keyed.join(F.broadcast(hot) if n_hot <= NAMED else hot, "slot", "left")
         crowd = keyed.where("n is not null")
-        first = crowd.groupBy("slot").agg(F.min_by(F.struct("node", *f), "node").alias("first"))
-        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col("first")[x])) for x in f), F.lit(0))
+        first = crowd.groupBy("slot").agg(F.min_by(F.struct("node", *carried), "node").alias("first"))
+        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col("first")[x])) for x in carried), F.lit(0))
         led = crowd.join(F.broadcast(first) if n_hot <= NAMED else first, "slot")
         near.append(led.where((apart <= most) & (F.col("node") != F.col("first")["node"])).select(F.col("first")["node"].alias("a"), F.col("node").alias("b")))
         part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") * 2 / bucket).cast("long"))
@@ -362,7 +382,7 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
         for b in batches:
-            rows = np.stack([b.column(k).to_numpy() for k in range(2 + WIDE)], 1)
+            rows = np.stack([b.column(k).to_numpy() for k in range(2 + CARRIED)], 1)
             rows = np.concatenate([*held, rows]) if held else rows
             last = int(np.flatnonzero(rows[:, 0] != rows[-1, 0])[-1]) + 1 if (rows[:, 0] != rows[-1, 0]).any() else 0
             held = [np.ascontiguousarray(rows[last:])]  # the last run may go on
@@ -371,7 +391,7 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
         if held and (out := emit(held[0])) is not None:
             yield out
 
-    near.append(keyed.select("slot", "node", *f).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "a long, b long"))
+    near.append(keyed.select("slot", "node", *carried).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "a long, b long"))
     out = near[0]
     for x in near[1:]:
         out = out.unionByName(x)
