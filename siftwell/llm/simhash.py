@@ -238,7 +238,7 @@ SKETCH = 256
 SIMILARITY = 0.8
 SIMILAR_WORDS = 5
 RECALL = 0.985
-#: Buckets of up to this many rows give all their close pairs, larger ones a spanning forest.
+#: Buckets of up to this many rows give all their close pairs, larger ones a spanning forest of the links that hold.
 SMALL = 8
 #: Hot buckets that are named in the plan, at most; more are joined by a shuffle.
 NAMED = 10_000
@@ -297,12 +297,12 @@ def most_bits(similarity: float) -> int:
     return int(n * p + 2.75 * np.sqrt(n * p * (1 - p)))
 
 
-def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Close pairs (indices) within the runs of equal slots."""
+def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Close pairs (two index arrays) within the runs of up to ``SMALL`` equal slots; the rows of larger runs that have a close one."""
     edge = np.flatnonzero(slot[1:] != slot[:-1]) + 1
     starts, stops = np.append(0, edge), np.append(edge, len(slot))
     size = np.repeat(stops - starts, stops - starts)
-    left, right = [], []
+    left, right, met = [], [], []
     small = size <= SMALL
     for d in range(1, SMALL):
         at = np.flatnonzero(small[:-d] & (slot[d:] == slot[:-d])) if d < len(slot) else np.zeros(0, np.int64)
@@ -312,20 +312,42 @@ def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, n
         left.append(near)
         right.append(near + d)
     for a, z in zip(starts[stops - starts > SMALL].tolist(), stops[stops - starts > SMALL].tolist(), strict=True):
-        open_ = np.arange(a, z)
-        while len(open_):
-            todo, open_ = [int(open_[0])], open_[1:]
-            while todo and len(open_):
-                i = todo.pop()
-                near = np.bitwise_count(bits[open_] ^ bits[i]).sum(1) <= most
-                if near.any():
-                    hits = open_[near]
-                    left.append(np.full(len(hits), i))
-                    right.append(hits)
-                    todo += hits.tolist()
-                    open_ = open_[~near]
+        for i in range(a, z, 256):
+            own = bits[i : min(i + 256, z)]
+            apart = sum(np.bitwise_count(own[:, None, w] ^ bits[None, a:z, w]).astype(np.int16) for w in range(bits.shape[1]))
+            met.append(i + np.flatnonzero((apart <= most).sum(1) > 1))  # a row is close to itself
     none = [np.zeros(0, np.int64)]
-    return np.concatenate(left or none), np.concatenate(right or none)
+    return np.concatenate(left or none), np.concatenate(right or none), np.concatenate(met or none)
+
+
+def verified_forest(bits: np.ndarray, sketches: list[bytes], most: int, similarity: float) -> list[tuple[int, int]]:
+    """Pairs (i, j) of one bucket that connect what its similar pairs connect; only a link that holds takes a row.
+
+    Every two rows that no such links join are compared.
+    """
+    sets = [np.frombuffer(x, np.uint32) for x in sketches]
+    size = np.array([len(x) for x in sets])
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(size)
+    mark = np.zeros(int(ids.max(initial=0)) + 1, bool)
+    out: list[tuple[int, int]] = []
+    open_ = np.arange(len(sets))
+    while len(open_):
+        todo, open_ = [int(open_[0])], open_[1:]
+        while todo and len(open_):
+            i = todo.pop()
+            near = open_[np.bitwise_count(bits[open_] ^ bits[i]).sum(1) <= most]
+            mark[ids[ends[i] - size[i] : ends[i]]] = True
+            held = np.array([mark[ids[ends[j] - size[j] : ends[j]]].sum() for j in near.tolist()], np.int64)
+            mark[ids[ends[i] - size[i] : ends[i]]] = False
+            # Of sketches that are whole this is the similarity, of others no less than its estimate.
+            most_alike = np.where(np.maximum(size[near], size[i]) < SKETCH, held / np.maximum(1, size[near] + size[i] - held), held / SKETCH)
+            hits = [j for j in near[(most_alike >= similarity) | (size[near] + size[i] == 0)].tolist() if jaccard(sketches[i], sketches[j]) >= similarity]
+            if hits:
+                out += [(i, j) for j in hits]
+                todo += hits
+                open_ = open_[~np.isin(open_, hits)]
+    return out
 
 
 def crowded_slots(slots: DataFrame, tasks: int, bucket: int) -> DataFrame:
@@ -347,7 +369,11 @@ def crowded_slots(slots: DataFrame, tasks: int, bucket: int) -> DataFrame:
 
 
 def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): candidate pairs of nodes (columns node, f0..) whose wide fingerprints are close.
+    """(a, b): candidate pairs of nodes (columns node, f0.., sketch) whose wide fingerprints are close.
+
+    Buckets of up to ``SMALL`` rows give all their close pairs. Of larger ones,
+    the rows that have a close one are met again with their sketches, and give a
+    spanning forest of the links that hold.
 
     A bucket of more than ``bucket`` rows is dealt anew in parts of about half
     of that by node, and all its rows are also held against its first one, so no
@@ -374,12 +400,14 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
         held: list[np.ndarray] = []
 
         def emit(rows: np.ndarray) -> pa.RecordBatch | None:
-            i, j = _pairs(rows[:, 0], rows[:, 2:].view(np.uint64), most)
-            if not len(i):
+            i, j, again = _pairs(rows[:, 0], rows[:, 2:].view(np.uint64), most)
+            if not len(i) + len(again):
                 return None
             a, b = rows[i, 1], rows[j, 1]
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            slot = pa.array([None] * len(pairs) + rows[again, 0].tolist(), pa.int64())
+            b = pa.array(pairs[:, 1].tolist() + [None] * len(again), pa.int64())
+            return pa.RecordBatch.from_arrays([slot, pa.array(np.append(pairs[:, 0], rows[again, 1])), b], names=["slot", "a", "b"])
 
         for b in batches:
             rows = np.stack([b.column(k).to_numpy() for k in range(2 + CARRIED)], 1)
@@ -391,7 +419,34 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
         if held and (out := emit(held[0])) is not None:
             yield out
 
-    near.append(keyed.select("slot", "node", *carried).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "a long, b long"))
+    # A row without slot is a pair, one without b a node of a large bucket.
+    met = cut(keyed.select("slot", "node", *carried).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "slot long, a long, b long"))
+    near.append(met.where("slot is null").select("a", "b").distinct())
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def emit(rows: pa.Table) -> pa.RecordBatch:
+            bits = np.stack([rows.column(2 + k).to_numpy() for k in range(CARRIED)], 1).view(np.uint64)
+            node = rows.column(1).to_pylist()
+            pairs = verified_forest(bits, rows.column(2 + CARRIED).to_pylist(), most, similarity)
+            ordered = [(min(node[i], node[j]), max(node[i], node[j])) for i, j in pairs]
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in ordered], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for b in batches:
+            slot = b.column(0).to_numpy()
+            edge = [0, *(np.flatnonzero(slot[1:] != slot[:-1]) + 1).tolist(), len(slot)]
+            for x, y in zip(edge, edge[1:], strict=False):
+                if x < y:
+                    if held and held[0].column(0)[0].as_py() != slot[x]:
+                        yield emit(pa.Table.from_batches(held))
+                        held = []
+                    held.append(b.slice(x, y - x))
+        if held:
+            yield emit(pa.Table.from_batches(held))
+
+    large = met.where("slot is not null").select("slot", F.col("a").alias("node")).join(nodes.select("node", *carried, "sketch"), "node")
+    near.append(large.select("slot", "node", *carried, "sketch").repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(link, "a long, b long"))
     out = near[0]
     for x in near[1:]:
         out = out.unionByName(x)
@@ -417,7 +472,7 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     prints = df.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, schema)
     prints = cut(prints.withColumn("print", F.sha2(F.concat_ws(":", F.hex("sketch"), *f).cast("binary"), 256)))
     nodes = cut(prints.groupBy("print").agg(F.min(key).alias("least"), F.first("sketch").alias("sketch"), *[F.first(x).alias(x) for x in f]).withColumn("node", F.monotonically_increasing_id()))
-    candidates = similar_links(nodes.select("node", *f), similarity)
+    candidates = similar_links(nodes.select("node", *f, "sketch"), similarity)
     side = lambda n: nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"s{n}"))
     both = candidates.join(side("a"), "a").join(side("b"), "b")
 

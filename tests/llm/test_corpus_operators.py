@@ -323,6 +323,33 @@ def test_similar_documents(spark, monkeypatch, bucket):
     assert all(got[i] == first[g] for i, g in enumerate(group)) and got[900] == got[901] == 900
 
 
+def template_crowd(rng: random.Random, pairs: int, loners: int) -> tuple[list[tuple[int, str]], list[tuple[int, int]]]:
+    """Texts of which any two share about 65 % of their shingles, and the pairs among them that are over 0.8 similar."""
+    template, docs, true = K.prose(rng, 190), [], []
+    for i in range(pairs + loners):
+        own = f"{template} {K.prose(rng, 45)}"
+        docs.append((len(docs), own))
+        if i < pairs:
+            true.append((len(docs) - 1, len(docs)))
+            docs.append((len(docs), K.near_copy(own, rng)))
+    return docs, true
+
+
+def similarity_of(a: str, b: str) -> float:
+    x, y = (set(simhash.shingle_hashes(t.encode(), 5)) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_a_crowd_of_templates_keeps_its_near_copies(spark):
+    docs, true = template_crowd(random.Random(3), 150, 100)
+    text = dict(docs)
+    assert all(similarity_of(text[a], text[b]) >= 0.8 for a, b in true) and 0.55 < similarity_of(text[0], text[true[1][0]]) < 0.75
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    least = {b: a for a, b in true}
+    assert all(got[i] == i for i in got if i not in least)
+    assert sum(got[b] == a for b, a in least.items()) >= 0.99 * len(true)
+
+
 # 7 -------------------------------------------------------------------------------------------------------------------
 
 
