@@ -375,9 +375,9 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
     the rows that have a close one are met again with their sketches, and give a
     spanning forest of the links that hold.
 
-    A bucket of more than ``bucket`` rows is dealt anew in parts of about half
-    of that by node, and all its rows are also held against its first one, so no
-    task gathers it; what such a bucket's parts miss, the other blocks' parts find.
+    A bucket of more than ``bucket`` rows is dealt anew in parts of about half of
+    that, and every two parts are met in one task, so no task gathers it and no
+    pair of it is left out; its rows are copied once for each other part.
     """
     f, carried = [f"f{i}" for i in range(WIDE)], [f"f{i}" for i in range(CARRIED)]
     masks, most = bit_blocks(nodes.count(), similarity), most_bits(similarity)
@@ -385,16 +385,14 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
     keyed = nodes.select("node", *carried, F.explode(slots).alias("slot"))
     hot = cut(crowded_slots(keyed.select("slot"), nodes.rdd.getNumPartitions(), bucket))
     n_hot = hot.count()
-    near: list[DataFrame] = []
     if n_hot:
         keyed = keyed.join(F.broadcast(hot) if n_hot <= NAMED else hot, "slot", "left")
-        crowd = keyed.where("n is not null")
-        first = crowd.groupBy("slot").agg(F.min_by(F.struct("node", *carried), "node").alias("first"))
-        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col("first")[x])) for x in carried), F.lit(0))
-        led = crowd.join(F.broadcast(first) if n_hot <= NAMED else first, "slot")
-        near.append(led.where((apart <= most) & (F.col("node") != F.col("first")["node"])).select(F.col("first")["node"].alias("a"), F.col("node").alias("b")))
-        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") * 2 / bucket).cast("long"))
-        keyed = keyed.withColumn("slot", F.when(F.col("n").isNotNull(), F.xxhash64("slot", part)).otherwise(F.col("slot"))).drop("n")
+        parts = F.ceil(F.col("n") * 2 / bucket).cast("long")
+        keyed = keyed.withColumn("parts", F.coalesce(parts, F.lit(1))).withColumn("part", F.pmod(F.xxhash64("node", "slot"), F.col("parts")))
+        # The cells that a row belongs to are named by its part and each other one.
+        others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: x != F.col("part"))
+        cells = F.transform(others, lambda x: F.xxhash64("slot", F.least("part", x), F.greatest("part", x)))
+        keyed = keyed.withColumn("slot", F.explode(F.when(F.col("parts") > 1, cells).otherwise(F.array("slot")))).select("slot", "node", *carried)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -421,7 +419,7 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
 
     # A row without slot is a pair, one without b a node of a large bucket.
     met = cut(keyed.select("slot", "node", *carried).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "slot long, a long, b long"))
-    near.append(met.where("slot is null").select("a", "b").distinct())
+    pairs = met.where("slot is null").select("a", "b")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -446,11 +444,8 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
             yield emit(pa.Table.from_batches(held))
 
     large = met.where("slot is not null").select("slot", F.col("a").alias("node")).join(nodes.select("node", *carried, "sketch"), "node")
-    near.append(large.select("slot", "node", *carried, "sketch").repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(link, "a long, b long"))
-    out = near[0]
-    for x in near[1:]:
-        out = out.unionByName(x)
-    return out.distinct()
+    linked = large.select("slot", "node", *carried, "sketch").repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(link, "a long, b long")
+    return pairs.unionByName(linked).distinct()
 
 
 def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:

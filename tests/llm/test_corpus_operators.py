@@ -350,6 +350,20 @@ def test_a_crowd_of_templates_keeps_its_near_copies(spark):
     assert sum(got[b] == a for b, a in least.items()) >= 0.99 * len(true)
 
 
+def test_crowded_slots_compare_all_their_rows(spark):
+    rng = random.Random(6)
+    base = [rng.getrandbits(63) for _ in range(4)]
+    sets = np.random.default_rng(6).integers(0, 2**32, (30, 100), np.uint32)
+    rows = []
+    # One crowd in every slot; each text has one true copy and its smallest node is like none of them.
+    for i in range(60):
+        rows.append((i, *base, np.sort(sets[i % 30]).tobytes()))
+    rows[0] = (0, *base, np.sort(np.arange(100, dtype=np.uint32)).tobytes())
+    df = spark.createDataFrame(rows, "node long, f0 long, f1 long, f2 long, f3 long, sketch binary")
+    got = {tuple(r) for r in simhash.similar_links(df, 0.8, 10).collect()}
+    assert {(i, i + 30) for i in range(1, 30)} <= got
+
+
 # 7 -------------------------------------------------------------------------------------------------------------------
 
 
