@@ -229,12 +229,16 @@ def op6_simhash(spark, sf_dir: str) -> DataFrame:
 # are sets of bits drawn by rule, as many as a pair at the threshold needs to
 # share one with probability ``RECALL``, and what the Hamming check lets through
 # is held against a bottom-k sketch of the shingles, which is exact for texts of
-# up to ``SKETCH`` different shingles.
+# up to ``SKETCH`` different shingles. For longer ones it decides only what is
+# clear of the threshold by ``CLEAR`` standard errors; the rest is held against
+# all shingles of both texts.
 
 WIDE = 4
 #: Words of it that travel with a row for the check within a bucket.
 CARRIED = 2
 SKETCH = 256
+#: Standard errors of a sketch's estimate within which the whole shingle sets decide.
+CLEAR = 4
 SIMILARITY = 0.8
 SIMILAR_WORDS = 5
 RECALL = 0.985
@@ -242,6 +246,8 @@ RECALL = 0.985
 SMALL = 8
 #: Hot buckets that are named in the plan, at most; more are joined by a shuffle.
 NAMED = 10_000
+#: Texts whose whole shingle sets are needed that are named in the plan, at most.
+NAMED_TEXTS = 100_000
 
 
 def _expand(hashes: np.ndarray, word: int) -> np.ndarray:
@@ -272,6 +278,29 @@ def jaccard(a: bytes, b: bytes) -> float:
     return float((np.isin(both, x) & np.isin(both, y)).sum() / max(1, len(both)))
 
 
+def overlap(x: np.ndarray, y: np.ndarray) -> float:
+    """Jaccard similarity of two sets of hashes."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(1, len(x) + len(y) - both)
+
+
+def set_hash(hashes: list[int]) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(np.unique(np.array(hashes, np.uint64)).tobytes(), SEED)).astype(np.int64))
+
+
+def judged(a: bytes, b: bytes, similarity: float) -> bool | None:
+    """Whether two shingle sets are so similar; None where their sketches don't tell."""
+    found = jaccard(a, b)
+    if max(len(a), len(b)) < 4 * SKETCH:
+        return found >= similarity
+    margin = sampling_margin(similarity)
+    return None if abs(found - similarity) < margin else found >= similarity
+
+
+def sampling_margin(similarity: float) -> float:
+    return CLEAR * float(np.sqrt(similarity * (1 - similarity) / SKETCH))
+
+
 def differing_share(similarity: float) -> float:
     """Share of differing bits to expect at a Jaccard similarity of equal-sized sets."""
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
@@ -323,7 +352,8 @@ def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, n
 def verified_forest(bits: np.ndarray, sketches: list[bytes], most: int, similarity: float) -> list[tuple[int, int]]:
     """Pairs (i, j) of one bucket that connect what its similar pairs connect; only a link that holds takes a row.
 
-    Every two rows that no such links join are compared.
+    Every two rows that no such links join are compared; pairs that their
+    sketches leave open come after the links.
     """
     sets = [np.frombuffer(x, np.uint32) for x in sketches]
     size = np.array([len(x) for x in sets])
@@ -331,9 +361,13 @@ def verified_forest(bits: np.ndarray, sketches: list[bytes], most: int, similari
     ends = np.cumsum(size)
     mark = np.zeros(int(ids.max(initial=0)) + 1, bool)
     out: list[tuple[int, int]] = []
+    unclear: list[tuple[int, int]] = []
+    tree = np.arange(len(sets))
+    least = similarity - sampling_margin(similarity)
     open_ = np.arange(len(sets))
     while len(open_):
         todo, open_ = [int(open_[0])], open_[1:]
+        root = todo[0]
         while todo and len(open_):
             i = todo.pop()
             near = open_[np.bitwise_count(bits[open_] ^ bits[i]).sum(1) <= most]
@@ -342,12 +376,15 @@ def verified_forest(bits: np.ndarray, sketches: list[bytes], most: int, similari
             mark[ids[ends[i] - size[i] : ends[i]]] = False
             # Of sketches that are whole this is the similarity, of others no less than its estimate.
             most_alike = np.where(np.maximum(size[near], size[i]) < SKETCH, held / np.maximum(1, size[near] + size[i] - held), held / SKETCH)
-            hits = [j for j in near[(most_alike >= similarity) | (size[near] + size[i] == 0)].tolist() if jaccard(sketches[i], sketches[j]) >= similarity]
+            told = {j: judged(sketches[i], sketches[j], similarity) for j in near[(most_alike >= least) | (size[near] + size[i] == 0)].tolist()}
+            unclear += [(i, j) for j, x in told.items() if x is None]
+            hits = [j for j, x in told.items() if x]
             if hits:
+                tree[hits] = root
                 out += [(i, j) for j in hits]
                 todo += hits
                 open_ = open_[~np.isin(open_, hits)]
-    return out
+    return out + [(i, j) for i, j in unclear if tree[i] != tree[j]]
 
 
 def crowded_slots(slots: DataFrame, tasks: int, bucket: int) -> DataFrame:
@@ -448,6 +485,26 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
     return pairs.unionByName(linked).distinct()
 
 
+def similar_by_all_shingles(texts: DataFrame, text: str, wanted: DataFrame, n_wanted: int, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b): those of ``pairs`` whose whole shingle sets are so similar; ``wanted`` has the hash of a text (own) of every node in them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            whole = [np.unique(np.array(shingle_hashes(t, words), np.uint64)).tobytes() for t in utf8(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(whole, pa.binary())], names=["node", "whole"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            both = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)
+            mask = pa.array([overlap(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= similarity for x, y in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], names=["a", "b"])
+
+    named = texts.join(F.broadcast(wanted) if n_wanted <= NAMED_TEXTS else wanted, "own").select("node", text)
+    sets = cut(named.mapInArrow(run, "node long, whole binary").groupBy("node").agg(F.first("whole").alias("whole")))
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("whole").alias(f"w{n}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "wa", "wb").mapInArrow(verify, "a long, b long")
+
+
 def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(key, component_id) for every row: components of texts whose word shingles are at least so similar.
 
@@ -455,29 +512,38 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     """
     prepare(df.sparkSession)
     f = [f"f{i}" for i in range(WIDE)]
-    names = [key, *f, "sketch"]
+    names = [key, "own", *f, "sketch", "whole"]
+    own = F.xxhash64(text).alias("own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [wide_print(shingle_hashes(t, words)) for t in utf8(b.column(1))]
+            hashes = [shingle_hashes(t, words) for t in utf8(b.column(1))]
+            made = [wide_print(h) for h in hashes]
             columns = [pa.array([m[0][i] for m in made], pa.int64()) for i in range(WIDE)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns, pa.array([m[1] for m in made], pa.binary())], names=names)
+            whole = [set_hash(h) if len(m[1]) >= 4 * SKETCH else 0 for h, m in zip(hashes, made, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *columns, pa.array([m[1] for m in made], pa.binary()), pa.array(whole, pa.int64())], names=names)
 
-    schema = f"`{key}` long, " + ", ".join(f"{x} long" for x in f) + ", sketch binary"
-    prints = df.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, schema)
-    prints = cut(prints.withColumn("print", F.sha2(F.concat_ws(":", F.hex("sketch"), *f).cast("binary"), 256)))
-    nodes = cut(prints.groupBy("print").agg(F.min(key).alias("least"), F.first("sketch").alias("sketch"), *[F.first(x).alias(x) for x in f]).withColumn("node", F.monotonically_increasing_id()))
+    schema = f"`{key}` long, own long, " + ", ".join(f"{x} long" for x in f) + ", sketch binary, whole long"
+    prints = df.select(F.col(key).cast("long").alias(key), text, own).mapInArrow(run, schema)
+    prints = cut(prints.withColumn("print", F.sha2(F.concat_ws(":", F.hex("sketch"), *f, "whole").cast("binary"), 256)).drop("whole"))
+    nodes = cut(prints.groupBy("print").agg(F.min(key).alias("least"), F.first("sketch").alias("sketch"), F.min("own").alias("own"), *[F.first(x).alias(x) for x in f]).withColumn("node", F.monotonically_increasing_id()))
     candidates = similar_links(nodes.select("node", *f, "sketch"), similarity)
     side = lambda n: nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"s{n}"))
     both = candidates.join(side("a"), "a").join(side("b"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = [jaccard(x, y) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            mask = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], names=["a", "b"])
-
-    found = components(both.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"))
+            told = [judged(x, y, similarity) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            mask = pa.array([x is not False for x in told], pa.bool_())
+            clear = pa.array([x is True for x in told], pa.bool_())
+            yield pa.RecordBatch.from_arrays([c.filter(mask) for c in (b.column(0), b.column(1), clear)], names=["a", "b", "clear"])
+
+    told = cut(both.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long, clear boolean"))
+    edges, unclear = told.where("clear").select("a", "b"), told.where("not clear").select("a", "b")
+    wanted = cut(nodes.join(unclear.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "own"))
+    if n_wanted := wanted.count():
+        edges = edges.unionByName(similar_by_all_shingles(df.select(own, text), text, wanted, n_wanted, unclear, words, similarity))
+    found = components(edges)
     member = nodes.join(found, "node", "left").select("print", "least", F.coalesce("root", "node").alias("root"))
     named = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.select(key, "print").join(member.join(named, "root").select("print", "component_id"), "print").select(key, "component_id")

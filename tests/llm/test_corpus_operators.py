@@ -364,6 +364,23 @@ def test_crowded_slots_compare_all_their_rows(spark):
     assert {(i, i + 30) for i in range(1, 30)} <= got
 
 
+def test_long_texts_are_held_against_all_their_shingles(spark):
+    rng = random.Random(12)
+    docs, close = [], {}
+    for i in range(120):
+        own = K.prose(rng, 900)
+        cuts = rng.randint(14, 26)
+        words = own.split()
+        for at in range(cuts):
+            words[at * 900 // cuts + 2] = f"changed{i}x{at}"
+        docs += [(2 * i, own), (2 * i + 1, " ".join(words))]
+        close[2 * i + 1] = similarity_of(own, docs[-1][1]) >= 0.8
+    assert 30 < sum(close.values()) < 90
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert not any(got[b] != b for b, x in close.items() if not x)
+    assert sum(got[b] == b - 1 for b, x in close.items() if x) >= 0.9 * sum(close.values())
+
+
 # 7 -------------------------------------------------------------------------------------------------------------------
 
 
