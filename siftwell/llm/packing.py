@@ -2,24 +2,26 @@
 
 Documents become token ids with an end id; one longer than the capacity is cut
 into full pieces, of which the first may be shorter. Full pieces are sequences
-of their own. The rest are dealt by a hash to groups of about ``GROUP_ITEMS``
-and each group is packed best-fit decreasing. Its bins are emitted but for the
+of their own. The rest are dealt by a hash to groups of ``GROUP_ITEMS`` on
+average and each group is packed best-fit decreasing. Its bins are emitted but for the
 emptiest ``FAN + 1``; these go up a tree, ``FAN`` groups to a node, as items of
 the next best-fit round, until one node is left.
 
 Nothing is lost by carrying so few: best fit leaves at most one bin of a group
 half empty or more, and two bins over half full never share a sequence, so a
 node's merges use at most ``FAN`` half-empty bins and as many others, for which
-the emptiest serve best. A task holds one group (by count, not by key), a tree
-round ``FAN + 1`` rows a group.
+the emptiest serve best. A task holds ``TASK_GROUPS`` groups (by count, not by
+key), a tree round ``FAN + 1`` rows a group.
 
 Edge cases: a null or empty text is the end id alone; repeated rows are packed
-each on its own; an empty table gives no rows.
+each on its own; an empty table gives no rows. A string of an added token in a
+text is that token, as the vocabulary's own tokenizer has it.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -36,32 +38,37 @@ from siftwell.llm.common import cut, prepare, read_table
 
 CAPACITY = 1024
 END_ID = 2
-#: The rank file of the vocabulary; byte_bpe_50k.json beside it gives the same ids.
+#: The rank file of the vocabulary; byte_bpe_50k.json beside it gives the same ids and names the added tokens.
 RANKS = "byte_bpe_50k.tiktoken"
-GROUP_ITEMS = 200_000
+#: Items of a group on average: a task packs some groups, and the tree starts from their number.
+GROUP_ITEMS = 4096
+#: Groups that a task packs, one after another.
+TASK_GROUPS = 16
 FAN = 8
 _ENCODERS: dict[str, object] = {}
 
 
 class Encoder:
-    """Token ids of a text; all of it is ordinary text, special strings included."""
+    """Token ids of a text; strings of added tokens are those tokens."""
 
     def __init__(self, ranks: str) -> None:
         path = ranks if os.path.isabs(ranks) else public_tokenizers.path(ranks)
         with open(path, "rb") as f:
             table = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
-        self.fast = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.json = path.removesuffix(".tiktoken") + ".json"
+        with open(self.json, encoding="utf-8") as f:
+            self.added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        self.fast = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=self.added)
+        self.slow = None
 
     def ids(self, text: str) -> np.ndarray:
         try:
-            return self.fast.encode_to_numpy(text, disallowed_special=())
+            return self.fast.encode_to_numpy(text, allowed_special="all")
         except (ValueError, RuntimeError):  # the pattern's engine gives up on some very long runs of white space
             from tokenizers import Tokenizer
 
-            t = Tokenizer.from_file(self.json)
-            t.encode_special_tokens = True
-            return np.array(t.encode(text, add_special_tokens=False).ids, np.uint32)
+            self.slow = self.slow or Tokenizer.from_file(self.json)
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def encoder(ranks: str = RANKS) -> Encoder:
@@ -150,18 +157,19 @@ def pack(pieces: DataFrame, row: str, length: str = "length", capacity: int = CA
         if not held:
             return
         rows, lens, group = (np.concatenate(c) for c in zip(*held, strict=True))
-        for g in np.unique(group):
-            mine = group == g
-            order = np.lexsort((rows[mine], -lens[mine]))
-            r, n = rows[mine][order], lens[mine][order]
-            where, offset, fills = best_fit(n, capacity)
+        order = np.lexsort((rows, -lens, group))
+        rows, lens, group = rows[order], lens[order], group[order]
+        edge = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
+        for a, z in zip(edge, edge[1:], strict=False):
+            where, offset, fills = best_fit(lens[a:z], capacity)
             fill = np.array(fills)
             carry = _carried(fill, capacity, fan)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(r), pa.array(where + (int(g) << 32)), pa.array(offset), pa.array(fill[where]), pa.array(carry[where])], names=["row", "bin", "offset", "fill", "carry"]
+                [pa.array(rows[a:z]), pa.array(where + (int(group[a]) << 32)), pa.array(offset), pa.array(fill[where]), pa.array(carry[where])], names=["row", "bin", "offset", "fill", "carry"]
             )
 
-    dealt = items.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups))).repartitionById(groups, F.col("group").cast("int"))
+    dealt = items.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
+    dealt = dealt.repartitionById(-(-groups // TASK_GROUPS), F.floor(F.col("group") / TASK_GROUPS).cast("int"))
     placed = cut(dealt.select("row", "length", "group").mapInArrow(first_round, "row long, bin long, offset long, fill long, carry boolean"))
     heads = placed.where("carry and offset = 0")
     live = heads.select("bin", F.col("bin").alias("root"), F.lit(0).cast("long").alias("shift"))
