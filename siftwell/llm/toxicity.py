@@ -14,7 +14,8 @@ fixed number of features for each fitting row, come to the driver.
 Edge cases: a null text counts as empty and is scored like one; rows without a
 label, or with a null one, are scored but not learned from; with too few
 labelled rows of either kind the score is the share of toxic ones (0 if none).
-Repeated labels of an id count as toxic if any is. Whole texts are used.
+Repeated labels of an id count as toxic if any is; of different texts with one
+id, the one with the smallest hash is learned from. Whole texts are used.
 """
 
 from __future__ import annotations
@@ -72,6 +73,8 @@ class Featurizer:
         self.words = {k: v for k, v in lexicon.items() if not k.endswith("*")} | {w: max(lexicon.get(w, 0), 2.0) for w in SEED_WORDS}
         self.stems = {k[:-1]: v for k, v in lexicon.items() if k.endswith("*")}
         self.memo: dict[str, tuple[float, float, bool]] = {}
+        # No code point beyond the first two planes is a capital.
+        self.upper = np.fromiter((chr(i).isupper() for i in range(0x20000)), bool, 0x20000)
 
     def judge(self, word: str) -> tuple[float, float, bool]:
         """(log-odds as a word, as a beginning, found only after undoing an obfuscation)."""
@@ -116,7 +119,7 @@ class Featurizer:
             k = np.searchsorted(y, a)
             near = float(np.minimum(np.abs(a - y[np.minimum(k, len(y) - 1)]), np.abs(a - y[np.maximum(k - 1, 0)])).min())
         chars = max(1, len(text))
-        upper = sum(map(str.isupper, text)) if len(text) < 400 else len(_UPPER.findall(text))
+        upper = int(self.upper[np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), len(self.upper) - 1)].sum())
         marks = len(_MARKS.findall(text))
         return [
             len(odds), len(odds) / max(1, n), max(odds, default=0.0), min(sum(odds), 200.0),
@@ -125,7 +128,6 @@ class Featurizer:
         ]
 
 
-_UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 _MARKS = re.compile(r"[^\w\s]")
 _RUNS = re.compile(r"([!?*#$%&])\1+")
 
@@ -244,7 +246,10 @@ def fit(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, fit_r
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(F.col(label).cast("int")).alias("y"))
     chosen = known.join(df.select(key).distinct(), key, "left_semi").withColumn("h", F.xxhash64(key)).orderBy("h", key).limit(fit_rows)
     rows = spark.createDataFrame([(r[key], r["y"], i % 20) for i, r in enumerate(chosen.collect())] or [(0, 0, 0)], f"`{key}` long, y int, role int")
-    texts = df.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).join(F.broadcast(rows), key)
+    # One text for each id, however often the id occurs; each task brings down its own first.
+    one = F.min(F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("text")))
+    named = df.select(F.col(key).cast("long").alias(key), text).join(F.broadcast(rows.select(key)), key, "left_semi")
+    texts = named.groupBy(key).agg(one.alias("one")).join(F.broadcast(rows), key).select(key, "one.text", "y", "role")
     lexicon = learn_lexicon(texts.where("role < 8"))
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
