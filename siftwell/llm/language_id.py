@@ -9,7 +9,8 @@ cosine; where that falls below the centroid's own rejection radius, ``accepted``
 is false.
 
 Edge cases: a text that is null or has no letter gets ``und`` with score 0 and
-isn't accepted; with nothing to learn from, all texts do. Whole texts are used.
+isn't accepted; with nothing to learn from, all texts do. Repeated ids are
+learned from once. Whole texts are used.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
 def fit(counts: np.ndarray, langs: list[str]) -> Model:
     """``counts``: rows of n-gram counts; ``langs``: their languages."""
     names = sorted(set(langs))
-    idf = np.log((1 + len(langs)) / (1 + (counts > 0).sum(0))) + 1
+    idf = (np.log((1 + len(langs)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
     x = _unit(np.log1p(counts) * idf)
     y = np.array([names.index(v) for v in langs], int)
     cents, radii = [], []
@@ -117,26 +118,35 @@ def predict(model: Model, counts: np.ndarray | None) -> tuple[str, float, bool]:
 
 
 def fit_on(df: DataFrame, key: str, text: str, label: str, fit_rows: int = FIT_ROWS) -> Model:
-    """Fit on at most ``fit_rows`` rows of ``df`` that have a label and a text with a letter.
+    """Fit on at most ``fit_rows`` rows of ``df`` that have a label and a text.
 
-    The rows are those with the smallest hash of the key; only their keys and
-    fixed-size count vectors come to the driver.
+    They are the ids with the smallest hashes and, of rows with one id, the one
+    with the smallest hash of label and text. Only the n-grams that occur in
+    them, with their counts, come to the driver; texts without a letter don't.
     """
     prepare(df.sparkSession)
-    ids = df.where(F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(fit_rows)
+    known = df.where(F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
+    ids = known.select(key).distinct().orderBy(F.xxhash64(key), key).limit(fit_rows)
+    one = F.min(F.struct(F.xxhash64(label, text).alias("h"), F.col(label).cast("string").alias("lang"), F.col(text).alias("text"))).alias("one")
+    chosen = known.select(key, label, text).join(F.broadcast(ids), key, "left_semi").groupBy(key).agg(one).select("one.text", "one.lang", F.xxhash64(key).alias("h"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = NGrams()
         for b in batches:
-            rows = [(g.astype(np.uint32).tobytes(), lang) for t, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if (g := grams.counts(t or "")) is not None]
+            rows = [(g, lang, h) for t, lang, h in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True) if (g := grams.counts(t)) is not None]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows])], names=["v", "lang"])
+                at = [np.flatnonzero(g) for g, _, _ in rows]
+                packed = [a.astype(np.uint16).tobytes() + g[a].astype(np.uint32).tobytes() for a, (g, _, _) in zip(at, rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows], pa.int64()), pa.array(packed, pa.binary()), pa.array([r[1] for r in rows])], names=["h", "v", "lang"])
 
-    chosen = df.where(F.col(label).isNotNull()).join(F.broadcast(ids), key, "left_semi").select(F.col(text), F.col(label).cast("string"))
-    rows = sorted((bytes(r["v"]), r["lang"]) for r in chosen.mapInArrow(vectors, "v binary, lang string").toLocalIterator())[: 2 * fit_rows]
+    rows = sorted((r["h"], r["lang"], bytes(r["v"])) for r in chosen.mapInArrow(vectors, "h long, v binary, lang string").toLocalIterator())
     if not rows:
         return Model([], np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), np.zeros(0))
-    return fit(np.array([np.frombuffer(v, np.uint32) for v, _ in rows], np.float32), [lang for _, lang in rows])
+    counts = np.zeros((len(rows), DIM), np.float32)
+    for i, (_, _, v) in enumerate(rows):
+        n = len(v) // 6
+        counts[i, np.frombuffer(v, np.uint16, n)] = np.frombuffer(v, np.uint32, n, 2 * n)
+    return fit(counts, [lang for _, lang, _ in rows])
 
 
 def predict_all(df: DataFrame, model: Model, text: str, extra: list[str], schema: str) -> DataFrame:
