@@ -6,8 +6,8 @@ tables and gives codec, duration and keyframe byte ranges. Only box headers and
 sample tables are read; payload bytes are never decoded.
 
 Edge cases: null or empty content gives null description columns; content that
-is not a well-formed container gives a null description and the reason in
-``error``; extra columns of the input are kept as they are.
+is not a well-formed container (cut off, nested too deeply, tables that the file
+doesn't bear out) gives a null description and the reason in ``error``.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from siftwell.llm.common import map_batches, read_table, utf8
 
 #: Box types whose content is again boxes.
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta"}
+#: Levels of nested boxes that are followed; the format itself needs seven.
+DEEPEST = 32
 UNIT = 576
 TIMESCALE = 48_000
 KEY_EVERY = 16
@@ -89,27 +91,35 @@ def store_samples(payload: bytes, unit: int = UNIT, key_every: int = KEY_EVERY)
     return head + moov(base) + _box(b"mdat", payload)
 
 
-def walk(buf: bytes, start: int = 0, end: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """Every box of ``buf`` as (path of types, start and end of its content), parents first."""
-    end = len(buf) if end is None else end
-    while start < end:
-        if end - start < 8:
+def walk(buf: bytes, start: int = 0, end: int | None = None) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
+    """Every box of ``buf`` as (path of types, start and end of its content), parents first.
+
+    Boxes still to be read are a stack of at most ``DEEPEST`` levels.
+    """
+    levels: list[tuple[tuple[bytes, ...], int, int]] = [((), start, len(buf) if end is None else end)]
+    while levels:
+        path, at, stop = levels.pop()
+        if at >= stop:
+            continue
+        if stop - at < 8:
             raise ValueError("a box header is cut off")
-        size, kind = struct.unpack_from(">I4s", buf, start)
+        size, kind = struct.unpack_from(">I4s", buf, at)
         head = 8
         if size == 1:
-            if end - start < 16:
+            if stop - at < 16:
                 raise ValueError("a box header is cut off")
-            size, head = struct.unpack_from(">Q", buf, start + 8)[0], 16
+            size, head = struct.unpack_from(">Q", buf, at + 8)[0], 16
         elif size == 0:
-            size = end - start
-        if size < head or start + size > end:
+            size = stop - at
+        if size < head or at + size > stop:
             raise ValueError("a box reaches past its parent")
         here = (*path, kind)
-        yield here, start + head, start + size
+        yield here, at + head, at + size
+        levels.append((path, at + size, stop))
         if kind in CONTAINERS:
-            yield from walk(buf, start + head, start + size, here)
-        start += size
+            if len(here) > DEEPEST:
+                raise ValueError("boxes are nested too deeply")
+            levels.append((here, at + head, at + size))
 
 
 @dataclass
@@ -122,52 +132,71 @@ class Track:
     keyframes: np.ndarray
 
 
-def _table(buf: bytes, at: int, end: int, count_at: int, width: int, dtype: str) -> np.ndarray:
-    count = struct.unpack_from(">I", buf, at + count_at)[0]
-    first = at + count_at + 4
-    if first + count * width * np.dtype(dtype).itemsize > end:
-        raise ValueError("a sample table is cut off")
-    out = np.frombuffer(buf, dtype, count * width, first).astype(np.int64)
-    return out.reshape(count, width) if width > 1 else out
+class Box:
+    """Reads from the content of one box; what lies behind its end is an error."""
+
+    def __init__(self, buf: bytes, kind: bytes, at: int, end: int) -> None:
+        self.buf, self.kind, self.at, self.end = buf, kind, at, end
+
+    def read(self, form: str, at: int) -> tuple:
+        if self.at + at + struct.calcsize(form) > self.end:
+            raise ValueError(f"a {self.kind.decode('latin-1')} box is cut off")
+        return struct.unpack_from(form, self.buf, self.at + at)
+
+    def table(self, count_at: int, width: int, dtype: str) -> np.ndarray:
+        """``count`` rows of ``width`` numbers behind the count, which must lie within the box."""
+        (count,) = self.read(">I", count_at)
+        first = self.at + count_at + 4
+        if first + count * width * np.dtype(dtype).itemsize > self.end:
+            raise ValueError("a sample table is cut off")
+        out = np.frombuffer(self.buf, dtype, count * width, first).astype(np.int64)
+        return out.reshape(count, width) if width > 1 else out
 
 
 def tracks(buf: bytes) -> list[Track]:
-    """The tracks of a container with their decoded sample tables."""
-    found: list[dict[bytes, tuple[int, int]]] = []
+    """The tracks of a container with their decoded sample tables; a ValueError tells what is wrong with it.
+
+    Nothing is allocated by a count that the file itself doesn't bear out.
+    """
+    found: list[dict[bytes, Box]] = []
     for path, at, end in walk(buf):
         if path[-1] == b"trak":
             found.append({})
         elif found and b"trak" in path:
-            found[-1].setdefault(path[-1], (at, end))
-    out = []
-    for boxes in found:
-        need = [k for k in (b"mdhd", b"stsd", b"stts", b"stsc", b"stsz") if k not in boxes]
-        if need or not (b"stco" in boxes or b"co64" in boxes):
-            raise ValueError("a track has no " + (need[0].decode() if need else "chunk offsets"))
-        at, _ = boxes[b"mdhd"]
-        timescale, duration = struct.unpack_from(">IQ", buf, at + 20) if buf[at] else struct.unpack_from(">II", buf, at + 12)
-        at, _ = boxes[b"stsd"]
-        codec = buf[at + 12 : at + 16].decode("latin-1")
-        at, end = boxes[b"stsz"]
-        fixed, count = struct.unpack_from(">II", buf, at + 4)
-        sizes = np.full(count, fixed, np.int64) if fixed else _table(buf, at, end, 8, 1, ">u4")
-        kind = b"co64" if b"co64" in boxes else b"stco"
-        chunk_at = _table(buf, *boxes[kind], 4, 1, ">u8" if kind == b"co64" else ">u4")
-        runs = _table(buf, *boxes[b"stsc"], 4, 3, ">u4")
-        per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(chunk_at) + 1))) if len(runs) else np.zeros(0, np.int64)
-        if per.sum() != count or len(per) != len(chunk_at):
-            raise ValueError("chunks and samples disagree")
-        ends = np.cumsum(sizes)
-        before = ends - sizes
-        firsts = np.cumsum(per) - per
-        offsets = np.repeat(chunk_at - (before[firsts] if count else 0), per) + before
-        keys = _table(buf, *boxes[b"stss"], 4, 1, ">u4") - 1 if b"stss" in boxes else np.arange(count)
-        if count and ((offsets < 0).any() or (offsets + sizes > len(buf)).any() or (len(keys) and not 0 <= keys.min() <= keys.max() < count)):
-            raise ValueError("a sample lies outside the file")
-        out.append(Track(codec, timescale, duration, offsets, sizes, keys))
-    if not out:
+            found[-1].setdefault(path[-1], Box(buf, path[-1], at, end))
+    if not found:
         raise ValueError("no track")
-    return out
+    return [_track(buf, boxes) for boxes in found]
+
+
+def _track(buf: bytes, boxes: dict[bytes, Box]) -> Track:
+    need = [k for k in (b"mdhd", b"stsd", b"stts", b"stsc", b"stsz") if k not in boxes]
+    if need or not (b"stco" in boxes or b"co64" in boxes):
+        raise ValueError("a track has no " + (need[0].decode() if need else "chunk offsets"))
+    (version,) = boxes[b"mdhd"].read(">B", 0)
+    timescale, duration = boxes[b"mdhd"].read(">IQ", 20) if version else boxes[b"mdhd"].read(">II", 12)
+    codec = boxes[b"stsd"].read(">4s", 12)[0].decode("latin-1")
+    fixed, count = boxes[b"stsz"].read(">II", 4)
+    if fixed and count * fixed > len(buf):
+        raise ValueError("a sample lies outside the file")
+    sizes = np.full(count, fixed, np.int64) if fixed else boxes[b"stsz"].table(8, 1, ">u4")
+    chunk_at = boxes[b"co64"].table(4, 1, ">u8") if b"co64" in boxes else boxes[b"stco"].table(4, 1, ">u4")
+    runs = boxes[b"stsc"].table(4, 3, ">u4")
+    chunks = np.diff(np.append(runs[:, 0], len(chunk_at) + 1)) if len(runs) else np.zeros(0, np.int64)
+    if (chunks < 0).any() or chunks.sum() != len(chunk_at) or int((chunks.astype(object) * runs[:, 1]).sum()) != count:
+        raise ValueError("chunks and samples disagree")
+    per = np.repeat(runs[:, 1], chunks)
+    ends = np.cumsum(sizes)
+    before = ends - sizes
+    heads = np.cumsum(per) - per
+    filled = per > 0  # a chunk without samples has no first one
+    offsets = np.repeat(chunk_at[filled] - before[heads[filled]], per[filled]) + before
+    keys = boxes[b"stss"].table(4, 1, ">u4") - 1 if b"stss" in boxes else np.arange(count)
+    if len(keys) and not 0 <= keys.min() <= keys.max() < count:
+        raise ValueError("a keyframe is no sample")
+    if count and ((offsets < 0).any() or (offsets + sizes > len(buf)).any()):
+        raise ValueError("a sample lies outside the file")
+    return Track(codec, timescale, duration, offsets, sizes, keys)
 
 
 def payload_of(buf: bytes, track: Track) -> bytes:

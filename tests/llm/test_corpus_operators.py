@@ -79,7 +79,6 @@ def test_packing_round_trip(spark, edge_dir):
     import public_tokenizers
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     rows = QUERIES["op2_packing"](spark, edge_dir).collect()
     n = check_packed(rows)
     assert n <= -(-sum(r["length"] for r in rows) // 1024) + 2
@@ -91,6 +90,23 @@ def test_packing_round_trip(spark, edge_dir):
     assert sorted((str(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == sorted(want)
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x  <|endoftext|>  \n y", "<|endoftext", "é<|endoftext|>漢字"])
+def test_ids_are_the_tokenizers_own(text):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.encoder().ids(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_many_groups_lose_next_to_nothing(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice([rng.randint(1, 300), rng.randint(1, 1023)])) for i in range(40_000)]
+    pieces = cut(spark.createDataFrame(rows, "row long, length long"))
+    got = pieces.join(packing.pack(pieces, "row"), "row").collect()
+    assert len(got) == 40_000 and check_packed(got) <= 1.001 * -(-sum(n for _, n in rows) // 1024) + 2
+
+
 @pytest.mark.parametrize("group_items", [7, 60, 1000])
 def test_residual_packing_tree(spark, group_items):
     rng = random.Random(group_items)
@@ -176,6 +192,59 @@ def test_broken_containers_are_told(spark):
     assert all(got[k]["codec"] is None and got[k]["error"] for k in (2, 5, 6, 7)) and all(got[k]["error"] is None for k in (3, 4))
 
 
+def test_malformed_containers_never_stop_the_job(spark):
+    import struct
+
+    good = media.store_samples(media.pad(b"x" * 5000))
+    deep = b""
+    for _ in range(3000):
+        deep = struct.pack(">I4s", len(deep) + 8, b"moov") + deep
+    at = good.index(b"stsz")
+    huge = good[: at + 12] + b"\xff\xff\xff\xff" + good[at + 16 :]
+    no_fixed = good[: at + 8] + b"\0\0\0\0\xff\xff\xff\xff" + good[at + 16 :]
+    short = b"".join(media._box(b"moov", media._box(b"trak", *[media._box(k) for k in (b"stsd", b"stts", b"stsc", b"stsz", b"stco")], media._box(b"mdia", media._box(b"mdhd")))) for _ in range(1))
+    chunk = good.index(b"stsc")
+    many = good[: chunk + 16] + b"\xff\xff\xff\xff" + good[chunk + 20 :]
+    rows = list(enumerate([deep, huge, no_fixed, short, many]))
+    got = media.media_columns(spark.createDataFrame(rows, "k long, b binary"), "b", "k").collect()
+    assert len(got) == 5 and all(r["error"] and r["codec"] is None for r in got)
+
+
+@given(st.integers(0, 2**32), st.integers(1, 12))
+@settings(max_examples=300, deadline=None)
+def test_fuzzed_containers_are_read_or_refused(seed, changes):
+    rng = random.Random(seed)
+    buf = bytearray(media.store_samples(media.pad(bytes(rng.randbytes(rng.randint(0, 20_000))))))
+    head = buf.index(b"mdat")
+    for _ in range(changes):
+        i = rng.randrange(head)
+        buf[i] = rng.choice([0, 1, 255, rng.randrange(256)])
+    if rng.random() < 0.3:
+        del buf[rng.randrange(len(buf)) :]
+    try:
+        for t in media.tracks(bytes(buf)):
+            media.payload_of(bytes(buf), t)
+            media.keyframe_ranges(t)
+    except ValueError:
+        pass
+
+
+def test_media_columns_equal_brute_force(spark, edge_dir):
+    want = []
+    for i, t in texts(edge_dir, spark):
+        raw = (t or "").encode()
+        payload = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
+        n = len(payload) // 576
+        want.append((str(i), len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), n, -(-n // 16)))
+    got = QUERIES["op4_media_columns"](spark, edge_dir).collect()
+    parts = [dict(x.split("=", 1) for x in r["feature"].split(";")) for r in got]
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"], int(p["samples"]), len(p["keyframes"].split(","))) for r, p in zip(got, parts, strict=True)) == sorted(want)
+    for r, p in zip(got, parts, strict=True):
+        assert r["media_bytes"] > r["payload_bytes"] and abs(float(p["duration"]) - r["payload_bytes"] / 48_000) < 1e-5 and p["codec"] == "raw"
+        spots = [tuple(map(int, x.split("+"))) for x in p["keyframes"].split(",")]
+        assert all(n == 576 and o + n <= r["media_bytes"] for o, n in spots) and all(b[0] - a[0] == 16 * 576 for a, b in zip(spots, spots[1:], strict=False))
+
+
 # 5 -------------------------------------------------------------------------------------------------------------------
 
 
@@ -403,6 +472,26 @@ def test_toxicity_on_held_out_rows(spark, tmp_path):
     assert sum(r["predicted"] == (r["doc_id"] % 6 == 0) for r in held) / len(held) > 0.97
 
 
+def test_features_count_alike_at_every_length():
+    f = toxicity.Featurizer({})
+    for word in ("ПРИВЕТ ", "STRASSE ", "ÀÉÎ Straße "):
+        per = len(word)
+        rates = [f.features(word * n)[12] for n in (1, 300 // per, 399 // per, 400 // per + 1, 4000 // per)]
+        assert max(rates) - min(rates) < 1e-12 and abs(rates[0] - sum(map(str.isupper, word)) / per) < 1e-12
+
+
+def test_repeated_ids_are_learned_from_once(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, K.prose(rng, 60) + (" idiot moron" if i % 4 == 0 else ""), "en", "a", 0) for i in range(300)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(300)]
+    scores = []
+    for copies in (1, 40):
+        d = K.documents(spark, tmp_path, [r for r in rows for _ in range(copies if r[0] < 3 else 1)])
+        K.table(spark, tmp_path, "labels", labels, "doc_id long, quality int, toxic int")
+        scores.append(sorted({(r["doc_id"], r["score"]) for r in QUERIES["op7_toxicity"](spark, d).collect()}))
+    assert scores[0] == scores[1]
+
+
 def test_labels_of_held_out_rows_change_nothing(spark, tmp_path):
     rng = random.Random(6)
     rows = [(i, K.prose(rng, 60) + (" idiot moron" if i % 4 == 0 else ""), "en", "a", 0) for i in range(300)]
