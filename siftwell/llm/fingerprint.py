@@ -6,11 +6,13 @@ spans have equal hashes wherever they stand. Two primes below 2^31 give 62 bits.
 ``PrefixHash.extension`` finds the longest common extension of two places by
 binary search over span hashes.
 
-A fingerprint is the whole text's hash, its length and a sketch: the hashes of
-all spans of ``span_width`` code points (24, fewer for texts under 96) are placed on
-a circle, and each of ``SLOTS`` evenly spaced marks takes the first hash at or
-after it. The share of equal slots estimates the Jaccard likeness J of two
-texts' spans; ``likeness`` gives 2J / (1 + J), the share of text in common.
+A fingerprint is the whole text's hash, its length and sketches of its spans of
+1, 3 and 24 code points, as many as the text is long enough for (``SPANS``).
+For a sketch, every span with its occurrence (first, second, ...) is placed on a
+circle by its hash, and each of ``SLOTS`` evenly spaced marks takes the first one
+at or after it. The share of equal slots estimates the Jaccard likeness J of two
+texts' spans, repeats included; ``likeness`` gives 2J / (1 + J), the share of
+text in common, from the widest spans that both texts have sketches of.
 
 Edge cases: a null text counts as empty; two empty texts have likeness 1, an
 empty and another one 0. Equal ids are ordered by their text; a null id comes
@@ -33,14 +35,14 @@ from siftwell.llm.common import prepare, read_table
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 #: (least length, span width)
-SPANS = ((96, 24), (24, 8), (3, 3), (1, 1))
+SPANS = ((1, 1), (12, 3), (96, 24))
 SLOTS = 64
 _GROW = 1 << 14
 
 
-def span_width(n: int) -> int:
-    """The width of the spans that the sketch of a text of ``n`` code points is made of."""
-    return next((w for least, w in SPANS if n >= least), 0)
+def span_widths(n: int) -> list[int]:
+    """The widths of the spans that a text of ``n`` code points has sketches of, in ascending order."""
+    return [w for least, w in SPANS if n >= least]
 
 
 class Powers:
@@ -73,7 +75,7 @@ class PrefixHash:
         """``head``: take its first ``keep`` prefix sums over; ``codes`` agree there."""
         n = len(codes)
         powers.grow(n + 1)
-        self.n, self.powers, self.sums = n, powers, []
+        self.n, self.codes, self.powers, self.sums = n, codes, powers, []
         tail = codes[keep:].astype(np.uint64) + np.uint64(1)
         for k, p in enumerate(PRIMES):
             s = np.empty(n + 1, np.uint64)
@@ -95,8 +97,14 @@ class PrefixHash:
         return int(self.spans(np.array([start]), np.array([stop]))[0])
 
     def windows(self, width: int, start: int = 0) -> np.ndarray:
-        """Hashes of all spans of ``width`` from ``start`` on."""
-        return self.spans(slice(start, self.n - width + 1), slice(start + width, self.n + 1))
+        """Hashes of all spans of ``width`` from ``start`` on; up to three code points are told apart by themselves."""
+        if width > 3:
+            return self.spans(slice(start, self.n - width + 1), slice(start + width, self.n + 1))
+        codes = self.codes[start:].astype(np.uint64) + np.uint64(1)
+        out = codes[: len(codes) - width + 1]
+        for i in range(1, width):
+            out = out << np.uint64(21) | codes[i : len(codes) - width + 1 + i]
+        return out
 
     def extension(self, i: int, other: PrefixHash, j: int) -> int:
         """Length of the longest common extension from ``i`` here and ``j`` there."""
@@ -117,35 +125,45 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-_MARKS = np.arange(SLOTS, dtype=np.uint64) << np.uint64(64 - SLOTS.bit_length() + 1)
+#: Bits of the circle between two marks.
+_ARC = np.uint64(64 - SLOTS.bit_length() + 1)
+_BETWEEN = (np.uint64(1) << _ARC) - np.uint64(1)
+_MARKS = np.arange(SLOTS, dtype=np.uint64) << _ARC
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
-    """16 bits of the first hash at or after each mark of the circle."""
-    order = np.sort(_mix(hashes))
+    """16 bits of the first span at or after each mark of the circle."""
+    same = np.sort(hashes)
+    first = np.append(True, same[1:] != same[:-1])
+    if not first.all():  # the second span with a hash is another one than the first
+        at = np.arange(len(same))
+        same = same + (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+    placed = _mix(same)
+    # Of many spans only those soon after a mark can be its first one, unless none is there.
+    soon = placed[placed & _BETWEEN < _BETWEEN // np.uint64(max(1, len(placed) // (32 * SLOTS)))]
+    order = np.sort(soon)
+    if len(soon) < len(placed) and len(np.unique(order >> _ARC)) < SLOTS:
+        order = np.sort(placed)
     at = np.searchsorted(order, _MARKS)
     at[at == len(order)] = 0
     return (_mix(order[at]) >> np.uint64(48)).astype(">u2")
 
 
-def render(whole: int, n: int, slots: np.ndarray) -> str:
-    return f"{whole:016x}:{n:x}:" + slots.tobytes().hex()
-
-
-def fingerprint(ph: PrefixHash, windows: np.ndarray | None = None) -> str:
-    width = span_width(ph.n)
-    if not width:
-        return render(0, 0, np.zeros(0, ">u2"))
-    return render(ph.span(0, ph.n), ph.n, sketch(ph.windows(width) if windows is None else windows))
+def fingerprint(ph: PrefixHash, windows: list[np.ndarray]) -> str:
+    """``windows``: the span hashes of each of the text's widths."""
+    whole = ph.span(0, ph.n) if ph.n else 0
+    return ":".join([f"{whole:016x}", f"{ph.n:x}", *(sketch(w).tobytes().hex() for w in windows)])
 
 
 def likeness(a: str, b: str) -> float:
     """0 to 1 from two fingerprints alone; 1 where they are equal."""
     if a == b:
         return 1.0
-    x, y = (np.frombuffer(bytes.fromhex(f.rsplit(":", 1)[1]), ">u2") for f in (a, b))
-    if not len(x) or not len(y):
+    x, y = (f.split(":")[2:] for f in (a, b))
+    widest = min(len(x), len(y))
+    if not widest:
         return 0.0
+    x, y = (np.frombuffer(bytes.fromhex(f[widest - 1]), ">u2") for f in (x, y))
     j = float((x == y).mean())
     return 2 * j / (1 + j)
 
@@ -160,23 +178,22 @@ class Fingerprinter:
     def __init__(self) -> None:
         self.powers = Powers()
 
-    def text(self, text: str) -> tuple[PrefixHash, np.ndarray, str]:
-        codes = codes_of(text)
-        ph = PrefixHash(codes, self.powers)
-        windows = ph.windows(span_width(ph.n)) if ph.n else np.zeros(0, np.uint64)
+    def text(self, text: str) -> tuple[PrefixHash, list[np.ndarray], str]:
+        ph = PrefixHash(codes_of(text), self.powers)
+        windows = [ph.windows(w) for w in span_widths(ph.n)]
         return ph, windows, fingerprint(ph, windows)
 
-    def edited(self, text: str, other: str, ph: PrefixHash, windows: np.ndarray) -> tuple[str, str]:
+    def edited(self, text: str, other: str, ph: PrefixHash, windows: list[np.ndarray]) -> tuple[str, str]:
         """(edited text, its fingerprint): the last third of ``text`` replaced by as much of ``other``'s start."""
         cut = ph.n // 3
         keep = ph.n - cut
         new = text[:keep] + other[:cut]
         eph = PrefixHash(codes_of(new), self.powers, ph, keep)
-        width = span_width(eph.n)
-        if width and width == span_width(ph.n):  # spans that end within the kept part are the text's own
+        made = []
+        for own, width in zip(windows, span_widths(eph.n), strict=False):  # spans that end within the kept part are the text's own
             same = max(0, keep - width + 1)
-            return new, fingerprint(eph, np.concatenate([windows[:same], eph.windows(width, same)]))
-        return new, fingerprint(eph)
+            made.append(np.concatenate([own[:same], eph.windows(width, same)]))
+        return new, fingerprint(eph, made)
 
 
 def neighbours(df: DataFrame, key: str, text: str, parts: int) -> DataFrame:
