@@ -1,14 +1,16 @@
 """Secret scans in DataFrame functions only.
 
 Three base patterns give spans (code points, end exclusive). Beside them, every
-run of ``LEAST``+ identifier characters is compared under two character Markov
-models, one of random strings and one of ordinary identifiers; a run whose
-log-likelihood ratio is high enough is a further span unless a base span
-overlaps it. The models are bigram tables over ``ALPHABET`` counted from labelled
-samples (``train``); the ratio table, of a fixed size, is a literal of the plan.
+run of ``LEAST``+ identifier characters that no base span covers (of a run that
+one covers in part, what is left) is compared under two character Markov models,
+one of random strings and one of ordinary identifiers; a run whose
+log-likelihood ratio is high enough is a further span. The models are bigram
+tables over ``ALPHABET`` counted from labelled samples (``train``); the ratio
+table, of a fixed size, is a literal of the plan.
 
 Positions come from splitting a text by a pattern and adding up the lengths of
-the parts and of the matches, so one pass over a text per pattern is enough.
+the parts and of the matches (``_running``), so the work follows a text's length
+and, but for a logarithm, its number of matches.
 
 Edge cases: a null text counts as empty; a text without spans has empty lists,
 the digest of the empty string, and ``spans`` ''. Whole texts are scanned.
@@ -23,14 +25,19 @@ from pyspark.sql import functions as F
 
 from siftwell.llm.common import read_table
 
-ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_KEYWORD = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+ASSIGN = _KEYWORD + r"([A-Za-z0-9+/_.=-]+)"
 #: Greedy runs: as long as the shorter pattern with a check of the length, in one step.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 ASSIGN_LEAST = 12
-#: Runs that the Markov models judge.
-LEAST = 20
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Runs that the Markov models judge; the likelihood ratio, not the length, keeps short ones out.
+LEAST = 12
+_RUN_CHARS = "[A-Za-z0-9+/_=-]"
+ANY_RUN = "(?<!%s)%s{%d,}" % (_RUN_CHARS, _RUN_CHARS, LEAST)
+_BASE = "%s[A-Za-z0-9+/_.=-]{%d,}|%s|%s" % (_KEYWORD, ASSIGN_LEAST, ACCESS, HEX)
+#: A base match, or, as its second group, a run that stops where one begins.
+RUN = r"(?:%s)|(?:\G|(?<!%s))((?:(?!%s)%s){%d,}+)" % (_BASE, _RUN_CHARS, _BASE.replace("((?i)", "(?:(?i)"), _RUN_CHARS, LEAST)
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SIZE = len(ALPHABET) + 1  # index 0: any other character
 #: A run is a secret if its log-likelihood ratio reaches both, in total and a bigram.
@@ -39,6 +46,8 @@ TOTAL, MEAN = 15.0, 0.5
 SAMPLE_DOCS, SAMPLE_RANDOM = 1000, 4000
 KINDS = ("assign", "access", "hex", "markov")
 _SPAN = "struct<start:int,ord:int,end:int>"
+#: Code points of the blocks that a text is cut into for redaction.
+BLOCK = 4096
 
 
 def _index(c: Column) -> Column:
@@ -51,9 +60,8 @@ def train(samples: DataFrame, value: str = "value", label: str = "random") -> li
     ``samples`` has strings and whether each is random; bigrams are counted on
     the executors, add-half smoothed. Null values and labels are left out.
     """
-    s = F.col("v")
     grams = samples.where(F.col(value).isNotNull() & F.col(label).isNotNull()).select(F.col(label).cast("boolean").alias("y"), F.col(value).alias("v")).where("length(v) > 1")
-    pairs = grams.select("y", F.explode(F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: _pair(s, i))).alias("pair"))
+    pairs = grams.select("y", F.split("v", "").alias("c")).select("y", F.explode(F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1), _pair)).alias("pair"))
     counts: dict[bool, dict[int, int]] = {True: {}, False: {}}
     for r in pairs.groupBy("y", "pair").count().collect():  # at most 2 x SIZE^2 rows
         counts[r["y"]][r["pair"]] = r["count"]
@@ -66,15 +74,26 @@ def train(samples: DataFrame, value: str = "value", label: str = "random") -> li
     return table
 
 
-def _pair(s: Column, i: Column) -> Column:
-    """Index of the bigram at ``i`` (from 1) in the table, from 0."""
-    return _index(F.substring(s, i, F.lit(1))) * SIZE + _index(F.substring(s, i + 1, F.lit(1)))
+def _pair(a: Column, b: Column) -> Column:
+    """Index of a bigram in the table, from 0."""
+    return _index(a) * SIZE + _index(b)
+
+
+def _walked(s: Column, table: list[float], finish) -> Column:
+    """One walk over a string's characters: ``sum`` of the bigrams' ratios, and ``best``, the largest sum of neighbouring ones."""
+    llr = F.array(*[F.lit(x) for x in table])
+
+    def step(acc: Column, c: Column) -> Column:
+        more = F.when(acc["last"] == "", F.lit(0.0)).otherwise(F.get(llr, _pair(acc["last"], c)))
+        return _bound(more, lambda m: F.struct(c.alias("last"), (acc["sum"] + m).alias("sum"), F.greatest(F.lit(0.0), acc["here"] + m).alias("here"), F.greatest(acc["best"], acc["here"] + m).alias("best")))
+
+    zero = F.struct(F.lit("").alias("last"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("here"), F.lit(0.0).alias("best"))
+    return F.aggregate(F.split(s, ""), zero, step, finish)
 
 
 def ratio(s: Column, table: list[float]) -> Column:
     """Log-likelihood ratio of a string: random against ordinary."""
-    llr = F.array(*[F.lit(x) for x in table])
-    return F.aggregate(F.sequence(F.lit(1), F.length(s) - 1), F.lit(0.0), lambda acc, i: acc + F.get(llr, _pair(s, i)))
+    return _walked(s, table, lambda acc: acc["sum"])
 
 
 def labelled_samples(spark: SparkSession, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -94,37 +113,51 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, key: str, text: str)
     )
     chosen = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(SAMPLE_DOCS)
     words = F.filter(F.split(F.regexp_replace("t", r"[0-9+/_=-]+|\S*[0-9]\S*", " "), r"[^A-Za-z]+"), lambda w: F.length(w) > 1)
-    some = docs.join(F.broadcast(chosen), key, "left_semi").select(F.col(text).alias("t")).select(words.alias("w")).where("size(w) > 2")
+    # No condition on the words, stated or inferred, may be moved below the join: it would split all texts.
+    some = docs.select(key, text).join(F.broadcast(chosen), key, "left_semi").select(F.col(text).alias("t")).select(words.alias("w"))
     glued = F.transform(
-        F.sequence(F.lit(0), F.size("w") - 3, F.lit(3)),
+        F.when(F.size("w") > 2, F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("w") - 3), F.lit(3))).otherwise(F.array().cast("array<int>")),
         lambda i: F.concat(
             F.get("w", i), F.element_at(F.array(F.lit("_"), F.lit("-"), F.lit("/"), F.lit("")), F.pmod(i, F.lit(4)) + 1),
             F.when(F.pmod(i, F.lit(5)) < 2, F.initcap(F.get("w", i + 1))).otherwise(F.get("w", i + 1)), F.when(F.pmod(i, F.lit(7)) == 0, F.upper(F.concat(F.lit("_"), F.get("w", i + 2)))).otherwise(F.concat(F.lit("_"), F.get("w", i + 2))),
             F.when(F.pmod(i, F.lit(11)) == 0, F.concat(F.lit("_"), F.pmod(i, F.lit(1000)))).otherwise(F.lit("")),
         ),
     )
-    return made.unionByName(some.select(F.explode(F.concat(glued, "w")).alias("value"), F.lit(False).alias("random")))
+    return made.unionByName(some.select(F.explode_outer(F.concat(glued, "w")).alias("value"), F.lit(False).alias("random")))
 
 
-def _spans(text: Column, pattern: str, kind: int, group: int | None = None, least: int = 0) -> Column:
-    """Matches of ``pattern``, leftmost and non-overlapping, as (start, kind, end); of those, the ones whose ``group`` has ``least`` characters."""
-    lengths = lambda xs: F.transform(xs, lambda x: F.length(x))
-    parts = F.arrays_zip(
-        lengths(F.split(text, pattern, -1)).alias("part"),
-        lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("match"),
-        (lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(group))) if group else F.array().cast("array<int>")).alias("own"),
-    )
-    none = F.array().cast(f"array<{_SPAN}>")
+def _running(xs: Column, join) -> Column:
+    """Running ``join`` (a sum, a maximum) of an array by doubling steps: element i takes in element i - 1, then i - 2, i - 4, ..."""
+    steps = F.when(F.size(xs) > 1, F.sequence(F.lit(0), F.ceil(F.log2(F.size(xs))).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+
+    def step(acc: Column, k: Column) -> Column:
+        back = F.lit(1) * F.pow(F.lit(2), k).cast("int")
+        return F.transform(acc, lambda x, i: F.when(i >= back, join(x, F.get(acc, i - back))).otherwise(x))
+
+    return F.aggregate(steps, xs, step)
+
 
-    def step(acc: Column, e: Column) -> Column:
-        start = acc["pos"] + e["part"]
-        end = start + e["match"]
-        found = F.array(F.struct(start.alias("start"), F.lit(kind).alias("ord"), end.alias("end")))
-        good = e["match"].isNotNull() & ((e["own"] >= least) if group else F.lit(True))
-        return F.struct(F.coalesce(end, start).alias("pos"), F.when(good, F.concat(acc["out"], found)).otherwise(acc["out"]).alias("out"))
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, as a lambda's variable."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    walked = F.aggregate(parts, F.struct(F.lit(0).alias("pos"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+
+def _matches(text: Column, pattern: str, group: int) -> Column:
+    """(end, size, own) of the matches of ``pattern``, leftmost and non-overlapping: where each ends, its length and its ``group``."""
+    parts = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    sizes = F.transform(found, lambda x: F.length(x))
+    reach = _bound(F.zip_with(F.slice(parts, 1, F.greatest(F.lit(0), F.size(parts) - 1)), sizes, lambda a, b: a + b), lambda xs: _running(xs, lambda a, b: a + b))
+    own = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    return F.arrays_zip(reach.alias("end"), sizes.alias("size"), own.alias("own"))
+
+
+def _spans(text: Column, pattern: str, kind: int, good=None, group: int = 0) -> Column:
+    """Matches of ``pattern`` whose ``group`` is ``good``, as (start, kind, end)."""
+    # A group that took part begins its match or (in assignments) ends it; only runs have a size of their own.
+    found = _matches(text, pattern, group)
+    kept = F.filter(found, lambda m: good(m["own"])) if good else found
+    return F.transform(kept, lambda m: F.struct((m["end"] - m["size"]).alias("start"), F.lit(kind).alias("ord"), m["end"].alias("end")))
 
 
 def scan(df: DataFrame, text: str, table: list[float], total: float = TOTAL, mean: float = MEAN) -> DataFrame:
@@ -133,15 +166,18 @@ def scan(df: DataFrame, text: str, table: list[float], total: float = TOTAL, mea
     ``ord`` is the place of the kind in ``KINDS``.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    base = F.array_sort(F.concat(_spans(t, ASSIGN, 0, 2, ASSIGN_LEAST), _spans(t, ACCESS, 1), _spans(t, HEX, 2)))
-    runs = _spans(t, RUN, 3)
-    judged = F.filter(
-        F.transform(runs, lambda s: F.struct(s.alias("s"), F.substring(t, s["start"] + 1, s["end"] - s["start"]).alias("run"))),
-        lambda x: x["run"].rlike("[A-Za-z]") & x["run"].rlike("[0-9]|[a-z][A-Z]") & _random(x["run"], table, total, mean),
+    none = F.array().cast(f"array<{_SPAN}>")
+    among = lambda pattern, spans: F.when(t.rlike(pattern), spans).otherwise(none)
+    base = F.concat(
+        among(ASSIGN, _spans(t, ASSIGN, 0, lambda own: F.length(own) >= ASSIGN_LEAST, 2)),
+        among(ACCESS, _spans(t, ACCESS, 1)),
+        among(HEX, _spans(t, HEX, 2)),
     )
-    out = df.withColumn("base", base).withColumn("_runs", F.transform(judged, lambda x: x["s"]))
-    free = F.filter("_runs", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return out.withColumn("spans", F.array_sort(F.concat("base", free))).drop("_runs")
+    # No part of a run without such a stretch can reach the total: texts without one, nearly all, are passed over once.
+    some = F.exists(F.regexp_extract_all(t, F.lit(ANY_RUN), F.lit(0)), lambda run: _walked(run, table, lambda acc: acc["best"]) >= total)
+    random = F.when(some, _spans(t, RUN, 3, lambda own: (own != "") & _random(own, table, total, mean), 2)).otherwise(none)
+    out = df.withColumn("base", F.array_sort(base)).withColumn("_random", random)
+    return out.withColumn("spans", F.array_sort(F.concat("base", "_random"))).drop("_random")
 
 
 def _random(run: Column, table: list[float], total: float, mean: float) -> Column:
@@ -156,17 +192,25 @@ def written(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every span replaced by ``mark``; overlapping spans are one."""
-    merged = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["pos"], s["end"]).alias("pos"),
-            F.when(s["start"] >= acc["pos"], F.concat(acc["out"], F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, merged).otherwise(text)
+    """``text`` with every span replaced by ``mark``; overlapping spans are one.
+
+    The text is cut into blocks once; what stays between the spans is put
+    together from parts of them, so no span walks the text from its start.
+    """
+
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / BLOCK).cast("int")
+        part = lambda b: F.substring(F.get(blocks, b), F.greatest(F.lit(0), start - b * BLOCK) + 1, end - F.greatest(start, b * BLOCK))
+        return F.when(end > start, F.array_join(F.transform(F.sequence(first, F.floor((end - 1) / BLOCK).cast("int")), part), "")).otherwise(F.lit(""))
+
+    def joined(blocks: Column, ends: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0))
+        steps = F.transform(spans, lambda s, i: F.when(s["start"] >= before(i), piece(blocks, before(i), s["start"])))
+        return F.array_join(F.concat(F.array_compact(steps), F.array(piece(blocks, F.element_at(ends, -1), F.length(text)))), mark)
+
+    reach = _bound(F.transform(spans, lambda s: s["end"]), lambda xs: _running(xs, F.greatest))
+    cut = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
+    return F.when(F.size(spans) > 0, _bound(F.struct(cut.alias("blocks"), reach.alias("ends")), lambda x: joined(x["blocks"], x["ends"]))).otherwise(text)
 
 
 def op3_secrets(spark, sf_dir: str) -> DataFrame:
