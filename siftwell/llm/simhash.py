@@ -7,7 +7,8 @@ each fingerprint is dealt under every choice of ``shared`` blocks, and only
 fingerprints that meet under one choice are compared (the exact Hamming check).
 
 Equal fingerprints are one row (fingerprint, smallest id) before anything is
-dealt, so exact copies cost nothing further. A bucket of up to ``BUCKET`` rows is
+dealt, so exact copies cost nothing further. Linked rows are numbered in the
+order of that id: the least number of a component is the row that names it. A bucket of up to ``BUCKET`` rows is
 compared in one task, in blocks, and gives a spanning forest of its links, not
 all pairs. Larger buckets (many distinct fingerprints in one dense group) take
 an exact way that never holds a group: two fingerprints are within 4 bits iff
@@ -32,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.functions.folds import ranked
 from siftwell.llm.common import cut, prepare, read_table, utf8
 
 WORDS = 4
@@ -186,16 +188,19 @@ def links(prints: DataFrame, distance: int = DISTANCE, shared: int | None = None
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node with a link, by alternating large-star and small-star steps (Kiveris et al., 2014).
 
-    ``edges`` has columns a and b. Each step is a shuffle by node with a partial
-    minimum; it ends when a step changes nothing.
+    ``edges`` has columns a and b; the root is the least node. Each step is a
+    shuffle by node with a partial minimum; it ends when a step changes nothing.
+    The minima are tables of their own, so that a node with a large share of all
+    links is joined to its minimum by a broadcast or in parts, as the adaptive
+    planner finds it.
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
+        large = cut(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        down = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
         e = cut(small)
         state = e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).head()
@@ -205,16 +210,27 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
+def named_components(nodes: DataFrame, links_: DataFrame) -> DataFrame:
+    """``nodes`` (columns node and least among them) with ``component_id``, the smallest ``least`` that links reach (null last).
+
+    Linked nodes are numbered in the order of ``least``, so the root of a
+    component names it and no group of a component's nodes is ever formed.
+    """
+    ends = links_.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    order = cut(ranked(nodes.select("node", "least").join(ends, "node", "left_semi"), F.asc_nulls_last("least"), "node", rank="place"))
+    place = lambda c: order.select(F.col("node").alias(c), F.col("place").alias(f"at_{c}"))
+    found = components(links_.join(place("a"), "a").join(place("b"), "b").select(F.col("at_a").alias("a"), F.col("at_b").alias("b")))
+    member = cut(order.select("node", "place").join(found.withColumnRenamed("node", "place"), "place").select("node", "root"))
+    names = order.select(F.col("place").alias("root"), F.col("least").alias("component_id"))
+    return nodes.join(member.join(names, "root").select("node", "component_id"), "node", "left").withColumn("component_id", F.coalesce("component_id", "least"))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """(key, fp, component_id) for every row; the component is named by the smallest key that links reach."""
     prints = cut(fingerprints(df, key, text, words))
     distinct = prints.groupBy("fp").agg(F.min(key).alias("least"))
-    found = components(links(distinct.select("fp"), distance))
-    # Root by smallest fingerprint; then the smallest key of the root's members names the component.
-    member = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = member.join(named, "root").select("fp", "component_id")
-    return prints.join(label, "fp").select(key, "fp", "component_id")
+    label = named_components(distinct.select(F.col("fp").alias("node"), "least"), links(distinct.select("fp"), distance))
+    return prints.join(label.select(F.col("node").alias("fp"), "component_id"), "fp").select(key, "fp", "component_id")
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
@@ -225,29 +241,33 @@ def op6_simhash(spark, sf_dir: str) -> DataFrame:
 
 # -- by similarity ----------------------------------------------------------------------------------------------------
 #
-# For a similarity the fingerprint is wider (``WIDE`` words of 64 bits), blocks
-# are sets of bits drawn by rule, as many as a pair at the threshold needs to
-# share one with probability ``RECALL``, and what the Hamming check lets through
-# is held against a bottom-k sketch of the shingles, which is exact for texts of
-# up to ``SKETCH`` different shingles. For longer ones it decides only what is
-# clear of the threshold by ``CLEAR`` standard errors; the rest is held against
-# all shingles of both texts.
+# For a similarity the fingerprint is wider (``WIDE`` words of 64 bits). A pair
+# at 0.8 differs in about 39 of 256 bits, so that blocks of which one must agree
+# would have 6 bits and hold everything: blocks are sets of bits drawn by rule
+# instead, as many as a pair at the threshold needs to share one with
+# probability ``RECALL``. What the Hamming check lets through is held against
+# sketches of the shingles: all of them for texts of up to ``SKETCH`` different
+# ones, of longer texts those whose hash is below a power of two. Such a sample
+# decides only what is clear of the threshold by ``CLEAR`` standard errors; the
+# rest is held against all shingles of both texts.
 
 WIDE = 4
 #: Words of it that travel with a row for the check within a bucket.
 CARRIED = 2
-SKETCH = 256
-#: Standard errors of a sketch's estimate within which the whole shingle sets decide.
+SKETCH = 1024
+#: Standard errors of a sample's estimate within which the whole shingle sets decide.
 CLEAR = 4
 SIMILARITY = 0.8
 SIMILAR_WORDS = 5
 RECALL = 0.985
 #: Buckets of up to this many rows give all their close pairs, larger ones a spanning forest of the links that hold.
 SMALL = 8
+#: Pairs that samples leave open are tried by rounds, the likeliest of each row first, so many times more in each.
+MORE = 16
 #: Hot buckets that are named in the plan, at most; more are joined by a shuffle.
 NAMED = 10_000
-#: Texts whose whole shingle sets are needed that are named in the plan, at most.
-NAMED_TEXTS = 100_000
+#: Nodes whose sketches, and texts whose whole shingle sets are needed, that are named in the plan, at most.
+NAMED_NODES, NAMED_TEXTS = 250_000, 100_000
 
 
 def _expand(hashes: np.ndarray, word: int) -> np.ndarray:
@@ -258,30 +278,35 @@ def _expand(hashes: np.ndarray, word: int) -> np.ndarray:
 
 
 def wide_print(hashes: list[int]) -> tuple[list[int], bytes]:
-    """(``WIDE`` signed words, bottom-k sketch) of a text's shingle hashes."""
-    if not hashes:
-        return [0] * WIDE, b""
+    """(``WIDE`` signed words, sketch) of a text's shingle hashes."""
     a = np.array(hashes, np.uint64)
-    words = [majority_of(_expand(a, w)) if w else majority_of(a) for w in range(WIDE)]
-    own = np.unique((a >> np.uint64(32)).astype(np.uint32))[:SKETCH]
-    return [int(np.uint64(w).astype(np.int64)) for w in words], own.tobytes()
+    words = [majority_of(_expand(a, w)) if w else majority_of(a) for w in range(WIDE)] if hashes else [0] * WIDE
+    return [int(np.uint64(w).astype(np.int64)) for w in words], sketch_of(a)
+
+
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """A rate r, then the 32-bit hashes below 2^(32 - r) in ascending order, at most ``SKETCH``; all of them at rate 0."""
+    own, rate = np.unique((hashes >> np.uint64(32)).astype(np.uint32)), 0
+    while len(own) > SKETCH:
+        rate += 1
+        own = at_rate(own, rate)
+    return np.append(np.uint32(rate), own).astype("<u4").tobytes()
 
 
-def jaccard(a: bytes, b: bytes) -> float:
-    """Similarity of two shingle sets from their sketches."""
-    if a == b:
-        return 1.0
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    both = np.union1d(x, y)
-    if max(len(x), len(y)) >= SKETCH:
-        both = both[:SKETCH]
-    return float((np.isin(both, x) & np.isin(both, y)).sum() / max(1, len(both)))
+def at_rate(own: np.ndarray, rate: int) -> np.ndarray:
+    return own[: np.searchsorted(own, np.uint64(1 << (32 - rate)))]
+
+
+def read_sketch(sketch: bytes) -> tuple[int, np.ndarray]:
+    x = np.frombuffer(sketch, "<u4")
+    return int(x[0]), x[1:]
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> float:
-    """Jaccard similarity of two sets of hashes."""
+    """Jaccard similarity of two sets of hashes; two empty ones are alike."""
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / max(1, len(x) + len(y) - both)
+    union = len(x) + len(y) - both
+    return both / union if union else 1.0
 
 
 def set_hash(hashes: list[int]) -> int:
@@ -289,16 +314,19 @@ def set_hash(hashes: list[int]) -> int:
 
 
 def judged(a: bytes, b: bytes, similarity: float) -> bool | None:
-    """Whether two shingle sets are so similar; None where their sketches don't tell."""
-    found = jaccard(a, b)
-    if max(len(a), len(b)) < 4 * SKETCH:
-        return found >= similarity
-    margin = sampling_margin(similarity)
-    return None if abs(found - similarity) < margin else found >= similarity
+    """Whether two shingle sets are so similar; None where their samples don't tell."""
+    (p, x), (q, y) = read_sketch(a), read_sketch(b)
+    rate = max(p, q)
+    x, y = at_rate(x, rate), at_rate(y, rate)
+    found = overlap(x, y)
+    if rate and abs(found - similarity) < sampling_margin(similarity, max(len(x), len(y))):
+        return None
+    return found >= similarity
 
 
-def sampling_margin(similarity: float) -> float:
-    return CLEAR * float(np.sqrt(similarity * (1 - similarity) / SKETCH))
+def sampling_margin(similarity: float, sample) -> float:
+    """How far a sample of a union (of so many shingles, or more) may be off."""
+    return CLEAR * np.sqrt(similarity * (1 - similarity) / np.maximum(1, sample))
 
 
 def differing_share(similarity: float) -> float:
@@ -349,42 +377,93 @@ def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, n
     return np.concatenate(left or none), np.concatenate(right or none), np.concatenate(met or none)
 
 
-def verified_forest(bits: np.ndarray, sketches: list[bytes], most: int, similarity: float) -> list[tuple[int, int]]:
-    """Pairs (i, j) of one bucket that connect what its similar pairs connect; only a link that holds takes a row.
+def shared_entries(sets: list[np.ndarray], rows: int = 256, often: float = 0.02) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, counts) of every block of rows: how many entries each of its sets shares with each of all.
 
-    Every two rows that no such links join are compared; pairs that their
-    sketches leave open come after the links.
+    Entries of many sets are counted by a product of 0/1 matrices, the others
+    (at most ``often`` of the sets) pair by pair; one that a single set has
+    can't be shared.
+    """
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    _, entry, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    many = held > max(16, often * n)
+    column = np.cumsum(many) - 1
+    dense = np.zeros((n, int(many.sum())), np.float32)
+    at = many[entry]
+    dense[owner[at], column[entry[at]]] = 1
+    at = np.flatnonzero(~at & (held[entry] > 1))
+    at = at[np.argsort(entry[at], kind="stable")]  # neighbours share an entry, owners ascend
+    few, mine = entry[at], owner[at]
+    begin = np.flatnonzero(np.append(True, few[1:] != few[:-1])) if len(few) else np.zeros(0, np.int64)
+    count = np.diff(np.append(begin, len(few)))
+    first, width = np.repeat(begin, count), np.repeat(count, count)
+    by_row = np.argsort(mine, kind="stable")
+    bounds = np.searchsorted(mine[by_row], np.arange(0, n + rows, rows))
+    for k, i in enumerate(range(0, n, rows)):
+        z = min(i + rows, n)
+        out = dense[i:z] @ dense.T
+        own = by_row[bounds[k] : bounds[k + 1]]
+        if len(own):
+            reach = width[own]
+            other = mine[np.repeat(first[own] - (np.cumsum(reach) - reach), reach) + np.arange(reach.sum())]
+            out += np.bincount(np.repeat(mine[own] - i, reach) * n + other, minlength=(z - i) * n).reshape(z - i, n)
+        yield i, out
+
+
+def compared(bits: np.ndarray, sketches: list[bytes], most: int, similarity: float, label: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, other rows, similarity as their sketches have it, how far it may be off) over every two rows of one bucket that are close and have different labels.
+
+    Labels are read as they are when a row's turn comes.
     """
-    sets = [np.frombuffer(x, np.uint32) for x in sketches]
-    size = np.array([len(x) for x in sets])
-    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    ends = np.cumsum(size)
-    mark = np.zeros(int(ids.max(initial=0)) + 1, bool)
+    read = [read_sketch(x) for x in sketches]
+    rates = np.array([r for r, _ in read])
+    for rate in np.unique(rates).tolist():
+        rows = np.flatnonzero(rates <= rate)
+        sets = [at_rate(read[i][1], rate) for i in rows.tolist()]
+        size = np.array([len(x) for x in sets])
+        for first, shared in shared_entries(sets):
+            for row, both in enumerate(shared, first):
+                i = rows[row]
+                apart = label[rows] != label[i]
+                if rates[i] < rate:
+                    apart &= rates[rows] == rate
+                after = np.flatnonzero(apart)
+                after = after[np.bitwise_count(bits[rows[after]] ^ bits[i]).sum(1) <= most]
+                if len(after):
+                    union = size[after] + size[row] - both[after]
+                    alike = np.where(union > 0, both[after] / np.maximum(1, union), 1.0)
+                    yield i, rows[after], alike, sampling_margin(similarity, union) if rate else np.zeros(len(after))
+
+
+def verified_forest(bits: np.ndarray, sketches: list[bytes], most: int, similarity: float, label: np.ndarray | None = None, tries: int = 1) -> tuple[list[tuple[int, int]], list[tuple[int, int]], bool]:
+    """(links, open pairs, whether there are more of these) of one bucket.
+
+    The links are upheld by their sketches and connect what such links connect.
+    Open pairs are not told by samples and join rows that no links join: the
+    ``tries`` likeliest of each row. Rows with one ``label`` are joined already.
+    """
+    label = np.arange(len(sketches)) if label is None else np.unique(label, return_inverse=True)[1]
     out: list[tuple[int, int]] = []
-    unclear: list[tuple[int, int]] = []
-    tree = np.arange(len(sets))
-    least = similarity - sampling_margin(similarity)
-    open_ = np.arange(len(sets))
-    while len(open_):
-        todo, open_ = [int(open_[0])], open_[1:]
-        root = todo[0]
-        while todo and len(open_):
-            i = todo.pop()
-            near = open_[np.bitwise_count(bits[open_] ^ bits[i]).sum(1) <= most]
-            mark[ids[ends[i] - size[i] : ends[i]]] = True
-            held = np.array([mark[ids[ends[j] - size[j] : ends[j]]].sum() for j in near.tolist()], np.int64)
-            mark[ids[ends[i] - size[i] : ends[i]]] = False
-            # Of sketches that are whole this is the similarity, of others no less than its estimate.
-            most_alike = np.where(np.maximum(size[near], size[i]) < SKETCH, held / np.maximum(1, size[near] + size[i] - held), held / SKETCH)
-            told = {j: judged(sketches[i], sketches[j], similarity) for j in near[(most_alike >= least) | (size[near] + size[i] == 0)].tolist()}
-            unclear += [(i, j) for j, x in told.items() if x is None]
-            hits = [j for j, x in told.items() if x]
-            if hits:
-                tree[hits] = root
-                out += [(i, j) for j in hits]
-                todo += hits
-                open_ = open_[~np.isin(open_, hits)]
-    return out + [(i, j) for i, j in unclear if tree[i] != tree[j]]
+    doubtful = False
+    for i, others, alike, margin in compared(bits, sketches, most, similarity, label):
+        sure = alike >= similarity + margin
+        doubtful |= bool((np.abs(alike - similarity) < margin).any())
+        hits = others[sure]
+        if len(hits):
+            joined, one = np.unique(label[hits], return_index=True)
+            out += [(int(i), int(j)) for j in hits[one]]
+            label[np.isin(label, joined)] = label[i]
+    unclear: set[tuple[int, int]] = set()
+    more = False
+    if doubtful:
+        for i, others, alike, margin in compared(bits, sketches, most, similarity, label):
+            at = np.flatnonzero(np.abs(alike - similarity) < margin)
+            if len(at) > tries:
+                more = True
+                at = at[np.argsort(-alike[at], kind="stable")[:tries]]
+            unclear |= {(min(int(i), j), max(int(i), j)) for j in others[at].tolist()}
+    return out, sorted(unclear), more
 
 
 def crowded_slots(slots: DataFrame, tasks: int, bucket: int) -> DataFrame:
@@ -405,12 +484,11 @@ def crowded_slots(slots: DataFrame, tasks: int, bucket: int) -> DataFrame:
     return told.groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > bucket // 2)
 
 
-def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): candidate pairs of nodes (columns node, f0.., sketch) whose wide fingerprints are close.
+def similar_candidates(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """(pairs, rows of large buckets) among nodes (columns node, f0.., sketch) whose wide fingerprints are close.
 
-    Buckets of up to ``SMALL`` rows give all their close pairs. Of larger ones,
-    the rows that have a close one are met again with their sketches, and give a
-    spanning forest of the links that hold.
+    Buckets of up to ``SMALL`` rows give all their close pairs (a, b). Of larger
+    ones, the rows (slot, node) that have a close one come back, for ``bucket_links``.
 
     A bucket of more than ``bucket`` rows is dealt anew in parts of about half of
     that, and every two parts are met in one task, so no task gathers it and no
@@ -458,15 +536,30 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
     met = cut(keyed.select("slot", "node", *carried).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "slot long, a long, b long"))
     pairs = met.where("slot is null").select("a", "b")
 
+    return pairs.distinct(), met.where("slot is not null").select("slot", F.col("a").alias("node"))
+
+
+def bucket_links(sketched: DataFrame, similarity: float, tries: int) -> DataFrame:
+    """(kind, a, b) of the large buckets, whose rows are (slot, node, carried words, sketch, label).
+
+    Kind ``LINK``: links that hold and join labels; ``OPEN``: pairs that samples
+    don't tell; ``REST``: a slot (a) that has more of these.
+    """
+    most = most_bits(similarity)
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def emit(rows: pa.Table) -> pa.RecordBatch:
+        def emit() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            slot = rows.column(0)[0].as_py()
             bits = np.stack([rows.column(2 + k).to_numpy() for k in range(CARRIED)], 1).view(np.uint64)
-            node = rows.column(1).to_pylist()
-            pairs = verified_forest(bits, rows.column(2 + CARRIED).to_pylist(), most, similarity)
-            ordered = [(min(node[i], node[j]), max(node[i], node[j])) for i, j in pairs]
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in ordered], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            node = rows.column(1).to_numpy()
+            sure, unclear, more = verified_forest(bits, rows.column(2 + CARRIED).to_pylist(), most, similarity, rows.column(3 + CARRIED).to_numpy(), tries)
+            both = np.sort(node[np.array(sure + unclear, np.int64).reshape(-1, 2)], axis=1)
+            kind = [LINK] * len(sure) + [OPEN] * len(unclear) + [REST] * more
+            a, b = both[:, 0].tolist() + [slot] * more, both[:, 1].tolist() + [None] * more
+            return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["kind", "a", "b"])
 
         for b in batches:
             slot = b.column(0).to_numpy()
@@ -474,15 +567,16 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int
             for x, y in zip(edge, edge[1:], strict=False):
                 if x < y:
                     if held and held[0].column(0)[0].as_py() != slot[x]:
-                        yield emit(pa.Table.from_batches(held))
-                        held = []
+                        yield emit()
+                        held.clear()
                     held.append(b.slice(x, y - x))
         if held:
-            yield emit(pa.Table.from_batches(held))
+            yield emit()
+
+    return cut(sketched.repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(link, "kind int, a long, b long").distinct())
+
 
-    large = met.where("slot is not null").select("slot", F.col("a").alias("node")).join(nodes.select("node", *carried, "sketch"), "node")
-    linked = large.select("slot", "node", *carried, "sketch").repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(link, "a long, b long")
-    return pairs.unionByName(linked).distinct()
+LINK, OPEN, REST = range(3)
 
 
 def similar_by_all_shingles(texts: DataFrame, text: str, wanted: DataFrame, n_wanted: int, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -520,30 +614,48 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
             hashes = [shingle_hashes(t, words) for t in utf8(b.column(1))]
             made = [wide_print(h) for h in hashes]
             columns = [pa.array([m[0][i] for m in made], pa.int64()) for i in range(WIDE)]
-            whole = [set_hash(h) if len(m[1]) >= 4 * SKETCH else 0 for h, m in zip(hashes, made, strict=True)]
+            whole = [set_hash(h) if read_sketch(m[1])[0] else 0 for h, m in zip(hashes, made, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *columns, pa.array([m[1] for m in made], pa.binary()), pa.array(whole, pa.int64())], names=names)
 
     schema = f"`{key}` long, own long, " + ", ".join(f"{x} long" for x in f) + ", sketch binary, whole long"
     prints = df.select(F.col(key).cast("long").alias(key), text, own).mapInArrow(run, schema)
     prints = cut(prints.withColumn("print", F.sha2(F.concat_ws(":", F.hex("sketch"), *f, "whole").cast("binary"), 256)).drop("whole"))
     nodes = cut(prints.groupBy("print").agg(F.min(key).alias("least"), F.first("sketch").alias("sketch"), F.min("own").alias("own"), *[F.first(x).alias(x) for x in f]).withColumn("node", F.monotonically_increasing_id()))
-    candidates = similar_links(nodes.select("node", *f, "sketch"), similarity)
-    side = lambda n: nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"s{n}"))
+    candidates, large = similar_candidates(nodes.select("node", *f), similarity)
+    # Only the sketches of nodes that have a candidate are moved.
+    wanted = cut(candidates.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct())
+    carried = [f"f{i}" for i in range(CARRIED)]
+    known = nodes.select("node", *carried, "sketch").join(F.broadcast(wanted) if wanted.count() <= NAMED_NODES else wanted, "node", "left_semi")
+    sketched = large.join(known, "node").select("slot", "node", *carried, "sketch", F.col("node").alias("label"))
+    side = lambda n: known.select(F.col("node").alias(n), F.col("sketch").alias(f"s{n}"))
     both = candidates.join(side("a"), "a").join(side("b"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             told = [judged(x, y, similarity) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             mask = pa.array([x is not False for x in told], pa.bool_())
-            clear = pa.array([x is True for x in told], pa.bool_())
-            yield pa.RecordBatch.from_arrays([c.filter(mask) for c in (b.column(0), b.column(1), clear)], names=["a", "b", "clear"])
-
-    told = cut(both.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long, clear boolean"))
-    edges, unclear = told.where("clear").select("a", "b"), told.where("not clear").select("a", "b")
-    wanted = cut(nodes.join(unclear.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "own"))
-    if n_wanted := wanted.count():
-        edges = edges.unionByName(similar_by_all_shingles(df.select(own, text), text, wanted, n_wanted, unclear, words, similarity))
-    found = components(edges)
-    member = nodes.join(found, "node", "left").select("print", "least", F.coalesce("root", "node").alias("root"))
-    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.select(key, "print").join(member.join(named, "root").select("print", "component_id"), "print").select(key, "component_id")
+            kind = pa.array([LINK if x else OPEN for x in told], pa.int32())
+            yield pa.RecordBatch.from_arrays([c.filter(mask) for c in (kind, b.column(0), b.column(1))], names=["kind", "a", "b"])
+
+    told = cut(both.select("a", "b", "sa", "sb").mapInArrow(verify, "kind int, a long, b long"))
+    tries = 1
+    found = bucket_links(sketched, similarity, tries)
+    edges = told.unionByName(found).where(F.col("kind") == LINK).select("a", "b")
+    unclear = cut(told.unionByName(found).where(F.col("kind") == OPEN).select("a", "b").distinct())
+    texts = df.select(F.xxhash64(text).alias("own"), text)
+    tested = unclear
+    while True:
+        if not unclear.isEmpty():
+            of = cut(nodes.select("node", "own").join(unclear.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"))
+            edges = edges.unionByName(similar_by_all_shingles(texts, text, of, of.count(), unclear, words, similarity))
+        rest = found.where(F.col("kind") == REST).select(F.col("a").alias("slot")).distinct()
+        if rest.isEmpty():
+            break
+        # Rows that links join by now need no further try; of the others, more pairs are tried, at last all.
+        edges, tries = cut(edges), tries * MORE
+        again = sketched.drop("label").join(rest, "slot", "left_semi").join(components(edges), "node", "left")
+        found = bucket_links(again.select("slot", "node", *carried, "sketch", F.coalesce("root", "node").alias("label")), similarity, tries)
+        unclear = cut(found.where(F.col("kind") == OPEN).select("a", "b").join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(unclear)
+    label = named_components(nodes.select("print", "node", "least"), edges)
+    return prints.select(key, "print").join(label.select("print", "component_id"), "print").select(key, "component_id")
