@@ -30,6 +30,11 @@ def empty_if_null(c: Column | str) -> Column:
     return F.coalesce(col(c), F.lit(""))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, as a lambda's variable: for values that ``use`` names often."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # -- dates ------------------------------------------------------------------------------------------------------------
 
 
