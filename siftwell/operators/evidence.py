@@ -1,19 +1,17 @@
-"""Evidence: lexicon matches of every text fragment as a ledger, capped by group, and its summary by candidate."""
+"""Evidence: lexicon matches of every text fragment as a ledger, capped by group, and its summary by candidate.
 
-from __future__ import annotations
+A candidate's fragments, matches and groups are arrays of its row; the ledger is
+these arrays exploded, without a shuffle.
+"""
 
-import hashlib
-import json
+from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from siftwell.config import Config
 from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
-from siftwell.functions import folds
 
 FRAGMENT = "array<struct<source_path:string,source_type:string,excerpt:string,is_current:boolean,start_date:string,end_date:string>>"
 LEDGER = [
@@ -56,72 +54,127 @@ def reconstructible(path: Column, excerpt: Column) -> Column:
     return value.eqNullSafe(excerpt)
 
 
-@F.pandas_udf(StringType())
-def provenance(rows: pd.DataFrame) -> pd.Series:
-    """Canonical hash of what a ledger row rests on."""
-    keys = ("candidate_id", "source_path", "normalized_category", "excerpt", "matched_terms")
-    made = (dict(zip(keys, (*r[:4], list(r[4])), strict=True)) for r in rows.itertuples(index=False))
-    return pd.Series([hashlib.sha256(json.dumps(m, sort_keys=True).encode()).hexdigest() for m in made])
+def json_text(c: Column) -> Column:
+    """A string as JSON with ASCII characters only; most need no more than two replacements."""
+    named = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+    code = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
+
+    def escaped(ch: Column) -> Column:
+        n = F.ascii(ch)
+        pair = F.concat(code(F.lit(0xD800) + F.shiftright(n - 0x10000, 10)), code(F.lit(0xDC00) + F.pmod(n, F.lit(1024))))
+        out = F.when((n >= 32) & (n < 127) & ~ch.isin('"', "\\"), ch)
+        for k, v in named.items():
+            out = out.when(ch == k, F.lit(v))
+        return out.when(n > 0xFFFF, pair).otherwise(code(n))
+
+    plain = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    return F.concat(F.lit('"'), F.when(c.rlike(r"[^\x20-\x7E]"), F.array_join(F.transform(F.split(c, ""), escaped), "")).otherwise(plain), F.lit('"'))
+
+
+def provenance(candidate: Column, path: Column, category: Column, excerpt: Column, terms: Column) -> Column:
+    """Canonical hash of what a ledger row rests on: its JSON with sorted keys."""
+    listed = F.concat(F.lit("["), F.array_join(F.transform(terms, json_text), ", "), F.lit("]"))
+    parts = {"candidate_id": json_text(candidate), "excerpt": json_text(excerpt), "matched_terms": listed, "normalized_category": json_text(category), "source_path": json_text(path)}
+    made = F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": '), v) for k, v in sorted(parts.items())])
+    return F.sha2(F.concat(F.lit("{"), made, F.lit("}")).cast("binary"), 256)
 
 
 def _family(kind: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for kv in V.SOURCE_FAMILIES.items() for x in kv]), kind)
 
 
-def items(context: DataFrame, config: Config, reference: Column) -> DataFrame:
-    """Ledger rows before grouping, in fragment order (``item_seq``): one for each fragment and category with a match.
+def _hits(f: Column, text: Column, config: Config, reference: Column) -> list[Column]:
+    """What each category finds in a fragment's normalized text; null where its source has no weight there.
 
     Pairs of source and category whose weight isn't positive are pruned from the plan.
     """
-    frag = context.select("candidate_id", F.posexplode(fragments()).alias("fragment", "f")).select("candidate_id", "fragment", "f.*")
-    text = frag.withColumn("text", C.normalize_text("excerpt"))
     hits = []
+    dated = f["is_current"].isNotNull() | f["start_date"].isNotNull() | f["end_date"].isNotNull()
     for seq, (name, c) in enumerate(config["evidence"].items()):
         weights = {k: c["weight"] * w for k, w in c["source_weights"].items() if c["weight"] * w > 0}
         if not weights:
             continue
-        weight = F.element_at(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]), F.col("source_type"))
-        hits.append(
-            F.when(
-                F.col("source_type").isin(*weights),
-                F.struct(
-                    F.lit(seq).alias("category_seq"), F.lit(name).alias("normalized_category"), F.lit(c["polarity"]).alias("polarity"), weight.alias("weight"), F.lit(float(c["cap"])).alias("cap"),
-                    F.lit(bool(c["require_corroboration"])).alias("strict"), F.lit(float(max(1, c["match_divisor"]))).alias("divisor"),
-                    F.when(F.col("is_current").isNull() & F.col("start_date").isNull() & F.col("end_date").isNull(), F.lit(1.0)).otherwise(
-                        C.role_recency(F.col("is_current"), F.col("end_date"), F.col("start_date"), reference, float(c["current_multiplier"]), int(c["recent_years"]), float(c["older_multiplier"]))
-                    ).alias("recency"),
-                    C.matched_terms(F.col("text"), c["terms"]).alias("matched_terms"),
-                ),
-            )
+        weight = F.element_at(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]), f["source_type"])
+        recency = C.role_recency(f["is_current"], f["end_date"], f["start_date"], reference, float(c["current_multiplier"]), int(c["recent_years"]), float(c["older_multiplier"]))
+        hit = F.struct(
+            F.lit(seq).alias("category_seq"), F.lit(name).alias("normalized_category"), F.lit(c["polarity"]).alias("polarity"), weight.alias("weight"), F.lit(float(c["cap"])).alias("cap"),
+            F.lit(bool(c["require_corroboration"])).alias("strict"), F.lit(float(max(1, c["match_divisor"]))).alias("divisor"), F.when(dated, recency).otherwise(F.lit(1.0)).alias("recency"),
+            C.matched_terms(text, c["terms"]).alias("matched_terms"),
         )
-    found = text.select("candidate_id", "fragment", "source_path", "source_type", F.col("excerpt").alias("exact_source_excerpt"), F.explode(F.filter(F.array_compact(F.array(*hits)), lambda h: F.size(h["matched_terms"]) > 0)).alias("h"))
-    strength = F.least(F.lit(1.0), F.size("matched_terms") / F.col("divisor"))
-    return found.select("candidate_id", "fragment", "source_path", "source_type", "exact_source_excerpt", "h.*").select(
-        "candidate_id", (F.col("fragment") * 64 + F.col("category_seq")).alias("item_seq"), "source_path", "source_type", "exact_source_excerpt", "normalized_category", "matched_terms", "polarity",
-        C.r6(strength).alias("evidence_strength"), C.r6("recency").alias("recency_weight"), C.r6("weight").alias("configured_weight"), C.r6(strength * F.col("recency") * F.col("weight")).alias("contribution_before_caps"), "cap", "strict",
-    )
+        hits.append(F.when(f["source_type"].isin(*weights), hit))
+    return hits
+
+
+def found(config: Config, reference: Column) -> Column:
+    """A context's ledger items in fragment order: one for each fragment and category with a match."""
+
+    def of_fragment(f: Column, i: Column) -> Column:
+        matched = lambda text: F.filter(F.array_compact(F.array(*_hits(f, text, config, reference))), lambda h: F.size(h["matched_terms"]) > 0)
+
+        def item(h: Column) -> Column:
+            strength = F.least(F.lit(1.0), F.size(h["matched_terms"]) / h["divisor"])
+            return F.struct(
+                (i * 64 + h["category_seq"]).alias("item_seq"), f["source_path"].alias("source_path"), f["source_type"].alias("source_type"), f["excerpt"].alias("exact_source_excerpt"),
+                h["category_seq"].alias("category_seq"), h["normalized_category"].alias("normalized_category"), h["matched_terms"].alias("matched_terms"), h["polarity"].alias("polarity"),
+                C.r6(strength).alias("evidence_strength"), C.r6(h["recency"]).alias("recency_weight"), C.r6(h["weight"]).alias("configured_weight"),
+                C.r6(strength * h["recency"] * h["weight"]).alias("contribution_before_caps"), h["cap"].alias("cap"), h["strict"].alias("strict"), _family(f["source_type"]).alias("family"),
+            )
+
+        return C.bound(C.normalize_text(f["excerpt"]), lambda text: F.transform(matched(text), item))
+
+    return F.flatten(F.transform(fragments(), of_fragment))
+
+
+def graded(items: Column, categories: int) -> Column:
+    """Items with their group's corroboration and what the group's cap leaves them, in ledger order.
+
+    Groups (categories) follow their first item; in one, larger contributions
+    come first, and each takes what is left of the cap: all within the row.
+    """
+
+    def of_group(k: Column) -> Column:
+        own = F.filter(items, lambda x: x["category_seq"] == k)
+
+        def walked(rows: Column) -> Column:
+            families = F.array_distinct(rows["family"])
+            level = F.least(F.lit(1.0), F.size(families) / F.lit(3.0))
+            only_skill = (F.size(families) == 1) & F.array_contains(families, "skill")
+            taken = F.struct(F.lit(0.0).alias("upto"), F.array().cast("array<double>").alias("after"))
+
+            def take(acc: Column, x: Column) -> Column:
+                amount = x["contribution_before_caps"] * F.when(x["strict"] & only_skill, F.lit(V.SKILL_ONLY_FACTOR)).otherwise(F.lit(1.0))
+                upto = acc["upto"] + amount
+                return F.struct(upto.alias("upto"), F.array_append(acc["after"], C.r6(F.least(x["cap"], upto) - F.least(x["cap"], upto - amount))).alias("after"))
+
+            after = F.aggregate(rows, taken, take, lambda acc: acc["after"])
+            return F.zip_with(rows, after, lambda x, a: F.struct(x.alias("x"), a.alias("after"), level.alias("level")))
+
+        ordered = F.transform(F.array_sort(F.transform(own, lambda x: F.struct((-x["contribution_before_caps"]).alias("k"), x["item_seq"].alias("i"), x.alias("x")))), lambda y: y["x"])
+        return F.struct(F.array_min(own["item_seq"]).alias("first"), C.bound(ordered, walked).alias("rows"))
+
+    groups = F.transform(F.array(*[F.lit(k) for k in range(categories)]), of_group)
+    return F.flatten(F.transform(F.array_sort(F.filter(groups, lambda g: g["first"].isNotNull())), lambda g: g["rows"]))
+
+
+def items(context: DataFrame, config: Config, reference: Column) -> DataFrame:
+    """Ledger rows before grouping, in fragment order (``item_seq``)."""
+    return context.select("candidate_id", F.explode(found(config, reference)).alias("x")).select("candidate_id", "x.*").drop("category_seq")
 
 
 def ledger(context: DataFrame, config: Config, reference: Column, with_hash: bool = True) -> DataFrame:
-    """The ledger (``LEDGER``, ``item_seq``, ``evidence_index``); one shuffle by candidate serves all its windows."""
-    rows = items(context, config, reference).withColumn("family", _family(F.col("source_type"))).repartition("candidate_id")
-    group = Window.partitionBy("candidate_id", "normalized_category", "polarity")
-    rows = rows.withColumn("families", F.collect_set("family").over(group)).withColumn("first_seq", F.min("item_seq").over(group))
-    only_skill = (F.size("families") == 1) & F.array_contains("families", "skill")
-    rows = rows.withColumn("adjusted", F.col("contribution_before_caps") * F.when(F.col("strict") & only_skill, F.lit(V.SKILL_ONLY_FACTOR)).otherwise(F.lit(1.0)))
-    after = folds.capped(F.col("adjusted"), F.col("cap"), ["candidate_id", "normalized_category", "polarity"], F.desc("contribution_before_caps"), "item_seq")
-    index = F.row_number().over(Window.partitionBy("candidate_id").orderBy("first_seq", F.desc("contribution_before_caps"), "item_seq")) - 1
-    level = F.least(F.lit(1.0), F.size("families") / F.lit(3.0))
+    """The ledger (``LEDGER``, ``item_seq``, ``evidence_index``, ``family``): groups are folded in their row, so no text is shuffled."""
+    rows = context.select("candidate_id", C.bound(found(config, reference), lambda x: graded(x, len(config["evidence"]))).alias("rows"))
+    rows = rows.select("candidate_id", F.posexplode("rows").alias("evidence_index", "g")).select("candidate_id", "evidence_index", "g.x.*", "g.after", "g.level")
+    made = provenance(F.col("candidate_id"), F.col("source_path"), F.col("normalized_category"), F.col("exact_source_excerpt"), F.col("matched_terms"))
     out = rows.withColumns(
         {
-            "contribution_after_caps": C.r6(after),
-            "corroboration_level": C.r6(level),
-            "confidence": C.r6(F.least(F.lit(1.0), F.col("evidence_strength") * 0.7 + level * 0.3)),
-            "evidence_index": index,
+            "contribution_after_caps": F.col("after"),
+            "corroboration_level": C.r6("level"),
+            "confidence": C.r6(F.least(F.lit(1.0), F.col("evidence_strength") * 0.7 + F.col("level") * 0.3)),
+            "evidence_id": F.concat(F.lit("EVID_"), "candidate_id", F.format_string("_%04d", "evidence_index")),
+            "provenance_hash": made if with_hash else F.lit(None).cast("string"),
         }
-    ).withColumn("evidence_id", F.concat(F.lit("EVID_"), "candidate_id", F.format_string("_%04d", "evidence_index")))
-    made = F.struct("candidate_id", "source_path", "normalized_category", F.col("exact_source_excerpt").alias("excerpt"), "matched_terms")
-    out = out.withColumn("provenance_hash", provenance(made) if with_hash else F.lit(None).cast("string"))
+    )
     return out.select(*LEDGER, "item_seq", "evidence_index", "family")
 
 

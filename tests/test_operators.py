@@ -226,3 +226,15 @@ def test_baseline_prefers_career_evidence(spark, tmp_path):
     rows = {r["candidate_id"]: r for r in scoring.baseline_scores(flat(spark, tmp_path, [strong, stuffed]), load()).withColumn("text", scoring.baseline_explanation()).collect()}
     assert rows["CAND_0000001"]["final_score"] > rows["CAND_0000002"]["final_score"]
     assert rows["CAND_0000002"]["final_score"] <= 100 and rows["CAND_0000001"]["text"].startswith("Career history mentions")
+
+
+def test_provenance_is_the_canonical_hash(spark):
+    import hashlib
+    import json
+
+    texts = ["plain", 'a "q" \\ b', "é漢😀", "x\n\t\x01\x1f\x7f\b\f\r end", "", "  \U0010ffff"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    made = evidence.provenance(F.lit("C"), F.lit("p"), F.lit("c"), F.col("v"), F.array("v", F.lit("t")))
+    for r in df.select("v", made.alias("h")).collect():
+        want = {"candidate_id": "C", "source_path": "p", "normalized_category": "c", "excerpt": r["v"], "matched_terms": [r["v"], "t"]}
+        assert r["h"] == hashlib.sha256(json.dumps(want, sort_keys=True).encode()).hexdigest()
