@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions import columns as C
 from siftwell.functions import folds
+from siftwell.plans.engine_queries import ENGINE
 from siftwell.plans.session import prepare, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,11 +146,11 @@ def flatten_context(t):
 @query(
     "q_array_index_explode",
     """SELECT doc_id, CAST(i - 1 AS BIGINT) AS word_index, w[i] AS word FROM (
-    SELECT doc_id, string_split(text, ' ') AS w, unnest(generate_series(1, least(5, len(string_split(text, ' '))))) AS i FROM documents)""",
+    SELECT doc_id, string_split(text, ' ') AS w, unnest(generate_series(1, len(string_split(text, ' ')))) AS i FROM documents)""",
 )
 def array_index_explode(t):
     """Array elements with their position."""
-    return t("documents").select("doc_id", F.posexplode(F.slice(F.split("text", " "), 1, 5)).alias("i", "word")).select("doc_id", long("i").alias("word_index"), "word")
+    return t("documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("i", "word")).select("doc_id", long("i").alias("word_index"), "word")
 
 
 @query(
@@ -694,85 +695,7 @@ def canonical_hash(t):
     return t("documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sha2(text.cast("binary"), 256).alias("checksum"))
 
 
-# -- the engine's own operators over documents taken as records (rows only: their oracle is in the tests) ----------------
+# -- the engine's own operators over documents taken as records -------------------------------------------------------
 
-
-def records_of(t) -> DataFrame:
-    """Documents as candidate records: the text as the current role's description, labels and events as signals."""
-    from siftwell.sources import candidates as S
-
-    d = t("documents").select("doc_id", "text", "lang", "source", "n_chars").join(t("labels"), "doc_id", "left")
-    signals = F.from_json(
-        F.to_json(
-            F.struct(
-                (F.coalesce("quality", F.lit(0)) == 1).alias("open_to_work_flag"), (F.col("n_chars") % 100 / 100).alias("recruiter_response_rate"), (F.col("doc_id") % 240).alias("avg_response_time_hours"),
-                (F.col("doc_id") % 90).alias("notice_period_days"), F.element_at(F.lit(["remote", "onsite", "hybrid"]), (F.col("doc_id") % 3 + 1).cast("int")).alias("preferred_work_mode"), F.lit("2026-05-01").alias("last_active_date"),
-            )
-        ),
-        S.SIGNALS,
-    )
-    role = F.struct(
-        F.col("source").alias("company"), F.lit("Search Engineer").alias("title"), F.lit("2021-03-01").alias("start_date"), F.lit(None).cast("string").alias("end_date"), (F.col("n_chars") % 90).alias("duration_months"),
-        F.lit(True).alias("is_current"), F.lit(None).cast("string").alias("industry"), F.lit(None).cast("string").alias("company_size"), F.col("text").alias("description"),
-    )
-    none = F.lit(None).cast("string")
-    profile = F.struct(F.col("lang").alias("headline"), C.first_sentence(F.col("text")).alias("summary"), F.lit("Engineer").alias("current_title"), none.alias("current_company"), none.alias("current_company_size"), none.alias("current_industry"), none.alias("location"), F.col("lang").alias("country"), (F.col("n_chars") % 18).cast("double").alias("years_of_experience"))
-    skill = F.struct(F.lit("Vector search").alias("name"), F.lit("advanced").alias("proficiency"), F.lit(None).cast("bigint").alias("endorsements"), (F.col("n_chars") % 150).alias("duration_months"))
-    return d.select(
-        F.lit("documents").alias("file"), F.col("doc_id").alias("row_num"), F.format_string("CAND_%07d", "doc_id").alias("candidate_id"), profile.cast(S.PROFILE).alias("profile"), F.array(role).cast(S.HISTORY).alias("career_history"),
-        F.array(skill).cast(S.SKILLS).alias("skills"), F.array().cast(S.CERTIFICATIONS).alias("certifications"), signals.alias("signals"),
-    )
-
-
-def engine_tables(t) -> dict[str, DataFrame]:
-    from siftwell.config import load
-    from siftwell.operators import credibility, evidence, normalize, scoring
-
-    config = load()
-    ref = C.date_lit(config.reference_date)
-    flat = normalize.normalized(records_of(t), ref, with_hash=False)
-    rows = evidence.ledger(flat, config, ref)
-    summary = evidence.summary(flat, rows)
-    triggered = credibility.with_triggers(flat, summary, config, ref)
-    risks = credibility.breakdown(triggered, config)
-    behaviour = scoring.availability(flat, summary, config, ref)
-    return {"flat": flat, "ledger": rows, "summary": summary, "triggers": credibility.trigger_rows(triggered), "credibility": risks, "availability": behaviour, "scores": scoring.final_scores(flat, summary, risks, behaviour, config), "baseline": scoring.baseline_scores(flat, config)}
-
-
-@query("q_engine_ledger")
-def engine_ledger(t):
-    """The evidence ledger, with its provenance hashes left to the runs."""
-    return engine_tables(t)["ledger"].drop("provenance_hash", "exact_source_excerpt")
-
-
-@query("q_engine_summary")
-def engine_summary(t):
-    """One evidence summary for each record."""
-    return engine_tables(t)["summary"]
-
-
-@query("q_engine_triggers")
-def engine_triggers(t):
-    """Fired credibility rules."""
-    return engine_tables(t)["triggers"]
-
-
-@query("q_engine_scores")
-def engine_scores(t):
-    """The full score breakdown."""
-    return engine_tables(t)["scores"]
-
-
-@query("q_engine_baseline")
-def engine_baseline(t):
-    """The baseline score breakdown."""
-    return engine_tables(t)["baseline"]
-
-
-@query("q_engine_explanations")
-def engine_explanations(t):
-    """Explanations of the top hundred, with their lint and grounding results."""
-    from siftwell.operators import explain, scoring
-
-    x = engine_tables(t)
-    return explain.explanations(scoring.rank_top(x["scores"]), x["ledger"], x["flat"], strict=False)
+for _name, (_function, _sql) in ENGINE.items():
+    query(_name, _sql)(_function)
