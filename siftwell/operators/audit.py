@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions import columns as C
@@ -74,31 +74,46 @@ def with_issues(records: DataFrame, reference: Column) -> DataFrame:
     return r.withColumn("issues", issues(F.col("profile.years_of_experience"), F.col("career_history"), F.col("skills"), F.col("signals"), reference))
 
 
+def exploded(judged: DataFrame) -> DataFrame:
+    """(file, row_num, candidate_id, type, severity, reason) of records with their issues."""
+    return judged.select("file", "row_num", "candidate_id", F.explode("issues").alias("i")).select("file", "row_num", "candidate_id", "i.*")
+
+
 def issue_rows(records: DataFrame, reference: Column) -> DataFrame:
-    """(file, row_num, candidate_id, type, severity, reason), one row for each issue."""
-    return with_issues(records, reference).select("file", "row_num", "candidate_id", F.explode("issues").alias("i")).select("file", "row_num", "candidate_id", "i.*")
+    """``exploded`` issues of records, one row for each."""
+    return exploded(with_issues(records, reference))
 
 
-def summary(records: DataFrame, all_issues: DataFrame, top: int = 30) -> dict:
-    """Counters, most frequent values and histograms of a dataset; a few rows each reach the driver."""
+#: Profiles whose most frequent values are told, and those whose values are all told.
+COMMON = {"top_countries": "profile.country", "top_locations": "profile.location", "top_titles": "profile.current_title"}
+EVERY = ("years_distribution", "career_count_distribution", "skill_count_distribution")
 
-    def common(column: str) -> dict:
-        rows = records.groupBy(F.coalesce(F.col(column), F.lit("")).alias("v")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("file", "row_num")).alias("f"))
-        return {r["v"]: r["n"] for r in rows.orderBy(F.desc("n"), "f").limit(top).collect()}
 
-    def counts(c: Column) -> dict:
-        return {str(r["v"]): r["n"] for r in records.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect()}
+def value_counts(records: DataFrame) -> DataFrame:
+    """(profile, value, n, first): how often each profile has each value and where it was first seen; one pass for all profiles."""
+    number = lambda c: F.coalesce(c.cast("int"), F.lit(0)).cast("string")
+    values = {
+        **{name: C.empty_if_null(c) for name, c in COMMON.items()},
+        **dict(zip(EVERY, (number(F.floor("profile.years_of_experience")), number(F.size("career_history")), number(F.size("skills"))), strict=True)),
+    }
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("profile"), v.alias("value")) for name, v in values.items()]))
+    return records.select("file", "row_num", pairs.alias("x")).groupBy("x.profile", "x.value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("file", "row_num")).alias("first"))
+
 
+def summary(records: DataFrame, all_issues: DataFrame, top: int = 30) -> dict:
+    """Counters, most frequent values and histograms of a dataset: three jobs, a few rows each reach the driver."""
+    order = Window.partitionBy("profile").orderBy(F.desc("n"), "first")
+    told = value_counts(records).withColumn("place", F.row_number().over(order)).where(F.col("profile").isin(*EVERY) | (F.col("place") <= top))
+    found: dict[str, dict] = {name: {} for name in (*COMMON, *EVERY)}
+    for r in sorted(told.collect(), key=lambda r: r["place"]):
+        found[r["profile"]][r["value"]] = r["n"]
+    for name in EVERY:
+        found[name] = dict(sorted(found[name].items(), key=lambda kv: int(kv[0])))
     kinds = {r["type"]: r["n"] for r in all_issues.groupBy("type").agg(F.count(F.lit(1)).alias("n")).orderBy("type").collect()}
     mode = F.lower(C.empty_if_null("signals.preferred_work_mode"))
     flags = records.agg(F.count_if("signals.open_to_work_flag").alias("o"), F.count_if(mode.isin("remote", "flexible")).alias("r")).head()
     return {
-        "top_countries": common("profile.country"),
-        "top_locations": common("profile.location"),
-        "top_titles": common("profile.current_title"),
-        "years_distribution": counts(F.floor(F.coalesce("profile.years_of_experience", F.lit(0.0))).cast("int")),
-        "career_count_distribution": counts(F.coalesce(F.size("career_history"), F.lit(0))),
-        "skill_count_distribution": counts(F.coalesce(F.size("skills"), F.lit(0))),
+        **found,
         "signal_summaries": {"open_to_work_true": flags["o"], "remote_or_flexible": flags["r"]},
         "issue_counts": kinds,
         "date_anomalies": {k: v for k, v in kinds.items() if any(p in k for p in ("date", "duration", "signup"))},

@@ -60,11 +60,13 @@ class Engine:
         def work():
             parsed = sinks.write_table(candidates.parse(candidates.read_lines(self.spark, source)), self.path("audit/parsed"), ["candidate_id"])
             records, issues, stats = candidates.check(parsed, malformed_threshold)
+            records = audit.with_issues(records, self.reference).persist()  # keep-first and rules once for all counts
             columns = ["file", "row_num", "candidate_id", "type", "severity"]
             none = F.lit(None).cast("string")
-            fired = audit.issue_rows(records, self.reference).select(*columns, "reason", none.alias("field"))
+            fired = audit.exploded(records).select(*columns, "reason", none.alias("field"))
             rows = sinks.write_table(issues.select(*columns, none.alias("reason"), "field").unionByName(fired), self.path("audit/issues"), columns)
             profile = audit.summary(records, rows)
+            records.unpersist()
             fields = {r["field"]: r["n"] for r in rows.where("field is not null").groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
             out = [sinks.write_json(self.path("audit/audit_summary.json"), {"stats": stats, "missing_fields": fields, "issue_counts": profile["issue_counts"]})]
             out.append(sinks.write_json(self.path("audit/field_profile.json"), profile))
@@ -95,6 +97,7 @@ class Engine:
             ledger = sinks.write_table(evidence.ledger(flat, self.config, self.reference), self.path("evidence/ledger"), evidence.LEDGER)
             summary = sinks.write_table(evidence.summary(flat, ledger), self.path("evidence/summary"), ["candidate_id"], rows=flat.count())
             r = summary.agg(F.count(F.lit(1)).alias("n"), F.sum("evidence_item_count").alias("items"), F.count_if(F.col("evidence_item_count") == 0).alias("none"), F.avg("skill_corroboration_score").alias("corroboration")).head().asDict()
+            r["without_context"] = ledger.select("candidate_id").distinct().join(flat.select("candidate_id"), "candidate_id", "left_anti").count()
             md = sinks.write_text(self.path("reports/evidence_report.md"), report("Evidence", r))
             return [self.path("evidence/ledger"), self.path("evidence/summary"), md], {"rows": r["n"], "items": r["items"]}
 
@@ -104,7 +107,7 @@ class Engine:
         def work():
             rows = credibility.with_triggers(self.table("normalized/candidates"), self.table("evidence/summary"), self.config, self.reference)
             triggered = sinks.write_table(rows.select("candidate_id", "triggers", "unsupported_skill_risk_score", "risk_signals_score"), self.path("credibility/triggers"), ["candidate_id"])
-            out = sinks.write_table(credibility.breakdown(triggered, self.config), self.path("credibility/breakdown"), ["candidate_id"])
+            out = sinks.write_table(credibility.breakdown(triggered, self.config).orderBy("candidate_id"), self.path("credibility/breakdown"), ["candidate_id"])
             r = out.agg(F.count(F.lit(1)).alias("n"), F.avg("credibility_multiplier").alias("mean_multiplier"), F.sum("triggered_rule_count").alias("triggers")).head().asDict()
             md = sinks.write_text(self.path("reports/credibility_report.md"), report("Credibility", r))
             return [self.path("credibility/triggers"), self.path("credibility/breakdown"), md], {"rows": r["n"]}
@@ -174,8 +177,8 @@ class Engine:
 
     def run(self, source: str | Path, out: str | Path | None = None, mode: str = "v2", malformed_threshold: int = 10000, allow_small_sample: bool = False, strict: bool = True) -> Result:
         """All stages of a mode. A sample of under a hundred candidates needs ``allow_small_sample`` and gives no official file."""
-        self.input_hash = lifecycle.path_hash(source)
-        lifecycle.manifest(self.dir, status="running", mode=mode, input={"path": Path(source).as_posix(), "sha256": self.input_hash}, config={b: self.config.hash_of(b) for b in self.config.data}, seed=self.seed)
+        self.input_hash = lifecycle.dataset_hash(self.spark, source)
+        lifecycle.manifest(self.dir, status="running", mode=mode, input={"path": str(source), "row_hash": self.input_hash}, config={b: self.config.hash_of(b) for b in self.config.data}, seed=self.seed)
         try:
             self.audit(str(source), malformed_threshold)
             self.normalize(str(source))
@@ -212,7 +215,7 @@ def rank_records(spark: SparkSession, payload: bytes, filename: str, work_dir: s
     rows = candidates.decode_upload(payload, filename)
     source = sinks.write_jsonl(Path(work_dir) / "upload.jsonl", rows)
     engine = Engine(spark, Path(work_dir) / "run", config)
-    engine.input_hash = lifecycle.path_hash(source)
+    engine.input_hash = lifecycle.dataset_hash(spark, source)
     engine.normalize(str(source))
     engine.evidence()
     engine.credibility()

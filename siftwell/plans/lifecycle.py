@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
 import json
 import platform
@@ -13,11 +14,16 @@ from collections.abc import Callable
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 from siftwell.config import sha256_json
 from siftwell.sources import sinks
 
 FOLDERS = ("audit", "normalized", "evidence", "credibility", "behavioral", "scores", "reasoning", "submission", "reports", "logs", "state", "artifacts")
 HISTORY = 5
+#: Raised where a stage's outputs change their meaning while its code looks the same (1 where none is given).
+STAGE_VERSIONS = {"evidence": 2, "reasoning": 2}
 
 
 def now() -> str:
@@ -34,16 +40,42 @@ def make_folders(run_dir: str | Path) -> Path:
     return Path(run_dir)
 
 
+#: Files up to this size are told by their bytes, larger ones and those of tables by name, length and time of change.
+READ_BYTES = 1 << 20
+
+
 def path_hash(path: str | Path) -> str:
-    """Hash of a file's bytes, or of a folder's data files by name."""
-    p, h = Path(path), hashlib.sha256()
+    """Hash of a small file's bytes, read in parts."""
+    h = hashlib.sha256()
+    with Path(path).open("rb") as b:
+        while part := b.read(1 << 20):
+            h.update(part)
+    return h.hexdigest()
+
+
+def output_mark(path: str | Path) -> str:
+    """What tells a stage's output from a changed one, without reading a table."""
+    p = Path(path)
+    if p.is_file() and p.stat().st_size <= READ_BYTES:
+        return path_hash(p)
     files = sorted(f for f in p.rglob("*") if f.is_file() and not f.name.startswith((".", "_"))) if p.is_dir() else [p]
-    for f in files:
-        if p.is_dir():
-            h.update(f.relative_to(p).as_posix().encode())
-        with f.open("rb") as b:
-            while part := b.read(1 << 20):
-                h.update(part)
+    return sha256_json([[f.relative_to(p).as_posix(), f.stat().st_size, f.stat().st_mtime_ns] for f in files])
+
+
+def dataset_hash(spark: SparkSession, source: str | Path) -> str:
+    """Hash of a text's lines, whatever their order and files: counted and hashed on the executors."""
+    h = F.xxhash64("value")
+    r = spark.read.text(str(source)).agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h), F.sum(F.length("value"))).head()
+    return hashlib.sha256(":".join(map(str, r)).encode()).hexdigest()
+
+
+@functools.cache
+def code_hash() -> str:
+    """Hash of the sources that stages run, so that results of other code aren't reused."""
+    root, h = Path(__file__).resolve().parents[1], hashlib.sha256()
+    for f in sorted(root.rglob("*.py")):
+        if "llm" not in f.relative_to(root).parts:
+            h.update(f.relative_to(root).as_posix().encode() + b"\0" + f.read_bytes())
     return h.hexdigest()
 
 
@@ -85,7 +117,7 @@ class Stages:
     def end(self, stage: str, status: str, outputs: list[str | Path] = (), **metadata: Any) -> None:
         s = self._of(stage)
         took = round(time.time() - s.pop("began", time.time()), 3)
-        s |= {"status": status, "finished_at": now(), "seconds": took, "total_seconds": round(s["total_seconds"] + took, 3), "outputs": {str(p): path_hash(p) for p in outputs}, "metadata": metadata}
+        s |= {"status": status, "finished_at": now(), "seconds": took, "total_seconds": round(s["total_seconds"] + took, 3), "outputs": {str(p): output_mark(p) for p in outputs}, "metadata": metadata}
         s["history"] = [*s["history"], {"status": status, "at": s["finished_at"], "seconds": took, "fingerprint": s.get("fingerprint")}][-HISTORY:]
         self._save()
 
@@ -107,7 +139,7 @@ class Stages:
         for path, known in s.get("outputs", {}).items():
             if not Path(path).exists():
                 return False, f"output is missing: {path}"
-            if path_hash(path) != known:
+            if output_mark(path) != known:
                 return False, f"output has changed: {path}"
         return True, "valid"
 
@@ -124,7 +156,7 @@ class Runner:
 
     def __call__(self, stage: str, upstream: tuple[str, ...], config_hash: str, work: Callable[[], tuple[list, dict]], **extra: Any) -> bool:
         """True if the stage ran."""
-        fingerprint = sha256_json({"stage": stage, "config": config_hash, "upstream": {u: self.stages.outputs_hash(u) for u in upstream}, **extra})
+        fingerprint = sha256_json({"stage": stage, "version": STAGE_VERSIONS.get(stage, 1), "code": code_hash(), "config": config_hash, "upstream": {u: self.stages.outputs_hash(u) for u in upstream}, **extra})
         ok, why = self.stages.reusable(stage, fingerprint)
         moved = [u for u in upstream if u in self.rerun]
         if self.resume and not self.force and not moved and ok:

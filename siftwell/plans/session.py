@@ -57,10 +57,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where that is unset (tests, a laptop) is a temporary folder used.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; where
+    that is unset, a local session takes a temporary folder, and any other is an
+    error, as its executors would not see the driver's.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siftwell-checkpoint-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="siftwell-checkpoint-"))
     return df.checkpoint(eager=True)

@@ -83,7 +83,7 @@ def build_semantic(spark: SparkSession, path: str, run_dir: str) -> dict:
     config = load({"semantic": {"enabled": True}})
     records = candidates.valid_records(candidates.parse(candidates.read_lines(spark, path)))
     flat = normalize.normalized(records, C.date_lit(config.reference_date), with_hash=False)
-    table = semantic.build(flat, run_dir, config, lifecycle.path_hash(path))
+    table = semantic.build(flat, run_dir, config, lifecycle.dataset_hash(spark, path))
     return {"rows": table.count(), "hash": semantic.table_hash(table)}
 
 

@@ -6,7 +6,6 @@ import csv
 import json
 import os
 import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from pathlib import Path
@@ -20,22 +19,29 @@ class SinkError(ValueError):
 
 
 def publish(path: str | Path, write: Callable[[Path], None], check: Callable[[Path], None] | None = None) -> Path:
-    """Write beside ``path``, check, sync and replace; on any error the old file stays and the new one goes."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    handle, name = tempfile.mkstemp(prefix=f".{path.name}.", suffix=".tmp", dir=path.parent)
-    os.close(handle)
-    temp = Path(name)
+    """A driver's file, first whole under another name: what fails to be written or checked never takes the old one's place."""
+    final = Path(path)
+    final.parent.mkdir(parents=True, exist_ok=True)
+    draft = final.with_name(f".{final.name}.{uuid.uuid4().hex}")
     try:
-        write(temp)
-        if check:
-            check(temp)
-        with temp.open("rb") as f:
-            os.fsync(f.fileno())
-        os.replace(temp, path)
+        write(draft)
+        if check is not None:
+            check(draft)
+        _to_disk(draft)
+        draft.replace(final)
+    except BaseException:
+        draft.unlink(missing_ok=True)
+        raise
+    _to_disk(final.parent)
+    return final
+
+
+def _to_disk(path: Path) -> None:
+    number = os.open(path, os.O_RDONLY)
+    try:
+        os.fsync(number)
     finally:
-        temp.unlink(missing_ok=True)
-    return path
+        os.close(number)
 
 
 def write_text(path: str | Path, text: str) -> Path:
@@ -93,9 +99,10 @@ def write_table(df: DataFrame, path: str, required: Sequence[str] = (), rows: in
     """
     spark = df.sparkSession
     jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(str(path))
+    at = jvm.org.apache.hadoop.fs.Path
+    mark = uuid.uuid4().hex
+    target, temp, aside = at(str(path)), at(f"{path}.{mark}.tmp"), at(f"{path}.{mark}.old")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    temp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     try:
         writer = df.write.format(fmt)
         (writer.option("header", True) if fmt == "csv" else writer).save(str(temp))
@@ -104,10 +111,14 @@ def write_table(df: DataFrame, path: str, required: Sequence[str] = (), rows: in
             raise SinkError(f"{path} lacks {missing}")
         if rows is not None and (n := back.count()) != rows:
             raise SinkError(f"{path} has {n} rows, not {rows}")
-        if fs.exists(target):
-            fs.delete(target, True)
+        if fs.exists(target) and not fs.rename(target, aside):
+            raise SinkError(f"{path} can't be put aside")
         if not fs.rename(temp, target):
+            if fs.exists(aside):
+                fs.rename(aside, target)
             raise SinkError(f"{path} can't be renamed into place")
+        if fs.exists(aside):
+            fs.delete(aside, True)
     finally:
         if fs.exists(temp):
             fs.delete(temp, True)

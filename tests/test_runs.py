@@ -104,7 +104,7 @@ def test_semantic_gate(spark, done, tmp_path, monkeypatch):
     d, src = done
     on = load({"semantic": {"enabled": True}})
     flat = spark.read.parquet(str(d / "run/normalized/candidates"))
-    h = lifecycle.path_hash(src)
+    h = lifecycle.dataset_hash(spark, src)
     assert semantic.load(spark, tmp_path, load(), flat, h)[1] == {"status": "disabled"}
     assert semantic.load(spark, tmp_path, on, flat, h)[1] == {"status": "absent"}
     tools.build_semantic(spark, src, str(tmp_path))
