@@ -15,14 +15,15 @@ texts' spans, repeats included; ``likeness`` gives 2J / (1 + J), the share of
 text in common, from the widest spans that both texts have sketches of.
 
 Edge cases: a null text counts as empty; two empty texts have likeness 1, an
-empty and another one 0. Equal ids are ordered by their text; a null id comes
-last. Lone rows are their own next document.
+empty and another one 0. Equal ids are ordered by the xxhash64 of their text; a
+null id comes last. Lone rows are their own next document.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -197,35 +198,46 @@ class Fingerprinter:
 
 
 def neighbours(df: DataFrame, key: str, text: str, parts: int) -> DataFrame:
-    """(key, text, part, guest) dealt so that a partition holds a run of keys in descending order and, as ``guest``, the row that follows its last one.
+    """(key, text, part, guest) dealt so that a partition holds a run of rows in order and, as ``guest``, the row that follows its last one.
 
-    Bounds are quantiles of the key over all rows; only those (``parts`` of
-    them) come to the driver. Each text is shuffled once, and one row a part twice.
+    The order is descending by key, null last, then by a hash of the text. Bounds
+    are quantiles of the key over all rows; only those (``parts`` of them) come
+    to the driver. A key that fills several quantiles, and null, has parts of its
+    own by that hash. Each text is shuffled once, and one row a part twice.
     """
-    src = df.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
+    src = df.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text)).withColumn("h", F.xxhash64(text))
     ids = src.select(key)
-    cuts = ids.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10000)).head()[0] if parts > 1 else []
-    cuts = sorted(set(cuts or []), reverse=True)
-    # Part 0 has the largest keys; nulls come last. The place among the cuts is found in two steps of about their root.
-    own = F.lit(0)
+    found = ids.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10000).alias("cuts"), F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("none")).head()
+    often = Counter(found["cuts"] or []) if parts > 1 else Counter()
+    cuts = sorted(often, reverse=True)
+    # Place p among the cuts is that of keys from cuts[p] up; a cut that recurs is a key with parts of its own behind it.
+    own_parts = [often[c] if often[c] > 1 else 0 for c in cuts] + [-(-found["none"] * parts // found["n"]) if found["n"] else 0]
+    # Place 0 has the largest keys. It is found in two steps of about the root of their number.
+    place = F.lit(0)
     if cuts:
         step = math.isqrt(len(cuts)) + 1
         below = lambda bounds: F.size(F.filter(bounds, lambda c: F.col(key) < c))
         coarse = cuts[step - 1 :: step]
         first = (below(F.lit(coarse)) if coarse else F.lit(0)) * step
-        own = F.when(F.col(key).isNull(), F.lit(len(cuts))).otherwise(first + below(F.slice(F.lit(cuts), first + 1, F.lit(step))))
-    placed = src.withColumn("part", own.cast("int"))
-    tops = {r["part"]: r["top"] for r in placed.groupBy("part").agg(F.max(key).alias("top")).collect()}
-    full = sorted(tops)
+        place = F.when(F.col(key).isNull(), F.lit(len(cuts))).otherwise(first + below(F.slice(F.lit(cuts), first + 1, F.lit(step))))
+    at = lambda values, kind, i: F.get(F.array(*[F.lit(v).cast(kind) for v in values]), i)
+    share = (F.col("h") / 2.0**64 + 0.5) * at(own_parts, "int", F.col("place"))
+    alone = F.col(key).eqNullSafe(at([*cuts, None], "long", F.col("place"))) & (at(own_parts, "int", F.col("place")) > 0)
+    before_place = [p + sum(own_parts[:p]) for p in range(len(own_parts))]
+    number = at(before_place, "int", F.col("place")) + F.when(alone, 1 + F.least(F.floor(share), at(own_parts, "int", F.col("place")) - 1)).otherwise(F.lit(0))
+    placed = src.withColumn("place", place.cast("int")).withColumn("part", number.cast("int")).drop("place")
+    total = before_place[-1] + own_parts[-1] + 1
+    head = F.min(F.struct(F.col(key).isNull().alias("none"), F.bitwise_not(key).alias("down"), "h")).alias("head")
+    heads = {r["part"]: r["head"] for r in placed.groupBy("part").agg(head).collect()}
+    full = sorted(heads)
     # The first row of a part is also sent, as a guest, to the part before it; the first of all to the last part.
     before = {p: full[i - 1] for i, p in enumerate(full)}
-    parts = len(cuts) + 1
-    top = F.get(F.array(*[F.lit(tops.get(p)).cast("long") for p in range(parts)]), F.col("part"))
-    ahead = F.get(F.array(*[F.lit(before.get(p)).cast("int") for p in range(parts)]), F.col("part"))
-    lookup = F.when(F.col(key).eqNullSafe(top), ahead)
-    copies = F.array_compact(F.array(F.struct("part", F.lit(False).alias("guest")), F.when(lookup.isNotNull(), F.struct(lookup.alias("part"), F.lit(True).alias("guest")))))
-    dealt = placed.withColumn("at", F.explode(copies)).select(key, text, "at.part", "at.guest")
-    return dealt.repartitionById(parts, "part").sortWithinPartitions("part", "guest", F.desc_nulls_last(key), text)
+    column = lambda name: [heads[p][name] if p in heads else None for p in range(total)]
+    is_head = F.bitwise_not(key).eqNullSafe(at(column("down"), "long", F.col("part"))) & (F.col("h") == at(column("h"), "long", F.col("part")))
+    ahead = at([before.get(p) for p in range(total)], "int", F.col("part"))
+    copies = F.array_compact(F.array(F.struct("part", F.lit(False).alias("guest")), F.when(is_head, F.struct(ahead.alias("part"), F.lit(True).alias("guest")))))
+    dealt = placed.withColumn("at", F.explode(copies)).select(key, text, "at.part", "at.guest", "h")
+    return dealt.repartitionById(total, "part").sortWithinPartitions("part", "guest", F.desc_nulls_last(key), "h", text).drop("h")
 
 
 def op1_schema(key: str) -> str:

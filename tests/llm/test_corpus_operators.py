@@ -25,16 +25,37 @@ def texts(edge_dir, spark):
 # 1 -------------------------------------------------------------------------------------------------------------------
 
 
+def edited_texts(docs):
+    """By id, (length, hash of the edited text) of each row, in any order."""
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64
+    docs = sorted(((i, t or "") for i, t in docs), key=lambda x: (x[0] is None, -(x[0] or 0), signed(x[1])))
+    want = defaultdict(list)
+    for k, (i, t) in enumerate(docs):
+        nxt, cut_ = docs[(k + 1) % len(docs)][1], len(t) // 3
+        want[i].append((len(t), hashlib.sha256((t[: len(t) - cut_] + nxt[:cut_]).encode()).hexdigest()))
+    return want
+
+
+@pytest.mark.parametrize("parts", [1, 2, 9, 40])
+def test_hot_ids_and_null_ids_have_parts_of_their_own(spark, parts):
+    rng = random.Random(parts)
+    docs = [(rng.choice([None, 7, 7, i]), K.prose(rng, rng.randint(0, 12))) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = defaultdict(list)
+    for r in fingerprint.fingerprint_pairs(df, parts=parts).collect():
+        got[r["doc_id"]].append((r["n_chars"], r["edited_sha256"]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in edited_texts(docs).items()}
+    if parts == 40:
+        sizes = [n for (n,) in fingerprint.neighbours(df, "doc_id", "text", parts).groupBy("part").count().select("count").collect()]
+        assert max(sizes) < 40
+
+
 def test_fingerprints_follow_descending_ids(spark, edge_dir):
     rows = QUERIES["op1_fingerprints"](spark, edge_dir).collect()
-    docs = sorted(((i, t or "") for i, t in texts(edge_dir, spark)), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
     got = defaultdict(list)
     for r in rows:
         got[r["doc_id"]].append((r["n_chars"], r["edited_sha256"]))
-    want = defaultdict(list)
-    for k, (i, t) in enumerate(docs):
-        nxt, cut_ = docs[(k + 1) % len(docs)][1], len(t) // 3
-        want[i].append((len(t), hashlib.sha256((t[: len(t) - cut_] + nxt[:cut_]).encode()).hexdigest()))
+    want = edited_texts(texts(edge_dir, spark))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
     by_text = defaultdict(set)
     for r in rows:
