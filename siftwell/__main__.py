@@ -29,6 +29,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--force", action="store_true")
     r.add_argument("--allow-small-sample", action="store_true")
     r.add_argument("--soft", action="store_true", help="keep rows that can't be explained instead of stopping")
+    r.add_argument("--evidence-profile", action="store_true", help="write throughput and seconds of the evidence stage")
+    r.add_argument("--log-level", choices=("DEBUG", "INFO", "WARN", "ERROR"), default="WARN", help="of Spark's own log")
     r.add_argument("--master", default="local[*]")
     for name, args in tools.COMMANDS.items():
         t = sub.add_parser(name, help=(getattr(tools, name.replace("-", "_")).__doc__ or "").split("\n")[0])
@@ -52,8 +54,9 @@ def main(argv: list[str] | None = None) -> int:
     except (ConfigError, OSError) as e:
         print(e, file=sys.stderr)
         return 2
+    spark.sparkContext.setLogLevel(a.log_level)
     run_dir = a.run_dir or f"runs/{lifecycle.run_id()}"
-    result = Engine(spark, run_dir, config, a.resume, a.force, a.seed).run(a.candidates, a.out, a.mode, a.malformed_threshold, a.allow_small_sample, not a.soft)
+    result = Engine(spark, run_dir, config, a.resume, a.force, a.seed, a.evidence_profile).run(a.candidates, a.out, a.mode, a.malformed_threshold, a.allow_small_sample, not a.soft)
     print(json.dumps({"run_dir": str(result.run_dir), "submission": str(result.official or result.submission), **result.stats}))
     return 0
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -131,11 +132,20 @@ def word_pattern(term: str) -> str:
 
 
 def word_hits(text: Column, terms: Sequence[str]) -> Column:
-    """How many entries of the lexicon the text has as whole words; repeated entries count again."""
+    """How many entries of the lexicon the text has as whole words; repeated entries count again.
+
+    The text is cut into words once for all single words; of the other entries,
+    a regex is asked only where their longest part occurs at all.
+    """
     low = F.lower(F.coalesce(text, F.lit("")))
+    words = F.array_distinct(F.regexp_extract_all(low, F.lit(r"(?U)\w+"), F.lit(0)))
     out = F.lit(0)
+    single = Counter(t for t in terms if re.fullmatch(r"\w+", t))
+    for times in sorted(set(single.values())):
+        out = out + F.size(F.array_intersect(words, F.lit(sorted(t for t, n in single.items() if n == times)))) * times
     for t in terms:
-        out = out + low.rlike(word_pattern(t)).cast("int")
+        if t not in single:
+            out = out + (F.contains(low, F.lit(max(t.split(" "), key=len))) & low.rlike(word_pattern(t))).cast("int")
     return out
 
 

@@ -8,6 +8,7 @@ table carries the nested context columns too.
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -39,7 +40,8 @@ class Result:
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, run_dir: str | Path, config: Config | None = None, resume: bool = False, force: bool = False, seed: int = 42) -> None:
+    def __init__(self, spark: SparkSession, run_dir: str | Path, config: Config | None = None, resume: bool = False, force: bool = False, seed: int = 42, profiled: bool = False) -> None:
+        self.profiled = profiled
         self.spark, self.config, self.seed = prepare(spark), config or load(), seed
         self.dir = lifecycle.make_folders(run_dir)
         self.runner = lifecycle.Runner(self.dir, resume, force)
@@ -93,13 +95,19 @@ class Engine:
 
     def evidence(self) -> None:
         def work():
-            flat = self.table("normalized/candidates")
+            flat, began = self.table("normalized/candidates"), time.perf_counter()
             ledger = sinks.write_table(evidence.ledger(flat, self.config, self.reference), self.path("evidence/ledger"), evidence.LEDGER)
+            made = time.perf_counter()
             summary = sinks.write_table(evidence.summary(flat, ledger), self.path("evidence/summary"), ["candidate_id"], rows=flat.count())
             r = summary.agg(F.count(F.lit(1)).alias("n"), F.sum("evidence_item_count").alias("items"), F.count_if(F.col("evidence_item_count") == 0).alias("none"), F.avg("skill_corroboration_score").alias("corroboration")).head().asDict()
             r["without_context"] = ledger.select("candidate_id").distinct().join(flat.select("candidate_id"), "candidate_id", "left_anti").count()
-            md = sinks.write_text(self.path("reports/evidence_report.md"), report("Evidence", r))
-            return [self.path("evidence/ledger"), self.path("evidence/summary"), md], {"rows": r["n"], "items": r["items"]}
+            out = [sinks.write_text(self.path("reports/evidence_report.md"), report("Evidence", r))]
+            if self.profiled:
+                took = {"ledger_seconds": made - began, "summary_seconds": time.perf_counter() - made}
+                rates = {"candidates_a_second": r["n"] / took["ledger_seconds"], "items_a_second": (r["items"] or 0) / took["ledger_seconds"]}
+                by_source = {x["source_type"]: x["count"] for x in ledger.groupBy("source_type").count().collect()}
+                out.append(sinks.write_json(self.path("reports/evidence_profile.json"), {k: round(v, 3) for k, v in (took | rates).items()} | {"items_by_source": by_source}))
+            return [self.path("evidence/ledger"), self.path("evidence/summary"), *out], {"rows": r["n"], "items": r["items"]}
 
         self._stage("evidence", ("normalize",), work)
 

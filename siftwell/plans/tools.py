@@ -11,6 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from siftwell.config import load
 from siftwell.functions import columns as C
@@ -109,15 +110,27 @@ def timed(work: Callable[[], object]) -> dict:
 
 
 def same_output(spark: SparkSession, run_dir: str, other_dir: str) -> dict:
-    """Whether two runs have the same scores (as rows, in any order) and the same submission bytes."""
+    """Whether two runs, of two environments perhaps, have the same scores (as rows, in any order) and the same submission bytes.
+
+    ``columns`` tells for each shared column how many candidates differ in it and, for numbers, by how much at most.
+    """
     a, b = (spark.read.parquet(f"{d}/scores/breakdown") for d in (run_dir, other_dir))
     shared = [c for c in a.columns if c in b.columns]
     x, y = a.select(*shared), b.select(*shared)
+    values = [c for c in shared if c != "candidate_id"]
+    both = x.select("candidate_id", F.struct(*values).alias("x")).join(y.select("candidate_id", F.struct(*values).alias("y")), "candidate_id")
+    number = {f.name for f in x.schema.fields if isinstance(f.dataType, NumericType)}
+    differs = [F.count_if(~F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))).alias(f"n_{c}") for c in values]
+    most = [F.max(F.abs(F.col(f"x.{c}") - F.col(f"y.{c}"))).alias(f"m_{c}") for c in values if c in number]
+    told = both.agg(*differs, *most).head().asDict()
+    made = [json.loads(p.read_text()) if (p := Path(d) / "manifest.json").exists() else {} for d in (run_dir, other_dir)]
     files = [sorted(Path(d, "submission").glob("*.csv")) for d in (run_dir, other_dir)]
     return {
         "same_columns": a.columns == b.columns,
         "only_first": x.exceptAll(y).count(),
         "only_second": y.exceptAll(x).count(),
+        "columns": {c: {"differing": told[f"n_{c}"], "largest_difference": told.get(f"m_{c}")} for c in values},
+        "environments": {k: [m.get(k) for m in made] for k in ("python", "platform", "git_commit", "git_dirty", "config", "input")},
         "same_submission": bool(files[0]) and [f.read_bytes() for f in files[0]] == [f.read_bytes() for f in files[1]],
     }
 
