@@ -27,7 +27,7 @@ def defaults() -> dict[str, Any]:
     return {
         "runtime": {"processing_mode": "memory", "chunk_size": 5000, "reference_date": V.REFERENCE_DATE, "progress_every_records": 10000},
         "rubric": {
-            "lexicon": {n: {"terms": V.terms_of(t), "field_weights": dict(w), "hit_divisors": dict(d), "evidence": e} for n, (t, w, d, e) in V.BASELINE_LEXICON.items()},
+            "lexicon": {n: {"terms": list(t), "field_weights": dict(w), "hit_divisors": dict(d), "evidence": e} for n, (t, w, d, e) in V.BASELINE_LEXICON.items()},
             "experience_bands": [{"min_years": a, "max_years": b, "score": s} for a, b, s in V.EXPERIENCE_BANDS],
             "location": {k: list(v) if isinstance(v, tuple) else v for k, v in V.LOCATION.items()},
             "availability": dict(V.BASELINE_AVAILABILITY),
@@ -35,7 +35,7 @@ def defaults() -> dict[str, Any]:
         "baseline": {"weights": dict(V.BASELINE_WEIGHTS), "penalty": dict(V.BASELINE_PENALTY), "low_relevance": dict(V.BASELINE_LOW)},
         "evidence": {
             n: {"polarity": p, "weight": w, "cap": cap, "recent_years": ry, "older_multiplier": om, "current_multiplier": 1.0, "require_corroboration": rc, "match_divisor": V.MATCH_DIVISOR,
-                "source_weights": dict(zip(V.SOURCE_TYPES, sw, strict=True)), "terms": V.terms_of(t)}
+                "source_weights": dict(zip(V.SOURCE_TYPES, sw, strict=True)), "terms": list(t)}
             for n, (p, w, cap, ry, om, rc, sw, t) in V.EVIDENCE.items()
         },
         "scoring": {"weights": dict(V.FEATURE_WEIGHTS), "semantic_cap": V.SEMANTIC_CAP},

@@ -11,35 +11,35 @@ SOURCE_TYPES = ("career_description", "career_title", "profile_summary", "profil
 
 #: name: polarity, weight, cap, recent years, older multiplier, needs corroboration, weights by SOURCE_TYPES, terms
 EVIDENCE = {
-    "retrieval_ranking_relevance": ("positive", 1.0, 2.8, 5, 0.85, False, (1.0, 0.65, 0.5, 0.35, 0.2, 0.1), """
-        built a personalized feed, candidate matching, designed recommendations, document retrieval, feed ranking, hybrid search,
-        improved product discovery, improved search results, learning to rank, marketplace ranking, matched users to jobs,
-        matched users to products, matched users to vendors, matching engine, measured ranking outcomes,
-        optimized recommendation quality, personalization, product discovery, ranked marketplace listings, ranking pipeline,
-        recommendation, recommendation system, recommendations, recommender system, retrieval system, search quality,
-        search relevance, semantic search, shipped a customer-facing search system, tuned relevance"""),
-    "vector_ir_infrastructure": ("positive", 0.9, 2.2, 5, 0.85, True, (0.95, 0.55, 0.4, 0.25, 0.25, 0.15), """
-        ann, approximate nearest neighbor, bm25, dense retrieval, elasticsearch, embedding drift, embeddings, faiss,
-        hybrid retrieval, index refresh, lucene, milvus, opensearch, pinecone, qdrant, retrieval regression, vector database,
-        vector index, weaviate"""),
-    "ranking_evaluation_experimentation": ("positive", 0.9, 2.2, 6, 0.85, False, (1.0, 0.35, 0.55, 0.2, 0.1, 0.0), """
-        a/b test, click-through rate, evaluation framework, map, mrr, ndcg, offline benchmark, offline-to-online correlation,
-        online experiment, precision, recall, regression test, relevance judgment, relevance metrics"""),
-    "production_delivery_systems": ("positive", 1.0, 2.4, 6, 0.85, False, (1.0, 0.3, 0.45, 0.15, 0.05, 0.0), """
-        customer-facing, deployed, incidents, index maintenance, latency, live users, model refresh, monitoring, observability,
-        on-call, production, production pipeline, reliability, service ownership, shipped, throughput"""),
-    "python_practical_engineering": ("positive", 0.8, 2.0, 6, 0.9, False, (0.85, 0.45, 0.35, 0.2, 0.35, 0.15), """
-        api, backend engineering, ci/cd, data pipeline, django, docker, fastapi, feature pipeline, flask, kubernetes, pyspark,
-        python, service, sql, unit tests"""),
-    "product_founding_behavior": ("positive", 0.6, 1.6, 6, 0.9, False, (0.75, 0.2, 0.5, 0.2, 0.05, 0.0), """
-        cross-functional, customer feedback, end-to-end ownership, iteration, marketplace, metrics, product feedback,
-        product manager, recruiter workflow, shipped quickly, small team, startup, user research"""),
-    "preferred_differentiators": ("positive", 0.45, 1.2, 6, 0.9, True, (0.8, 0.2, 0.3, 0.15, 0.2, 0.05), """
-        distributed systems, hr-tech, inference optimization, learning-to-rank, llm fine-tuning, lora, neural ranking,
-        open source, peft, qlora, recruiting technology, xgboost learning-to-rank"""),
-    "risk_signals": ("negative", 0.8, 1.8, 8, 1.0, False, (0.75, 0.25, 0.6, 0.2, 0.15, 0.0), """
-        computer vision, consulting, curious about ai, cv, demo only, experimented with chatgpt, langchain, no production,
-        research, robotics, service company, speech recognition, tutorial, tutorial only"""),
+    "retrieval_ranking_relevance": ("positive", 1.0, 2.8, 5, 0.85, False, (1.0, 0.65, 0.5, 0.35, 0.2, 0.1), (
+        "built a personalized feed", "candidate matching", "designed recommendations", "document retrieval", "feed ranking", "hybrid search",
+        "improved product discovery", "improved search results", "learning to rank", "marketplace ranking", "matched users to jobs",
+        "matched users to products", "matched users to vendors", "matching engine", "measured ranking outcomes",
+        "optimized recommendation quality", "personalization", "product discovery", "ranked marketplace listings", "ranking pipeline",
+        "recommendation", "recommendation system", "recommendations", "recommender system", "retrieval system", "search quality",
+        "search relevance", "semantic search", "shipped a customer-facing search system", "tuned relevance")),
+    "vector_ir_infrastructure": ("positive", 0.9, 2.2, 5, 0.85, True, (0.95, 0.55, 0.4, 0.25, 0.25, 0.15), (
+        "ann", "approximate nearest neighbor", "bm25", "dense retrieval", "elasticsearch", "embedding drift", "embeddings", "faiss",
+        "hybrid retrieval", "index refresh", "lucene", "milvus", "opensearch", "pinecone", "qdrant", "retrieval regression", "vector database",
+        "vector index", "weaviate")),
+    "ranking_evaluation_experimentation": ("positive", 0.9, 2.2, 6, 0.85, False, (1.0, 0.35, 0.55, 0.2, 0.1, 0.0), (
+        "a/b test", "click-through rate", "evaluation framework", "map", "mrr", "ndcg", "offline benchmark", "offline-to-online correlation",
+        "online experiment", "precision", "recall", "regression test", "relevance judgment", "relevance metrics")),
+    "production_delivery_systems": ("positive", 1.0, 2.4, 6, 0.85, False, (1.0, 0.3, 0.45, 0.15, 0.05, 0.0), (
+        "customer-facing", "deployed", "incidents", "index maintenance", "latency", "live users", "model refresh", "monitoring",
+        "observability", "on-call", "production", "production pipeline", "reliability", "service ownership", "shipped", "throughput")),
+    "python_practical_engineering": ("positive", 0.8, 2.0, 6, 0.9, False, (0.85, 0.45, 0.35, 0.2, 0.35, 0.15), (
+        "api", "backend engineering", "ci/cd", "data pipeline", "django", "docker", "fastapi", "feature pipeline", "flask", "kubernetes",
+        "pyspark", "python", "service", "sql", "unit tests")),
+    "product_founding_behavior": ("positive", 0.6, 1.6, 6, 0.9, False, (0.75, 0.2, 0.5, 0.2, 0.05, 0.0), (
+        "cross-functional", "customer feedback", "end-to-end ownership", "iteration", "marketplace", "metrics", "product feedback",
+        "product manager", "recruiter workflow", "shipped quickly", "small team", "startup", "user research")),
+    "preferred_differentiators": ("positive", 0.45, 1.2, 6, 0.9, True, (0.8, 0.2, 0.3, 0.15, 0.2, 0.05), (
+        "distributed systems", "hr-tech", "inference optimization", "learning-to-rank", "llm fine-tuning", "lora", "neural ranking",
+        "open source", "peft", "qlora", "recruiting technology", "xgboost learning-to-rank")),
+    "risk_signals": ("negative", 0.8, 1.8, 8, 1.0, False, (0.75, 0.25, 0.6, 0.2, 0.15, 0.0), (
+        "computer vision", "consulting", "curious about ai", "cv", "demo only", "experimented with chatgpt", "langchain", "no production",
+        "research", "robotics", "service company", "speech recognition", "tutorial", "tutorial only")),
 }
 MATCH_DIVISOR, SKILL_ONLY_FACTOR = 2, 0.35
 
@@ -67,11 +67,17 @@ BASELINE_LOW = {"threshold": 0.08, "max_score": 35.0}
 BASELINE_AVAILABILITY = {"open_to_work": 0.35, "response_rate": 0.35, "response_time": 0.15, "notice_period": 0.15, "max_response_time_hours": 240, "max_notice_days": 120}
 #: name: terms, field weights, field divisors, evidence text
 BASELINE_LEXICON = {
-    "role_relevance": ("recommendation, recommender, search relevance, ranking, candidate matching, personalization, retrieval, semantic search, hybrid search, dense retrieval, bm25, vector, ann, embedding, recommendation system, ranking pipeline, vector index, embeddings",
+    "role_relevance": ((
+        "recommendation", "recommender", "search relevance", "ranking", "candidate matching", "personalization", "retrieval",
+        "semantic search", "hybrid search", "dense retrieval", "bm25", "vector", "ann", "embedding", "recommendation system",
+        "ranking pipeline", "vector index", "embeddings"),
                        {"career": 0.85, "profile_skills": 0.15}, {"career": 5, "profile_skills": 8}, "career history mentions retrieval/search/ranking evidence"),
-    "production_evaluation": ("evaluation, ndcg, mrr, map, a/b, experiment, deployment, monitoring, latency, drift, index refresh, production, live users, a/b test, production deployment",
+    "production_evaluation": ((
+        "evaluation", "ndcg", "mrr", "map", "a/b", "experiment", "deployment", "monitoring", "latency", "drift", "index refresh", "production",
+        "live users", "a/b test", "production deployment"),
                               {"career_profile": 1.0}, {"career_profile": 4}, "profile includes production or evaluation signals"),
-    "python_engineering": ("python, pyspark, fastapi, flask, airflow, spark, sql, backend, api, backend api",
+    "python_engineering": ((
+        "python", "pyspark", "fastapi", "flask", "airflow", "spark", "sql", "backend", "api", "backend api"),
                            {"career_skills": 1.0}, {"career_skills": 4}, "Python or backend engineering evidence appears in career/skills"),
 }
 WEAK_EVIDENCE = "career history has weak retrieval/ranking evidence"
@@ -129,14 +135,13 @@ SOURCE_PRIORITY = {"career_description": 0, "profile_summary": 0, "profile_headl
 FORBIDDEN_TERMS = ("honeypot", "trap", "synthetic", "risk score", "anomaly score", "internal evidence category")
 GENERIC_PRAISE = ("excellent candidate", "strong fit", "ideal profile", "great cultural fit")
 LIMIT_WORDS = ("limited", "less ", "weaker", "thinner", "slows", "narrows", "reduces")
-DANGLING_END = frozenset("a an and at because for in including of or to while with".split())
-DANGLING_START = frozenset("and because but while with".split())
-FACT_VERBS = frozenset(
-    "architected are automated be built delivered designed developed drove fine-tuned fine implemented improved is keeps launched led managed migrated narrows operated optimized owned ran reduces remains served shipped shows slows stays supports trained uses was were".split()
-)
+DANGLING_END = frozenset((
+    "a", "an", "and", "at", "because", "for", "in", "including", "of", "or", "to", "while", "with"))
+DANGLING_START = frozenset((
+    "and", "because", "but", "while", "with"))
+FACT_VERBS = frozenset((
+    "architected", "are", "automated", "be", "built", "delivered", "designed", "developed", "drove", "fine-tuned", "fine", "implemented",
+    "improved", "is", "keeps", "launched", "led", "managed", "migrated", "narrows", "operated", "optimized", "owned", "ran", "reduces",
+    "remains", "served", "shipped", "shows", "slows", "stays", "supports", "trained", "uses", "was", "were"))
 BROKEN_FRAGMENTS = (r"\bat a\b$", r"\band service\b$", r"\bfor experiment\b$", r"\bwhile [a-z0-9/+.-]+ remains visible\b$")
 SAMPLED_RANKS = (1, 5, 10, 25, 50, 61, 75, 100)
-
-
-def terms_of(text: str) -> list[str]:
-    return [" ".join(t.split()) for t in text.split(",")]

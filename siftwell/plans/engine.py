@@ -146,6 +146,7 @@ class Engine:
     def reasoning(self, strict: bool = True, limit: int = submission.LIMIT) -> None:
         def work():
             top = self.table("scores/breakdown").where(F.col("rank") <= limit)
+            self.verify_provenance(top)
             made = explain.explanations(top, self.table("evidence/ledger"), self.table("normalized/candidates"), strict)
             table = sinks.write_table(made, self.path("reasoning/explanations"), ["candidate_id", "reasoning"])
             rows = [r.asDict() for r in table.collect()]  # at most ``limit`` rows
@@ -156,6 +157,15 @@ class Engine:
 
         self._stage("reasoning", ("scores", "evidence"), work)
 
+    def verify_provenance(self, top: DataFrame) -> None:
+        """Every excerpt that a ranked row may quote must be what its source path holds in the row's own context."""
+        ids = F.broadcast(top.select("candidate_id"))
+        quoted = self.table("evidence/ledger").join(ids, "candidate_id", "left_semi").select("candidate_id", "evidence_id", "source_path", "exact_source_excerpt")
+        context = self.table("normalized/candidates").join(ids, "candidate_id", "left_semi").select("candidate_id", "profile", "career_history", "skills", "skill_assessments")
+        wrong = quoted.join(context, "candidate_id").where(~evidence.reconstructible(F.col("source_path"), F.col("exact_source_excerpt"))).select("evidence_id").limit(5).collect()
+        if wrong:
+            raise ValueError(f"evidence that its context doesn't hold: {[r[0] for r in wrong]}")
+
     def baseline(self) -> None:
         def work():
             flat = self.table("normalized/candidates")
