@@ -4,15 +4,17 @@ A host's canonical key is its labels reversed, each closed by a dot
 (``m.example.net`` is ``net.example.m.``). All hosts under a rule's host are
 then the interval [key, key with its last dot raised to a slash), and the
 intervals of all rules are nested or disjoint. The rules' interval bounds and
-the urls are dealt to buckets by the url's key column, sorted by key, and swept
-once: each bound carries the stack of rules active from there on, and each url
-takes the stack of the last bound at or before its key. Of that stack the
-longest rule whose path starts the url's path decides.
-
-Buckets are dealt by a hash of the row's id, so a host that holds any share of
-the rows spreads over all of them; the rules' bounds (two a rule) are repeated
-in each bucket. No row is dropped: a null url, or one without ``://``, has an
-empty host and path and gets the default verdict.
+the urls are sorted together by key, in ranges, and each range is swept once:
+each bound carries the stack of rules active from there on, and each url takes
+the stack of the last bound at or before its key. Of that stack the longest
+rule whose path starts the url's path decides; paths don't enter the intervals,
+as a rule's path is asked of all its subdomains.
+
+A bound is in one range only; a range gets the stack that is open where it
+begins, which is all that is broadcast (one row a range). Urls of one key are
+ordered by a hash of id and path, so a host that holds any share of the rows
+falls into many ranges. No row is dropped: a null url, or one without ``://``,
+has an empty host and path and gets the default verdict.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import read_table
+from siftwell.llm.common import cut, read_table
 
 #: (host, path, action)
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -83,16 +85,19 @@ def filter_urls(urls: DataFrame, rules: DataFrame, key: str, url: str = "url", d
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     host, path = split_url(F.col(url))
     rows = urls.select(F.col(key).alias("id"), host.alias("host"), path.alias("path")).select(
-        "id", "host", "path", host_key(F.col("host")).alias("key"), F.lit(2).alias("kind"), F.lit(0).alias("depth"),
-        F.pmod(F.xxhash64("id", "path"), F.lit(buckets)).cast("int").alias("bucket"),
+        "id", "host", "path", host_key(F.col("host")).alias("key"), F.lit(2).alias("kind"), F.lit(0).alias("depth"), F.xxhash64("id", "path").alias("spread")
     )
-    bounds = sweep_bounds(rules).withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))).select(
-        "key", "kind", "depth", "bucket", "stack", F.lit(None).cast(urls.schema[key].dataType).alias("id"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path")
-    )
-    events = rows.withColumn("stack", F.lit(None).cast(bounds.schema["stack"].dataType)).unionByName(bounds)
+    bounds = sweep_bounds(rules).withColumn("spread", F.lit(0).cast("long"))
     # Ends before starts before urls at one key; of ends the inner ones first, so the outermost stack holds.
-    sweep = Window.partitionBy("bucket").orderBy("key", "kind", "depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = events.withColumn("active", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 2")
+    order = ["key", "kind", "depth", "spread"]
+    # The ranges are sampled: both uses below must see the same ones.
+    events = cut(rows.unionByName(bounds, allowMissingColumns=True).repartitionByRange(buckets, *order).withColumn("range", F.spark_partition_id()))
+    last = events.where("kind < 2").groupBy("range").agg(F.max_by("stack", F.struct("key", "kind", "depth")).alias("last"))
+    ranges = spark.range(buckets).select(F.col("id").cast("int").alias("range")).join(last, "range", "left")
+    before = ranges.select("range", F.last("last", ignorenulls=True).over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)).alias("open"))
+    sweep = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = events.withColumn("own", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 2")
+    swept = swept.join(F.broadcast(before), "range").withColumn("active", F.coalesce("own", "open"))
     best = F.get(F.filter("active", lambda r: F.startswith(F.col("path"), r["path"])), F.lit(0))
     return swept.withColumn("best", best).select(
         F.col("id").alias(key), "host", "path", F.concat("best.host", "best.path").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict")

@@ -861,7 +861,15 @@ def test_nested_rules(spark):
     rules = [(h, p, a) for (h, p), a in rules]
     urls = [(i, "http://" + ".".join(rng.choice(labels) for _ in range(rng.randint(1, 6))) + rng.choice(["", "/", "/x", "/x/y/z", "/q"])) for i in range(400)]
     df = spark.createDataFrame(urls, "page_id long, url string")
-    got = sorted(tuple(r) for r in url_filter.filter_urls(df, url_filter.rule_table(spark, rules), "page_id", buckets=5).collect())
     want = sorted(judged(i, u, rules) for i, u in urls)
     strict = lambda rows: [(r[0], r[1], r[2], len(r[3] or "")) for r in rows]
-    assert strict(got) == strict(want)
+    for buckets in (1, 5, 60):
+        got = sorted(tuple(r) for r in url_filter.filter_urls(df, url_filter.rule_table(spark, rules), "page_id", buckets=buckets).collect())
+        assert strict(got) == strict(want)
+
+
+def test_one_host_falls_into_many_ranges(spark):
+    urls = [(i, f"http://a.net/en/{i}") for i in range(900)] + [(i, "http://b.org/") for i in range(900, 1000)]
+    df = spark.createDataFrame(urls, "page_id long, url string")
+    got = url_filter.filter_urls(df, url_filter.rule_table(spark, url_filter.RULES), "page_id", buckets=10)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(judged(i, u, url_filter.RULES) for i, u in urls)
