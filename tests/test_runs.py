@@ -2,6 +2,7 @@ import csv
 import json
 
 import pytest
+from pyspark.sql import functions as F
 import records as R
 
 from siftwell.config import ConfigError, load, load_files
@@ -46,6 +47,48 @@ def test_resume_reruns_only_what_changed(spark, done):
     assert e.runner.stages.reusable("behavioral", e.runner.stages.state["stages"]["behavioral"]["fingerprint"])[0] is False
 
 
+def test_other_code_or_another_table_is_not_reused(spark, done, monkeypatch):
+    from siftwell.plans import lifecycle
+
+    d, src = done
+    e = Engine(spark, d / "run", resume=True)
+    known = e.runner.stages.state["stages"]["audit"]["fingerprint"]
+    assert e.runner.stages.reusable("audit", known)[0]
+    monkeypatch.setattr(lifecycle, "code_hash", lambda: "other")
+    ran = []
+    e.input_hash = "same"
+    e.runner("extra", (), "c", lambda: (ran.append(1), ([], {}))[1])
+    e.runner("extra", (), "c", lambda: (ran.append(2), ([], {}))[1])
+    monkeypatch.setattr(lifecycle, "code_hash", lambda: "newer")
+    e.runner("extra", (), "c", lambda: (ran.append(3), ([], {}))[1])
+    assert ran == [1, 3]
+    del e.runner.stages.state["stages"]["extra"]
+    part = next((d / "run/evidence/ledger").glob("part-*"))
+    part.rename(part.with_name("part-other.parquet"))
+    try:
+        assert e.runner.stages.reusable("evidence", e.runner.stages.state["stages"]["evidence"]["fingerprint"])[1].startswith("output has changed")
+    finally:
+        part.with_name("part-other.parquet").rename(part)
+
+
+def test_quoted_evidence_is_held_against_its_context(spark, done):
+    d, _ = done
+    e = Engine(spark, d / "run", resume=True)
+    top = e.table("scores/breakdown").where("rank <= 5")
+    e.verify_provenance(top)
+    wrong = e.table("evidence/ledger").withColumn("exact_source_excerpt", F.lit("made up"))
+    e.table = lambda name, own=e.table: wrong if name == "evidence/ledger" else own(name)
+    with pytest.raises(ValueError, match="doesn't hold"):
+        e.verify_provenance(top)
+
+
+def test_evidence_profile(spark, tmp_path):
+    src = R.write(tmp_path / "few.jsonl", R.varied(3))
+    Engine(spark, tmp_path / "r", profiled=True).run(src, allow_small_sample=True, strict=False)
+    told = json.loads((tmp_path / "r/reports/evidence_profile.json").read_text())
+    assert told["ledger_seconds"] > 0 and sum(told["items_by_source"].values()) > 0
+
+
 def test_same_result_from_other_partitions(spark, done, tmp_path):
     d, src = done
     old = spark.conf.get("spark.sql.shuffle.partitions")
@@ -57,7 +100,9 @@ def test_same_result_from_other_partitions(spark, done, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     r = tools.same_output(spark, str(tmp_path / "a"), str(tmp_path / "b"))
-    assert r == {"same_columns": True, "only_first": 0, "only_second": 0, "same_submission": True}
+    assert {k: r[k] for k in ("same_columns", "only_first", "only_second", "same_submission")} == {"same_columns": True, "only_first": 0, "only_second": 0, "same_submission": True}
+    assert all(c["differing"] == 0 and c["largest_difference"] in (0, None) for c in r["columns"].values()) and {"final_score", "rank"} <= set(r["columns"])
+    assert r["environments"]["python"][0] == r["environments"]["python"][1]
 
 
 def test_baseline_and_comparison(spark, done, tmp_path):
