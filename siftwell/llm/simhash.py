@@ -229,7 +229,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     """(key, fp, component_id) for every row; the component is named by the smallest key that links reach."""
     prints = cut(fingerprints(df, key, text, words))
     distinct = prints.groupBy("fp").agg(F.min(key).alias("least"))
-    label = named_components(distinct.select(F.col("fp").alias("node"), "least"), links(distinct.select("fp"), distance))
+    # A table of its own, so that rows of one fingerprint, however many, are joined to it by a broadcast or in parts.
+    label = cut(named_components(distinct.select(F.col("fp").alias("node"), "least"), links(distinct.select("fp"), distance)))
     return prints.join(label.select(F.col("node").alias("fp"), "component_id"), "fp").select(key, "fp", "component_id")
 
 
