@@ -108,7 +108,7 @@ def number(leaves: DataFrame) -> tuple[RDD, int]:
     outlines = sorted(rdd.mapPartitionsWithIndex(lambda p, it: ((p, *x) for x in _outline(it))).collect())  # one a partition
     starts: dict[int, tuple[int, int, bool]] = {}
     trees, before, previous = -1, 0, None
-    for (p, first, last, n_last, groups), following in zip(outlines, [*outlines[1:], (None, None)], strict=True):
+    for (p, first, last, n_last, groups), following in zip(outlines, [*outlines[1:], (None, None)], strict=False):
         if first != previous:
             trees, before = trees + 1, 0
         starts[p] = trees, before, following[1] != last
