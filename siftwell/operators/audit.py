@@ -76,7 +76,8 @@ def with_issues(records: DataFrame, reference: Column) -> DataFrame:
 
 def exploded(judged: DataFrame) -> DataFrame:
     """(file, row_num, candidate_id, type, severity, reason) of records with their issues."""
-    return judged.select("file", "row_num", "candidate_id", F.explode("issues").alias("i")).select("file", "row_num", "candidate_id", "i.*")
+    # From a plain explode the planner infers a filter on the array's size and works out the array twice.
+    return judged.select("file", "row_num", "candidate_id", F.explode_outer("issues").alias("i")).where("i is not null").select("file", "row_num", "candidate_id", "i.*")
 
 
 def issue_rows(records: DataFrame, reference: Column) -> DataFrame:

@@ -73,12 +73,20 @@ def check_registry(config: Config) -> None:
 
 
 def with_triggers(context: DataFrame, summary: DataFrame, config: Config, reference: Column) -> DataFrame:
-    """Contexts with their evidence risks and ``triggers``, in the order of the configuration.
+    """Contexts with their evidence risks and ``triggers``."""
+    return triggered(context.join(summary.select("candidate_id", *RISKS), "candidate_id", "left"), config, reference)
+
+
+#: What the rules take from the evidence summary.
+RISKS = ["unsupported_skill_risk_score", "risk_signals_score"]
+
+
+def triggered(rows: DataFrame, config: Config, reference: Column) -> DataFrame:
+    """Contexts that carry their evidence risks (``RISKS``), with ``triggers`` in the order of the configuration; no shuffle.
 
     The audit rules are asked of the stored context: missing years count as 0 there.
     """
     check_registry(config)
-    rows = context.join(summary.select("candidate_id", "unsupported_skill_risk_score", "risk_signals_score"), "candidate_id", "left")
     years = F.coalesce("profile.years_of_experience", F.lit(0.0))
     rows = rows.withColumn("issues", issues(years, F.col("career_history"), F.col("skills"), F.col("signals"), reference))
     none, parts = F.array().cast(TRIGGER), []
@@ -93,21 +101,26 @@ def with_triggers(context: DataFrame, summary: DataFrame, config: Config, refere
 
 
 def trigger_rows(triggered: DataFrame) -> DataFrame:
-    return triggered.select("candidate_id", F.explode("triggers").alias("t")).select("candidate_id", "t.*")
+    """One row for each trigger; the explode is an outer one, as a plain one would have the array worked out twice."""
+    return triggered.select("candidate_id", F.explode_outer("triggers").alias("t")).where("t is not null").select("candidate_id", "t.*")
 
 
 def breakdown(triggered: DataFrame, config: Config) -> DataFrame:
     """Counts by severity, the capped risk sum and the multiplier: folds over each row's own triggers."""
+    return triggered.select("candidate_id", *[c.alias(n) for n, c in breakdown_columns(config).items()])
+
+
+def breakdown_columns(config: Config) -> dict[str, Column]:
+    """The breakdown as columns over rows with ``triggers`` and ``RISKS``."""
     count = lambda s: F.size(F.filter("triggers", lambda t: t["severity"] == s))
     risk = F.least(F.lit(1.0), F.aggregate("triggers", F.lit(0.0), lambda a, t: a + t["score_contribution"]))
-    return triggered.select(
-        "candidate_id",
-        C.r6(risk).alias("anomaly_risk_score"),
-        F.greatest(F.lit(float(config["credibility"]["severe_min"])), C.r6(1 - risk)).alias("credibility_multiplier"),
-        F.size("triggers").alias("triggered_rule_count"),
-        count("minor").alias("minor_rule_count"),
-        count("moderate").alias("moderate_rule_count"),
-        count("severe").alias("severe_rule_count"),
-        C.r6(F.coalesce("unsupported_skill_risk_score", F.lit(0.0))).alias("unsupported_skill_risk_score"),
-        C.r6(F.coalesce("risk_signals_score", F.lit(0.0))).alias("evidence_risk_score"),
-    )
+    return {
+        "anomaly_risk_score": C.r6(risk),
+        "credibility_multiplier": F.greatest(F.lit(float(config["credibility"]["severe_min"])), C.r6(1 - risk)),
+        "triggered_rule_count": F.size("triggers"),
+        "minor_rule_count": count("minor"),
+        "moderate_rule_count": count("moderate"),
+        "severe_rule_count": count("severe"),
+        "unsupported_skill_risk_score": C.r6(F.coalesce("unsupported_skill_risk_score", F.lit(0.0))),
+        "evidence_risk_score": C.r6(F.coalesce("risk_signals_score", F.lit(0.0))),
+    }

@@ -1,7 +1,8 @@
 """Evidence: lexicon matches of every text fragment as a ledger, capped by group, and its summary by candidate.
 
 A candidate's fragments, matches and groups are arrays of its row; the ledger is
-these arrays exploded, without a shuffle.
+these arrays exploded and the summary a fold of them, both without a shuffle.
+Each text is read once for all terms of all categories.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from siftwell.config import Config
 from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
+from siftwell.functions import lexicon as L
 
 FRAGMENT = "array<struct<source_path:string,source_type:string,excerpt:string,is_current:boolean,start_date:string,end_date:string>>"
 LEDGER = [
@@ -83,15 +85,29 @@ def _family(kind: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for kv in V.SOURCE_FAMILIES.items() for x in kv]), kind)
 
 
-def _hits(f: Column, text: Column, config: Config, reference: Column) -> list[Column]:
-    """What each category finds in a fragment's normalized text; null where its source has no weight there.
+def _weights(c) -> dict[str, float]:
+    """Sources that count for a category; pairs whose weight isn't positive are pruned from the plan."""
+    return {k: c["weight"] * w for k, w in c["source_weights"].items() if c["weight"] * w > 0}
 
-    Pairs of source and category whose weight isn't positive are pruned from the plan.
-    """
-    hits = []
+
+def terms_of(config: Config) -> list[str]:
+    """All terms of the categories that any source counts for, sorted."""
+    return sorted({t for c in config["evidence"].values() if _weights(c) for t in c["terms"]})
+
+
+def read(context: DataFrame, config: Config) -> DataFrame:
+    """Contexts with their ``fragments`` and, for each, the numbers of the terms in it (``term_ids``)."""
+    rows = context.withColumn("fragments", fragments())
+    texts = F.transform("fragments", lambda f: C.normalize_text(f["excerpt"]))
+    return rows.withColumn("term_ids", L.term_ids(terms_of(config))(texts))
+
+
+def _hits(f: Column, ids: Column, config: Config, reference: Column) -> list[Column]:
+    """What each category finds in a fragment; null where it finds nothing or the source has no weight there."""
+    hits, terms = [], terms_of(config)
     dated = f["is_current"].isNotNull() | f["start_date"].isNotNull() | f["end_date"].isNotNull()
     for seq, (name, c) in enumerate(config["evidence"].items()):
-        weights = {k: c["weight"] * w for k, w in c["source_weights"].items() if c["weight"] * w > 0}
+        weights = _weights(c)
         if not weights:
             continue
         weight = F.element_at(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]), f["source_type"])
@@ -99,17 +115,17 @@ def _hits(f: Column, text: Column, config: Config, reference: Column) -> list[Co
         hit = F.struct(
             F.lit(seq).alias("category_seq"), F.lit(name).alias("normalized_category"), F.lit(c["polarity"]).alias("polarity"), weight.alias("weight"), F.lit(float(c["cap"])).alias("cap"),
             F.lit(bool(c["require_corroboration"])).alias("strict"), F.lit(float(max(1, c["match_divisor"]))).alias("divisor"), F.when(dated, recency).otherwise(F.lit(1.0)).alias("recency"),
-            C.matched_terms(text, c["terms"]).alias("matched_terms"),
+            L.at(terms, ids, sorted(set(c["terms"]))).alias("matched_terms"),
         )
-        hits.append(F.when(f["source_type"].isin(*weights), hit))
+        hits.append(F.when(f["source_type"].isin(*weights) & L.any_of(terms, ids, sorted(set(c["terms"]))), hit))
     return hits
 
 
 def found(config: Config, reference: Column) -> Column:
-    """A context's ledger items in fragment order: one for each fragment and category with a match."""
+    """The ledger items of a row that was ``read``, in fragment order: one for each fragment and category with a match."""
 
-    def of_fragment(f: Column, i: Column) -> Column:
-        matched = lambda text: F.filter(F.array_compact(F.array(*_hits(f, text, config, reference))), lambda h: F.size(h["matched_terms"]) > 0)
+    def of_fragment(x: Column) -> Column:
+        f, i = x["f"], x["i"]
 
         def item(h: Column) -> Column:
             strength = F.least(F.lit(1.0), F.size(h["matched_terms"]) / h["divisor"])
@@ -120,9 +136,10 @@ def found(config: Config, reference: Column) -> Column:
                 C.r6(strength * h["recency"] * h["weight"]).alias("contribution_before_caps"), h["cap"].alias("cap"), h["strict"].alias("strict"), _family(f["source_type"]).alias("family"),
             )
 
-        return C.bound(C.normalize_text(f["excerpt"]), lambda text: F.transform(matched(text), item))
+        return F.transform(F.array_compact(F.array(*_hits(f, x["ids"], config, reference))), item)
 
-    return F.flatten(F.transform(fragments(), of_fragment))
+    told = F.transform("fragments", lambda f, i: F.struct(i.alias("i"), f.alias("f"), F.get(F.col("term_ids"), i).alias("ids")))
+    return F.flatten(F.transform(F.filter(told, lambda x: F.size(x["ids"]) > 0), of_fragment))
 
 
 def graded(items: Column, categories: int) -> Column:
@@ -158,56 +175,99 @@ def graded(items: Column, categories: int) -> Column:
 
 def items(context: DataFrame, config: Config, reference: Column) -> DataFrame:
     """Ledger rows before grouping, in fragment order (``item_seq``)."""
-    return context.select("candidate_id", F.explode(found(config, reference)).alias("x")).select("candidate_id", "x.*").drop("category_seq")
+    rows = read(context, config).select("candidate_id", F.explode_outer(found(config, reference)).alias("x"))
+    return rows.where("x is not null").select("candidate_id", "x.*").drop("category_seq")
 
 
-def ledger(context: DataFrame, config: Config, reference: Column, with_hash: bool = True) -> DataFrame:
-    """The ledger (``LEDGER``, ``item_seq``, ``evidence_index``, ``family``): groups are folded in their row, so no text is shuffled."""
-    rows = context.select("candidate_id", C.bound(found(config, reference), lambda x: graded(x, len(config["evidence"]))).alias("rows"))
-    rows = rows.select("candidate_id", F.posexplode("rows").alias("evidence_index", "g")).select("candidate_id", "evidence_index", "g.x.*", "g.after", "g.level")
+def with_graded(context: DataFrame, config: Config, reference: Column) -> DataFrame:
+    """Contexts with ``graded``: their ledger rows as an array, groups folded."""
+    rows = read(context, config).withColumn("graded", C.bound(found(config, reference), lambda x: graded(x, len(config["evidence"]))))
+    return rows.drop("fragments", "term_ids")
+
+
+def _confidence(strength: Column, level: Column) -> Column:
+    return C.r6(F.least(F.lit(1.0), strength * 0.7 + level * 0.3))
+
+
+def _evidence_id(candidate: Column, index: Column) -> Column:
+    return F.concat(F.lit("EVID_"), candidate, F.format_string("_%04d", index))
+
+
+def ledger_rows(rows: DataFrame, with_hash: bool = True) -> DataFrame:
+    """The ledger (``LEDGER``, ``item_seq``, ``evidence_index``, ``family``) of (candidate_id, graded), exploded.
+
+    The explode is an outer one with a test after it: from a plain one the
+    planner infers a filter on the array's size and works out the array twice.
+    """
+    rows = rows.select("candidate_id", F.posexplode_outer("graded").alias("evidence_index", "g")).where("g is not null")
+    rows = rows.select("candidate_id", "evidence_index", "g.x.*", "g.after", "g.level")
     made = provenance(F.col("candidate_id"), F.col("source_path"), F.col("normalized_category"), F.col("exact_source_excerpt"), F.col("matched_terms"))
     out = rows.withColumns(
         {
             "contribution_after_caps": F.col("after"),
             "corroboration_level": C.r6("level"),
-            "confidence": C.r6(F.least(F.lit(1.0), F.col("evidence_strength") * 0.7 + F.col("level") * 0.3)),
-            "evidence_id": F.concat(F.lit("EVID_"), "candidate_id", F.format_string("_%04d", "evidence_index")),
+            "confidence": _confidence(F.col("evidence_strength"), F.col("level")),
+            "evidence_id": _evidence_id(F.col("candidate_id"), F.col("evidence_index")),
             "provenance_hash": made if with_hash else F.lit(None).cast("string"),
         }
     )
     return out.select(*LEDGER, "item_seq", "evidence_index", "family")
 
 
-def summary(candidates: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row for each candidate, zeros where it has no evidence; ids stay arrays, ordered by contribution."""
-    after, positive = F.col("contribution_after_caps"), F.col("polarity") == "positive"
-    by_category = rows.groupBy("candidate_id", "normalized_category").agg(
-        F.bool_or(positive & (F.col("family") == "skill")).alias("in_skill"),
-        F.bool_or(positive & (F.col("family") == "career")).alias("in_career"),
-        F.sum(F.when(positive, after)).alias("positive_sum"),
-        F.sum(after).alias("total"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(positive).alias("n_positive"),
-        F.sum(F.when(positive & (F.col("family") == "career"), after).otherwise(0.0)).alias("career"),
-        F.sum("confidence").alias("confidence"),
-        F.collect_list(F.struct((-after).alias("k"), "item_seq", "evidence_id", positive.alias("positive"))).alias("ids"),
-    )
-    first3 = lambda want: F.transform(F.slice(F.array_sort(F.filter(F.flatten(F.collect_list("ids")), lambda x: x["positive"] if want else ~x["positive"])), 1, 3), lambda x: x["evidence_id"])
-    skills, kept = F.count_if("in_skill"), F.count_if(F.col("in_skill") & F.col("in_career"))
-    share = lambda n: C.r6(F.when(skills > 0, n / skills.cast("double")).otherwise(F.lit(0.0)))
-    s = by_category.groupBy("candidate_id").agg(
-        F.sum("n").alias("evidence_item_count"),
-        F.sum("n_positive").alias("positive_evidence_count"),
-        (F.sum("n") - F.sum("n_positive")).alias("negative_evidence_count"),
-        C.r6(F.sum("career")).alias("career_evidence_score"),
-        C.r6(F.coalesce(F.sum(F.when(F.col("in_skill") & ~F.col("in_career"), F.col("positive_sum"))), F.lit(0.0))).alias("skill_only_evidence_score"),
-        share(kept).alias("skill_corroboration_score"),
-        share(skills - kept).alias("unsupported_skill_risk_score"),
-        first3(True).alias("top_positive_evidence_ids"),
-        first3(False).alias("top_negative_evidence_ids"),
-        C.r6(F.sum("confidence") / F.sum("n")).alias("evidence_confidence"),
-        *[C.r6(F.sum(F.when(F.col("normalized_category") == n, F.col("total")).otherwise(0.0))).alias(f"{n}_score") for n in V.EVIDENCE],
-    )
-    none = F.array().cast("array<string>")
-    joined = candidates.select("candidate_id").join(s, "candidate_id", "left")
-    return joined.select("candidate_id", *[F.coalesce(c, none if c.startswith("top_") else F.lit(0)).alias(c) for c in s.columns[1:]])
+def ledger(context: DataFrame, config: Config, reference: Column, with_hash: bool = True) -> DataFrame:
+    """The ledger of contexts."""
+    return ledger_rows(with_graded(context, config, reference), with_hash)
+
+
+SUMMARY = [
+    "evidence_item_count", "positive_evidence_count", "negative_evidence_count", "career_evidence_score", "skill_only_evidence_score", "skill_corroboration_score", "unsupported_skill_risk_score",
+    "top_positive_evidence_ids", "top_negative_evidence_ids", "evidence_confidence", *[f"{n}_score" for n in V.EVIDENCE],
+]
+
+
+def summary_column() -> Column:
+    """The evidence summary (``SUMMARY``) as folds over a row's ``graded``; zeros where it is empty, ids ordered by contribution."""
+    none, zero = F.array().cast("array<string>"), F.lit(0.0)
+    rows = F.transform("graded", lambda g, i: F.struct(g["x"].alias("x"), g["after"].alias("after"), g["level"].alias("level"), i.alias("i"), (g["x"]["polarity"] == "positive").alias("good")))
+    total = lambda xs, f: F.aggregate(xs, zero, lambda a, r: a + f(r))
+    after = lambda r: r["after"]
+    of = lambda xs, family: F.filter(xs, lambda r: r["x"]["family"] == family)
+    seqs = lambda xs: F.array_distinct(F.transform(xs, lambda r: r["x"]["category_seq"]))
+
+    def first3(xs: Column) -> Column:
+        keyed = F.transform(xs, lambda r: F.struct((-r["after"]).alias("k"), r["x"]["item_seq"].alias("item_seq"), r["i"].alias("i")))
+        return F.coalesce(F.transform(F.slice(F.array_sort(keyed), 1, 3), lambda r: _evidence_id(F.col("candidate_id"), r["i"])), none)
+
+    def folded(rows: Column) -> Column:
+        good = F.filter(rows, lambda r: r["good"])
+        return C.bound(F.struct(good.alias("good"), seqs(of(good, "skill")).alias("skills"), seqs(of(good, "career")).alias("careers")), lambda y: whole(rows, y))
+
+    def whole(rows: Column, y: Column) -> Column:
+        good, skills = y["good"], y["skills"]
+        alone = F.array_except(skills, y["careers"])
+        share = lambda n: C.r6(F.when(F.size(skills) > 0, n / F.size(skills).cast("double")).otherwise(zero))
+        return F.struct(
+            F.size(rows).cast("long").alias("evidence_item_count"),
+            F.size(good).cast("long").alias("positive_evidence_count"),
+            (F.size(rows) - F.size(good)).cast("long").alias("negative_evidence_count"),
+            C.r6(total(of(good, "career"), after)).alias("career_evidence_score"),
+            C.r6(total(F.filter(good, lambda r: F.array_contains(alone, r["x"]["category_seq"])), after)).alias("skill_only_evidence_score"),
+            share(F.size(skills) - F.size(alone)).alias("skill_corroboration_score"),
+            share(F.size(alone)).alias("unsupported_skill_risk_score"),
+            first3(good).alias("top_positive_evidence_ids"),
+            first3(F.filter(rows, lambda r: ~r["good"])).alias("top_negative_evidence_ids"),
+            F.when(F.size(rows) > 0, C.r6(total(rows, lambda r: _confidence(r["x"]["evidence_strength"], r["level"])) / F.size(rows))).otherwise(zero).alias("evidence_confidence"),
+            *[C.r6(total(F.filter(rows, lambda r: r["x"]["normalized_category"] == n), after)).alias(f"{n}_score") for n in V.EVIDENCE],
+        )
+
+    return C.bound(rows, folded)
+
+
+def with_summary(rows: DataFrame) -> DataFrame:
+    """Rows that have ``graded``, with the summary's columns; one row each, no shuffle."""
+    return rows.withColumn("summary", summary_column()).withColumns({n: F.col(f"summary.{n}") for n in SUMMARY}).drop("summary")
+
+
+def summary(rows: DataFrame) -> DataFrame:
+    """One row for each candidate of (candidate_id, graded), zeros where it has no evidence."""
+    return with_summary(rows).select("candidate_id", *SUMMARY)

@@ -12,6 +12,7 @@ from siftwell.config import Config
 from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
 from siftwell.functions import folds
+from siftwell.operators import credibility, evidence
 
 
 def location_score(rules: Mapping[str, Any]) -> Column:
@@ -25,9 +26,14 @@ def availability(flat: DataFrame, summary: DataFrame, config: Config, reference:
 
     Stored zeros of response time and notice count as unknown, which earns nothing.
     """
+    rows = flat.join(summary.select("candidate_id", "skill_corroboration_score"), "candidate_id", "left")
+    return rows.select("candidate_id", *[c.alias(n) for n, c in availability_columns(config, reference).items()])
+
+
+def availability_columns(config: Config, reference: Column) -> dict[str, Column]:
+    """The availability breakdown as columns over normalized rows that carry ``skill_corroboration_score``."""
     b = config["behavioral"]
     w, recency = b["weights"], b["recency"]
-    rows = flat.join(summary.select("candidate_id", "skill_corroboration_score"), "candidate_id", "left")
     best = F.coalesce(F.array_max(F.transform("skill_assessments", lambda a: a["score"])), F.lit(0.0)) / 100.0
     assessed = F.when(F.coalesce(F.col("skill_corroboration_score") <= 0, F.lit(False)), F.lit(0.0)).otherwise(best)
     last = C.linear_recency(C.day_age(C.parse_date("last_active_date"), reference), recency["recent_days"], recency["stale_days"], recency["recent_score"], recency["stale_score"])
@@ -48,14 +54,13 @@ def availability(flat: DataFrame, summary: DataFrame, config: Config, reference:
     parts = {f"{n}_component": c * F.lit(float(w[n])) for n, c in parts.items()}
     total = sum(parts.values(), F.lit(0.0))
     multiplier = C.clamp(F.lit(float(b["base"])) + total * (b["max"] - b["min"]), b["min"], b["max"])
-    return rows.select(
-        "candidate_id",
-        C.r6(location_score(b["location"])).alias("location_logistics_score"),
-        C.r6(last).alias("last_active_recency_score"),
-        C.r6(total).alias("availability_signal_score"),
-        C.r6(multiplier).alias("availability_multiplier"),
-        *[C.r6(c).alias(n) for n, c in parts.items()],
-    )
+    return {
+        "location_logistics_score": C.r6(location_score(b["location"])),
+        "last_active_recency_score": C.r6(last),
+        "availability_signal_score": C.r6(total),
+        "availability_multiplier": C.r6(multiplier),
+        **{n: C.r6(c) for n, c in parts.items()},
+    }
 
 
 class MissingInput(ValueError):
@@ -78,6 +83,11 @@ def final_scores(flat: DataFrame, summary: DataFrame, credibility: DataFrame, be
     if strict:
         whole = F.col("evidence_item_count").isNotNull() & F.col("credibility_multiplier").isNotNull() & F.col("availability_multiplier").isNotNull()
         rows = rows.withColumn("years_of_experience", F.when(whole, F.col("years_of_experience")).otherwise(F.raise_error(F.concat(F.lit("no evidence, credibility or behaviour row for "), "candidate_id")).cast("double")))
+    return formula(rows, config)
+
+
+def formula(rows: DataFrame, config: Config) -> DataFrame:
+    """The score breakdown of rows that carry years, the evidence summary, both multipliers, risk, location and ``semantic_score``."""
     n = {c: C.to_cap(f"{c}_score", config["evidence"][c]["cap"]) if c in config["evidence"] else F.lit(0.0) for c in V.EVIDENCE}
     retrieval, vector, rank_eval = n["retrieval_ranking_relevance"], n["vector_ir_infrastructure"], n["ranking_evaluation_experimentation"]
     shipped, python, product = n["production_delivery_systems"], n["python_practical_engineering"], n["product_founding_behavior"]
@@ -114,6 +124,16 @@ def final_scores(flat: DataFrame, summary: DataFrame, credibility: DataFrame, be
     )
 
 
+def scored(context: DataFrame, config: Config, reference: Column) -> DataFrame:
+    """The score breakdown of normalized rows, each worked out within its row: for streams and single batches, without a join."""
+    rows = evidence.with_summary(evidence.with_graded(context, config, reference)).drop("graded")
+    rows = credibility.triggered(rows, config, reference)
+    risk = credibility.breakdown_columns(config)
+    kept = {n: risk[n] for n in ("credibility_multiplier", "anomaly_risk_score")}
+    made = availability_columns(config, reference)
+    rows = rows.withColumns(kept | {n: made[n] for n in ("availability_multiplier", "location_logistics_score")})
+    return formula(rows.withColumn("semantic_score", F.lit(0.0)), config)
+
 
 def rank_all(scores: DataFrame) -> DataFrame:
     """Every row with its rank by score, then id."""

@@ -14,6 +14,7 @@ from siftwell.config import load
 from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
 from siftwell.operators import audit, credibility, evidence, explain, normalize, scoring
+from siftwell.plans.session import cut
 from siftwell.sources import candidates as S
 
 CONFIG = load()
@@ -284,9 +285,9 @@ def provenance_hashes(t):
     return rows.select("evidence_id", "provenance_hash")
 
 
-def _summary(t) -> tuple[DataFrame, DataFrame]:
-    f = flat(t)
-    return f, evidence.summary(f, evidence.ledger(f, CONFIG, reference(), with_hash=False))
+def graded(t) -> DataFrame:
+    """Records with their ledger rows as an array."""
+    return evidence.with_graded(flat(t), CONFIG, reference())
 
 
 def _joined(df: DataFrame) -> DataFrame:
@@ -296,32 +297,42 @@ def _joined(df: DataFrame) -> DataFrame:
 
 def engine_summary(t):
     """One evidence summary for each record, zeros where it has none."""
-    return _joined(_summary(t)[1])
+    return _joined(evidence.summary(graded(t)))
+
+
+def _triggered(t) -> DataFrame:
+    return credibility.triggered(evidence.with_summary(graded(t)).drop("graded"), CONFIG, reference())
 
 
 def engine_triggers(t):
     """Fired credibility rules, the audit's and those on evidence."""
-    f, s = _summary(t)
-    return credibility.trigger_rows(credibility.with_triggers(f, s, CONFIG, reference())).drop("candidate_facing_reasoning_eligible")
+    return credibility.trigger_rows(_triggered(t)).drop("candidate_facing_reasoning_eligible")
 
 
 def engine_credibility(t):
     """The bounded risk fold of each record."""
-    f, s = _summary(t)
-    out = credibility.breakdown(credibility.with_triggers(f, s, CONFIG, reference()), CONFIG)
-    return _joined(out).drop("unsupported_skill_risk_score", "evidence_risk_score")
+    return _joined(credibility.breakdown(_triggered(t), CONFIG)).drop("unsupported_skill_risk_score", "evidence_risk_score")
 
 
 def engine_behaviour(t):
     """Availability components and the bounded multiplier of each record."""
-    f, s = _summary(t)
-    return scoring.availability(f, s, CONFIG, reference())
+    rows = evidence.with_summary(graded(t))
+    return rows.select("candidate_id", *[c.alias(n) for n, c in scoring.availability_columns(CONFIG, reference()).items()])
+
+
+#: What a score or an explanation takes from a normalized record.
+_CONTEXT = ["profile", "career_history", "skills", "skill_assessments", "signals"]
+_SIGNALS = ["years_of_experience", "preferred_work_mode", "willing_to_relocate", "country", "last_active_date", "open_to_work_flag", "recruiter_response_rate", "avg_response_time_hours", "interview_completion_rate", "notice_period_days", "github_activity_score"]
 
 
 def scores(t) -> tuple[DataFrame, DataFrame]:
-    f, s = _summary(t)
-    risks = credibility.breakdown(credibility.with_triggers(f, s, CONFIG, reference()), CONFIG)
-    return f, scoring.final_scores(f, s, risks, scoring.availability(f, s, CONFIG, reference()), CONFIG)
+    """(records, scores): records and their summaries are worked out and stored once; the stages' tables are joined as a run joins them."""
+    rows = evidence.with_graded(flat(t), CONFIG, reference())
+    stored = cut(evidence.with_summary(rows).drop("graded").select("candidate_id", *_CONTEXT, *_SIGNALS, *evidence.SUMMARY))
+    summary = stored.select("candidate_id", *evidence.SUMMARY)
+    risks = credibility.breakdown(credibility.triggered(stored, CONFIG, reference()), CONFIG)
+    free = stored.select("candidate_id", *[c.alias(n) for n, c in scoring.availability_columns(CONFIG, reference()).items()])
+    return stored, scoring.final_scores(stored.select("candidate_id", "years_of_experience"), summary, risks, free, CONFIG)
 
 
 def engine_scores(t):
@@ -336,9 +347,9 @@ def engine_baseline(t):
 
 def engine_explanations(t):
     """Explanations of the top hundred; only their ledger rows are made."""
-    f, s = scores(t)
-    top = scoring.rank_top(s)
-    few = f.join(F.broadcast(top.select("candidate_id")), "candidate_id", "left_semi")
+    stored, s = scores(t)
+    top = cut(scoring.rank_top(s))
+    few = stored.join(F.broadcast(top.select("candidate_id")), "candidate_id", "left_semi")  # a hundred ids
     return explain.explanations(top, evidence.ledger(few, CONFIG, reference(), with_hash=False), few, strict=False)
 
 

@@ -57,7 +57,7 @@ def shape_issues(parsed: DataFrame) -> DataFrame:
     missing = F.concat(F.filter(required, lambda f: ~F.array_contains(keys, f)), F.when(signals_key(keys).isNull(), F.array(F.lit("signals"))).otherwise(F.array().cast("array<string>")))
     no_id = F.when(F.coalesce(F.col("candidate_id"), F.lit("")) == "", F.array(severe("missing_candidate_id", none))).otherwise(F.array().cast("array<struct<type:string,severity:string,field:string>>"))
     checks = F.when(keys.isNull(), F.array(severe("malformed_json", none))).otherwise(F.concat(no_id, F.transform(missing, lambda f: severe("missing_required_field", f))))
-    return parsed.select("file", "row_num", "candidate_id", F.explode(checks).alias("i")).select("file", "row_num", "candidate_id", "i.*")
+    return parsed.select("file", "row_num", "candidate_id", F.explode_outer(checks).alias("i")).where("i is not null").select("file", "row_num", "candidate_id", "i.*")
 
 
 def is_valid() -> Column:

@@ -140,7 +140,7 @@ def test_ledger_equals_a_greedy_fold(spark, tmp_path, seed):
             assert have[k] == pytest.approx(want[k], abs=2e-5), (r["candidate_id"], k)
     bad = ledger.join(context, "candidate_id").where(~evidence.reconstructible(F.col("source_path"), F.col("exact_source_excerpt")))
     assert bad.count() == 0
-    summary = evidence.summary(context, ledger)
+    summary = evidence.summary(evidence.with_graded(context, config, C.date_lit(REF)))
     assert summary.count() == len(rows)
     for s in summary.collect():
         mine = [x for x in ledger.collect() if x["candidate_id"] == s["candidate_id"]]
@@ -158,8 +158,7 @@ def test_greedy_cap_golden(spark):
 def scored(spark, tmp_path, rows, ref=REF, config=None):
     config = config or load()
     f = flat(spark, tmp_path, rows, ref)
-    ledger = evidence.ledger(f, config, C.date_lit(ref))
-    s = evidence.summary(f, ledger)
+    s = evidence.summary(evidence.with_graded(f, config, C.date_lit(ref)))
     t = credibility.with_triggers(f, s, config, C.date_lit(ref))
     return f, s, t, config
 
