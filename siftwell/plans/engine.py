@@ -3,16 +3,23 @@
 Each stage's result is a table below the run folder; everything within a stage
 is one lazy plan. The input's JSON is parsed once, by the audit; the normalized
 table carries the nested context columns too.
+
+From the normalized table on, tables of candidates are bucketed by id: stages
+that join them need no exchange. The stages between normalization and ranking
+work row by row, so that where only some buckets of the input have changed since
+their last run, only these are made anew. Counts and means of the reports are
+observed while a table is written.
 """
 
 from __future__ import annotations
 
 import json
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.config import Config, load
@@ -20,7 +27,9 @@ from siftwell.functions import columns as C
 from siftwell.operators import audit, credibility, evidence, explain, normalize, scoring, semantic, submission
 from siftwell.plans import lifecycle
 from siftwell.plans.session import prepare
-from siftwell.sources import candidates, sinks
+from siftwell.sources import buckets, candidates, sinks
+
+KEY = "candidate_id"
 
 
 class DuplicateCandidates(ValueError):
@@ -46,15 +55,65 @@ class Engine:
         self.dir = lifecycle.make_folders(run_dir)
         self.runner = lifecycle.Runner(self.dir, resume, force)
         self.reference = C.date_lit(self.config.reference_date)
+        # A stage reads one bucket a task, and so writes one, whether or not its own plan groups by the key.
+        spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
 
     def path(self, name: str) -> str:
         return str(self.dir / name)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        bucketed = buckets.layout(self.spark, self.path(name))
+        return buckets.read(self.spark, self.path(name)) if bucketed else self.spark.read.parquet(self.path(name))
+
+    def part(self, name: str, only: list[int] | None) -> DataFrame:
+        """A bucketed table, or the rows of some of its buckets."""
+        return self.table(name) if only is None else buckets.read(self.spark, self.path(name), only)
+
+    def put(self, name: str, df: DataFrame, only: list[int] | None = None, required: Sequence[str] = (KEY,), rows: int | None = None, told: dict[str, Column] | None = None) -> dict:
+        """Write a bucketed table (or ``only`` some of its buckets) and give the figures ``told`` of the whole one.
+
+        Of a whole table they are observed by the job that writes it.
+        """
+        seen = Observation() if told and only is None else None
+        marked = df.observe(seen, *[c.alias(n) for n, c in told.items()]) if seen else df
+        buckets.write(marked, self.path(name), KEY, self.buckets(), required, rows, only)
+        if seen:
+            return seen.get
+        return self.table(name).agg(*[c.alias(n) for n, c in told.items()]).head().asDict() if told else {}
+
+    def buckets(self) -> int:
+        return self.runner.stages.state["buckets"]
+
+    def rows(self) -> int:
+        """Rows of the normalized table."""
+        return self.runner.stages.state["stages"]["normalize"]["metadata"]["rows"]
+
+    def marks(self) -> dict:
+        return self.runner.stages.state["stages"]["normalize"]["marks"]
+
+    def changed(self, stage: str) -> list[int] | None:
+        """Buckets of the input that have changed since the stage's outputs were made; null if all have to be made."""
+        before = self.runner.carried.get(stage)
+        return None if before is None else buckets.changed(before, self.marks())
+
+    def of_top(self, name: str, top: DataFrame) -> DataFrame:
+        """The rows of a bucketed table whose ids are in ``top`` (at most some hundred rows): only their buckets' files are read."""
+        ids = top.select(KEY)
+        only = [r[0] for r in ids.select(buckets.bucket_of(KEY, self.buckets())).distinct().collect()]
+        return buckets.read(self.spark, self.path(name), only).join(F.broadcast(ids), KEY, "left_semi")
 
-    def _stage(self, name: str, upstream: tuple[str, ...], work) -> None:
-        self.runner(name, upstream, self.config.stage_hash(name), work, seed=self.seed, input=self.input_hash)
+    def _stage(self, name: str, upstream: tuple[str, ...], work, **extra) -> None:
+        self.runner(name, upstream, self.config.stage_hash(name), work, seed=self.seed, input=self.input_hash, **extra)
+
+    def _by_buckets(self, name: str, upstream: tuple[str, ...], work) -> None:
+        """A stage that works row by row: ``work`` gets the buckets to make (null: all)."""
+
+        def made():
+            only = self.changed(name)
+            outputs, metadata = work(only)
+            return outputs, metadata | {"rewritten_buckets": self.buckets() if only is None else len(only), "marks": self.marks()}
+
+        self._stage(name, upstream, made, buckets=self.buckets())
 
     # -- stages -------------------------------------------------------------------------------------------------------
 
@@ -80,66 +139,77 @@ class Engine:
         self._stage("audit", (), work)
 
     def normalize(self, source: str) -> None:
-        """The normalized table. Both processing modes are one plan: partitions stand for chunks."""
+        """The normalized table, in buckets by id. Both processing modes are one plan: partitions stand for chunks."""
 
         def work():
             audited = "audit" in self.runner.stages.state["stages"]
             parsed = self.table("audit/parsed") if audited else candidates.parse(candidates.read_lines(self.spark, source))
-            rows = normalize.normalized(candidates.valid_records(parsed), self.reference)
-            table = sinks.write_table(rows.drop("file", "row_num"), self.path("normalized/candidates"), normalize.FLAT)
-            n = table.count()
-            summary = sinks.write_json(self.path("normalized/summary.json"), {"normalized_rows": n, "processing_mode": self.config["runtime"]["processing_mode"]})
-            return [self.path("normalized/candidates"), summary], {"rows": n}
+            lines = self.runner.stages.state["stages"]["audit"]["metadata"]["total"] if audited else parsed.count()
+            before = buckets.layout(self.spark, self.path("normalized/candidates")) or {}
+            self.runner.stages.state["buckets"] = n = buckets.buckets_for(lines, before.get("buckets"))
+            rows = normalize.normalized(candidates.valid_records(parsed, n), self.reference)
+            told = self.put("normalized/candidates", rows.drop("file", "row_num"), required=normalize.FLAT, told={"rows": F.count(F.lit(1)), "without_context": F.count_if(F.col("profile").isNull())})
+            summary = sinks.write_json(self.path("normalized/summary.json"), {"normalized_rows": told["rows"], "processing_mode": self.config["runtime"]["processing_mode"]})
+            marks = buckets.marks(self.table("normalized/candidates"), KEY, F.col("candidate_record_hash"), n)
+            return [self.path("normalized/candidates"), summary], {"rows": told["rows"], "without_context": told["without_context"], "marks": marks}
 
         self._stage("normalize", ("audit",) if "audit" in self.runner.stages.state["stages"] else (), work)
 
     def evidence(self) -> None:
-        def work():
-            flat, began = self.table("normalized/candidates"), time.perf_counter()
-            ledger = sinks.write_table(evidence.ledger(flat, self.config, self.reference), self.path("evidence/ledger"), evidence.LEDGER)
+        def work(only):
+            began = time.perf_counter()
+            graded = evidence.with_graded(self.part("normalized/candidates", only), self.config, self.reference).select(KEY, "graded")
+            self.put("evidence/graded", graded, only, rows=self.rows())
+            self.put("evidence/ledger", evidence.ledger_rows(self.part("evidence/graded", only)), only, evidence.LEDGER)
             made = time.perf_counter()
-            summary = sinks.write_table(evidence.summary(flat, ledger), self.path("evidence/summary"), ["candidate_id"], rows=flat.count())
-            r = summary.agg(F.count(F.lit(1)).alias("n"), F.sum("evidence_item_count").alias("items"), F.count_if(F.col("evidence_item_count") == 0).alias("none"), F.avg("skill_corroboration_score").alias("corroboration")).head().asDict()
-            r["without_context"] = ledger.select("candidate_id").distinct().join(flat.select("candidate_id"), "candidate_id", "left_anti").count()
+            told = {"n": F.count(F.lit(1)), "items": F.sum("evidence_item_count"), "none": F.count_if(F.col("evidence_item_count") == 0), "corroboration": F.avg("skill_corroboration_score")}
+            r = self.put("evidence/summary", evidence.summary(self.part("evidence/graded", only)), only, rows=self.rows(), told=told)
+            r |= self.without_context()
             out = [sinks.write_text(self.path("reports/evidence_report.md"), report("Evidence", r))]
             if self.profiled:
                 took = {"ledger_seconds": made - began, "summary_seconds": time.perf_counter() - made}
                 rates = {"candidates_a_second": r["n"] / took["ledger_seconds"], "items_a_second": (r["items"] or 0) / took["ledger_seconds"]}
-                by_source = {x["source_type"]: x["count"] for x in ledger.groupBy("source_type").count().collect()}
+                by_source = {x["source_type"]: x["count"] for x in self.table("evidence/ledger").groupBy("source_type").count().collect()}
                 out.append(sinks.write_json(self.path("reports/evidence_profile.json"), {k: round(v, 3) for k, v in (took | rates).items()} | {"items_by_source": by_source}))
-            return [self.path("evidence/ledger"), self.path("evidence/summary"), *out], {"rows": r["n"], "items": r["items"]}
+            return [*map(self.path, ("evidence/graded", "evidence/ledger", "evidence/summary")), *out], {"rows": r["n"], "items": r["items"]}
+
+        self._by_buckets("evidence", ("normalize",), work)
 
-        self._stage("evidence", ("normalize",), work)
+    def without_context(self, named: int = 20) -> dict:
+        """Candidates without a profile to take evidence from: how many, and the first of them."""
+        n = self.runner.stages.state["stages"]["normalize"]["metadata"]["without_context"]
+        ids = [r[0] for r in self.table("normalized/candidates").where("profile is null").select(KEY).orderBy(KEY).limit(named).collect()] if n else []
+        return {"without_context": n, "without_context_ids": ids}
 
     def credibility(self) -> None:
-        def work():
-            rows = credibility.with_triggers(self.table("normalized/candidates"), self.table("evidence/summary"), self.config, self.reference)
-            triggered = sinks.write_table(rows.select("candidate_id", "triggers", "unsupported_skill_risk_score", "risk_signals_score"), self.path("credibility/triggers"), ["candidate_id"])
-            out = sinks.write_table(credibility.breakdown(triggered, self.config).orderBy("candidate_id"), self.path("credibility/breakdown"), ["candidate_id"])
-            r = out.agg(F.count(F.lit(1)).alias("n"), F.avg("credibility_multiplier").alias("mean_multiplier"), F.sum("triggered_rule_count").alias("triggers")).head().asDict()
+        def work(only):
+            rows = credibility.with_triggers(self.part("normalized/candidates", only), self.part("evidence/summary", only), self.config, self.reference)
+            self.put("credibility/triggers", rows.select(KEY, "triggers", *credibility.RISKS), only, rows=self.rows())
+            told = {"n": F.count(F.lit(1)), "mean_multiplier": F.avg("credibility_multiplier"), "triggers": F.sum("triggered_rule_count")}
+            r = self.put("credibility/breakdown", credibility.breakdown(self.part("credibility/triggers", only), self.config), only, rows=self.rows(), told=told)
             md = sinks.write_text(self.path("reports/credibility_report.md"), report("Credibility", r))
             return [self.path("credibility/triggers"), self.path("credibility/breakdown"), md], {"rows": r["n"]}
 
-        self._stage("credibility", ("evidence",), work)
+        self._by_buckets("credibility", ("normalize", "evidence"), work)
 
     def behavioral(self) -> None:
-        def work():
-            out = sinks.write_table(scoring.availability(self.table("normalized/candidates"), self.table("evidence/summary"), self.config, self.reference), self.path("behavioral/breakdown"), ["candidate_id"])
-            r = out.agg(F.count(F.lit(1)).alias("n"), F.avg("availability_multiplier").alias("mean_multiplier")).head().asDict()
+        def work(only):
+            made = scoring.availability(self.part("normalized/candidates", only), self.part("evidence/summary", only), self.config, self.reference)
+            r = self.put("behavioral/breakdown", made, only, rows=self.rows(), told={"n": F.count(F.lit(1)), "mean_multiplier": F.avg("availability_multiplier")})
             md = sinks.write_text(self.path("reports/behavioral_report.md"), report("Availability", r))
             return [self.path("behavioral/breakdown"), md], {"rows": r["n"]}
 
-        self._stage("behavioral", ("normalize", "evidence"), work)
+        self._by_buckets("behavioral", ("normalize", "evidence"), work)
 
     def scores(self) -> None:
         def work():
             flat = self.table("normalized/candidates")
             side, status = semantic.load(self.spark, self.dir, self.config, flat, self.input_hash)
             scored = scoring.final_scores(flat, self.table("evidence/summary"), self.table("credibility/breakdown"), self.table("behavioral/breakdown"), self.config, side)
-            out = sinks.write_table(scoring.rank_all(scored), self.path("scores/breakdown"), ["candidate_id", "rank"], rows=flat.count())
+            out = sinks.write_table(scoring.rank_all(scored), self.path("scores/breakdown"), ["candidate_id", "rank"], rows=self.rows())
             top = sinks.write_table(out.where(F.col("rank") <= 1000), self.path("scores/top_1000"), ["candidate_id"])
             done = [sinks.write_json(self.path("scores/semantic_status.json"), status), sinks.write_json(self.path("reports/cohort.json"), scoring.cohort(top.where(F.col("rank") <= 100)))]
-            return [self.path("scores/breakdown"), self.path("scores/top_1000"), *done], {"rows": out.count(), "semantic": status["status"]}
+            return [self.path("scores/breakdown"), self.path("scores/top_1000"), *done], {"rows": self.rows(), "semantic": status["status"]}
 
         self._stage("scores", ("normalize", "evidence", "credibility", "behavioral"), work)
 
@@ -147,7 +217,7 @@ class Engine:
         def work():
             top = self.table("scores/breakdown").where(F.col("rank") <= limit)
             self.verify_provenance(top)
-            made = explain.explanations(top, self.table("evidence/ledger"), self.table("normalized/candidates"), strict)
+            made = explain.explanations(top, self.of_top("evidence/ledger", top), self.of_top("normalized/candidates", top), strict)
             table = sinks.write_table(made, self.path("reasoning/explanations"), ["candidate_id", "reasoning"])
             rows = [r.asDict() for r in table.collect()]  # at most ``limit`` rows
             found = explain.quality_report(rows)
@@ -159,21 +229,19 @@ class Engine:
 
     def verify_provenance(self, top: DataFrame) -> None:
         """Every excerpt that a ranked row may quote must be what its source path holds in the row's own context."""
-        ids = F.broadcast(top.select("candidate_id"))
-        quoted = self.table("evidence/ledger").join(ids, "candidate_id", "left_semi").select("candidate_id", "evidence_id", "source_path", "exact_source_excerpt")
-        context = self.table("normalized/candidates").join(ids, "candidate_id", "left_semi").select("candidate_id", "profile", "career_history", "skills", "skill_assessments")
+        quoted = self.of_top("evidence/ledger", top).select("candidate_id", "evidence_id", "source_path", "exact_source_excerpt")
+        context = self.of_top("normalized/candidates", top).select("candidate_id", "profile", "career_history", "skills", "skill_assessments")
         wrong = quoted.join(context, "candidate_id").where(~evidence.reconstructible(F.col("source_path"), F.col("exact_source_excerpt"))).select("evidence_id").limit(5).collect()
         if wrong:
             raise ValueError(f"evidence that its context doesn't hold: {[r[0] for r in wrong]}")
 
     def baseline(self) -> None:
-        def work():
-            flat = self.table("normalized/candidates")
-            out = sinks.write_table(scoring.baseline_scores(flat, self.config), self.path("scores/baseline"), ["candidate_id"], rows=flat.count())
-            top = sinks.write_table(scoring.rank_top(out, 500), self.path("scores/baseline_top_500"), ["candidate_id"])
-            return [self.path("scores/baseline"), self.path("scores/baseline_top_500")], {"rows": out.count(), "top": top.count()}
+        def work(only):
+            self.put("scores/baseline", scoring.baseline_scores(self.part("normalized/candidates", only), self.config), only, rows=self.rows())
+            top = sinks.write_table(scoring.rank_top(self.table("scores/baseline"), 500), self.path("scores/baseline_top_500"), ["candidate_id"])
+            return [self.path("scores/baseline"), self.path("scores/baseline_top_500")], {"rows": self.rows(), "top": top.count()}
 
-        self._stage("baseline", ("normalize",), work)
+        self._by_buckets("baseline", ("normalize",), work)
 
     def submit(self, out: str | Path | None, mode: str, small: bool) -> tuple[Path, Path | None]:
         if mode == "baseline":
@@ -200,7 +268,7 @@ class Engine:
         try:
             self.audit(str(source), malformed_threshold)
             self.normalize(str(source))
-            n = self.table("normalized/candidates").count()
+            n = self.rows()
             small = n < submission.LIMIT
             if small and not allow_small_sample:
                 raise TooFewCandidates(f"{n} candidates; {submission.LIMIT} are needed")

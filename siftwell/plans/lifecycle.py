@@ -23,7 +23,7 @@ from siftwell.sources import sinks
 FOLDERS = ("audit", "normalized", "evidence", "credibility", "behavioral", "scores", "reasoning", "submission", "reports", "logs", "state", "artifacts")
 HISTORY = 5
 #: Raised where a stage's outputs change their meaning while its code looks the same (1 where none is given).
-STAGE_VERSIONS = {"evidence": 2, "reasoning": 2}
+STAGE_VERSIONS = {"normalize": 2, "evidence": 3, "credibility": 2, "behavioral": 2, "baseline": 2, "reasoning": 2}
 
 
 def now() -> str:
@@ -109,13 +109,17 @@ class Stages:
     def _of(self, stage: str) -> dict[str, Any]:
         return self.state["stages"].setdefault(stage, {"attempts": 0, "skips": 0, "total_seconds": 0.0, "history": []})
 
-    def begin(self, stage: str, fingerprint: str) -> None:
+    def begin(self, stage: str, fingerprint: str, basis: str = "") -> None:
         s = self._of(stage)
-        s |= {"status": "running", "fingerprint": fingerprint, "attempts": s["attempts"] + 1, "started_at": now(), "began": time.time()}
+        s.pop("marks", None)
+        s |= {"status": "running", "fingerprint": fingerprint, "basis": basis, "attempts": s["attempts"] + 1, "started_at": now(), "began": time.time()}
         self._save()
 
-    def end(self, stage: str, status: str, outputs: list[str | Path] = (), **metadata: Any) -> None:
+    def end(self, stage: str, status: str, outputs: list[str | Path] = (), marks: dict | None = None, **metadata: Any) -> None:
+        """``marks`` tell what each bucket of the stage's input held."""
         s = self._of(stage)
+        if marks is not None:
+            s["marks"] = marks
         took = round(time.time() - s.pop("began", time.time()), 3)
         s |= {"status": status, "finished_at": now(), "seconds": took, "total_seconds": round(s["total_seconds"] + took, 3), "outputs": {str(p): output_mark(p) for p in outputs}, "metadata": metadata}
         s["history"] = [*s["history"], {"status": status, "at": s["finished_at"], "seconds": took, "fingerprint": s.get("fingerprint")}][-HISTORY:]
@@ -136,12 +140,17 @@ class Stages:
             return False, f"last attempt {s.get('status')}"
         if s.get("fingerprint") != fingerprint:
             return False, "fingerprint differs"
-        for path, known in s.get("outputs", {}).items():
+        broken = self.intact(stage)
+        return (True, "valid") if broken is None else (False, broken)
+
+    def intact(self, stage: str) -> str | None:
+        """Null if the stage's outputs are as it left them, else what is wrong with them."""
+        for path, known in self.state["stages"].get(stage, {}).get("outputs", {}).items():
             if not Path(path).exists():
-                return False, f"output is missing: {path}"
+                return f"output is missing: {path}"
             if output_mark(path) != known:
-                return False, f"output has changed: {path}"
-        return True, "valid"
+                return f"output has changed: {path}"
+        return None
 
     def outputs_hash(self, stage: str) -> str:
         return sha256_json(self.state["stages"].get(stage, {}).get("outputs", {}))
@@ -153,6 +162,19 @@ class Runner:
     def __init__(self, run_dir: str | Path, resume: bool = False, force: bool = False, events: Events | None = None) -> None:
         self.stages, self.resume, self.force, self.events = Stages(run_dir), resume, force, events or Events(run_dir)
         self.rerun: set[str] = set()
+        #: Of a stage that runs: what each bucket of its input was when its outputs, still there, were made by the same code and configuration.
+        self.carried: dict[str, dict | None] = {}
+
+    def basis(self, stage: str, upstream: tuple[str, ...], config_hash: str, **extra: Any) -> str:
+        """What a stage's rows follow from besides its input's rows: its own and its upstream stages' code and configuration."""
+        above = {u: self.stages.state["stages"].get(u, {}).get("basis") for u in upstream}
+        return sha256_json({"stage": stage, "version": STAGE_VERSIONS.get(stage, 1), "code": code_hash(), "config": config_hash, "upstream": above, **extra})
+
+    def _carried(self, stage: str, basis: str) -> dict | None:
+        s = self.stages.state["stages"].get(stage, {})
+        if not self.resume or self.force or s.get("status") != "completed" or s.get("basis") != basis or not s.get("marks"):
+            return None
+        return s["marks"] if self.stages.intact(stage) is None else None
 
     def __call__(self, stage: str, upstream: tuple[str, ...], config_hash: str, work: Callable[[], tuple[list, dict]], **extra: Any) -> bool:
         """True if the stage ran."""
@@ -164,7 +186,9 @@ class Runner:
             self.events(stage, "skipped", why)
             return False
         self.events(stage, "started", "forced" if self.force else f"upstream reran: {moved}" if moved else why)
-        self.stages.begin(stage, fingerprint)
+        basis = self.basis(stage, upstream, config_hash, **{k: v for k, v in extra.items() if k != "input"})
+        self.carried[stage] = self._carried(stage, basis)
+        self.stages.begin(stage, fingerprint, basis)
         try:
             outputs, metadata = work()
         except BaseException as e:
@@ -172,7 +196,7 @@ class Runner:
             self.events(stage, "failed", str(e)[:500])
             raise
         self.stages.end(stage, "completed", outputs, **metadata)
-        self.events(stage, "completed", **{"seconds": self.stages.state["stages"][stage]["seconds"], **metadata})
+        self.events(stage, "completed", **{"seconds": self.stages.state["stages"][stage]["seconds"], **{k: v for k, v in metadata.items() if k != "marks"}})
         self.rerun.add(stage)
         return True
 

@@ -74,9 +74,10 @@ def numbered_copies(valid: DataFrame) -> DataFrame:
     return valid.withColumn("copy", F.row_number().over(Window.partitionBy("candidate_id").orderBy("file", "row_num")))
 
 
-def valid_records(parsed: DataFrame) -> DataFrame:
-    """Valid rows, the first of each candidate id."""
-    return numbered_copies(parsed.where(is_valid())).where("copy = 1").drop("copy")
+def valid_records(parsed: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Valid rows, the first of each candidate id; dealt into so many buckets by id, if told, by the same exchange."""
+    valid = parsed.where(is_valid())
+    return numbered_copies(valid.repartition(buckets, "candidate_id") if buckets else valid).where("copy = 1").drop("copy")
 
 
 def duplicates(parsed: DataFrame) -> DataFrame:

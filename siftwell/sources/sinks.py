@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 class SinkError(ValueError):
@@ -91,6 +91,21 @@ def copy(source: str | Path, target: str | Path, check: Callable[[Path], None] |
     return publish(target, lambda p: shutil.copyfile(source, p), check)
 
 
+def put_in_place(spark: SparkSession, temp: str, path: str) -> None:
+    """A whole new folder takes the old one's place; the old one goes last."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    new, target, aside = at(str(temp)), at(str(path)), at(f"{path}.{uuid.uuid4().hex}.old")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise SinkError(f"{path} can't be put aside")
+    if not fs.rename(new, target):
+        if fs.exists(aside):
+            fs.rename(aside, target)
+        raise SinkError(f"{path} can't be renamed into place")
+    if fs.exists(aside):
+        fs.delete(aside, True)
+
+
 def write_table(df: DataFrame, path: str, required: Sequence[str] = (), rows: int | None = None, fmt: str = "parquet") -> DataFrame:
     """A distributed table: written under a temporary name, counted and checked by reading back, then renamed.
 
@@ -101,8 +116,8 @@ def write_table(df: DataFrame, path: str, required: Sequence[str] = (), rows: in
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path
     mark = uuid.uuid4().hex
-    target, temp, aside = at(str(path)), at(f"{path}.{mark}.tmp"), at(f"{path}.{mark}.old")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    temp = at(f"{path}.{mark}.tmp")
+    fs = temp.getFileSystem(spark._jsc.hadoopConfiguration())
     try:
         writer = df.write.format(fmt)
         (writer.option("header", True) if fmt == "csv" else writer).save(str(temp))
@@ -111,14 +126,7 @@ def write_table(df: DataFrame, path: str, required: Sequence[str] = (), rows: in
             raise SinkError(f"{path} lacks {missing}")
         if rows is not None and (n := back.count()) != rows:
             raise SinkError(f"{path} has {n} rows, not {rows}")
-        if fs.exists(target) and not fs.rename(target, aside):
-            raise SinkError(f"{path} can't be put aside")
-        if not fs.rename(temp, target):
-            if fs.exists(aside):
-                fs.rename(aside, target)
-            raise SinkError(f"{path} can't be renamed into place")
-        if fs.exists(aside):
-            fs.delete(aside, True)
+        put_in_place(spark, f"{path}.{mark}.tmp", path)
     finally:
         if fs.exists(temp):
             fs.delete(temp, True)

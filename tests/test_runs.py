@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import records as R
 
 from siftwell.config import ConfigError, load, load_files
-from siftwell.operators import submission
+from siftwell.operators import credibility, evidence, scoring, submission
 from siftwell.plans import tools
 from siftwell.plans.engine import DuplicateCandidates, Engine, TooFewCandidates, rank_records
 from siftwell.sources.sinks import SinkError
@@ -71,13 +71,115 @@ def test_other_code_or_another_table_is_not_reused(spark, done, monkeypatch):
         part.with_name("part-other.parquet").rename(part)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stages_join_without_an_exchange(spark, done):
+    d, _ = done
+    e = Engine(spark, d / "run", resume=True)
+    flat, summary = e.table("normalized/candidates"), e.table("evidence/summary")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {
+            "credibility": credibility.with_triggers(flat, summary, e.config, e.reference),
+            "behavioral": scoring.availability(flat, summary, e.config, e.reference),
+            "scores": scoring.final_scores(flat, summary, e.table("credibility/breakdown"), e.table("behavioral/breakdown"), e.config),
+            "ledger by candidate": e.table("evidence/ledger").groupBy("candidate_id").count(),
+        }
+        for name, df in plans.items():
+            assert "Exchange" not in plan_of(df), name
+        assert "Exchange" in plan_of(spark.read.parquet(e.path("normalized/candidates")).join(spark.read.parquet(e.path("evidence/summary")), "candidate_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_the_ledger_is_worked_out_once(spark, done):
+    d, _ = done
+    e = Engine(spark, d / "run", resume=True)
+    df = evidence.ledger(spark.read.parquet(e.path("normalized/candidates")), e.config, e.reference)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "contains(" not in plan.replace("array_contains(", "")
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and all(len(line) < 400 for line in filters)
+
+
+def run_files(e, name):
+    return {p.name for p in (e.dir / name).glob("part-*")}
+
+
+def test_only_changed_buckets_are_made_anew(spark, tmp_path):
+    rows = R.varied(110)
+    src = R.write(tmp_path / "c.jsonl", rows)
+    first = Engine(spark, tmp_path / "run")
+    first.run(src)
+    assert {first.runner.stages.state["stages"][s]["metadata"]["rewritten_buckets"] for s in ("evidence", "credibility", "behavioral")} == {8}
+    before = {n: run_files(first, n) for n in ("evidence/ledger", "evidence/summary", "credibility/breakdown", "behavioral/breakdown")}
+    rows[17]["profile"]["summary"] += " Shipped a ranking service with faiss and ndcg."
+    rows[17]["talent_signals"]["open_to_work_flag"] = not rows[17]["talent_signals"].get("open_to_work_flag")
+    again = Engine(spark, tmp_path / "run", resume=True)
+    again.run(R.write(tmp_path / "c.jsonl", rows))
+    for stage in ("evidence", "credibility", "behavioral"):
+        assert again.runner.stages.state["stages"][stage]["metadata"]["rewritten_buckets"] == 1
+    for name, files in before.items():
+        assert len(files - run_files(again, name)) == 1  # the file of one bucket has gone, the others are the same files
+    fresh = Engine(spark, tmp_path / "fresh")
+    fresh.run(R.write(tmp_path / "c.jsonl", rows))
+    r = tools.same_output(spark, str(tmp_path / "run"), str(tmp_path / "fresh"))
+    assert r["only_first"] == r["only_second"] == 0 and r["same_submission"]
+    for name in before:
+        a, b = again.table(name), fresh.table(name)
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+    rows.pop(3)
+    fewer = Engine(spark, tmp_path / "run", resume=True)
+    fewer.run(R.write(tmp_path / "c.jsonl", rows))
+    assert fewer.table("evidence/summary").count() == 109 and fewer.runner.stages.state["stages"]["evidence"]["metadata"]["rewritten_buckets"] == 1
+    broken = next((tmp_path / "run/evidence/summary").glob("part-*"))
+    broken.rename(broken.with_name(broken.name.replace("part-", "part-1")))
+    rows.pop(3)
+    whole = Engine(spark, tmp_path / "run", resume=True)
+    whole.run(R.write(tmp_path / "c.jsonl", rows))
+    assert whole.runner.stages.state["stages"]["evidence"]["metadata"]["rewritten_buckets"] == 8
+
+
+def test_figures_are_observed_while_a_table_is_written(spark, done, tmp_path):
+    d, _ = done
+    e = Engine(spark, d / "run", resume=True)
+    md = (d / "run/reports/evidence_report.md").read_text()
+    r = e.table("evidence/summary").agg(F.count(F.lit(1)), F.sum("evidence_item_count"), F.avg("skill_corroboration_score")).head()
+    assert f"- n: {r[0]}\n- items: {r[1]}\n" in md and f"- corroboration: {r[2]}"[:20] in md and "- without_context: 0" in md
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("put", "put")
+    e.dir = tmp_path
+    told = e.put("t", spark.read.parquet(str(d / "run/evidence/summary")).repartition(8, "candidate_id"), told={"n": F.count(F.lit(1)), "m": F.avg("evidence_confidence")})
+    n = len(jobs.getJobIdsForGroup("put"))
+    spark.sparkContext.setJobGroup("", "")
+    assert told["n"] == 110 and n <= 3
+
+
+def test_top_rows_are_read_from_their_buckets_alone(spark, done, tmp_path):
+    from siftwell.sources import buckets
+
+    d, _ = done
+    ledger = spark.read.parquet(str(d / "run/evidence/ledger"))
+    buckets.write(ledger.repartition(64, "candidate_id"), str(tmp_path / "evidence/ledger"), "candidate_id", 64)
+    e = Engine(spark, d / "run", resume=True)
+    top = e.table("scores/breakdown").where("rank <= 3").select("candidate_id")
+    e.dir, e.runner.stages.state["buckets"] = tmp_path, 64
+    got = e.of_top("evidence/ledger", top)
+    files = lambda df: [f for f in df.inputFiles() if "ledger" in f]
+    assert 0 < len(files(got)) <= 3 < len(files(e.table("evidence/ledger")))
+    want = ledger.join(top, "candidate_id", "left_semi").select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
 def test_quoted_evidence_is_held_against_its_context(spark, done):
     d, _ = done
     e = Engine(spark, d / "run", resume=True)
     top = e.table("scores/breakdown").where("rank <= 5")
     e.verify_provenance(top)
-    wrong = e.table("evidence/ledger").withColumn("exact_source_excerpt", F.lit("made up"))
-    e.table = lambda name, own=e.table: wrong if name == "evidence/ledger" else own(name)
+    e.of_top = lambda name, top, own=e.of_top: own(name, top).withColumn("exact_source_excerpt", F.lit("made up")) if name == "evidence/ledger" else own(name, top)
     with pytest.raises(ValueError, match="doesn't hold"):
         e.verify_provenance(top)
 
@@ -211,3 +313,23 @@ def test_streamed_items_equal_the_batch(spark, done, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     want = evidence.items(spark.read.parquet(str(d / "run/normalized/candidates")), config, C.date_lit(config.reference_date))
     assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_streamed_scores_equal_the_batch(spark, done, tmp_path):
+    d, _ = done
+    rows = [json.loads(line) for line in open(d / "c.jsonl")]
+    (tmp_path / "in").mkdir()
+    again = {**rows[0], "profile": {**rows[0]["profile"], "summary": "changed later"}}
+    parts = [rows[:40], [*rows[40:80], again], [again, *rows[80:], rows[50]]]
+    query = lambda name, process=None: incremental.write(incremental.first_scores(spark, str(tmp_path / "in"), load()), str(tmp_path / name), str(tmp_path / f"ck_{name}"), process)
+    for i, part in enumerate(parts):  # one restart of each stream a file: state and tables go on
+        (tmp_path / f"in/{i}.jsonl").write_text("".join(json.dumps(r) + "\n" for r in part) + "no json\n")
+        query("out").awaitTermination(300)
+        query("state", incremental.keep_top(str(tmp_path / "top"), 20)).awaitTermination(300)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert {(r["candidate_id"], r["copy"]) for r in got.where("copy > 1").collect()} == {(rows[0]["candidate_id"], 2), (rows[0]["candidate_id"], 3), (rows[50]["candidate_id"], 2)}
+    want = spark.read.parquet(str(d / "run/scores/breakdown"))
+    first = got.where("copy = 1").drop("copy")
+    assert first.count() == 110 and first.exceptAll(want.select(*first.columns)).count() == 0
+    top = spark.read.parquet(str(tmp_path / "top"))
+    assert top.exceptAll(want.where("rank <= 20").select(*top.columns)).count() == 0 and top.count() == 20
