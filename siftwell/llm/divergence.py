@@ -53,6 +53,9 @@ HELD = 400_000
 #: Parts of a group's terms in joins.
 SALTS = 16
 _ROWS = 20_000
+BILLION = 1_000_000_000
+#: Counts below this, times a billion, are within 64 bits.
+LONG_COUNT = 9_000_000_000
 _COUNTS = "lang string, source string, term string, n long, docs long"
 #: Bytes to what a term is made of: A-Z lower-cased, all that parts terms a blank.
 _BYTES = bytes(b if b > 127 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -93,9 +96,10 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 
 def share(n: Column, total: Column, kept: Column) -> Column:
-    """The smoothed share of a term in billionths, exact for counts of any size."""
-    whole = F.lit(1_000_000_000).cast("decimal(10,0)") * (n + 2).cast("decimal(20,0)")
-    return 1 + F.call_function("div", whole, (total + kept * 2).cast("decimal(20,0)"))
+    """The smoothed share of a term in billionths, exact for counts of any size: in 64 bits where they hold the product, else in decimals."""
+    size = total + kept * 2
+    wide = F.lit(BILLION).cast("decimal(10,0)") * (n + 2).cast("decimal(20,0)")
+    return 1 + F.when(n < LONG_COUNT, F.call_function("div", F.lit(BILLION).cast("long") * (n + 2), size)).otherwise(F.call_function("div", wide, size.cast("decimal(20,0)")))
 
 
 def difference(p: Column, q: Column) -> Column:
@@ -116,47 +120,51 @@ def spread_join(big: DataFrame, small: DataFrame, on: list[str], by: str, how: s
 
 
 def kept_terms(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
-    """Counts (lang, source, term, n, total) of the terms that are kept, and groups (lang, source, used, size, kept, total_size), one for each that occurs.
+    """Counts (lang, source, term, n, total) of the terms that are kept, and groups (g, lang, source, size, kept, total_size), one for each that occurs.
 
-    ``total`` counts a term in its language, ``size`` a group's kept terms by
-    occurrence, ``used`` by kind; ``kept`` is V and ``total_size`` the language's N.
+    ``total`` counts a term in its language, ``size`` a group's kept terms;
+    ``kept`` is V and ``total_size`` the language's N. ``g`` numbers the groups.
     """
     spark = docs.sparkSession
     docs = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt by language and term once: what is added up by source, and then over the sources, needs no other exchange.
     counts = term_counts(docs).repartition(parts, "lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    by_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("in_docs"), F.min("source").alias("head")).where(F.col("in_docs") >= least_docs)
+    all_sources = Window.partitionBy("lang", "term")
+    counts = counts.select("*", F.sum("n").over(all_sources).alias("total"), F.sum("docs").over(all_sources).alias("in_docs"), F.min("source").over(all_sources).alias("head"))
     # One row of each term is marked, so that V needs no count of distinct terms.
-    kept = cut(counts.join(by_lang, ["lang", "term"]).select("lang", "source", "term", "n", "total", (F.col("source") == F.col("head")).alias("first")))
-    sizes = kept.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("used"), F.sum("n").alias("size"), F.count_if("first").alias("firsts"))
+    kept = cut(counts.where(F.col("in_docs") >= least_docs).select("lang", "source", "term", "n", "total", (F.col("source") == F.col("head")).alias("first")))
+    sizes = kept.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count_if("first").alias("firsts"))
     langs = sizes.groupBy("lang").agg(F.sum("firsts").alias("kept"), F.sum("size").alias("total_size"))
     groups = docs.select("lang", "source").distinct().join(sizes.drop("firsts"), ["lang", "source"], "left").join(langs, "lang", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
-    return kept.drop("first"), cut(groups.select("lang", "source", zero("used"), zero("size"), zero("kept"), zero("total_size")))
+    return kept.drop("first"), cut(groups.select(F.monotonically_increasing_id().alias("g"), "lang", "source", zero("size"), zero("kept"), zero("total_size")))
 
 
-def pair_values(kept: DataFrame, groups: DataFrame) -> DataFrame:
-    """(lang, source, item, value) for every two sources of a language, in both directions."""
-    # Sources by number would be shorter keys; by name the sums need no second join.
+def group_shares(kept: DataFrame, groups: DataFrame) -> DataFrame:
+    """(lang, term, g, n, p, q, p0): each kept count's share in its group and in its language, and the share of a term that the group doesn't use."""
+    rows = spread_join(kept, groups, ["lang", "source"], "term")
+    of = lambda n, size: share(n, F.col(size), F.col("kept"))
+    return rows.select("lang", "term", "g", "n", of(F.col("n"), "size").alias("p"), of(F.col("total"), "total_size").alias("q"), of(F.lit(0).cast("long"), "size").alias("p0"))
+
+
+def pair_values(shares: DataFrame, groups: DataFrame) -> DataFrame:
+    """(g, h, value) for every two groups of a language, in both directions."""
     unused = F.when(F.col("kept") > 0, share(F.lit(0).cast("long"), F.col("size"), F.col("kept")))
-    ends = groups.select("lang", "source", "size", "kept", unused.alias("p0"))
-    other = _for_salts(ends.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0")))
-    different = F.col("source") != F.col("item")
-    keys = ["lang", F.least("source", "item").alias("a"), F.greatest("source", "item").alias("b")]
-    base = _salted(ends, "source").join(other, ["lang", "salt"]).where(F.col("source") < F.col("item"))
-    base = base.select(*keys, F.coalesce(F.col("kept") * difference(F.col("p0"), F.col("q0")), F.lit(0).cast("long")).alias("x"))
-    alike = kept.groupBy("lang", "source", "n").agg(F.count(F.lit(1)).alias("terms"))
-    own = spread_join(alike, ends, ["lang", "source"], "n").withColumn("p", share(F.col("n"), F.col("size"), F.col("kept")))
-    own = _salted(own, "n").join(other, ["lang", "salt"]).where(different)
-    own = own.select(*keys, (F.col("terms") * (difference(F.col("p"), F.col("q0")) - difference(F.col("p0"), F.col("q0")))).alias("x"))
-    terms = spread_join(kept.select("lang", "source", "term", "n"), ends, ["lang", "source"], "term").select("lang", "term", "source", share(F.col("n"), F.col("size"), F.col("kept")).alias("p"), "p0")
-    both = terms.join(terms.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0")), ["lang", "term"]).where(F.col("source") < F.col("item"))
+    ends = groups.select("g", "lang", "kept", unused.alias("p0"))
+    other = _for_salts(ends.select("lang", F.col("g").alias("h"), F.col("p0").alias("q0")))
     p, q, p0, q0 = (F.col(c) for c in ("p", "q", "p0", "q0"))
-    both = both.select(*keys, (difference(p, q) - difference(p, q0) - difference(p0, q) + difference(p0, q0)).alias("x"))
+    base = _salted(ends, "g").join(other, ["lang", "salt"]).where("g < h").select("g", "h", F.coalesce(F.col("kept") * difference(p0, q0), F.lit(0).cast("long")).alias("x"))
+    alike = shares.groupBy("lang", "g", "p", "p0").agg(F.count(F.lit(1)).alias("terms"))
+    own = _salted(alike, "p").join(other, ["lang", "salt"]).where("g <> h")
+    own = own.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"), (F.col("terms") * (difference(p, q0) - difference(p0, q0))).alias("x"))
+    terms = shares.select("lang", "term", "g", "p", "p0")
+    both = terms.join(terms.select("lang", "term", F.col("g").alias("h"), F.col("p").alias("q"), F.col("p0").alias("q0")), ["lang", "term"]).where("g < h")
+    both = both.select("g", "h", (difference(p, q) - difference(p, q0) - difference(p0, q) + difference(p0, q0)).alias("x"))
     # Each part is added up by pair before it is shuffled.
-    summed = base.unionByName(own).unionByName(both).groupBy("lang", "a", "b").agg(F.sum("x").alias("value"))
-    way = lambda s, t: F.struct(F.col(s).alias("source"), F.col(t).alias("item"))
-    return summed.select("lang", F.explode(F.array(way("a", "b"), way("b", "a"))).alias("w"), "value").select("lang", "w.source", "w.item", "value")
+    summed = base.unionByName(own).unionByName(both).groupBy("g", "h").agg(F.sum("x").alias("value"))
+    way = lambda a, b: F.struct(F.col(a).alias("g"), F.col(b).alias("h"))
+    return summed.select(F.explode(F.array(way("g", "h"), way("h", "g"))).alias("w"), "value").select("w.g", "w.h", "value")
 
 
 def _boundary(counts: DataFrame, group: list[str], need: Column, descending: bool) -> DataFrame:
@@ -219,12 +227,13 @@ def radix_top(rows: DataFrame, group: list[str], value: str, item: str, k: int,
 def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TERMS) -> DataFrame:
     """(lang, source, part, item, value, rank) of all pairs of sources and of each source's ``top`` terms; ``docs`` has lang, source and text."""
     kept, groups = kept_terms(docs, least_docs)
-    pairs = pair_values(kept, groups)
-    by_pair = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item")))
+    shares = group_shares(kept, groups)
+    named = groups.select("g", "lang", "source")
+    pairs = pair_values(shares, groups).join(named, "g").join(groups.select(F.col("g").alias("h"), F.col("source").alias("item")), "h")
+    by_pair = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("value"), F.asc("item")))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", by_pair.alias("rank"))
-    shares = spread_join(kept, groups, ["lang", "source"], "term").select("lang", "source", "term", share(F.col("n"), F.col("size"), F.col("kept")).alias("p"), share(F.col("total"), F.col("total_size"), F.col("kept")).alias("q"))
-    over = shares.where(F.col("p") > F.col("q")).select("lang", "source", F.col("term").alias("item"), difference(F.col("p"), F.col("q")).alias("value"))
-    terms = radix_top(over, ["lang", "source"], "value", "item", top)
+    over = shares.where(F.col("p") > F.col("q")).select("g", F.col("term").alias("item"), difference(F.col("p"), F.col("q")).alias("value"))
+    terms = radix_top(over, ["g"], "value", "item", top).join(named, "g")
     return pairs.unionByName(terms.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
 
 
