@@ -42,7 +42,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SIZE = len(ALPHABET) + 1  # index 0: any other character
 #: A run is a secret if its log-likelihood ratio reaches both, in total and a bigram.
 TOTAL, MEAN = 15.0, 0.5
-#: Documents whose words make the samples of ordinary identifiers, at most; random strings, in number.
+#: Documents (ids, one text each) whose words make the samples of ordinary identifiers, at most; random strings, in number.
 SAMPLE_DOCS, SAMPLE_RANDOM = 1000, 4000
 KINDS = ("assign", "access", "hex", "markov")
 _SPAN = "struct<start:int,ord:int,end:int>"
@@ -113,8 +113,11 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, key: str, text: str)
     )
     chosen = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(SAMPLE_DOCS)
     words = F.filter(F.split(F.regexp_replace("t", r"[0-9+/_=-]+|\S*[0-9]\S*", " "), r"[^A-Za-z]+"), lambda w: F.length(w) > 1)
+    # One text of each id, the one with the smallest hash, however often the id occurs; each task brings down its own first.
+    one = F.min(F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("t"))).alias("one")
+    named = docs.where(F.col(text).isNotNull()).select(key, text).join(F.broadcast(chosen), key, "left_semi")  # SAMPLE_DOCS ids
     # No condition on the words, stated or inferred, may be moved below the join: it would split all texts.
-    some = docs.select(key, text).join(F.broadcast(chosen), key, "left_semi").select(F.col(text).alias("t")).select(words.alias("w"))
+    some = named.groupBy(key).agg(one).select("one.t").select(words.alias("w"))
     glued = F.transform(
         F.when(F.size("w") > 2, F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("w") - 3), F.lit(3))).otherwise(F.array().cast("array<int>")),
         lambda i: F.concat(

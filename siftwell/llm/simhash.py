@@ -181,33 +181,89 @@ def links(prints: DataFrame, distance: int = DISTANCE, shared: int | None = None
     dense = met.where(F.col("n") > bucket).select("fp").distinct()
     variants = dense.select("fp", F.explode(F.transform(F.lit(signed), lambda m: F.col("fp").bitwiseXOR(m))).alias("value"))
     least = variants.groupBy("value").agg(F.min("fp").alias("a"), F.max("fp").alias("top")).where("a < top").select("value", "a")
-    stars = variants.join(least, "value").where("a <> fp").select("a", F.col("fp").alias("b"))
-    return near.unionByName(stars).distinct()
+    spokes = variants.join(least, "value").where("a <> fp").select("a", F.col("fp").alias("b"))
+    return local_forests(near.unionByName(spokes))
+
+
+#: Links of a task that are contracted at once, and links that a task of a contraction round gets.
+LOCAL_LINKS, ROUND_LINKS, LEAST_PARTS = 1_000_000, 100_000, 8
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least node, node) for every other node of each component of the links (a, b)."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low, new = np.minimum(label[x], label[y]), label.copy()
+        np.minimum.at(new, label[x], low)
+        np.minimum.at(new, label[y], low)
+        while True:
+            further = new[new]
+            if (further == new).all():
+                break
+            new = further
+        if (new == label).all():
+            break
+        label = new
+    child = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[label[child]], nodes[child]
+
+
+def local_forests(edges: DataFrame) -> DataFrame:
+    """(a, b): links that connect what ``edges`` connect, each task's made stars of its own; no shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = kept = 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)))
+            size += batch.num_rows
+            if size >= LOCAL_LINKS + kept:
+                held = [stars(*(np.concatenate(c) for c in zip(*held, strict=True)))]
+                size = kept = len(held[0][0])
+                if kept > LOCAL_LINKS:
+                    yield from sent(*held[0])
+                    held, size, kept = [], 0, 0
+        if held:
+            yield from sent(*stars(*(np.concatenate(c) for c in zip(*held, strict=True))))
+
+    def sent(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(a), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(a[i : i + 100_000], pa.int64()), pa.array(b[i : i + 100_000], pa.int64())], names=["a", "b"])
+
+    return edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node with a link, by alternating large-star and small-star steps (Kiveris et al., 2014).
 
-    ``edges`` has columns a and b; the root is the least node. Each step is a
-    shuffle by node with a partial minimum; it ends when a step changes nothing.
-    The minima are tables of their own, so that a node with a large share of all
-    links is joined to its minimum by a broadcast or in parts, as the adaptive
-    planner finds it.
+    ``edges`` has columns a and b; the root is the least node. Each task first
+    contracts its own links to stars. Each step is a shuffle by node with a
+    partial minimum, in as few tasks as the links left need; it ends when every
+    node has one link down and none up, which is counted. The minima are tables
+    of their own, so that a node with a large share of all links is joined to its
+    minimum by a broadcast or in parts, as the adaptive planner finds it.
     """
-    e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = lambda df: df.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    e = cut(ordered(local_forests(edges)))
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
-        large = cut(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        down = cut(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        e = cut(small)
-        state = e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).head()
-        if state == before:
+        parts = max(LEAST_PARTS, -(-e.count() // ROUND_LINKS))
+        few = lambda df: df.coalesce(parts) if parts < most else df  # noqa: B023, E731
+        e = cut(few(few(e).distinct()))
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+        of_node = few(ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")))
+        if not of_node.agg(F.count_if((F.col("down") > 1) | ((F.col("down") == 1) & (F.col("up") == 1)))).head()[0]:
             break
-        before = state
-    return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = cut(few(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))))
+        large = cut(few(few(both.join(least, "u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()))
+        down = cut(few(large.groupBy("u").agg(F.min("v").alias("m"))))
+        small = few(large.join(down, "u")).select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
+        small = small.unionByName(down.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        e = cut(ordered(local_forests(small)))
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def named_components(nodes: DataFrame, links_: DataFrame) -> DataFrame:
@@ -216,6 +272,7 @@ def named_components(nodes: DataFrame, links_: DataFrame) -> DataFrame:
     Linked nodes are numbered in the order of ``least``, so the root of a
     component names it and no group of a component's nodes is ever formed.
     """
+    links_ = cut(local_forests(links_))
     ends = links_.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     order = cut(ranked(nodes.select("node", "least").join(ends, "node", "left_semi"), F.asc_nulls_last("least"), "node", rank="place"))
     place = lambda c: order.select(F.col("node").alias(c), F.col("place").alias(f"at_{c}"))

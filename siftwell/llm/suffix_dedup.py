@@ -22,15 +22,17 @@ hash of their string. That is most of the decisions: of the repeating starts of
 a corpus with many whole copies about nine in ten. Refining all of them from
 their bytes would move each repeated text some four times over.
 
-Only the earliest of equal rows leaves a task (``_earliest``), so a passage that
+Only the earliest of equal rows leaves a task (``_earliest``; those of other
+texts with its key and start, as without a key, go with it), so a passage that
 any share of all documents holds reaches a reducer at most once a task; an open
 bucket is told by one row a task. Nothing is dropped, and no texts but those of
 a partition's batch are held.
 
 Order is by key, then start. Edge cases: a null text counts as empty; texts
 shorter than ``LENGTH`` lose nothing; rows with one key and one text are one
-document; rows with one key and different texts are compared by start alone; a
-null key comes last. Very long texts are read in pieces.
+document; rows with one key and different texts are compared by start alone,
+and told apart by 64 bits of hash and length (``row_name``); a null key comes
+last. Very long texts are read in pieces.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -216,11 +218,11 @@ def _unblob(blob: bytes, dtypes: dict[int, list[str]]) -> tuple[int, list[np.nda
 
 
 _TYPES = {
-    _ROWS: ["<u8", "<u8", "<i8", "<i4", "<i8", "u1"],  # bucket, content, key, row, start, starts
+    _ROWS: ["<u8", "<u8", "<i8", "<i8", "<i8", "u1"],  # bucket, content, key, row, start, starts
     _MARKS: ["<u8"],  # buckets
-    _FLAGS: ["<i8", "<i4", "<i8"],  # key, row, flag
-    _CONTEXTS: ["<i8", "<i4", "<i8", "u1"],  # key, row, start, starts; the bytes follow
-    _NAMES: ["<u8", "<u8", "<i8", "<i4", "<i8"],  # name, name, key, row, start
+    _FLAGS: ["<i8", "<i8", "<i8"],  # key, row, flag
+    _CONTEXTS: ["<i8", "<i8", "<i8", "u1"],  # key, row, start, starts; the bytes follow
+    _NAMES: ["<u8", "<u8", "<i8", "<i8", "<i8"],  # name, name, key, row, start
 }
 
 
@@ -233,26 +235,36 @@ def _deal(kind: int, part: np.ndarray, parts: int, columns: list[np.ndarray]) ->
         yield p, _blob(kind, [c[mine] for c in columns])
 
 
-def _earliest(groups: list[np.ndarray], key: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, first of its group, later than the first), in the order of groups, key, start.
+def _earliest(groups: list[np.ndarray], key: np.ndarray, off: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(order, first of its group, like the first, later than the first), in the order of groups, key, start.
 
-    Rows that share key and start with the first are neither.
+    Other texts' rows that share key and start with the first are like it: what
+    is said of the first holds for them, so they go wherever it goes. Further
+    rows of one text, start and group are none of these.
     """
-    order = np.lexsort([off, key, *reversed(groups)])
+    order = np.lexsort([row, off, key, *reversed(groups)])
     new = np.zeros(len(order), bool)
     new[:1] = True
     for g in groups:
         s = g[order]
         new[1:] |= s[1:] != s[:-1]
     at = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    k, o = key[order], off[order]
-    return order, new, ~new & ((k != k[at]) | (o != o[at]))
+    k, o, r = key[order], off[order], row[order]
+    later = ~new & ((k != k[at]) | (o != o[at]))
+    like = new.copy()
+    like[1:] |= ~later[1:] & ~new[1:] & (r[1:] != r[:-1])
+    return order, new, like, later
 
 
 def _part(x: np.ndarray, parts: int) -> np.ndarray:
     return (mix(x.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
 
 
+def _row_part(key: np.ndarray, row: np.ndarray, parts: int) -> np.ndarray:
+    """The part of a text's flags: rows without a key share one, so the row's name counts too."""
+    return _part(key.astype(np.uint64) ^ mix(row.astype(np.uint64)), parts)
+
+
 def _blob_batch(pairs: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p for p, _ in pairs], pa.int32()), pa.array([b for _, b in pairs], pa.binary())], names=["part", "blob"])
 
@@ -260,7 +272,7 @@ def _blob_batch(pairs: list[tuple[int, bytes]]) -> pa.RecordBatch:
 def _flag_batches(key: np.ndarray, row: np.ndarray, r: np.ndarray) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(key), 200_000):
         z = slice(i, i + 200_000)
-        yield pa.RecordBatch.from_arrays([pa.array(key[z], pa.int64()), pa.array(row[z], pa.int32()), pa.array(r[z], pa.int64())], names=["key", "row", "r"])
+        yield pa.RecordBatch.from_arrays([pa.array(key[z], pa.int64()), pa.array(row[z], pa.int64()), pa.array(r[z], pa.int64())], names=["key", "row", "r"])
 
 
 # -- the passes -------------------------------------------------------------------------------------------------------
@@ -282,7 +294,7 @@ def _send_anchors(length: int, gram: int, parts: int):
             bucket, content, lo, n = anchors(data, bounds, rolling, length, gram)
             d = np.searchsorted(bounds, lo, "right") - 1
             key, row, base = (np.array([t[i] for t in texts], np.int64)[d] for i in range(3))
-            held.append([bucket, content, key, row.astype(np.int32), lo - bounds[d] + base, n.astype(np.uint8)])
+            held.append([bucket, content, key, row, lo - bounds[d] + base, n.astype(np.uint8)])
             texts.clear()
             size, rows = 0, rows + len(lo)
 
@@ -293,16 +305,16 @@ def _send_anchors(length: int, gram: int, parts: int):
             bucket, content, key, row, off, n = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
             rows = 0
-            order, new, later = _earliest([bucket, content], key, off)
+            order, new, like, later = _earliest([bucket, content], key, off, row)
             bucket, content, key, row, off, n = (c[order] for c in (bucket, content, key, row, off, n))
             first = np.append(True, bucket[1:] != bucket[:-1])
             group = np.cumsum(first) - 1
             crowd = np.bincount(group, new)[group] > LOCAL_GROUP
-            hot = new & crowd
-            out = list(_deal(_FLAGS, _part(key[later | hot], parts), parts, [key[later | hot], row[later | hot], flag(off, n, np.where(hot, HOT, REPEAT), bucket)[later | hot]]))
+            hot = like & crowd
+            out = list(_deal(_FLAGS, _row_part(key[later | hot], row[later | hot], parts), parts, [key[later | hot], row[later | hot], flag(off, n, np.where(hot, HOT, REPEAT), bucket)[later | hot]]))
             marks = bucket[first & crowd]
             out += _deal(_MARKS, _part(marks, parts), parts, [marks])
-            go = np.flatnonzero(new & ~crowd)
+            go = np.flatnonzero(like & ~crowd)
             go = go[np.lexsort((off[go], key[go]))]  # neighbours compress
             out += _deal(_ROWS, _part(bucket[go], parts), parts, [c[go] for c in (bucket, content, key, row, off, n)])
             for i in range(0, len(out), 64):
@@ -338,14 +350,14 @@ def _judge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     if not got[_ROWS]:
         return
     bucket, content, key, row, off, n = (np.concatenate(c) for c in zip(*got.pop(_ROWS), strict=True))
-    order, new, later = _earliest([bucket, content], key, off)
+    order, new, like, later = _earliest([bucket, content], key, off, row)
     bucket, key, row, off, n = (c[order] for c in (bucket, key, row, off, n))
     group = np.cumsum(np.append(True, bucket[1:] != bucket[:-1])) - 1
     count = np.bincount(group, new)[group]
     crowd = count > HOT_GROUP
     if got[_MARKS]:
         crowd |= np.isin(bucket, np.concatenate([c[0] for c in got[_MARKS]]))
-    told = later | (new & (crowd | (count > 1)))
+    told = later | (like & (crowd | (count > 1)))
     kind = np.where(later, REPEAT, np.where(crowd, HOT, OPEN))
     yield from _flag_batches(key[told], row[told], flag(off, n, kind, bucket)[told])
 
@@ -367,13 +379,13 @@ def _send_open(length: int, parts: int, text_at: int):
             out = []
             for p, rows in contexts.items():
                 key, row, off, n, data = zip(*rows, strict=True)
-                out.append((p, _blob(_CONTEXTS, [np.array(key, "<i8"), np.array(row, "<i4"), np.array(off, "<i8"), np.array(n, "u1")], b"".join(data))))
+                out.append((p, _blob(_CONTEXTS, [np.array(key, "<i8"), np.array(row, "<i8"), np.array(off, "<i8"), np.array(n, "u1")], b"".join(data))))
             if names:
                 a, c, key, row, off = (np.concatenate(x) for x in zip(*names, strict=True))
-                order, new, later = _earliest([a, c], key, off)
+                order, _, like, later = _earliest([a, c], key, off, row)
                 a, c, key, row, off = (x[order] for x in (a, c, key, row, off))
-                out += _deal(_FLAGS, _part(key[later], parts), parts, [key[later], row[later], flag(off[later], np.ones(later.sum(), np.int64), REPEAT)])
-                out += _deal(_NAMES, _part(a[new], parts), parts, [x[new] for x in (a, c, key, row, off)])
+                out += _deal(_FLAGS, _row_part(key[later], row[later], parts), parts, [key[later], row[later], flag(off[later], np.ones(later.sum(), np.int64), REPEAT)])
+                out += _deal(_NAMES, _part(a[like], parts), parts, [x[like] for x in (a, c, key, row, off)])
             contexts.clear()
             names.clear()
             size = 0
@@ -390,7 +402,7 @@ def _send_open(length: int, parts: int, text_at: int):
                 for o, m in zip(off[~plain].tolist(), n[~plain].tolist(), strict=True):
                     data = np.frombuffer(text[o : o + m + length - 1], np.uint8)
                     a, c = (rolling.spans(rolling.sums(data, w), slice(0, m), slice(length, length + m), w) for w in (0, 1))
-                    names.append([a, c, np.full(m, key, np.int64), np.full(m, row, np.int32), np.arange(o, o + m)])
+                    names.append([a, c, np.full(m, key, np.int64), np.full(m, row, np.int64), np.arange(o, o + m)])
                     size += 32 * m
             if size > 128 << 20:
                 yield from send()
@@ -422,7 +434,7 @@ def _judge_open(length: int):
             starts = np.repeat(begin, n) + inner
             bucket = refine(data, starts, length)
             of = np.repeat(np.arange(len(n)), n)
-            order, _, later = _earliest([bucket], key[of], off[of] + inner)
+            order, _, _, later = _earliest([bucket], key[of], off[of] + inner, row[of])
             repeat = np.zeros(len(of), bool)
             repeat[order[later]] = True
             # Neighbouring repeats of one context are one flag.
@@ -433,7 +445,7 @@ def _judge_open(length: int):
                 yield from _flag_batches(key[of[lo]], row[of[lo]], flag(off[of[lo]] + inner[lo], hi - lo + 1, REPEAT))
         if names:
             a, c, key, row, off = (np.concatenate(x) for x in zip(*names, strict=True))
-            order, _, later = _earliest([a, c], key, off)
+            order, _, _, later = _earliest([a, c], key, off, row)
             at = order[later]
             yield from _flag_batches(key[at], row[at], flag(off[at], np.ones(len(at), np.int64), REPEAT))
 
@@ -457,7 +469,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     """
     spark = prepare(docs.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    told = "key long, row int, r long"
+    told = "key long, row long, r long"
     dealt = docs.select("key", "row", "text").mapInArrow(_send_anchors(length, gram, parts), "part int, blob binary").repartitionById(parts, "part")
     first = cut(dealt.mapInArrow(_judge_buckets, told).groupBy("key", "row").agg(F.collect_list("r").alias("r")))
     still = first.select("key", "row", F.filter("r", lambda x: x.bitwiseAND(F.lit(3)) > 0).alias("r")).where("size(r) > 0")
@@ -468,6 +480,12 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     return done.groupBy("key", "row").agg(F.flatten(F.collect_list("r")).alias("r")).where("size(r) > 0")
 
 
+def row_name(text: Column) -> Column:
+    """What tells the texts of one key apart: 64 bits of a text's hash and length."""
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(text, F.octet_length(text))
+
+
 def remove_repeats(df: DataFrame, key: str, text: str, keep: list[str], finish, schema: str, length: int = LENGTH) -> DataFrame:
     """``finish(text bytes, starts, ends)`` of every row, after its ``keep`` columns.
 
@@ -475,7 +493,7 @@ def remove_repeats(df: DataFrame, key: str, text: str, keep: list[str], finish,
     values of ``schema``'s further columns.
     """
     ride = [F.col(c).alias(f"keep{i}") for i, c in enumerate(keep)]  # other names, as the kept columns may be called as those here
-    rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("key"), F.hash(F.coalesce(F.col(text), F.lit(""))).alias("row"), *ride, F.col(text).alias("text"))
+    rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("key"), row_name(F.col(text)).alias("row"), *ride, F.col(text).alias("text"))
     flags = repeated_starts(rows, length)
     n = len(keep) + 2  # key and row come first
     none = np.zeros(0, np.int64)

@@ -20,6 +20,7 @@ id, the one with the smallest hash is learned from. Whole texts are used.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -40,6 +41,8 @@ LEXICON = 600
 #: A learned entry is in at least so many toxic rows, and its smoothed log-odds are at least this.
 LEAST_ROWS, LEAST_ODDS = 6, 2.5
 STEMS = (4, 5, 6)
+#: Characters of a word that counts travel with; a longer one travels, and is remembered, as its hash.
+NAMED = 64
 SEED_WORDS = frozenset(
     "idiot idiots moron morons stupid loser losers scum trash garbage pathetic worthless disgusting clown dumb ugly fool jerk creep freak liar coward hate shut kill".split()
 )
@@ -54,9 +57,14 @@ def words_of(text: str) -> list[str]:
     return [w for w in (v.strip(_EDGE) for v in text.lower().split()) if w]
 
 
+def name_of(word: str) -> str:
+    """How the lexicon calls a word: by itself or, beyond ``NAMED`` characters, by its hash."""
+    return word if len(word) <= NAMED else "#" + hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def entries_of(word: str) -> list[str]:
     """What the lexicon may hold of a word: itself and its beginnings, marked by a star."""
-    return [word, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
+    return [name_of(word), *(word[:n] + "*" for n in STEMS if len(word) >= n)]
 
 
 @dataclass
@@ -82,12 +90,12 @@ class Featurizer:
         if hit is not None:
             return hit
         out = self._judge(word)
-        if len(self.memo) < 200_000:
+        if len(word) <= NAMED and len(self.memo) < 200_000:
             self.memo[word] = out
         return out
 
     def _judge(self, word: str) -> tuple[float, float, bool]:
-        w = self.words.get(word, 0.0)
+        w = self.words.get(name_of(word), 0.0)
         s = max((self.stems.get(word[:n], 0.0) for n in STEMS), default=0.0)
         if not w and not s and not word.isalpha():
             plain = _NOT_LETTER.sub("", word.translate(LOOKALIKE))
@@ -225,7 +233,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         toxic, other = Counter(), Counter()
         for b in batches:
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                (toxic if y else other).update({e for w in set(words_of(t or "")) for e in entries_of(w) if len(w) <= 64})
+                (toxic if y else other).update({e for w in set(words_of(t or "")) for e in entries_of(w)})
         keys = list(toxic.keys() | other.keys())
         for i in range(0, len(keys), 50_000):
             part = keys[i : i + 50_000]

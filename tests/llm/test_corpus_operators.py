@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from siftwell.llm import fingerprint, language_id, media, packing, piece_sampling, secrets, simhash, suffix_dedup, toxicity, url_filter
 from siftwell.llm.common import cut
@@ -263,6 +264,18 @@ def test_long_runs_and_many_matches_take_linear_time(spark):
     assert got[0]["n"] == 1 and got[0]["left"] == "*" and got[1]["n"] == 25_000 and got[1]["left"] == " ".join("*" * 25_000)
 
 
+def test_repeated_ids_are_sampled_once(spark):
+    rng = random.Random(4)
+    rows = [(i, K.prose(rng, 50)) for i in range(60)]
+    made = lambda rows: secrets.labelled_samples(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "doc_id", "text").where("not random")
+    once = made(rows)
+    again = made([r for r in rows for _ in range(30 if r[0] < 5 else 1)] + [(3, "zz " + rows[3][1]), (7, None)])
+    assert again.count() <= once.count() + 100 and abs(again.count() - once.count()) < 5
+    assert secrets.train(secrets.labelled_samples(spark, spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")) == secrets.train(
+        secrets.labelled_samples(spark, spark.createDataFrame(rows * 3, "doc_id long, text string"), "doc_id", "text")
+    )
+
+
 def test_redaction(spark):
     from pyspark.sql import functions as F
 
@@ -396,6 +409,30 @@ def test_repeated_ids_and_rows(spark, tmp_path):
     assert got == sorted(("None" if k == last else str(k), n, m) for k, n, m, *_ in want)
 
 
+def test_texts_of_one_key_whose_short_hashes_collide(spark, tmp_path):
+    """All null ids share a key: texts with equal 32-bit hashes must keep flags of their own."""
+    long = F.concat_ws(" ", *[F.sha2(F.concat_ws("-", "id", F.lit(k)), 256) for k in range(4)])
+    made = spark.range(400_000).select(long.alias("t")).withColumn("h", F.hash("t"))
+    x, y = made.groupBy("h").agg(F.collect_set("t").alias("t")).where("size(t) > 1").orderBy("h").head()["t"][:2]
+    other = K.prose(random.Random(3), 60)
+    docs = [(1, x), (None, x), (None, y), (None, other), (None, other[:200] + y[:90]), (2, "q" + other)]
+    d = K.documents(spark, tmp_path, [(i, t, None, None, None) for i, t in docs])
+    got = sorted((r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in QUERIES["op5_suffix_dedup"](spark, d).collect())
+    want = brute_repeats([(suffix_dedup._LAST if i is None else i, t.encode()) for i, t in docs], 100)
+    assert got == sorted((n, m, h) for _, n, m, _, h in want)
+    assert [r["n_removed"] for r in QUERIES["op5_suffix_dedup"](spark, d).collect() if r["kept_sha256"] == hashlib.sha256(y.encode()).hexdigest()] == [0]
+
+
+def test_many_rows_without_a_key(spark, tmp_path):
+    rng = random.Random(17)
+    passages = [K.prose(rng, 30) for _ in range(3)]
+    docs = [(None if i % 3 else i, " ".join(rng.choice([K.prose(rng, 12), rng.choice(passages)]) for _ in range(3))) for i in range(120)]
+    d = K.documents(spark, tmp_path, [(i, t, None, None, None) for i, t in docs])
+    got = sorted((r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in QUERIES["op5_suffix_dedup"](spark, d).collect())
+    want = brute_repeats([(suffix_dedup._LAST if i is None else i, t.encode()) for i, t in docs], 100)
+    assert got == sorted((n, m, h) for _, n, m, _, h in want)
+
+
 @given(st.binary(min_size=12, max_size=400), st.integers(8, 40))
 @settings(max_examples=60, deadline=None)
 def test_refinement_tells_strings_apart(data, length):
@@ -683,6 +720,18 @@ def test_repeated_ids_are_learned_from_once(spark, tmp_path):
     assert scores[0] == scores[1]
 
 
+def test_long_words_are_learned(spark, tmp_path):
+    rng = random.Random(12)
+    slur = "x" * 70 + "vile"
+    rows = [(i, K.prose(rng, 40) + (f" {slur}" if i % 4 == 0 else " " + "y" * 90), "en", "a", 0) for i in range(400)]
+    d = K.documents(spark, tmp_path, rows)
+    K.table(spark, tmp_path, "labels", [(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    entry = toxicity.name_of(slur)
+    assert len(entry) < 64 and entry in toxicity.learn_lexicon(spark.createDataFrame([(t, int(i % 4 == 0)) for i, t, *_ in rows], "text string, y int"))
+    got = {r["doc_id"]: r["predicted"] for r in QUERIES["op7_toxicity"](spark, d).collect()}
+    assert all(got[i] == int(i % 4 == 0) for i in got)
+
+
 def test_labels_of_held_out_rows_change_nothing(spark, tmp_path):
     rng = random.Random(6)
     rows = [(i, K.prose(rng, 60) + (" idiot moron" if i % 4 == 0 else ""), "en", "a", 0) for i in range(300)]
@@ -873,3 +922,30 @@ def test_one_host_falls_into_many_ranges(spark):
     df = spark.createDataFrame(urls, "page_id long, url string")
     got = url_filter.filter_urls(df, url_filter.rule_table(spark, url_filter.RULES), "page_id", buckets=10)
     assert sorted(tuple(r) for r in got.collect()) == sorted(judged(i, u, url_filter.RULES) for i, u in urls)
+
+
+def test_many_path_rules_of_one_host(spark):
+    """A hundred thousand path rules on a host, nested ones among them: rows carry one rule, not all."""
+    rng = random.Random(19)
+    made = spark.range(100_000).selectExpr("'big.net' as host", "concat('/p', id % 50000, if(id >= 50000, '/sub/', '/')) as path", "if(id % 3 = 0, 'allow', 'block') as action")
+    rules = made.unionByName(spark.createDataFrame([("net", "/", "block"), ("big.net", "/", "allow")], "host string, path string, action string"))
+    urls = [(i, f"http://{rng.choice(['big.net', 'www.big.net', 'other.net', 'x.org'])}/p{rng.randrange(60_000)}{rng.choice(['', '/', '/sub', '/sub/z'])}") for i in range(20_000)]
+    df = spark.createDataFrame(urls, "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.filter_urls(df, rules, "page_id").collect()}
+    known = {(h, p): a for h, p, a in rules.collect()}
+    assert len(got) == len(urls)
+    for i, url in urls:
+        host, _, path = url[7:].partition("/")
+        path, fits = "/" + path, []
+        for h in (host, host.partition(".")[2], host.rpartition(".")[2]):
+            fits += [(len(h) + n, len(h), h + path[:n], known[h, path[:n]]) for n in range(len(path) + 1) if (h, path[:n]) in known]
+        best = max(fits, default=(0, 0, None, "allow"))
+        assert (got[i]["rule"], got[i]["verdict"]) == best[2:]
+
+
+def test_no_rules_and_odd_ones(spark):
+    urls = spark.createDataFrame([(1, "http://a.net/x"), (None, None), (2, "http://")], "page_id long, url string")
+    none = url_filter.rule_table(spark, [("a.net", "/", "block")]).where("false")
+    assert {(r["page_id"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(urls, none, "page_id").collect()} == {(1, None, "allow"), (None, None, "allow"), (2, None, "allow")}
+    odd = url_filter.rule_table(spark, [("a.net", "", "allow"), ("a.net", "", "block"), (None, "/", "block"), ("", "", "block")])
+    assert {(r["page_id"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(urls, odd, "page_id").collect()} == {(1, "a.net", "block"), (None, "", "block"), (2, "", "block")}
