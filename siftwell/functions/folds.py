@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from siftwell.plans.session import cut
@@ -43,11 +43,26 @@ def top(df: DataFrame, n: int, *order: Column | str, rank: str = "rank") -> Data
     return head.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
-def overlap_months(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Per key, the months by which neighbouring intervals (by start, then end) overlap."""
-    from siftwell.functions.columns import months_between
+#: Neighbouring ranks that a task of a check over a ranking holds.
+BLOCK_ROWS = 100_000
 
-    w = Window.partitionBy(key).orderBy(start, end)
-    pairs = df.select(key, start, end, F.lead(start).over(w).alias("__s"), F.lead(end).over(w).alias("__e"))
-    months = F.when(F.col("__s") < F.col(end), months_between(F.col("__s"), F.least(F.col(end), F.col("__e")))).otherwise(F.lit(0))
-    return pairs.groupBy(key).agg(F.sum(months).cast("long").alias("overlap_months"))
+
+def in_blocks(ranked: DataFrame, rank: str = "rank", before: int = 0, after: int = 0, rows: int = BLOCK_ROWS) -> DataFrame:
+    """A table ranked from 1 in blocks of ``rows`` neighbours: each with the ``before`` ranks ahead of it and the ``after`` behind it.
+
+    ``block`` tells the block and ``own`` whether a row is its or a neighbour's
+    copy, so that a window by block sees all it needs and no window has to hold
+    the ranking.
+    """
+    if rows < max(before, after):
+        raise ValueError("a block must hold the neighbours of the next one")
+    at = F.col(rank) - 1
+    block, inside = F.floor(at / rows), at % rows
+    copy = lambda n, own: F.struct((block + n).alias("block"), F.lit(own).alias("own"))
+    copies = F.array(copy(0, True), F.when((inside < after) & (block > 0), copy(-1, False)), F.when(inside >= rows - before, copy(1, False)))
+    return ranked.select("*", F.explode(F.array_compact(copies)).alias("__copy")).select("*", "__copy.*").drop("__copy")
+
+
+def in_block(rank: str = "rank") -> WindowSpec:
+    """The window over a block's rows by rank."""
+    return Window.partitionBy("block").orderBy(rank)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
+from siftwell.functions.frequent import most_frequent
 
 ISSUE = "array<struct<type:string,severity:string,reason:string>>"
 
@@ -90,23 +91,33 @@ COMMON = {"top_countries": "profile.country", "top_locations": "profile.location
 EVERY = ("years_distribution", "career_count_distribution", "skill_count_distribution")
 
 
-def value_counts(records: DataFrame) -> DataFrame:
-    """(profile, value, n, first): how often each profile has each value and where it was first seen; one pass for all profiles."""
-    number = lambda c: F.coalesce(c.cast("int"), F.lit(0)).cast("string")
-    values = {
-        **{name: C.empty_if_null(c) for name, c in COMMON.items()},
-        **dict(zip(EVERY, (number(F.floor("profile.years_of_experience")), number(F.size("career_history")), number(F.size("skills"))), strict=True)),
-    }
+def _number(c: Column) -> Column:
+    return F.coalesce(c.cast("int"), F.lit(0)).cast("string")
+
+
+def profile_values(records: DataFrame) -> DataFrame:
+    """(file, row_num, grp, value): what each record adds to the profiles whose frequent values are told."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("grp"), C.empty_if_null(c).alias("value")) for name, c in COMMON.items()]))
+    return records.select("file", "row_num", pairs.alias("x")).select("file", "row_num", "x.*")
+
+
+def histograms(records: DataFrame) -> DataFrame:
+    """(profile, value, n): every value of the numeric profiles, in one pass."""
+    values = dict(zip(EVERY, (_number(F.floor("profile.years_of_experience")), _number(F.size("career_history")), _number(F.size("skills"))), strict=True))
     pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("profile"), v.alias("value")) for name, v in values.items()]))
-    return records.select("file", "row_num", pairs.alias("x")).groupBy("x.profile", "x.value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("file", "row_num")).alias("first"))
+    return records.select(pairs.alias("x")).groupBy("x.profile", "x.value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def summary(records: DataFrame, all_issues: DataFrame, top: int = 30) -> dict:
-    """Counters, most frequent values and histograms of a dataset: three jobs, a few rows each reach the driver."""
-    order = Window.partitionBy("profile").orderBy(F.desc("n"), "first")
-    told = value_counts(records).withColumn("place", F.row_number().over(order)).where(F.col("profile").isin(*EVERY) | (F.col("place") <= top))
+    """Counters, most frequent values and histograms of a dataset; a few rows each reach the driver.
+
+    Frequent values cost what their summaries hold, however many values there are.
+    """
     found: dict[str, dict] = {name: {} for name in (*COMMON, *EVERY)}
-    for r in sorted(told.collect(), key=lambda r: r["place"]):
+    frequent = most_frequent(profile_values(records), list(COMMON), top, F.struct("file", "row_num"))
+    for r in sorted(frequent.collect(), key=lambda r: r["place"]):
+        found[r["grp"]][r["value"]] = r["n"]
+    for r in histograms(records).collect():
         found[r["profile"]][r["value"]] = r["n"]
     for name in EVERY:
         found[name] = dict(sorted(found[name].items(), key=lambda kv: int(kv[0])))

@@ -7,8 +7,13 @@ Each text is read once for all terms of all categories.
 
 from __future__ import annotations
 
+import hashlib
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from siftwell.config import Config
 from siftwell.functions import columns as C
@@ -56,29 +61,19 @@ def reconstructible(path: Column, excerpt: Column) -> Column:
     return value.eqNullSafe(excerpt)
 
 
-def json_text(c: Column) -> Column:
-    """A string as JSON with ASCII characters only; most need no more than two replacements."""
-    named = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
-    code = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
-
-    def escaped(ch: Column) -> Column:
-        n = F.ascii(ch)
-        pair = F.concat(code(F.lit(0xD800) + F.shiftright(n - 0x10000, 10)), code(F.lit(0xDC00) + F.pmod(n, F.lit(1024))))
-        out = F.when((n >= 32) & (n < 127) & ~ch.isin('"', "\\"), ch)
-        for k, v in named.items():
-            out = out.when(ch == k, F.lit(v))
-        return out.when(n > 0xFFFF, pair).otherwise(code(n))
-
-    plain = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('"'), F.when(c.rlike(r"[^\x20-\x7E]"), F.array_join(F.transform(F.split(c, ""), escaped), "")).otherwise(plain), F.lit('"'))
+@F.arrow_udf(StringType())
+def provenance(candidate: pa.Array, path: pa.Array, category: pa.Array, excerpt: pa.Array, terms: pa.Array) -> pa.Array:
+    """Canonical hash of what a ledger row rests on: SHA-256 of its JSON with sorted keys and ASCII characters only.
 
-
-def provenance(candidate: Column, path: Column, category: Column, excerpt: Column, terms: Column) -> Column:
-    """Canonical hash of what a ledger row rests on: its JSON with sorted keys."""
-    listed = F.concat(F.lit("["), F.array_join(F.transform(terms, json_text), ", "), F.lit("]"))
-    parts = {"candidate_id": json_text(candidate), "excerpt": json_text(excerpt), "matched_terms": listed, "normalized_category": json_text(category), "source_path": json_text(path)}
-    made = F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": '), v) for k, v in sorted(parts.items())])
-    return F.sha2(F.concat(F.lit("{"), made, F.lit("}")).cast("binary"), 256)
+    Rows of one excerpt follow one another, so its JSON is written once for them.
+    """
+    out, last, written = [], None, ""
+    for c, p, n, x, t in zip(*(a.to_pylist() for a in (candidate, path, category, excerpt, terms)), strict=True):
+        if x != last or not written:
+            last, written = x, json.dumps(x)
+        parts = {"candidate_id": json.dumps(c), "excerpt": written, "matched_terms": json.dumps(t), "normalized_category": json.dumps(n), "source_path": json.dumps(p)}
+        out.append(hashlib.sha256(("{" + ", ".join(f'"{k}": {v}' for k, v in parts.items()) + "}").encode()).hexdigest())
+    return pa.array(out, pa.string())
 
 
 def _family(kind: Column) -> Column:

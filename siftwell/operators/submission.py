@@ -6,11 +6,12 @@ import csv
 import re
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
+from siftwell.functions import folds
 from siftwell.sources import sinks
 
 LIMIT = 100
@@ -81,9 +82,22 @@ def require_valid(path: str | Path, name: str | None = None) -> None:
         raise sinks.SinkError("; ".join(found))
 
 
-def order_issues(ranked: DataFrame) -> DataFrame:
-    """The two ordering rules as a query over any ranked table of bounded size: (rank, candidate_id, issue)."""
-    w = Window.orderBy("rank")
-    prev, prev_id = F.lag("final_score").over(w), F.lag("candidate_id").over(w)
-    issue = F.when(F.col("final_score") > prev, F.lit("score_increases")).when((F.col("final_score") == prev) & (F.col("candidate_id") < prev_id), F.lit("tie_order"))
-    return ranked.select("rank", "candidate_id", issue.alias("issue")).where("issue is not null")
+def order_issues(ranked: DataFrame, key: str = "candidate_id", score: str = "final_score", rows: int = folds.BLOCK_ROWS) -> DataFrame:
+    """The two ordering rules over a ranked table of any size: (rank, key, issue), issue null where a row keeps both."""
+    w = folds.in_block()
+    prev, prev_id = F.lag(score).over(w), F.lag(key).over(w)
+    issue = F.when(F.col(score) > prev, F.lit("score_increases")).when((F.col(score) == prev) & (F.col(key) < prev_id), F.lit("tie_order"))
+    return folds.in_blocks(ranked.select("rank", key, score), before=1, rows=rows).withColumn("issue", issue).where("own").select("rank", key, "issue")
+
+
+def repeated_openings(ranked: DataFrame, opening: Column, width: int = 5, rows: int = folds.BLOCK_ROWS) -> DataFrame:
+    """(rank, most_repeated) for every ``width`` neighbours of a ranked table of any size, by the first one's rank: how often their most frequent opening occurs."""
+    keys = F.collect_list("opening").over(folds.in_block().rowsBetween(0, width - 1))
+    rows_ = folds.in_blocks(ranked.select("rank", opening.alias("opening")), after=width - 1, rows=rows).withColumn("keys", keys).where(F.col("own") & (F.size("keys") == width))
+    said = F.filter("keys", lambda k: k != "")
+    return rows_.select("rank", F.coalesce(F.array_max(F.transform(said, lambda k: F.size(F.filter(said, lambda other: other == k)))), F.lit(0)).cast("long").alias("most_repeated"))
+
+
+def missing_ranks(ranked: DataFrame, size: int = LIMIT) -> DataFrame:
+    """Ranks from 1 to ``size`` that a list lacks."""
+    return ranked.sparkSession.range(1, size + 1).select(F.col("id").alias("rank")).join(ranked.select("rank"), "rank", "left_anti")

@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions import columns as C
-from siftwell.functions import folds
+from siftwell.functions import fixed_values as V
+from siftwell.functions import folds, phrases
+from siftwell.functions.frequent import most_frequent
+from siftwell.operators import credibility, submission
 from siftwell.plans.engine_queries import ENGINE
 from siftwell.plans.session import prepare, read_table
 
@@ -169,6 +172,18 @@ def safe_date_parse(t):
 # -- counters and histograms ------------------------------------------------------------------------------------------
 
 
+@query(
+    "q_frequent_values",
+    """SELECT lang, word, n, place FROM (SELECT lang, word, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, first_id, word) AS place FROM (
+    SELECT lang, word, count(*) AS n, min(doc_id) AS first_id FROM (SELECT lang, doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents WHERE lang IN ('de', 'en', 'es', 'fr')) GROUP BY ALL)) WHERE place <= 30""",
+)
+def frequent_values(t):
+    """The thirty most frequent words of each language, exactly, from summaries of bounded size."""
+    words = t("documents").select("doc_id", F.col("lang").alias("grp"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("value"))
+    found = most_frequent(words, ["de", "en", "es", "fr"], 30, F.struct("doc_id", "value"))
+    return found.select(F.col("grp").alias("lang"), F.col("value").alias("word"), "n", long("place").alias("place"))
+
+
 @query("q_value_counts_top", "SELECT source, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first_seen FROM documents GROUP BY source ORDER BY n DESC, first_seen LIMIT 30")
 def value_counts_top(t):
     """Most frequent values, ties by first appearance (the limit is the feature)."""
@@ -358,10 +373,11 @@ def month_diff(t):
     WINDOW w AS (PARTITION BY o_custkey ORDER BY s, e)) GROUP BY o_custkey""",
 )
 def overlap_months(t):
-    """Months by which neighbouring intervals of an entity overlap."""
+    """Months by which neighbouring intervals of an entity overlap, as the credibility rule counts them."""
     s = F.col("o_orderdate").cast("date")
-    o = t("orders").select("o_custkey", s.alias("s"), F.date_add(s, 120 + (F.col("o_orderkey") % 60).cast("int")).alias("e"))
-    return folds.overlap_months(o, "o_custkey", "s", "e")
+    role = F.struct(s.cast("string").alias("start_date"), F.date_add(s, 120 + (F.col("o_orderkey") % 60).cast("int")).cast("string").alias("end_date"))
+    histories = t("orders").groupBy("o_custkey").agg(F.collect_list(role).alias("history"))
+    return histories.select("o_custkey", long(credibility.overlap_months(F.col("history"), C.date_lit(ORDER_REF))).alias("overlap_months"))
 
 
 # -- rules, multipliers, scores ---------------------------------------------------------------------------------------
@@ -609,14 +625,38 @@ def monotone_check(t):
     return top100(t).select("rank", "doc_id", status.alias("status"))
 
 
+@query("q_missing_ranks", f"SELECT CAST(r AS BIGINT) AS rank FROM generate_series(1, 100) g(r) WHERE r NOT IN (SELECT rank FROM ({_TOP_SQL}) WHERE lang = 'en')")
+def missing_ranks(t):
+    """Ranks that the top hundred's rows of one language leave open."""
+    return submission.missing_ranks(top100(t).where(F.col("lang") == "en"))
+
+
+#: Documents by length, and the score that this order should follow but doesn't.
+_LENGTH_ORDER = f"(SELECT doc_id, final_score, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS rank FROM ({_BASE_SQL}) JOIN (SELECT doc_id, n_chars FROM documents) USING (doc_id))"
+
+
 @query(
-    "q_missing_ranks",
-    f"SELECT CAST(r AS BIGINT) AS rank FROM generate_series(1, 120) g(r) WHERE r NOT IN (SELECT rank FROM ({_TOP_SQL}))",
+    "q_order_issues",
+    f"""SELECT rank, doc_id, CASE WHEN final_score > prev THEN 'score_increases' WHEN final_score = prev AND doc_id < prev_id THEN 'tie_order' END AS issue FROM (
+    SELECT *, lag(final_score) OVER (ORDER BY rank) AS prev, lag(doc_id) OVER (ORDER BY rank) AS prev_id FROM {_LENGTH_ORDER})""",
 )
-def missing_ranks(t):
-    """Expected ranks that a list lacks."""
-    top_ = top100(t)
-    return top_.sparkSession.range(1, 121).select(F.col("id").alias("rank")).join(top_.select("rank"), "rank", "left_anti")
+def order_issues(t):
+    """Both ordering rules over all ranks of a table, by blocks of neighbours with a halo: no window holds the ranking."""
+    scored = base_fit(t).select("doc_id", "final_score").join(t("documents").select("doc_id", "n_chars"), "doc_id")
+    ranked = folds.ranked(scored, F.desc("n_chars"), "doc_id")
+    return submission.order_issues(ranked, "doc_id", rows=97)
+
+
+@query(
+    "q_repeated_openings",
+    f"""SELECT rank, CAST(list_max(list_transform(k, lambda x: len(list_filter(k, lambda y: y = x)))) AS BIGINT) AS most_repeated FROM (
+    SELECT rank, list(opening) OVER (ORDER BY rank ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS k FROM (
+      SELECT rank, array_to_string(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')[1:1], ' ') AS opening FROM {_LENGTH_ORDER} JOIN (SELECT doc_id, text FROM documents) USING (doc_id))) WHERE len(k) = 5""",
+)
+def repeated_openings(t):
+    """How often five neighbours of a ranking share an opening word, over all ranks, by blocks with a halo."""
+    ranked = folds.ranked(t("documents").select("doc_id", "n_chars", C.opening_key(F.col("text"), 1).alias("opening")), F.desc("n_chars"), "doc_id")
+    return submission.repeated_openings(ranked, F.col("opening"), rows=89)
 
 
 @query(
@@ -650,34 +690,45 @@ def sentence_stats(t):
 @query(
     "q_sliding_openings",
     """SELECT conv_id, turn, CAST(list_max(list_transform(k, lambda x: len(list_filter(k, lambda y: y = x)))) AS BIGINT) AS most_repeated FROM (
-    SELECT conv_id, turn, list(lower(left(text, 1))) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS k FROM conversations)""",
+    SELECT conv_id, turn, list(array_to_string(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')[1:1], ' ')) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS k FROM conversations)""",
 )
 def sliding_openings(t):
     """Most repeated opening within a window of five entries."""
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(0, 4)
-    c = t("conversations").select("conv_id", "turn", F.collect_list(F.lower(F.left("text", F.lit(1)))).over(w).alias("k"))
+    c = t("conversations").select("conv_id", "turn", F.collect_list(C.opening_key(F.col("text"), 1)).over(w).alias("k"))
     return c.select("conv_id", "turn", long(F.array_max(F.transform("k", lambda x: F.size(F.filter("k", lambda y: y == x))))).alias("most_repeated"))
 
 
-@query(
-    "q_lint_checks",
-    """SELECT failed, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(list_filter([CASE WHEN NOT regexp_matches(text, '[.!?]$') THEN 'missing_terminal_punctuation' END,
-    CASE WHEN regexp_matches(text, '^[a-z]') THEN 'lowercase_sentence_start' END, CASE WHEN len(string_split(text, ' ')) <= 4 THEN 'bare_fragment' END,
-    CASE WHEN regexp_matches(lower(text), '(^| )(and|of|to|with|for)[.!?]?$') THEN 'dangling_fragment' END, CASE WHEN NOT contains(lower(text), 'the') THEN 'missing_limitation' END], lambda x: x IS NOT NULL)) AS failed FROM conversations) GROUP BY failed""",
-)
+def _lint_sql() -> str:
+    """The style checks of a text in the second rank band, but for words said twice, which need a regex that refers back."""
+    tokens = lambda x: f"regexp_extract_all(lower({x}), '[a-z0-9+/.\\-]+')"
+    some = lambda x, words: "(" + " OR ".join(f"contains({x}, {_text(w)})" for w in words) + ")"
+    verb = "(list_has_any(p.t, " + quoted(list(V.FACT_VERBS)) + ") OR regexp_matches(lower(p.s), '[\\p{L}\\p{N}_](ed|ing)([^\\p{L}\\p{N}_]|$)'))"
+    ends = f"(coalesce(p.b[1] IN ({', '.join(map(_text, sorted(V.DANGLING_START)))}), false) OR coalesce(p.b[-1] IN ({', '.join(map(_text, sorted(V.DANGLING_END)))}), false) OR regexp_matches(lower(p.bare), {_text('|'.join(f'(?:{x})' for x in V.BROKEN_FRAGMENTS))}))"
+    any_part = lambda cond: f"len(list_filter(parts, lambda p: {cond})) > 0"
+    checks = {
+        "bare_fragment": any_part(f"len(p.t) <= 4 AND NOT {verb}"), "dangling_fragment": any_part(ends), "dangling_start_token": any_part(f"coalesce(p.t[1] IN ({', '.join(map(_text, sorted(V.DANGLING_START)))}), false)"),
+        "forbidden_term": some("lower(x)", V.FORBIDDEN_TERMS), "incomplete_clause": any_part(f"len(p.t) < 6 AND NOT {verb}"), "lowercase_sentence_start": any_part("NOT regexp_matches(p.s, '^\\p{Lu}')"),
+        "missing_limitation": f"NOT {some('lower(x)', V.LIMIT_WORDS)}", "missing_terminal_punctuation": "x <> '' AND NOT regexp_matches(x, '[.!?]$')", "repeated_clause": "len(list_distinct(list_transform(parts, lambda p: p.key))) < len(parts)",
+        "sentence_count": "len(parts) NOT BETWEEN 1 AND 2",
+    }
+    bare = "regexp_replace(s, '[.!?]+$', '')"
+    part = f"{{'s': s, 't': {tokens('s')}, 'bare': {bare}, 'b': {tokens(bare)}, 'key': trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))}}"
+    failed = ", ".join(f"CASE WHEN {sql} THEN '{name}' END" for name, sql in checks.items())
+    return f"""SELECT failed, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(list_filter([{failed}], lambda c: c IS NOT NULL)) AS failed FROM (
+    SELECT trim(text) AS x, list_transform({_SENT}, lambda s: {part}) AS parts FROM conversations)) GROUP BY failed"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+@query("q_lint_checks", _lint_sql())
 def lint_checks(t):
-    """Style checks as one array of names, counted by check."""
-    x, low = F.col("text"), F.lower("text")
-    checks = F.array_compact(
-        F.array(
-            F.when(~x.rlike(r"[.!?]\z"), F.lit("missing_terminal_punctuation")),
-            F.when(x.rlike("^[a-z]"), F.lit("lowercase_sentence_start")),
-            F.when(F.size(F.split(x, " ")) <= 4, F.lit("bare_fragment")),
-            F.when(low.rlike(r"(^| )(and|of|to|with|for)[.!?]?\z"), F.lit("dangling_fragment")),
-            F.when(~F.contains(low, F.lit("the")), F.lit("missing_limitation")),
-        )
-    )
-    return t("conversations").select(F.explode(checks).alias("failed")).groupBy("failed").agg(F.count(F.lit(1)).alias("n"))
+    """Failed style checks of explanations, asked of whole texts of a table and counted."""
+    failed = phrases.style_checks(F.col("text"), F.lit(V.RANK_BANDS[1][2]))
+    rows = t("conversations").select(F.explode_outer(failed).alias("failed")).where("failed <> 'duplicate_adjacent_word'")
+    return rows.groupBy("failed").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("q_duplicate_text", "SELECT sha256(text) AS text_hash, CAST(count(*) AS BIGINT) AS copies, min(doc_id) AS first_id FROM documents GROUP BY text HAVING count(*) > 1")

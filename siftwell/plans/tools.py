@@ -18,13 +18,13 @@ from siftwell.functions import columns as C
 from siftwell.operators import audit as rules
 from siftwell.operators import normalize, scoring, semantic, submission
 from siftwell.plans import lifecycle
-from siftwell.sources import candidates, sinks
+from siftwell.sources import buckets, candidates, sinks
 
 #: command: positional arguments
 COMMANDS = {
     "audit": ["candidates"], "inspect-top": ["run_dir"], "cohorts": ["run_dir"], "compare": ["before", "after"], "build-semantic": ["candidates", "run_dir"],
     "inspect-run": ["run_dir"], "timings": ["run_dir"], "same-output": ["run_dir", "other_dir"], "changes": ["current", "earlier"],
-    "invariance": ["run_dir", "other_dir"], "export-release": ["run_dir", "target"],
+    "invariance": ["run_dir", "other_dir"], "export-release": ["run_dir", "target"], "export-breakdowns": ["run_dir", "target"],
 }
 RUNTIME_GATES = ((240.0, "PASS"), (270.0, "WARNING"))
 SUBMISSION = "candidate_id string, rank int, score double, reasoning string"
@@ -109,14 +109,31 @@ def timed(work: Callable[[], object]) -> dict:
     return {"seconds": round(took, 3), "status": runtime_status(took)}
 
 
+#: Parts of a comparison, by a hash of the key.
+COMPARED_PARTS = 1024
+
+
+def differing(a: DataFrame, b: DataFrame, key: str, parts: int = COMPARED_PARTS) -> tuple[DataFrame, DataFrame, int]:
+    """Rows of two tables with the same columns in those parts of the keys in which the tables differ, and the number of these parts.
+
+    Parts are told by counts and order-free hashes of their rows, which are added
+    up where the rows are; only rows of parts that differ are compared further.
+    """
+    whole = F.struct(*[c for c in a.columns if c != key])
+    odd = buckets.changed(*(buckets.marks(df, key, whole, parts) for df in (a, b)))
+    mine = buckets.bucket_of(key, parts).isin(odd) if odd else F.lit(False)
+    return a.where(mine), b.where(mine), len(odd)
+
+
 def same_output(spark: SparkSession, run_dir: str, other_dir: str) -> dict:
     """Whether two runs, of two environments perhaps, have the same scores (as rows, in any order) and the same submission bytes.
 
     ``columns`` tells for each shared column how many candidates differ in it and, for numbers, by how much at most.
+    Rows are compared only where the tables' hashes by parts of the ids differ.
     """
     a, b = (spark.read.parquet(f"{d}/scores/breakdown") for d in (run_dir, other_dir))
     shared = [c for c in a.columns if c in b.columns]
-    x, y = a.select(*shared), b.select(*shared)
+    x, y, parts = differing(a.select(*shared), b.select(*shared), "candidate_id")
     values = [c for c in shared if c != "candidate_id"]
     both = x.select("candidate_id", F.struct(*values).alias("x")).join(y.select("candidate_id", F.struct(*values).alias("y")), "candidate_id")
     number = {f.name for f in x.schema.fields if isinstance(f.dataType, NumericType)}
@@ -129,12 +146,28 @@ def same_output(spark: SparkSession, run_dir: str, other_dir: str) -> dict:
         "same_columns": a.columns == b.columns,
         "only_first": x.exceptAll(y).count(),
         "only_second": y.exceptAll(x).count(),
+        "differing_parts": parts,
         "columns": {c: {"differing": told[f"n_{c}"], "largest_difference": told.get(f"m_{c}")} for c in values},
         "environments": {k: [m.get(k) for m in made] for k in ("python", "platform", "git_commit", "git_dirty", "config", "input")},
         "same_submission": bool(files[0]) and [f.read_bytes() for f in files[0]] == [f.read_bytes() for f in files[1]],
     }
 
 
+BREAKDOWNS = {"evidence": "evidence/summary", "credibility": "credibility/breakdown", "behavioral": "behavioral/breakdown"}
+
+
+def export_breakdowns(spark: SparkSession, run_dir: str, target: str) -> dict:
+    """A run's three breakdowns as CSV files in the order of the ids; lists are written as JSON."""
+    out = {}
+    for name, table in BREAKDOWNS.items():
+        df = spark.read.parquet(f"{run_dir}/{table}")
+        lists = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
+        rows = df.withColumns({c: F.to_json(c) for c in lists}).orderBy("candidate_id")
+        sinks.write_table(rows, f"{target}/{name}", ["candidate_id"], fmt="csv")
+        out[name] = df.count()
+    return out
+
+
 def measured(command: Sequence[str]) -> dict:
     """Run a command as a child: exit code, wall seconds, gate and the largest memory of any child in MB."""
     began = time.perf_counter()

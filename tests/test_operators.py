@@ -10,7 +10,7 @@ from siftwell.config import ConfigError, load
 from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
 from siftwell.functions import folds
-from siftwell.operators import audit, credibility, evidence, normalize, scoring
+from siftwell.operators import submission, audit, credibility, evidence, normalize, scoring
 from siftwell.sources import candidates as S
 
 REF = dt.date(2026, 6, 30)
@@ -237,3 +237,60 @@ def test_provenance_is_the_canonical_hash(spark):
     for r in df.select("v", made.alias("h")).collect():
         want = {"candidate_id": "C", "source_path": "p", "normalized_category": "c", "excerpt": r["v"], "matched_terms": [r["v"], "t"]}
         assert r["h"] == hashlib.sha256(json.dumps(want, sort_keys=True).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("capacity", [4, 30, 1000])
+def test_most_frequent_values_are_exact(spark, capacity):
+    from siftwell.functions import frequent
+
+    rng, rows = random.Random(capacity), []
+    for i in range(6000):
+        rows.append((i, "skewed", f"v{int(rng.paretovariate(0.7)) % 900}"))
+        rows.append((i, "flat", f"w{rng.randrange(700)}"))
+        rows.append((i, "few", rng.choice("xyz")))
+    df = spark.createDataFrame(rows, "i int, grp string, value string").repartition(7)
+    got = {(r["grp"], r["value"], r["n"], r["place"]) for r in frequent.most_frequent(df, ["skewed", "flat", "few", "none"], 10, F.struct("i"), capacity).collect()}
+    want = set()
+    for g in ("skewed", "flat", "few"):
+        first, n = {}, {}
+        for i, grp, v in rows:
+            if grp == g:
+                first.setdefault(v, i)
+                n[v] = n.get(v, 0) + 1
+        want |= {(g, v, n[v], k) for k, v in enumerate(sorted(n, key=lambda v: (-n[v], first[v]))[:10], 1)}
+    assert got == want
+    kept = frequent.candidates(df, ["skewed", "flat", "few"], capacity).groupBy("grp").count().collect()
+    assert all(r["count"] <= capacity for r in kept)
+
+
+@pytest.mark.parametrize("rows", [1, 2, 5, 1000])
+def test_checks_over_a_ranking_see_over_block_ends(spark, rows):
+    rng = random.Random(rows)
+    data = [(k, f"C{rng.randrange(5)}", float(rng.choice([3, 3, 2])), rng.choice(["a", "b", "", "c"])) for k in range(1, 41)]
+    df = spark.createDataFrame(data, "rank long, candidate_id string, final_score double, opening string").repartition(4)
+    issues = {(r["rank"], r["issue"]) for r in submission.order_issues(df, rows=rows).collect()}
+    want = {(1, None)}
+    for (_, c1, s1, _), (k, c2, s2, _) in zip(data, data[1:], strict=False):
+        want.add((k, "score_increases" if s2 > s1 else "tie_order" if s1 == s2 and c2 < c1 else None))
+    assert issues == want
+    if rows < 4:
+        with pytest.raises(ValueError, match="neighbours"):
+            submission.repeated_openings(df, F.col("opening"), rows=rows)
+        return
+    got = {r["rank"]: r["most_repeated"] for r in submission.repeated_openings(df, F.col("opening"), rows=rows).collect()}
+    keys = [x[3] for x in data]
+    assert got == {i + 1: max((keys[i : i + 5].count(k) for k in keys[i : i + 5] if k), default=0) for i in range(36)}
+    assert "SinglePartition" not in submission.order_issues(df, rows=rows)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lexicon_finds_every_term(spark):
+    from siftwell.functions import lexicon
+
+    terms = ["a", "ab", "abc", "b c", "é", "漢字", "zz"]
+    texts = ["abc", "", "b c é", None, "x漢字abz", "zzz" * 200]
+    assert [lexicon.find(t, tuple(terms)) for t in texts] == [[i for i, t in enumerate(terms) if t in (x or "")] for x in texts]
+    df = spark.createDataFrame([(1, texts), (2, []), (3, ["ab"]), (4, None)], "i int, x array<string>")
+    got = {r["i"]: r["f"] for r in df.select("i", lexicon.term_ids(terms)(F.col("x")).alias("f")).collect()}
+    assert got[1] == [lexicon.find(t, tuple(terms)) for t in texts] and got[2] == [] and got[3] == [[0, 1]]
+    with pytest.raises(ValueError):
+        lexicon.term_ids(["a", ""])

@@ -100,7 +100,7 @@ def test_the_ledger_is_worked_out_once(spark, done):
     e = Engine(spark, d / "run", resume=True)
     df = evidence.ledger(spark.read.parquet(e.path("normalized/candidates")), e.config, e.reference)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1 and "contains(" not in plan.replace("array_contains(", "")
+    assert plan.count("ArrowEvalPython [ids(") == 1 and plan.count("ArrowEvalPython") == 2 and "contains(" not in plan.replace("array_contains(", "")
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and all(len(line) < 400 for line in filters)
 
@@ -207,6 +207,22 @@ def test_same_result_from_other_partitions(spark, done, tmp_path):
     assert r["environments"]["python"][0] == r["environments"]["python"][1]
 
 
+def test_only_differing_parts_are_compared(spark):
+    a = spark.range(5000).selectExpr("id as k", "id % 7 as v", "cast(id as string) as t")
+    b = a.where("k <> 11").withColumn("v", F.when(F.col("k") == 77, F.lit(-1)).otherwise(F.col("v"))).unionByName(spark.sql("select 9999L as k, 1L as v, 'x' as t"))
+    assert tools.differing(a, a.repartition(3), "k")[2] == 0
+    x, y, parts = tools.differing(a, b, "k")
+    assert parts == 3 and x.count() < 60 and {r["k"] for r in x.exceptAll(y).collect()} == {11, 77} and {r["k"] for r in y.exceptAll(x).collect()} == {77, 9999}
+
+
+def test_breakdowns_are_exported_by_id(spark, done, tmp_path):
+    d, _ = done
+    assert tools.export_breakdowns(spark, str(d / "run"), str(tmp_path)) == {"evidence": 110, "credibility": 110, "behavioral": 110}
+    for name in ("evidence", "credibility", "behavioral"):
+        ids = [row["candidate_id"] for f in sorted((tmp_path / name).glob("part-*.csv")) for row in csv.DictReader(f.open())]
+        assert len(ids) == 110 and ids == sorted(ids)
+
+
 def test_baseline_and_comparison(spark, done, tmp_path):
     d, src = done
     Engine(spark, tmp_path / "b").run(src, tmp_path / "base.csv", mode="baseline")
