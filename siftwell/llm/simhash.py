@@ -318,8 +318,12 @@ CLEAR = 4
 SIMILARITY = 0.8
 SIMILAR_WORDS = 5
 RECALL = 0.985
-#: Buckets of up to this many rows give all their close pairs, larger ones a spanning forest of the links that hold.
+#: In a bucket, a row with fewer close ones gives all its close pairs; the others a spanning forest of the links that hold.
 SMALL = 8
+#: Rows of a bucket up to which neighbours are compared by shifts, and not row by row.
+RUN = 64
+#: Rows that a bucket of evenly spread fingerprints has, about, in logarithms: many, so that the blocks stay few; and bits of a block.
+MEAN_BITS, LEAST_BITS, MOST_BITS, FULL_BITS = 3, 12, 17, 11
 #: Pairs that samples leave open are tried by rounds, the likeliest of each row first, so many times more in each.
 MORE = 16
 #: Hot buckets that are named in the plan, at most; more are joined by a shuffle.
@@ -393,8 +397,15 @@ def differing_share(similarity: float) -> float:
 
 
 def bit_blocks(rows: int, similarity: float, recall: float = RECALL) -> list[list[int]]:
-    """Signed masks of every block. Longer blocks for more rows keep buckets small; more of them keep the recall."""
-    bits = min(28, max(12, int(rows).bit_length() - 1))
+    """Signed masks of every block: drawn sets of bits, as many as the recall needs.
+
+    Longer blocks for more rows keep buckets small, but every bit asks for more
+    blocks, which are what is shuffled. Buckets are compared in memory, by bits
+    alone, so they may hold 2^``FULL_BITS`` rows before blocks grow beyond
+    ``MOST_BITS``: from 2^20 to 2^28 rows their number is the same.
+    """
+    log = int(rows).bit_length() - 1
+    bits = max(LEAST_BITS, min(MOST_BITS, log - MEAN_BITS), log - FULL_BITS)
     share = (1 - differing_share(similarity)) ** bits
     count = int(np.ceil(np.log(1 - recall) / np.log(1 - share)))
     rng = np.random.default_rng(64 * WIDE)
@@ -413,26 +424,43 @@ def most_bits(similarity: float) -> int:
 
 
 def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Close pairs (two index arrays) within the runs of up to ``SMALL`` equal slots; the rows of larger runs that have a close one."""
+    """Close pairs (two index arrays) within the runs of equal slots, of rows with fewer than ``SMALL`` close ones; the other rows with close ones, and these."""
     edge = np.flatnonzero(slot[1:] != slot[:-1]) + 1
     starts, stops = np.append(0, edge), np.append(edge, len(slot))
     size = np.repeat(stops - starts, stops - starts)
     left, right, met = [], [], []
-    small = size <= SMALL
-    for d in range(1, SMALL):
-        at = np.flatnonzero(small[:-d] & (slot[d:] == slot[:-d])) if d < len(slot) else np.zeros(0, np.int64)
+    short = size <= RUN
+    for d in range(1, RUN):
+        at = np.flatnonzero(short[:-d] & (slot[d:] == slot[:-d])) if d < len(slot) else np.zeros(0, np.int64)
         if not len(at):
             break
         near = at[np.bitwise_count(bits[at] ^ bits[at + d]).sum(1) <= most]
         left.append(near)
         right.append(near + d)
-    for a, z in zip(starts[stops - starts > SMALL].tolist(), stops[stops - starts > SMALL].tolist(), strict=True):
-        for i in range(a, z, 256):
-            own = bits[i : min(i + 256, z)]
-            apart = sum(np.bitwise_count(own[:, None, w] ^ bits[None, a:z, w]).astype(np.int16) for w in range(bits.shape[1]))
-            met.append(i + np.flatnonzero((apart <= most).sum(1) > 1))  # a row is close to itself
     none = [np.zeros(0, np.int64)]
-    return np.concatenate(left or none), np.concatenate(right or none), np.concatenate(met or none)
+    i, j = np.concatenate(left or none), np.concatenate(right or none)
+    crowded = np.bincount(np.append(i, j), minlength=len(slot)) >= SMALL
+    rare = ~crowded[i] & ~crowded[j]
+    met += [i[~rare], j[~rare]]
+    left, right = [i[rare]], [j[rare]]
+    for a, z in zip(starts[stops - starts > RUN].tolist(), stops[stops - starts > RUN].tolist(), strict=True):
+
+        def close(rows: np.ndarray) -> np.ndarray:
+            return sum(np.bitwise_count(bits[rows, None, w] ^ bits[None, a:z, w]).astype(np.int16) for w in range(bits.shape[1])) <= most  # noqa: B023
+
+        chunks = lambda rows: (rows[k : k + 256] for k in range(0, len(rows), 256))
+        everyone = np.arange(a, z)
+        degree = np.concatenate([close(c).sum(1) - 1 for c in chunks(everyone)])  # a row is close to itself
+        beside = np.zeros(z - a, bool)
+        for c in chunks(everyone[degree >= SMALL]):
+            beside |= close(c).any(0)
+        met.append(everyone[beside])
+        for c in chunks(everyone[(degree > 0) & (degree < SMALL)]):
+            x, y = np.nonzero(close(c) & (degree < SMALL)[None, :])
+            x, y = c[x], a + y
+            left.append(x[x < y])
+            right.append(y[x < y])
+    return np.concatenate(left), np.concatenate(right), np.unique(np.concatenate(met))
 
 
 def shared_entries(sets: list[np.ndarray], rows: int = 256, often: float = 0.02) -> Iterator[tuple[int, np.ndarray]]:
@@ -545,8 +573,9 @@ def crowded_slots(slots: DataFrame, tasks: int, bucket: int) -> DataFrame:
 def similar_candidates(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """(pairs, rows of large buckets) among nodes (columns node, f0.., sketch) whose wide fingerprints are close.
 
-    Buckets of up to ``SMALL`` rows give all their close pairs (a, b). Of larger
-    ones, the rows (slot, node) that have a close one come back, for ``bucket_links``.
+    In a bucket, rows with fewer than ``SMALL`` close ones give their close pairs
+    (a, b); the others and those close to them (slot, node) come back, for
+    ``bucket_links``.
 
     A bucket of more than ``bucket`` rows is dealt anew in parts of about half of
     that, and every two parts are met in one task, so no task gathers it and no

@@ -949,3 +949,27 @@ def test_no_rules_and_odd_ones(spark):
     assert {(r["page_id"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(urls, none, "page_id").collect()} == {(1, None, "allow"), (None, None, "allow"), (2, None, "allow")}
     odd = url_filter.rule_table(spark, [("a.net", "", "allow"), ("a.net", "", "block"), (None, "/", "block"), ("", "", "block")])
     assert {(r["page_id"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(urls, odd, "page_id").collect()} == {(1, "a.net", "block"), (None, "", "block"), (2, "", "block")}
+
+
+def test_blocks_stay_few_as_rows_grow():
+    count = lambda log: len(simhash.bit_blocks(2**log, 0.8))
+    assert count(28) <= 2 * count(17) and count(34) <= 6 * count(17)
+    assert all(count(a) <= count(a + 1) for a in range(8, 36))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_close_pairs_of_buckets(seed):
+    """Every close pair of a bucket is given, or both its rows are told to be met again."""
+    rng = np.random.default_rng(seed)
+    slot = np.sort(rng.choice([1, 2, 3, 4, 5], 700, p=[0.02, 0.05, 0.08, 0.25, 0.6]))
+    centre = rng.integers(0, 2**63, (40, 2)).astype(np.uint64)
+    bits = centre[rng.integers(0, 40, 700) if seed % 2 else np.minimum(rng.geometric(0.15, 700), 39)].copy()
+    for _ in range(9):
+        bits[np.arange(700), rng.integers(0, 2, 700)] ^= np.uint64(1) << rng.integers(0, 64, 700).astype(np.uint64)
+    most = 14
+    i, j, met = simhash._pairs(slot, bits, most)
+    found, again = {(min(x, y), max(x, y)) for x, y in zip(i.tolist(), j.tolist(), strict=True)}, set(met.tolist())
+    want = {(x, y) for x in range(700) for y in range(x + 1, 700) if slot[x] == slot[y] and int(np.bitwise_count(bits[x] ^ bits[y]).sum()) <= most}
+    assert found <= want and all(p in found or (p[0] in again and p[1] in again) for p in want)
+    degree = np.bincount(np.array(sorted(found)).ravel(), minlength=700)
+    assert degree.max() < simhash.SMALL and again
