@@ -345,6 +345,23 @@ def engine_baseline(t):
     return scoring.baseline_scores(flat(t), CONFIG).drop("deterministic_tie_break_key")
 
 
+def _decided(t) -> DataFrame:
+    stored, s = scores(t)
+    top = cut(scoring.rank_top(s))
+    few = stored.join(F.broadcast(top.select("candidate_id")), "candidate_id", "left_semi")  # a hundred ids
+    return explain.decided(top, evidence.ledger(few, CONFIG, reference(), with_hash=False), few)
+
+
+def engine_judgements(t):
+    """What the explanations of the top hundred rest on: band, family, constraint, limitation, evidence by side and the picked rows."""
+    ids = lambda side, n: F.array_join(F.transform(F.slice(side, 1, n), lambda e: e["evidence_id"]), ",")
+    picked = F.array_join(F.transform("picks", lambda e: F.coalesce(e["evidence_id"], F.lit("-"))), ",").alias("picked_ids")
+    return _decided(t).select(
+        "candidate_id", F.col("rank").cast("long").alias("rank"), "band", "family", "viable", "constraint", "limitation", "material", "category", picked,
+        ids("positives", 6).alias("positive_ids"), ids("negatives", 3).alias("negative_ids"),
+    )
+
+
 def engine_explanations(t):
     """Explanations of the top hundred; only their ledger rows are made."""
     stored, s = scores(t)
@@ -359,6 +376,42 @@ _HASH_SQL = f"""WITH {_LEDGER} SELECT evidence_id, sha256('{{"candidate_id": "'
   FROM ledger WHERE source_type IN ('career_title', 'skill', 'assessment')"""
 _FULL = f"{_SUMMARY}, {_rules_sql()}, {_behaviour_sql()}"
 
+
+def _judgements_sql() -> str:
+    """The explanations' decisions, from scores and ledger by windows and lists."""
+    has = lambda *names: "(" + " OR ".join(f"list_contains(cats, {_text(n)})" for n in names) + ")"
+    flexible = ", ".join(map(_text, explain.FLEXIBLE))
+    late, away, doubtful, scarce = f"notice > {explain.LONG_NOTICE}", f"location_logistics_score < {explain.FAR}", f"credibility_multiplier < {explain.WEAK}", f"availability_multiplier < {explain.WEAK}"
+    missing = "CASE " + " ".join(f"WHEN NOT {has(n)} THEN {_text(f'explicit evidence of {what} is limited in the available profile')}" for n, what in explain.EXPECTED) + " END"
+    band = "CASE " + " ".join(f"WHEN rank BETWEEN {a} AND {b} THEN {_text(n)}" for a, b, n in V.RANK_BANDS) + f" ELSE {_text(V.RANK_BANDS[-1][2])} END"
+    priority = "CASE source_type " + " ".join(f"WHEN {_text(k)} THEN {v}" for k, v in V.SOURCE_PRIORITY.items()) + " ELSE 3 END"
+    first = lambda names: "coalesce(" + ", ".join(f"list_filter(pos, lambda e: e.category = {_text(n)})[1]" for n in names) + ", pos[1])"
+    side = lambda name, ids: f"row_number() OVER (PARTITION BY l.candidate_id ORDER BY CASE WHEN {ids} <> '' THEN NOT list_contains(string_split({ids}, ','), evidence_id) END, CASE WHEN {ids} <> '' THEN -after_caps END, idx) AS {name}"
+    picks = [first(wanted) for wanted, _ in explain.FACTS]
+    return f"""scored AS ({_scores_sql()}),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY final_score DESC, candidate_id) AS rank FROM scored) WHERE rank <= 100),
+sided AS (SELECT l.*, {side("p", "top_positive_evidence_ids")}, {side("n", "top_negative_evidence_ids")}, {priority} AS priority FROM ledger l JOIN top USING (candidate_id)),
+plus AS (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY p) AS place FROM sided WHERE polarity = 'positive'),
+minus AS (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY n) AS place FROM sided WHERE polarity = 'negative'),
+pluses AS (SELECT candidate_id, list(category) AS cats, lower(string_agg(array_to_string(terms, ' '), ' ')) AS said, list({{'id': evidence_id, 'category': category}} ORDER BY priority, -after_caps, place) AS pos, array_to_string((list(evidence_id ORDER BY place))[1:6], ',') AS positive_ids FROM plus GROUP BY candidate_id),
+minuses AS (SELECT candidate_id, array_to_string((list(evidence_id ORDER BY place))[1:3], ',') AS negative_ids, first(lower(trim(terms[1])) ORDER BY place) AS label FROM minus GROUP BY candidate_id),
+known AS (SELECT candidate_id, rank, credibility_multiplier, availability_multiplier, location_logistics_score, coalesce(cats, []) AS cats, coalesce(said, '') AS said, coalesce(pos, []) AS pos, coalesce(positive_ids, '') AS positive_ids, coalesce(negative_ids, '') AS negative_ids,
+    label, k % 130 AS notice, lower(work_mode) AS mode, k % 5 = 0 AS relocates, k % 100 / 100.0 AS response, k % 240 AS hours, trim(country) AS country FROM top JOIN rec USING (candidate_id) LEFT JOIN pluses USING (candidate_id) LEFT JOIN minuses USING (candidate_id)),
+judged AS (SELECT *, {missing} AS missing, negative_ids <> '' AS firm FROM known)
+SELECT candidate_id, rank, {band} AS band,
+  CASE WHEN rank >= {V.RANK_BANDS[-1][0]} THEN 'lower_cutoff_candidate' WHEN {doubtful} THEN 'credibility_constrained' WHEN {scarce} OR {late} OR {away} THEN 'availability_logistics_constrained'
+    WHEN contains(said, 'recommend') OR contains(said, 'matching') THEN 'recommendation_matching_heavy' WHEN {has("retrieval_ranking_relevance", "ranking_evaluation_experimentation")} THEN 'retrieval_ranking_heavy'
+    WHEN {has("production_delivery_systems")} AND {has("ranking_evaluation_experimentation")} THEN 'production_and_evaluation_heavy' WHEN {has("python_practical_engineering", "product_founding_behavior")} THEN 'python_product_ownership_heavy' ELSE 'adjacent_but_credible' END AS family,
+  CASE WHEN NOT ({scarce}) AND NOT ({late}) AND mode IN ({flexible}) AND country <> '' THEN country || '-based ' || mode || ' compatibility supports shortlist viability' END AS viable,
+  CASE WHEN {late} THEN 'a ' || notice || '-day notice period slows availability' WHEN mode NOT IN ({flexible}) AND NOT relocates THEN CASE WHEN mode <> '' THEN mode ELSE 'less flexible' END || ' work-mode preference narrows logistics flexibility'
+    WHEN response < 0.25 THEN 'response history is thinner than stronger candidates' WHEN hours >= 72 THEN 'slower response timing reduces availability confidence' WHEN {away} THEN 'location logistics are less flexible than the strongest candidates' END AS "constraint",
+  CASE WHEN {doubtful} THEN 'profile consistency is weaker than the strongest candidates' WHEN {scarce} OR {late} THEN 'availability signals are weaker than the strongest candidates' WHEN missing IS NOT NULL THEN missing
+    WHEN firm THEN 'some profile detail remains less complete around ' || label END AS limitation,
+  ({doubtful}) OR ({scarce}) OR ({late}) OR (missing IS NULL AND firm) AS material, coalesce(({picks[0]}).category, {_text(explain.FACTS[0][1])}) AS category,
+  array_to_string([{", ".join(f"coalesce(({p}).id, '-')" for p in picks)}], ',') AS picked_ids, positive_ids, negative_ids
+FROM judged"""
+
+
 #: name: (function, SQL)
 ENGINE = {
     "q_audit_issues": (audit_issues, f"WITH {_RECORDS}, {_ISSUES} SELECT candidate_id, type, severity, reason FROM issue JOIN {_REASONS} USING (type)"),
@@ -370,5 +423,6 @@ ENGINE = {
     "q_engine_behaviour": (engine_behaviour, f"WITH {_SUMMARY}, {_behaviour_sql()} SELECT * FROM behaviour"),
     "q_engine_scores": (engine_scores, f"WITH {_FULL} {_scores_sql()}"),
     "q_engine_baseline": (engine_baseline, _baseline_sql()),
+    "q_engine_judgements": (engine_judgements, f"WITH {_FULL}, {_judgements_sql()}"),
     "q_engine_explanations": (engine_explanations, None),
 }
