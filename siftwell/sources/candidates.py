@@ -39,13 +39,34 @@ def signals_key(keys: Column) -> Column:
     return F.get(F.filter(keys, lambda k: k.endswith("_signals")), F.lit(0))
 
 
+#: Lines in which a number of months is true or false; no other raw type has to be told from what the schema reads.
+_MONTHS_AS_FLAG = r'"duration_months"\s*:\s*(?:true|false)'
+
+
+def with_typed_months(record: Column) -> Column:
+    """A parsed record with months as the raw JSON types them: whole numbers count, true and false are 1 and 0, while 3.0, "3" and null are no number.
+
+    The schema reads all but the flags so; lines that have such are read once more, as variants.
+    """
+    raw = F.try_parse_json("line")
+    value = lambda x: F.try_variant_get(x, "$.duration_months", "variant")
+    flag = lambda x: F.when(F.schema_of_variant(value(x)) == "BOOLEAN", F.try_variant_get(x, "$.duration_months", "boolean").cast("bigint"))
+
+    def typed(name: str) -> Column:
+        items = F.try_variant_get(raw, f"$.{name}", "array<variant>")
+        return F.zip_with(record[name], items, lambda x, v: F.when(x.isNotNull(), x.withField("duration_months", F.coalesce(x["duration_months"], flag(v)))))
+
+    fixed = record.withField("career_history", typed("career_history")).withField("skills", typed("skills"))
+    return F.when(F.col("line").rlike(_MONTHS_AS_FLAG), fixed).otherwise(record)
+
+
 def parse(lines: DataFrame, *extra: str) -> DataFrame:
     """Lines as records: ``keys`` is null where a line is no JSON object; blank lines are left out, ``extra`` columns kept."""
     rows = lines.where(F.trim("line") != "").withColumn("keys", F.json_object_keys("line"))
     key = signals_key(F.col("keys"))
     whole = F.when(F.col("keys").isNotNull(), F.from_json("line", RECORD))
     signals = F.from_json(F.call_function("get_json_object", F.col("line"), F.concat(F.lit("$."), key)), SIGNALS)
-    return rows.withColumn("r", whole).select("file", "row_num", "line", "keys", "r.*", signals.alias("signals"), *extra)
+    return rows.withColumn("r", whole).withColumn("r", with_typed_months(F.col("r"))).select("file", "row_num", "line", "keys", "r.*", signals.alias("signals"), *extra)
 
 
 def shape_issues(parsed: DataFrame) -> DataFrame:

@@ -84,3 +84,31 @@ def test_table_sink_checks_rows_and_columns(spark, tmp_path):
             sinks.write_table(df, str(tmp_path / "t"), **kw)
     assert spark.read.parquet(str(tmp_path / "t")).count() == 5
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_raw_types_of_months_and_years(spark, tmp_path):
+    """Whole numbers and flags are months; 3.0, texts and null aren't. Years in another type are no number to the audit's span rule."""
+    from siftwell.functions import columns as C
+    from siftwell.operators import audit
+
+    rows = []
+    for i, months in enumerate([3, 3.0, "3", True, False, None, 2**40]):
+        r = R.record(i)
+        r["career_history"][0]["duration_months"] = months
+        r["skills"] = [{"name": "Python", "proficiency": "expert", "duration_months": months}, {"name": "SQL", "duration_months": 900}]
+        rows.append(r)
+    rows.append(R.record(50, profile={"years_of_experience": "30"}))
+    rows.append(R.record(51, profile={"years_of_experience": 30}))
+    rows.append(R.record(52, career_history=[], skills=None) | {"note": '"duration_months": true'})
+    valid, _, stats = S.scan(spark, R.write(tmp_path / "c.jsonl", rows))
+    assert stats["valid"] == len(rows)
+    got = {r["candidate_id"]: r for r in valid.collect()}
+    months = [(got[f"CAND_{i:07d}"]["career_history"][0]["duration_months"], [s["duration_months"] for s in got[f"CAND_{i:07d}"]["skills"]]) for i in range(7)]
+    assert months == [(m, [m, 900]) for m in (3, None, None, 1, 0, None, 2**40)]
+    assert got["CAND_0000052"]["career_history"] == [] and got["CAND_0000052"]["skills"] is None
+    fired = {}
+    for r in audit.issue_rows(valid, C.date_lit(R.REF)).collect():
+        fired.setdefault(r["candidate_id"], []).append(r["type"])
+    wrong = [i for i in range(7) if "duration_months_mismatch" in fired.get(f"CAND_{i:07d}", [])]
+    assert wrong == [0, 3, 4, 6]  # what is no whole number isn't judged
+    assert "experience_span_mismatch" not in fired.get("CAND_0000050", []) and "experience_span_mismatch" in fired["CAND_0000051"]
