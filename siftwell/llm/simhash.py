@@ -423,8 +423,12 @@ def most_bits(similarity: float) -> int:
     return int(n * p + 2.75 * np.sqrt(n * p * (1 - p)))
 
 
-def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Close pairs (two index arrays) within the runs of equal slots, of rows with fewer than ``SMALL`` close ones; the other rows with close ones, and these."""
+def _pairs(slot: np.ndarray, bits: np.ndarray, most: int, label: np.ndarray | None = None, home: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Close pairs (two index arrays) within the runs of equal slots, of rows with fewer than ``SMALL`` close ones; the other rows with close ones, and these.
+
+    Given labels and who is at home, only pairs with two labels count of which one, and only one, is at home.
+    """
+    told = label is not None
     edge = np.flatnonzero(slot[1:] != slot[:-1]) + 1
     starts, stops = np.append(0, edge), np.append(edge, len(slot))
     size = np.repeat(stops - starts, stops - starts)
@@ -434,6 +438,8 @@ def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, n
         at = np.flatnonzero(short[:-d] & (slot[d:] == slot[:-d])) if d < len(slot) else np.zeros(0, np.int64)
         if not len(at):
             break
+        if told:
+            at = at[(label[at] != label[at + d]) & (home[at] != home[at + d])]
         near = at[np.bitwise_count(bits[at] ^ bits[at + d]).sum(1) <= most]
         left.append(near)
         right.append(near + d)
@@ -446,12 +452,16 @@ def _pairs(slot: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, n
     for a, z in zip(starts[stops - starts > RUN].tolist(), stops[stops - starts > RUN].tolist(), strict=True):
 
         def close(rows: np.ndarray) -> np.ndarray:
-            return sum(np.bitwise_count(bits[rows, None, w] ^ bits[None, a:z, w]).astype(np.int16) for w in range(bits.shape[1])) <= most  # noqa: B023
+            near = sum(np.bitwise_count(bits[rows, None, w] ^ bits[None, a:z, w]).astype(np.int16) for w in range(bits.shape[1])) <= most  # noqa: B023
+            if told:
+                return near & (label[rows, None] != label[None, a:z]) & (home[rows, None] != home[None, a:z])  # noqa: B023
+            near[np.arange(len(rows)), rows - a] = False  # noqa: B023
+            return near
 
         chunks = lambda rows: (rows[k : k + 256] for k in range(0, len(rows), 256))
         everyone = np.arange(a, z)
-        degree = np.concatenate([close(c).sum(1) - 1 for c in chunks(everyone)])  # a row is close to itself
-        beside = np.zeros(z - a, bool)
+        degree = np.concatenate([close(c).sum(1) for c in chunks(everyone)])
+        beside = degree >= SMALL
         for c in chunks(everyone[degree >= SMALL]):
             beside |= close(c).any(0)
         met.append(everyone[beside])
@@ -570,37 +580,24 @@ def crowded_slots(slots: DataFrame, tasks: int, bucket: int) -> DataFrame:
     return told.groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > bucket // 2)
 
 
-def similar_candidates(nodes: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
-    """(pairs, rows of large buckets) among nodes (columns node, f0.., sketch) whose wide fingerprints are close.
-
-    In a bucket, rows with fewer than ``SMALL`` close ones give their close pairs
-    (a, b); the others and those close to them (slot, node) come back, for
-    ``bucket_links``.
-
-    A bucket of more than ``bucket`` rows is dealt anew in parts of about half of
-    that, and every two parts are met in one task, so no task gathers it and no
-    pair of it is left out; its rows are copied once for each other part.
-    """
+def keyed_nodes(nodes: DataFrame, masks: list[list[int]]) -> DataFrame:
+    """(slot, node, carried words) of each node under every block."""
     f, carried = [f"f{i}" for i in range(WIDE)], [f"f{i}" for i in range(CARRIED)]
-    masks, most = bit_blocks(nodes.count(), similarity), most_bits(similarity)
     slots = F.array(*[F.xxhash64(F.lit(c), *[F.col(x).bitwiseAND(F.lit(m)) for x, m in zip(f, block, strict=True)]) for c, block in enumerate(masks)])
-    keyed = nodes.select("node", *carried, F.explode(slots).alias("slot"))
-    hot = cut(crowded_slots(keyed.select("slot"), nodes.rdd.getNumPartitions(), bucket))
-    n_hot = hot.count()
-    if n_hot:
-        keyed = keyed.join(F.broadcast(hot) if n_hot <= NAMED else hot, "slot", "left")
-        parts = F.ceil(F.col("n") * 2 / bucket).cast("long")
-        keyed = keyed.withColumn("parts", F.coalesce(parts, F.lit(1))).withColumn("part", F.pmod(F.xxhash64("node", "slot"), F.col("parts")))
-        # The cells that a row belongs to are named by its part and each other one.
-        others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: x != F.col("part"))
-        cells = F.transform(others, lambda x: F.xxhash64("slot", F.least("part", x), F.greatest("part", x)))
-        keyed = keyed.withColumn("slot", F.explode(F.when(F.col("parts") > 1, cells).otherwise(F.array("slot")))).select("slot", "node", *carried)
+    return nodes.select("node", *carried, F.explode(slots).alias("slot"))
+
+
+def met_in_slots(keyed: DataFrame, most: int, told: bool = False) -> DataFrame:
+    """Close rows of each slot: (null, a, b) for a pair, (slot, a, null) for a row of many close ones, see ``_pairs``; ``told`` if label and home are there."""
+    carried = [f"f{i}" for i in range(CARRIED)]
+    extra = ["label", "home"] if told else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def emit(rows: np.ndarray) -> pa.RecordBatch | None:
-            i, j, again = _pairs(rows[:, 0], rows[:, 2:].view(np.uint64), most)
+            bits = np.ascontiguousarray(rows[:, 2 : 2 + CARRIED]).view(np.uint64)
+            i, j, again = _pairs(rows[:, 0], bits, most, *((rows[:, 2 + CARRIED], rows[:, 3 + CARRIED] > 0) if told else ()))
             if not len(i) + len(again):
                 return None
             a, b = rows[i, 1], rows[j, 1]
@@ -610,7 +607,7 @@ def similar_candidates(nodes: DataFrame, similarity: float = SIMILARITY, bucket:
             return pa.RecordBatch.from_arrays([slot, pa.array(np.append(pairs[:, 0], rows[again, 1])), b], names=["slot", "a", "b"])
 
         for b in batches:
-            rows = np.stack([b.column(k).to_numpy() for k in range(2 + CARRIED)], 1)
+            rows = np.stack([b.column(k).to_numpy() for k in range(b.num_columns)], 1)
             rows = np.concatenate([*held, rows]) if held else rows
             last = int(np.flatnonzero(rows[:, 0] != rows[-1, 0])[-1]) + 1 if (rows[:, 0] != rows[-1, 0]).any() else 0
             held = [np.ascontiguousarray(rows[last:])]  # the last run may go on
@@ -619,11 +616,57 @@ def similar_candidates(nodes: DataFrame, similarity: float = SIMILARITY, bucket:
         if held and (out := emit(held[0])) is not None:
             yield out
 
-    # A row without slot is a pair, one without b a node of a large bucket.
-    met = cut(keyed.select("slot", "node", *carried).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "slot long, a long, b long"))
-    pairs = met.where("slot is null").select("a", "b")
+    return cut(keyed.select("slot", "node", *carried, *extra).repartition(F.col("slot")).sortWithinPartitions("slot").mapInArrow(run, "slot long, a long, b long"))
+
+
+def _split(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs, rows (slot, node)) of what met."""
+    return met.where("slot is null").select("a", "b").distinct(), met.where("slot is not null").select("slot", F.col("a").alias("node"))
 
-    return pairs.distinct(), met.where("slot is not null").select("slot", F.col("a").alias("node"))
+
+def similar_candidates(nodes: DataFrame, masks: list[list[int]], hot: DataFrame, n_hot: int, most: int, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """(pairs, rows of crowds) among nodes (columns node, f0..) whose wide fingerprints are close.
+
+    In a bucket, rows with fewer than ``SMALL`` close ones give their close pairs
+    (a, b); the others and those close to them (slot, node) come back, for
+    ``bucket_links``. A crowded slot (``hot``) is dealt anew in parts of about
+    half a bucket, here each by itself: see ``crowded_candidates`` for the rest.
+    """
+    keyed = keyed_nodes(nodes, masks)
+    if n_hot:
+        keyed = _dealt(keyed, hot, n_hot, bucket, "left").withColumn("slot", F.when(F.col("parts") > 1, F.xxhash64("slot", "part")).otherwise(F.col("slot")))
+    return _split(met_in_slots(keyed, most))
+
+
+def _dealt(keyed: DataFrame, hot: DataFrame, n_hot: int, bucket: int, how: str) -> DataFrame:
+    """Rows with the number of parts of their slot, and their own part."""
+    keyed = keyed.join(F.broadcast(hot) if n_hot <= NAMED else hot, "slot", how)
+    parts = F.coalesce(F.ceil(F.col("n") * 2 / bucket).cast("long"), F.lit(1).cast("long"))
+    return keyed.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node", "slot"), F.col("parts")))
+
+
+def crowded_candidates(nodes: DataFrame, masks: list[list[int]], hot: DataFrame, n_hot: int, most: int, joined: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """``similar_candidates`` between the parts of crowded slots, of rows that no link joins yet (``joined``: node, root).
+
+    A slot's loose rows are those outside its largest component, which a
+    template's variants mostly are in. They visit the other parts, in groups of
+    about half a bucket; a part's rows are at home, once for each group. Two rows
+    with different labels meet where one is at home and the other visits, so that
+    no pair is left out, and what is copied follows the rows that the links so
+    far leave loose: none for a slot that is one component.
+    """
+    rows = _dealt(keyed_nodes(nodes, masks), hot, n_hot, bucket, "inner").where("parts > 1")
+    rows = cut(rows.join(joined, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root", "n"))
+    counted = rows.groupBy("slot", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("slot")
+    crowds = counted.agg(F.max_by("label", F.struct("k", "label")).alias("giant"), F.ceil((F.sum("k") - F.max("k")) * 2 / bucket).cast("long").alias("groups")).where("groups > 0")
+    rows = rows.join(F.broadcast(crowds) if n_hot <= NAMED else crowds, "slot")
+    cell = lambda at, group, home: F.struct(at.alias("at"), group.alias("grp"), F.lit(home).cast("long").alias("home"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    own = F.transform(upto(F.col("groups")), lambda g: cell(F.col("part"), g, 1))
+    group = F.pmod(F.xxhash64("slot", "node"), F.col("groups"))
+    away = F.transform(F.filter(upto(F.col("parts")), lambda p: p != F.col("part")), lambda p: cell(p, group, 0))
+    rows = rows.withColumn("cell", F.explode(F.when(F.col("label") == F.col("giant"), own).otherwise(F.concat(own, away)))).withColumn("home", F.col("cell.home"))
+    return _split(met_in_slots(rows.withColumn("slot", F.xxhash64("slot", "cell.at", "cell.grp")), most, told=True))
 
 
 def bucket_links(sketched: DataFrame, similarity: float, tries: int) -> DataFrame:
@@ -708,14 +751,10 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     prints = df.select(F.col(key).cast("long").alias(key), text, own).mapInArrow(run, schema)
     prints = cut(prints.withColumn("print", F.sha2(F.concat_ws(":", F.hex("sketch"), *f, "whole").cast("binary"), 256)).drop("whole"))
     nodes = cut(prints.groupBy("print").agg(F.min(key).alias("least"), F.first("sketch").alias("sketch"), F.min("own").alias("own"), *[F.first(x).alias(x) for x in f]).withColumn("node", F.monotonically_increasing_id()))
-    candidates, large = similar_candidates(nodes.select("node", *f), similarity)
-    # Only the sketches of nodes that have a candidate are moved.
-    wanted = cut(candidates.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct())
     carried = [f"f{i}" for i in range(CARRIED)]
-    known = nodes.select("node", *carried, "sketch").join(F.broadcast(wanted) if wanted.count() <= NAMED_NODES else wanted, "node", "left_semi")
-    sketched = large.join(known, "node").select("slot", "node", *carried, "sketch", F.col("node").alias("label"))
-    side = lambda n: known.select(F.col("node").alias(n), F.col("sketch").alias(f"s{n}"))
-    both = candidates.join(side("a"), "a").join(side("b"), "b")
+    masks, most, prints_only = bit_blocks(nodes.count(), similarity), most_bits(similarity), nodes.select("node", *f)
+    hot = cut(crowded_slots(keyed_nodes(prints_only, masks).select("slot"), nodes.rdd.getNumPartitions(), BUCKET))
+    n_hot = hot.count()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -724,9 +763,25 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
             kind = pa.array([LINK if x else OPEN for x in told], pa.int32())
             yield pa.RecordBatch.from_arrays([c.filter(mask) for c in (kind, b.column(0), b.column(1))], names=["kind", "a", "b"])
 
-    told = cut(both.select("a", "b", "sa", "sb").mapInArrow(verify, "kind int, a long, b long"))
+    def upheld(candidates: DataFrame, large: DataFrame, joined: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(judged pairs, rows of crowds with their sketches, what these link)."""
+        # Only the sketches of nodes that have a candidate are moved.
+        wanted = cut(candidates.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct())
+        known = nodes.select("node", *carried, "sketch").join(F.broadcast(wanted) if wanted.count() <= NAMED_NODES else wanted, "node", "left_semi")
+        sketched = large.join(known, "node")
+        sketched = sketched.withColumn("label", F.col("node")) if joined is None else sketched.join(joined, "node", "left").withColumn("label", F.coalesce("root", "node"))
+        side = lambda n: known.select(F.col("node").alias(n), F.col("sketch").alias(f"s{n}"))
+        both = candidates.join(side("a"), "a").join(side("b"), "b")
+        told = cut(both.select("a", "b", "sa", "sb").mapInArrow(verify, "kind int, a long, b long"))
+        rows = sketched.select("slot", "node", *carried, "sketch", "label")
+        return told, rows, bucket_links(rows, similarity, 1)
+
+    told, sketched, found = upheld(*similar_candidates(prints_only, masks, hot, n_hot, most, BUCKET))
+    if n_hot:
+        joined = cut(components(told.unionByName(found).where(F.col("kind") == LINK).select("a", "b")))
+        told2, sketched2, found2 = upheld(*crowded_candidates(prints_only, masks, hot, n_hot, most, joined, BUCKET), joined)
+        told, sketched, found = told.unionByName(told2), sketched.unionByName(sketched2), found.unionByName(found2)
     tries = 1
-    found = bucket_links(sketched, similarity, tries)
     edges = told.unionByName(found).where(F.col("kind") == LINK).select("a", "b")
     unclear = cut(told.unionByName(found).where(F.col("kind") == OPEN).select("a", "b").distinct())
     texts = df.select(F.xxhash64(text).alias("own"), text)

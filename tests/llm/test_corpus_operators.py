@@ -515,7 +515,6 @@ def test_crowded_buckets_have_an_exact_way(spark):
 @pytest.mark.parametrize("bucket", [4096, 5])
 def test_similar_documents(spark, monkeypatch, bucket):
     monkeypatch.setattr(simhash, "BUCKET", bucket)
-    monkeypatch.setattr(simhash.similar_candidates, "__defaults__", (0.8, bucket))
     rng = random.Random(8)
     docs, group = [], []
     for g in range(12):
@@ -563,12 +562,40 @@ def test_crowded_slots_compare_all_their_rows(spark):
     base = [rng.getrandbits(63) for _ in range(4)]
     # One crowd in every slot: some part of it holds every two rows.
     df = spark.createDataFrame([(i, *base) for i in range(60)], "node long, f0 long, f1 long, f2 long, f3 long")
-    pairs, large = simhash.similar_candidates(df, 0.8, 10)
+    masks, most = simhash.bit_blocks(60, 0.8)[:3], simhash.most_bits(0.8)
+    hot = cut(simhash.crowded_slots(simhash.keyed_nodes(df, masks).select("slot"), df.rdd.getNumPartitions(), 10))
+    assert hot.count() == 3
+    none = spark.createDataFrame([], "node long, root long")
+    found = [simhash.similar_candidates(df, masks, hot, 3, most, 10), simhash.crowded_candidates(df, masks, hot, 3, most, none, 10)]
+    cells, met = defaultdict(set), set()
+    for pairs, large in found:
+        met |= {tuple(r) for r in pairs.collect()}
+        for r in large.collect():
+            cells[r["slot"]].add(r["node"])
+    met |= {(a, b) for c in cells.values() for a in c for b in c if a < b}
+    assert len(met) == 60 * 59 // 2 and max(map(len, cells.values())) <= 30
+
+
+def test_joined_rows_of_crowds_are_not_copied(spark):
+    """Of a crowd that is one component nothing moves again; loose rows of it meet all others."""
+    rng = random.Random(16)
+    base = [rng.getrandbits(63) for _ in range(4)]
+    df = spark.createDataFrame([(i, *base) for i in range(60)], "node long, f0 long, f1 long, f2 long, f3 long")
+    masks, most = simhash.bit_blocks(60, 0.8)[:2], simhash.most_bits(0.8)
+    hot = cut(simhash.crowded_slots(simhash.keyed_nodes(df, masks).select("slot"), df.rdd.getNumPartitions(), 10))
+    one = lambda loose: spark.createDataFrame([(i, 0) for i in range(60) if i not in loose], "node long, root long")
+    pairs, large = simhash.crowded_candidates(df, masks, hot, 2, most, one(()), 10)
+    assert pairs.count() == large.count() == 0
+    pairs, large = simhash.crowded_candidates(df, masks, hot, 2, most, one((7, 31)), 10)
+    part = {(r["slot"], r["node"]): r["part"] for r in simhash._dealt(simhash.keyed_nodes(df, masks), hot, 2, 10, "inner").collect()}
+    slots = {s for s, _ in part}
+    away = {(min(a, b), max(a, b)) for a in (7, 31) for b in range(60) if a != b and any(part[s, a] != part[s, b] for s in slots)}
+    met = {tuple(r) for r in pairs.collect()}
     cells = defaultdict(set)
     for r in large.collect():
         cells[r["slot"]].add(r["node"])
-    met = {(a, b) for c in cells.values() for a in c for b in c if a < b} | {tuple(r) for r in pairs.collect()}
-    assert len(met) == 60 * 59 // 2 and max(map(len, cells.values())) <= 30
+    met |= {(min(a, b), max(a, b)) for c in cells.values() for a in c & {7, 31} for b in c if a != b}
+    assert away <= met and sum(map(len, cells.values())) <= 2 * 2 * 60
 
 
 @given(st.integers(0, 2**32), st.sampled_from([0.002, 0.02, 0.5]))
