@@ -6,7 +6,7 @@ import argparse
 import json
 import sys
 
-from siftwell.config import ConfigError, load, load_files
+from siftwell.config import ConfigError, load, load_files, load_folder
 from siftwell.plans import lifecycle, tools
 from siftwell.plans.engine import Engine
 from siftwell.plans.session import local_session
@@ -21,6 +21,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--mode", choices=("baseline", "v2"), default="baseline")
     r.add_argument("--run-dir", default=None)
     r.add_argument("--config", action="append", default=[], help="overlay file, YAML or JSON; may be given again")
+    r.add_argument("--config-dir", help="folder with a file for every bundle, as export-config writes it, in place of the defaults")
     r.add_argument("--reference-date")
     r.add_argument("--processing-mode", choices=("memory", "chunked"))
     r.add_argument("--malformed-threshold", type=int, default=10000)
@@ -47,10 +48,12 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(getattr(tools, a.command.replace("-", "_"))(spark, *values), indent=2, default=str))
         return 0
     try:
-        config = load_files(*a.config) if a.config else load()
+        if a.config_dir and a.config:
+            raise ConfigError("--config-dir holds all bundles; overlays don't go with it")
+        config = load_folder(a.config_dir) if a.config_dir else load_files(*a.config) if a.config else load()
         over = {k: v for k, v in (("reference_date", a.reference_date), ("processing_mode", a.processing_mode)) if v}
         if over:
-            config = load({**config.data, "runtime": {**config["runtime"], **over}})
+            config = config.with_runtime(**over)
     except (ConfigError, OSError) as e:
         print(e, file=sys.stderr)
         return 2

@@ -77,6 +77,13 @@ class Config:
     def stage_hash(self, stage: str) -> str:
         return self.hash_of(*STAGE_BUNDLES[stage])
 
+    def with_runtime(self, **changes: Any) -> Config:
+        """A validated copy with other values of the runtime bundle."""
+        data = copy.deepcopy(self.data)
+        data["runtime"] |= changes
+        validate(data)
+        return Config(data)
+
     def with_(self, **changes: dict[str, Any]) -> Config:
         """A validated copy with some values of its bundles replaced."""
         return load(changes)
@@ -178,21 +185,67 @@ def load(overlay: dict[str, Any] | None = None) -> Config:
     return Config(data)
 
 
+def _yaml():
+    try:
+        import yaml
+    except ImportError as e:
+        raise ConfigError("YAML files need PyYAML; JSON files don't") from e
+    return yaml
+
+
+def read_mapping(path: Path) -> dict[str, Any]:
+    """A mapping from a YAML or JSON file."""
+    text = path.read_text(encoding="utf-8")
+    try:
+        value = _yaml().safe_load(text) if path.suffix in (".yaml", ".yml") else json.loads(text)
+    except ValueError as e:
+        raise ConfigError(f"{path}: {e}") from e
+    except Exception as e:
+        if isinstance(e, ConfigError) or type(e).__module__.split(".")[0] != "yaml":
+            raise
+        raise ConfigError(f"{path}: {e}") from e
+    if not isinstance(value, dict):
+        raise ConfigError(f"{path} must hold a mapping")
+    return value
+
+
+def write_folder(config: Config, folder: str | Path, fmt: str = "yaml") -> list[Path]:
+    """Every bundle as a file of its own, whole: what ``load_folder`` reads."""
+    out = []
+    for name, data in config.data.items():
+        text = _yaml().safe_dump(data, sort_keys=False, allow_unicode=True) if fmt == "yaml" else json.dumps(data, indent=2, ensure_ascii=False) + "\n"
+        path = Path(folder) / f"{name}.{fmt}"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text, encoding="utf-8")
+        out.append(path)
+    return out
+
+
+def load_folder(folder: str | Path) -> Config:
+    """A configuration from a folder with one file for each bundle (``name.yaml``, ``name.yml`` or ``name.json``); nothing is filled in."""
+    known, data = defaults(), {}
+    for path in sorted(Path(folder).iterdir()):
+        if path.suffix not in (".yaml", ".yml", ".json"):
+            continue
+        if path.stem not in known:
+            raise ConfigError(f"unknown bundle: {path.stem}")
+        if path.stem in data:
+            raise ConfigError(f"two files for {path.stem}")
+        data[path.stem] = read_mapping(path)
+    if missing := [b for b in known if b not in data]:
+        raise ConfigError(f"{folder} lacks the bundles {missing}")
+    for bundle in known:
+        if lacking := [k for k in known[bundle] if k not in data[bundle]] if bundle != "evidence" else []:
+            raise ConfigError(f"{bundle} lacks {lacking}")
+    data = {b: data[b] for b in known}
+    validate(data)
+    return Config(data)
+
+
 def load_files(*paths: str | Path) -> Config:
     """Defaults with overlay files on top, in order; YAML where that module is there, JSON always."""
     overlay: dict[str, Any] = {}
     for path in map(Path, paths):
-        text = path.read_text(encoding="utf-8")
-        if path.suffix in (".yaml", ".yml"):
-            try:
-                import yaml
-            except ImportError as e:
-                raise ConfigError("YAML files need PyYAML; JSON files don't") from e
-            value = yaml.safe_load(text)
-        else:
-            value = json.loads(text)
-        if not isinstance(value, dict):
-            raise ConfigError(f"{path} must hold a mapping")
-        for k, v in value.items():
+        for k, v in read_mapping(path).items():
             overlay[k] = {**overlay.get(k, {}), **v} if isinstance(v, dict) else v
     return load(overlay)

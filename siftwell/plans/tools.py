@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from siftwell.config import load
+from siftwell.config import load, write_folder
 from siftwell.functions import columns as C
 from siftwell.operators import audit as rules
 from siftwell.operators import normalize, scoring, semantic, submission
@@ -24,7 +24,7 @@ from siftwell.sources import buckets, candidates, sinks
 COMMANDS = {
     "audit": ["candidates"], "inspect-top": ["run_dir"], "cohorts": ["run_dir"], "compare": ["before", "after"], "build-semantic": ["candidates", "run_dir"],
     "inspect-run": ["run_dir"], "timings": ["run_dir"], "same-output": ["run_dir", "other_dir"], "changes": ["current", "earlier"],
-    "invariance": ["run_dir", "other_dir"], "export-release": ["run_dir", "target"], "export-breakdowns": ["run_dir", "target"],
+    "invariance": ["run_dir", "other_dir"], "export-release": ["run_dir", "target"], "export-breakdowns": ["run_dir", "target"], "export-config": ["target"],
 }
 RUNTIME_GATES = ((240.0, "PASS"), (270.0, "WARNING"))
 SUBMISSION = "candidate_id string, rank int, score double, reasoning string"
@@ -153,6 +153,11 @@ def same_output(spark: SparkSession, run_dir: str, other_dir: str) -> dict:
     }
 
 
+def export_config(spark: SparkSession, target: str) -> list[str]:
+    """The default configuration as a folder of YAML files, one a bundle, for ``rank --config-dir``."""
+    return [str(p) for p in write_folder(load(), target)]
+
+
 BREAKDOWNS = {"evidence": "evidence/summary", "credibility": "credibility/breakdown", "behavioral": "behavioral/breakdown"}
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 import records as R
 
-from siftwell.config import ConfigError, load, load_files
+from siftwell.config import ConfigError, load, load_files, load_folder, write_folder
 from siftwell.operators import credibility, evidence, scoring, submission
 from siftwell.plans import tools
 from siftwell.plans.engine import DuplicateCandidates, Engine, TooFewCandidates, rank_records
@@ -315,6 +315,26 @@ def test_config(tmp_path):
     assert load_files(tmp_path / "c.json")["runtime"]["chunk_size"] == 7
 
 
+@pytest.mark.parametrize("fmt", ["yaml", "json"])
+def test_config_folder(tmp_path, fmt):
+    pytest.importorskip("yaml")
+    files = write_folder(load(), tmp_path, fmt)
+    assert {p.name for p in files} == {f"{b}.{fmt}" for b in load().data}
+    again = load_folder(tmp_path)
+    assert again.data == load().data and all(again.stage_hash(s) == load().stage_hash(s) for s in ("evidence", "credibility", "scores"))
+    assert again.with_runtime(reference_date="2026-01-01").reference_date.year == 2026
+    (tmp_path / f"scoring.{fmt}").write_text("{weights: 3" if fmt == "yaml" else "{", encoding="utf-8")
+    with pytest.raises(ConfigError):
+        load_folder(tmp_path)
+    (tmp_path / f"scoring.{fmt}").unlink()
+    with pytest.raises(ConfigError, match="lacks the bundles"):
+        load_folder(tmp_path)
+    write_folder(load(), tmp_path, fmt)
+    (tmp_path / "other.json").write_text("{}")
+    with pytest.raises(ConfigError, match="unknown bundle"):
+        load_folder(tmp_path)
+
+
 def test_streamed_items_equal_the_batch(spark, done, tmp_path):
     from siftwell.functions import columns as C
     from siftwell.operators import evidence
