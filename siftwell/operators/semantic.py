@@ -13,6 +13,7 @@ from siftwell.config import Config
 from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
 from siftwell.sources import sinks
+from siftwell.sources.store import place
 
 
 def table_hash(df: DataFrame) -> str:
@@ -28,16 +29,16 @@ def id_checksum(ids: DataFrame) -> str:
 
 def resolve(run_dir: str | Path, config: Config) -> tuple[Path, Path]:
     """Artifact and manifest: absolute paths as they are, else below the run if either is there, else below the working folder."""
-    pair = [Path(config["semantic"][k]) for k in ("artifact_path", "manifest_path")]
+    pair = [place(config["semantic"][k]) for k in ("artifact_path", "manifest_path")]
     if all(p.is_absolute() for p in pair):
         return pair[0], pair[1]
-    local = [p if p.is_absolute() else Path(run_dir) / p for p in pair]
+    local = [p if p.is_absolute() else place(run_dir) / p for p in pair]
     return (local[0], local[1]) if any(p.exists() for p in local) else (pair[0].absolute(), pair[1].absolute())
 
 
 def build(flat: DataFrame, run_dir: str | Path, config: Config, dataset_hash: str) -> DataFrame:
     """Lexical proxy scores of every candidate, with their manifest; relative paths are below the run."""
-    artifact, manifest = (Path(run_dir) / config["semantic"][k] for k in ("artifact_path", "manifest_path"))
+    artifact, manifest = (place(run_dir) / config["semantic"][k] for k in ("artifact_path", "manifest_path"))
     artifact.parent.mkdir(parents=True, exist_ok=True)
     scores = flat.select("candidate_id", C.r6(C.lexical_share(F.col("combined_candidate_text"), V.SEMANTIC_TERMS)).alias("semantic_score"))
     table = sinks.write_table(scores, str(artifact), ["candidate_id", "semantic_score"])

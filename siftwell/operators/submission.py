@@ -13,6 +13,7 @@ from siftwell.functions import columns as C
 from siftwell.functions import fixed_values as V
 from siftwell.functions import folds
 from siftwell.sources import sinks
+from siftwell.sources.store import place
 
 LIMIT = 100
 
@@ -33,9 +34,9 @@ def problems(path: str | Path, name: str | None = None, size: int = LIMIT) -> li
     """What is wrong with a submission file; empty if nothing is."""
     if not str(name or path).endswith(".csv"):
         return ["the file name must end in .csv"]
-    if not Path(path).is_file():
+    if not place(path).is_file():
         return [f"no such file: {path}"]
-    with Path(path).open(encoding="utf-8", newline="") as f:
+    with place(path).open(encoding="utf-8", newline="") as f:
         table = [r for r in csv.reader(f) if r]
     out: list[str] = []
     if not table or table[0] != list(V.SUBMISSION_HEADER):

@@ -28,6 +28,7 @@ from siftwell.operators import audit, credibility, evidence, explain, normalize,
 from siftwell.plans import lifecycle
 from siftwell.plans.session import prepare
 from siftwell.sources import buckets, candidates, sinks
+from siftwell.sources.store import StorePath, place
 
 KEY = "candidate_id"
 
@@ -42,9 +43,9 @@ class TooFewCandidates(ValueError):
 
 @dataclass
 class Result:
-    run_dir: Path
-    submission: Path | None
-    official: Path | None
+    run_dir: Path | StorePath
+    submission: Path | StorePath | None
+    official: Path | StorePath | None
     stats: dict
 
 
@@ -243,13 +244,13 @@ class Engine:
 
         self._by_buckets("baseline", ("normalize",), work)
 
-    def submit(self, out: str | Path | None, mode: str, small: bool) -> tuple[Path, Path | None]:
+    def submit(self, out: str | Path | None, mode: str, small: bool) -> tuple[Path | StorePath, Path | StorePath | None]:
         if mode == "baseline":
             top = self.table("scores/baseline_top_500").where(F.col("rank") <= submission.LIMIT)
             explained = top.select("candidate_id", scoring.baseline_explanation().alias("reasoning"))
         else:
             top, explained = self.table("scores/breakdown").where(F.col("rank") <= submission.LIMIT), self.table("reasoning/explanations")
-        path = Path(self.path(f"submission/{'sample_' if small else ''}submission.csv"))
+        path = place(self.path(f"submission/{'sample_' if small else ''}submission.csv"))
 
         def work():
             submission.write(submission.rows_of(top, explained), path, require=not small)
@@ -299,8 +300,8 @@ def rank_records(spark: SparkSession, payload: bytes, filename: str, work_dir: s
     The reference date is the configuration's, so a result can be made again.
     """
     rows = candidates.decode_upload(payload, filename)
-    source = sinks.write_jsonl(Path(work_dir) / "upload.jsonl", rows)
-    engine = Engine(spark, Path(work_dir) / "run", config)
+    source = sinks.write_jsonl(place(work_dir) / "upload.jsonl", rows)
+    engine = Engine(spark, place(work_dir) / "run", config)
     engine.input_hash = lifecycle.dataset_hash(spark, source)
     engine.normalize(str(source))
     engine.evidence()

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from siftwell.config import sha256_json
 from siftwell.sources import sinks
+from siftwell.sources.store import StorePath, append, place
 
 FOLDERS = ("audit", "normalized", "evidence", "credibility", "behavioral", "scores", "reasoning", "submission", "reports", "logs", "state", "artifacts")
 HISTORY = 5
@@ -34,10 +35,10 @@ def run_id() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
 
 
-def make_folders(run_dir: str | Path) -> Path:
+def make_folders(run_dir: str | Path) -> Path | StorePath:
     for f in FOLDERS:
-        (Path(run_dir) / f).mkdir(parents=True, exist_ok=True)
-    return Path(run_dir)
+        (place(run_dir) / f).mkdir(parents=True, exist_ok=True)
+    return place(run_dir)
 
 
 #: Files up to this size are told by their bytes, larger ones and those of tables by name, length and time of change.
@@ -47,7 +48,7 @@ READ_BYTES = 1 << 20
 def path_hash(path: str | Path) -> str:
     """Hash of a small file's bytes, read in parts."""
     h = hashlib.sha256()
-    with Path(path).open("rb") as b:
+    with place(path).open("rb") as b:
         while part := b.read(1 << 20):
             h.update(part)
     return h.hexdigest()
@@ -55,7 +56,7 @@ def path_hash(path: str | Path) -> str:
 
 def output_mark(path: str | Path) -> str:
     """What tells a stage's output from a changed one, without reading a table."""
-    p = Path(path)
+    p = place(path)
     if p.is_file() and p.stat().st_size <= READ_BYTES:
         return path_hash(p)
     files = sorted(f for f in p.rglob("*") if f.is_file() and not f.name.startswith((".", "_"))) if p.is_dir() else [p]
@@ -83,24 +84,22 @@ class Events:
     """Event lines for machines and a log for people."""
 
     def __init__(self, run_dir: str | Path, jsonl: bool = True, human: bool = True) -> None:
-        self.folder, self.jsonl, self.human = Path(run_dir) / "logs", jsonl, human
+        self.folder, self.jsonl, self.human = place(run_dir) / "logs", jsonl, human
         self.folder.mkdir(parents=True, exist_ok=True)
 
     def __call__(self, stage: str, event: str, message: str = "", **data: Any) -> None:
         row = {"time": now(), "stage": stage, "event": event, "message": message, **data}
         if self.jsonl:
-            with (self.folder / "events.jsonl").open("a", encoding="utf-8") as f:
-                f.write(json.dumps(row, default=str) + "\n")
+            append(self.folder / "events.jsonl", json.dumps(row, default=str) + "\n")
         if self.human:
-            with (self.folder / "run.log").open("a", encoding="utf-8") as f:
-                f.write(f"{row['time']} {stage} {event} {message}\n")
+            append(self.folder / "run.log", f"{row['time']} {stage} {event} {message}\n")
 
 
 class Stages:
     """The stage attempts of a run, kept in ``state/state.json``."""
 
     def __init__(self, run_dir: str | Path) -> None:
-        self.path = Path(run_dir) / "state" / "state.json"
+        self.path = place(run_dir) / "state" / "state.json"
         self.state: dict[str, Any] = json.loads(self.path.read_text()) if self.path.exists() else {"stages": {}}
 
     def _save(self) -> None:
@@ -146,7 +145,7 @@ class Stages:
     def intact(self, stage: str) -> str | None:
         """Null if the stage's outputs are as it left them, else what is wrong with them."""
         for path, known in self.state["stages"].get(stage, {}).get("outputs", {}).items():
-            if not Path(path).exists():
+            if not place(path).exists():
                 return f"output is missing: {path}"
             if output_mark(path) != known:
                 return f"output has changed: {path}"
@@ -211,7 +210,7 @@ def _git(*args: str) -> str | None:
 
 def manifest(run_dir: str | Path, **data: Any) -> dict:
     """Environment and inputs of a run, kept in ``manifest.json``; later values go over earlier ones."""
-    path = Path(run_dir) / "manifest.json"
+    path = place(run_dir) / "manifest.json"
     old = json.loads(path.read_text()) if path.exists() else {
         "created_at": now(), "python": sys.version.split()[0], "platform": platform.platform(), "git_commit": _git("rev-parse", "HEAD"), "git_dirty": bool(_git("status", "--porcelain")),
     }

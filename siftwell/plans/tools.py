@@ -19,6 +19,7 @@ from siftwell.operators import audit as rules
 from siftwell.operators import normalize, scoring, semantic, submission
 from siftwell.plans import lifecycle
 from siftwell.sources import buckets, candidates, sinks
+from siftwell.sources.store import StorePath, place
 
 #: command: positional arguments
 COMMANDS = {
@@ -91,12 +92,12 @@ def build_semantic(spark: SparkSession, path: str, run_dir: str) -> dict:
 def inspect_run(spark: SparkSession, run_dir: str) -> dict:
     """A run's manifest and stage state."""
     read = lambda p: json.loads(p.read_text()) if p.exists() else None
-    return {"manifest": read(Path(run_dir) / "manifest.json"), "state": read(Path(run_dir) / "state" / "state.json")}
+    return {"manifest": read(place(run_dir) / "manifest.json"), "state": read(place(run_dir) / "state" / "state.json")}
 
 
 def timings(spark: SparkSession, run_dir: str) -> dict:
     """Stage seconds and attempts of a run, with its gate."""
-    stages = json.loads((Path(run_dir) / "state" / "state.json").read_text())["stages"]
+    stages = json.loads((place(run_dir) / "state" / "state.json").read_text())["stages"]
     total = sum(s.get("seconds", 0.0) for s in stages.values())
     return {"stages": {k: {"seconds": s.get("seconds"), "attempts": s["attempts"], "skips": s["skips"]} for k, s in stages.items()}, "total_seconds": round(total, 3), "status": runtime_status(total)}
 
@@ -140,8 +141,8 @@ def same_output(spark: SparkSession, run_dir: str, other_dir: str) -> dict:
     differs = [F.count_if(~F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))).alias(f"n_{c}") for c in values]
     most = [F.max(F.abs(F.col(f"x.{c}") - F.col(f"y.{c}"))).alias(f"m_{c}") for c in values if c in number]
     told = both.agg(*differs, *most).head().asDict()
-    made = [json.loads(p.read_text()) if (p := Path(d) / "manifest.json").exists() else {} for d in (run_dir, other_dir)]
-    files = [sorted(Path(d, "submission").glob("*.csv")) for d in (run_dir, other_dir)]
+    made = [json.loads(p.read_text()) if (p := place(d) / "manifest.json").exists() else {} for d in (run_dir, other_dir)]
+    files = [sorted((place(d) / "submission").glob("*.csv")) for d in (run_dir, other_dir)]
     return {
         "same_columns": a.columns == b.columns,
         "only_first": x.exceptAll(y).count(),
@@ -182,14 +183,14 @@ def measured(command: Sequence[str]) -> dict:
     return {"exit_code": code, "seconds": round(took, 3), "status": runtime_status(took) if code == 0 else "BLOCKED", "peak_memory_mb": round(peak, 1)}
 
 
-def _submission_of(run_dir: str) -> Path | None:
-    return next(iter(sorted(Path(run_dir, "submission").glob("*.csv"))), None)
+def _submission_of(run_dir: str) -> Path | StorePath | None:
+    return next(iter(sorted((place(run_dir) / "submission").glob("*.csv"))), None)
 
 
 def invariance(spark: SparkSession, run_dir: str, other_dir: str, resume_seconds: float | None = None) -> dict:
     """Whether a run still gives what another gave: scores as rows, submission bytes, changed rows, timings and gates."""
     here, there = _submission_of(run_dir), _submission_of(other_dir)
-    quality = Path(run_dir, "reports", "reasoning_quality.json")
+    quality = place(run_dir) / "reports" / "reasoning_quality.json"
     return {
         **same_output(spark, run_dir, other_dir),
         "submission_sha256": {"run": here and lifecycle.path_hash(here), "other": there and lifecycle.path_hash(there)},
@@ -207,8 +208,8 @@ def export_release(spark: SparkSession, run_dir: str, target: str) -> dict:
     if source is None:
         raise sinks.SinkError(f"{run_dir} has no submission")
     submission.require_valid(source)
-    out = Path(target)
-    files = [source, Path(run_dir, "manifest.json"), *sorted(Path(run_dir, "reports").glob("*"))]
+    out = place(target)
+    files = [source, place(run_dir) / "manifest.json", *sorted((place(run_dir) / "reports").glob("*"))]
     hashes = {}
     for f in files:
         sinks.copy(f, out / f.name)

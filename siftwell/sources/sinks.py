@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import json
 import os
-import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from pathlib import Path
@@ -13,14 +13,27 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siftwell.sources.store import StorePath, place
+
 
 class SinkError(ValueError):
     """An output that failed its check; the old one is still there."""
 
 
-def publish(path: str | Path, write: Callable[[Path], None], check: Callable[[Path], None] | None = None) -> Path:
-    """A driver's file, first whole under another name: what fails to be written or checked never takes the old one's place."""
-    final = Path(path)
+def publish(path: str | Path, write: Callable[[Path], None], check: Callable[[Path], None] | None = None) -> Path | StorePath:
+    """A driver's file, first whole under another name: what fails to be written or checked never takes the old one's place.
+
+    A file of a store is written and checked in a folder of the driver's own, then uploaded.
+    """
+    final = place(path)
+    if isinstance(final, StorePath):
+        with tempfile.TemporaryDirectory(prefix="siftwell-file-") as folder:
+            local = Path(folder) / final.name
+            write(local)
+            if check is not None:
+                check(local)
+            final.take(local)
+        return final
     final.parent.mkdir(parents=True, exist_ok=True)
     draft = final.with_name(f".{final.name}.{uuid.uuid4().hex}")
     try:
@@ -44,15 +57,15 @@ def _to_disk(path: Path) -> None:
         os.close(number)
 
 
-def write_text(path: str | Path, text: str) -> Path:
+def write_text(path: str | Path, text: str) -> Path | StorePath:
     return publish(path, lambda p: p.write_text(text, encoding="utf-8"))
 
 
-def write_json(path: str | Path, value: Any) -> Path:
+def write_json(path: str | Path, value: Any) -> Path | StorePath:
     return write_text(path, json.dumps(value, indent=2, default=str) + "\n")
 
 
-def write_jsonl(path: str | Path, rows: Iterable[dict]) -> Path:
+def write_jsonl(path: str | Path, rows: Iterable[dict]) -> Path | StorePath:
     """One object a line; every line is parsed again before the file counts."""
 
     def write(p: Path) -> None:
@@ -67,7 +80,7 @@ def write_jsonl(path: str | Path, rows: Iterable[dict]) -> Path:
     return publish(path, write, check)
 
 
-def write_csv(path: str | Path, header: Sequence[str], rows: Sequence[Sequence[Any]], check: Callable[[Path], None] | None = None) -> Path:
+def write_csv(path: str | Path, header: Sequence[str], rows: Sequence[Sequence[Any]], check: Callable[[Path], None] | None = None) -> Path | StorePath:
     """A small CSV with exact bytes; header and row count are read back."""
 
     def write(p: Path) -> None:
@@ -87,8 +100,8 @@ def write_csv(path: str | Path, header: Sequence[str], rows: Sequence[Sequence[A
     return publish(path, write, verify)
 
 
-def copy(source: str | Path, target: str | Path, check: Callable[[Path], None] | None = None) -> Path:
-    return publish(target, lambda p: shutil.copyfile(source, p), check)
+def copy(source: str | Path, target: str | Path, check: Callable[[Path], None] | None = None) -> Path | StorePath:
+    return publish(target, lambda p: p.write_bytes(place(source).read_bytes()), check)
 
 
 def put_in_place(spark: SparkSession, temp: str, path: str) -> None:

@@ -10,6 +10,7 @@ from siftwell.operators import credibility, evidence, scoring, submission
 from siftwell.plans import tools
 from siftwell.plans.engine import DuplicateCandidates, Engine, TooFewCandidates, rank_records
 from siftwell.sources.sinks import SinkError
+from siftwell.sources.store import place
 from siftwell.streaming import incremental
 
 
@@ -242,6 +243,28 @@ def test_release_and_invariance(spark, done, tmp_path):
     assert tools.measured(["true"])["exit_code"] == 0 and tools.runtime_status(250) == "WARNING" and tools.runtime_status(271) == "BLOCKED"
 
 
+def test_a_run_in_a_store(spark, done, tmp_path):
+    """All of a run through a path that only Spark's file systems read: stages, state, logs, reports, submission, tools, resume."""
+    d, src = done
+    run = f"file://{tmp_path}/run"
+    result = Engine(spark, run).run(f"file://{src}", f"file://{tmp_path}/out.csv")
+    assert str(result.official) == f"file://{tmp_path}/out.csv" and (tmp_path / "out.csv").read_bytes() == (d / "out.csv").read_bytes()
+    assert tools.inspect_run(spark, run)["manifest"]["status"] == "completed" and tools.cohorts(spark, run)["count"] == 100
+    r = tools.same_output(spark, str(d / "run"), run)
+    assert r["only_first"] == r["only_second"] == 0 and r["same_submission"]
+    again = Engine(spark, run, resume=True)
+    again.run(f"file://{src}")
+    assert all(s["skips"] == 1 for s in again.runner.stages.state["stages"].values())
+    events = [json.loads(line)["event"] for line in (tmp_path / "run/logs/events.jsonl").read_text().splitlines()]
+    assert events.count("completed") == 8 and events.count("skipped") == 8
+    (tmp_path / "run/reports/behavioral_report.md").write_text("changed")
+    assert again.runner.stages.intact("behavioral").startswith("output has changed") and again.runner.stages.intact("evidence") is None
+    m = tools.export_release(spark, run, f"file://{tmp_path}/release")
+    assert "submission.csv" in m["files"] and submission.problems(f"file://{tmp_path}/release/submission.csv") == []
+    with pytest.raises(FileNotFoundError):
+        place(f"file://{tmp_path}/nothing").read_text()
+
+
 def test_gates(spark, tmp_path):
     two = R.write(tmp_path / "two.jsonl", R.varied(2))
     with pytest.raises(TooFewCandidates):
