@@ -54,37 +54,43 @@ def summaries(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def candidates(rows: DataFrame, groups: list[str], capacity: int = CAPACITY) -> DataFrame:
     """(grp, value): at most ``capacity`` values a group, all with over n / (capacity + 1) rows among them."""
     added = cut(summaries(rows, capacity).groupBy("grp", "value").agg(F.sum("kept").alias("kept")))
-    out = None
+    best = None
     for g in groups:  # a top-k each: no task gets all summaries of a group
-        best = added.where(F.col("grp") == g).orderBy(F.desc("kept"), "value").limit(capacity + 1)
-        most = best.agg(F.count(F.lit(1)).alias("n"), F.min("kept").alias("next")).head()
-        held = best.where(F.col("kept") > most["next"]) if most["n"] > capacity else best
-        out = held.select("grp", "value") if out is None else out.unionByName(held.select("grp", "value"))
-    return out
+        own = added.where(F.col("grp") == g).orderBy(F.desc("kept"), "value").limit(capacity + 1)
+        best = own if best is None else best.unionByName(own)
+    found: dict[str, list] = {}
+    for r in best.collect():  # at most capacity + 1 rows a group
+        found.setdefault(r["grp"], []).append((r["kept"], r["value"]))
+    held = []
+    for g, rows_ in found.items():
+        next_ = min(rows_)[0] if len(rows_) > capacity else 0
+        held += [(g, v) for n, v in rows_ if n > next_]
+    return rows.sparkSession.createDataFrame(held, "grp string, value string")
 
 
 def most_frequent(rows: DataFrame, groups: list[str], k: int, order: Column, capacity: int = CAPACITY) -> DataFrame:
-    """(grp, value, n, first, place) of the ``k`` most frequent values of each of ``groups``.
+    """(grp, value, n, place) of the ``k`` most frequent values of each of ``groups``.
 
     ``rows`` has grp, value and what ``order`` names: of values with equal
     counts the one whose least ``order`` comes first wins. The result is exact.
     """
+    spark = rows.sparkSession
     rows = rows.where(F.col("grp").isin(*groups))
     counted = lambda some: some.groupBy("grp", "value").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-    place = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("n"), "first"))
-    # At most ``capacity`` values a group and as many groups as are named.
-    exact = cut(counted(rows.join(F.broadcast(candidates(rows, groups, capacity)), ["grp", "value"], "left_semi")))
-    found = cut(exact.withColumn("place", place).where(F.col("place") <= k))
+    # At most ``capacity`` values a group and as many groups as are named; so many rows come back, too.
+    exact = counted(rows.join(F.broadcast(candidates(rows, groups, capacity)), ["grp", "value"], "left_semi")).collect()
     sizes = {r["grp"]: r["n"] for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
-    least = {r["grp"]: (r["n"], r["places"], r["held"]) for r in found.groupBy("grp").agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("places"), F.sum("n").alias("held")).collect()}
-
-    def sure(g: str) -> bool:
-        n, places, held = least.get(g, (0, 0, 0))
+    told, unsure = [], []
+    for g in groups:
+        own = sorted((r for r in exact if r["grp"] == g), key=lambda r: (-r["n"], r["first"]))
         # All values are there, or none that is missing can reach the last place.
-        return held == sizes.get(g, 0) or (places == k and n > sizes[g] / (capacity + 1))
-
-    open_groups = [g for g in groups if not sure(g)]
-    if not open_groups:
+        if sum(r["n"] for r in own) == sizes.get(g, 0) or (len(own) >= k and own[k - 1]["n"] > sizes[g] / (capacity + 1)):
+            told += [(g, r["value"], r["n"], place) for place, r in enumerate(own[:k], 1)]
+        else:
+            unsure.append(g)
+    found = spark.createDataFrame(told, "grp string, value string, n long, place int")
+    if not unsure:
         return found
-    whole = counted(rows.where(F.col("grp").isin(*open_groups))).withColumn("place", place).where(F.col("place") <= k)
-    return found.where(~F.col("grp").isin(*open_groups)).unionByName(whole)
+    place = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("n"), "first"))
+    whole = counted(rows.where(F.col("grp").isin(*unsure))).withColumn("place", place).where(F.col("place") <= k)
+    return found.unionByName(whole.drop("first"))

@@ -174,14 +174,14 @@ def safe_date_parse(t):
 
 @query(
     "q_frequent_values",
-    """SELECT lang, word, n, place FROM (SELECT lang, word, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, first_id, word) AS place FROM (
-    SELECT lang, word, count(*) AS n, min(doc_id) AS first_id FROM (SELECT lang, doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents WHERE lang IN ('de', 'en', 'es', 'fr')) GROUP BY ALL)) WHERE place <= 30""",
+    """SELECT role, word, n, place FROM (SELECT role, word, n, row_number() OVER (PARTITION BY role ORDER BY n DESC, first_id, word) AS place FROM (
+    SELECT role, word, count(*) AS n, min(conv_id) AS first_id FROM (SELECT role, conv_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM conversations WHERE role IN ('assistant', 'user')) GROUP BY ALL)) WHERE place <= 30""",
 )
 def frequent_values(t):
-    """The thirty most frequent words of each language, exactly, from summaries of bounded size."""
-    words = t("documents").select("doc_id", F.col("lang").alias("grp"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("value"))
-    found = most_frequent(words, ["de", "en", "es", "fr"], 30, F.struct("doc_id", "value"))
-    return found.select(F.col("grp").alias("lang"), F.col("value").alias("word"), "n", long("place").alias("place"))
+    """The thirty most frequent words of each role, exactly, from summaries of bounded size."""
+    words = t("conversations").select("conv_id", F.col("role").alias("grp"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("value"))
+    found = most_frequent(words, ["assistant", "user"], 30, F.struct("conv_id", "value"))
+    return found.select(F.col("grp").alias("role"), F.col("value").alias("word"), "n", long("place").alias("place"))
 
 
 @query("q_value_counts_top", "SELECT source, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first_seen FROM documents GROUP BY source ORDER BY n DESC, first_seen LIMIT 30")
