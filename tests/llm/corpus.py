@@ -42,8 +42,12 @@ def documents(spark, path, rows: list[tuple], extra: bool = True) -> str:
     return str(path)
 
 
-def table(spark, path, name: str, rows: list[tuple], schema: str) -> None:
-    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/{name}.parquet")
+def table(spark, path, name: str, rows: list[tuple], schema: str, extra: tuple[str, ...] = ()) -> None:
+    """Write a table; ``extra`` names further columns, all null."""
+    df = spark.createDataFrame(rows, schema)
+    for column in extra:
+        df = df.selectExpr("*", f"cast(null as string) as `{column}`")
+    df.write.mode("overwrite").parquet(f"{path}/{name}.parquet")
 
 
 def token(seed: int, n: int = 40) -> str:
