@@ -11,6 +11,7 @@ import hashlib
 import json
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -62,20 +63,38 @@ def reconstructible(path: Column, excerpt: Column) -> Column:
 
 
 @F.arrow_udf(StringType())
-def provenance(candidate: pa.Array, path: pa.Array, category: pa.Array, excerpt: pa.Array, terms: pa.Array) -> pa.Array:
-    """Canonical hash of what a ledger row rests on: SHA-256 of its JSON with sorted keys and ASCII characters only.
-
-    Rows of one excerpt follow one another, so its JSON is written once for them.
-    """
-    out, last, written = [], None, ""
-    for c, p, n, x, t in zip(*(a.to_pylist() for a in (candidate, path, category, excerpt, terms)), strict=True):
+def _hash_of_any(candidate: pa.Array, path: pa.Array, category: pa.Array, excerpt: pa.Array, terms: pa.Array, asked: pa.Array) -> pa.Array:
+    """``provenance`` of the rows that are asked for, null for the others; rows of one excerpt follow one another, so its JSON is written once for them."""
+    out: list[str | None] = [None] * len(asked)
+    at = pc.indices_nonzero(asked)
+    last, written = None, ""
+    for i, c, p, n, x, t in zip(at.to_pylist(), *(a.take(at).to_pylist() for a in (candidate, path, category, excerpt, terms)), strict=True):
         if x != last or not written:
             last, written = x, json.dumps(x)
         parts = {"candidate_id": json.dumps(c), "excerpt": written, "matched_terms": json.dumps(t), "normalized_category": json.dumps(n), "source_path": json.dumps(p)}
-        out.append(hashlib.sha256(("{" + ", ".join(f'"{k}": {v}' for k, v in parts.items()) + "}").encode()).hexdigest())
+        out[i] = hashlib.sha256(("{" + ", ".join(f'"{k}": {v}' for k, v in parts.items()) + "}").encode()).hexdigest()
     return pa.array(out, pa.string())
 
 
+def provenance(candidate: Column, path: Column, category: Column, excerpt: Column, terms: Column) -> Column:
+    """Canonical hash of what a ledger row rests on: SHA-256 of its JSON with sorted keys and ASCII characters only.
+
+    Texts of printable ASCII need two replacements and stay with the plan's own
+    functions; only rows with other characters, or nulls, send their texts to Python.
+    """
+    texts = (candidate, path, category, excerpt)
+    plain = F.lit(True)
+    for c in texts:
+        plain = plain & ~F.coalesce(c.rlike(r"[^\x20-\x7E]"), F.lit(True))
+    plain = plain & ~F.coalesce(F.array_join(terms, " ").rlike(r"[^\x20-\x7E]"), F.lit(True)) & ~F.coalesce(F.exists(terms, lambda t: t.isNull()), F.lit(True))
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    listed = F.concat(F.lit("["), F.array_join(F.transform(terms, quoted), ", "), F.lit("]"))
+    parts = {"candidate_id": quoted(candidate), "excerpt": quoted(excerpt), "matched_terms": listed, "normalized_category": quoted(category), "source_path": quoted(path)}
+    made = F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": '), v) for k, v in sorted(parts.items())])
+    sent = [F.when(~plain, c) for c in (*texts, terms)]
+    return F.coalesce(_hash_of_any(*sent, ~plain), F.sha2(F.concat(F.lit("{"), made, F.lit("}")).cast("binary"), 256))
+
+
 def _family(kind: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for kv in V.SOURCE_FAMILIES.items() for x in kv]), kind)
 

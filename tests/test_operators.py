@@ -231,7 +231,7 @@ def test_provenance_is_the_canonical_hash(spark):
     import hashlib
     import json
 
-    texts = ["plain", 'a "q" \\ b', "é漢😀", "x\n\t\x01\x1f\x7f\b\f\r end", "", "  \U0010ffff"]
+    texts = [None, "plain", "plain", 'a "q" \\ b', "é漢😀", "x\n\t\x01\x1f\x7f\b\f\r end", "", "  \U0010ffff"]
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     made = evidence.provenance(F.lit("C"), F.lit("p"), F.lit("c"), F.col("v"), F.array("v", F.lit("t")))
     for r in df.select("v", made.alias("h")).collect():
