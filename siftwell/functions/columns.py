@@ -107,10 +107,15 @@ def normalize_text(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.lower(empty_if_null(c)), r"(?U)\s+", " "))
 
 
+def trimmed(parts: Column, blank: str = " ") -> Column:
+    """Each part without ``blank`` characters at its ends."""
+    return F.transform(parts, lambda p: F.trim(p, F.lit(blank)))  # F.trim by itself would take an entry's index for the characters to cut
+
+
 def text_join(parts: Column) -> Column:
     """Non-empty parts of an array, trimmed, joined by blanks, trimmed."""
     kept = F.filter(parts, lambda p: p.isNotNull() & (p != ""))
-    return F.trim(F.array_join(F.transform(kept, F.trim), " "))
+    return F.trim(F.array_join(trimmed(kept), " "))
 
 
 def matched_terms(text: Column, terms: Sequence[str]) -> Column:
@@ -160,9 +165,9 @@ def weighted_word_score(fields: Mapping[str, Column], terms: Sequence[str], weig
     return clamp(out)
 
 
-def sentences(c: Column) -> Column:
-    """Split behind a full stop, exclamation or question mark followed by white space; empty parts left out."""
-    return F.filter(F.transform(F.split(F.trim(c), r"(?U)(?<=[.!?])\s+"), F.trim), lambda s: s != "")
+def sentences(c: Column, gap: str = r"(?U)(?<=[.!?])\s+", blank: str = " ") -> Column:
+    """Split behind a full stop, exclamation or question mark followed by white space, or at another ``gap``; ends trimmed of ``blank``, empty parts left out."""
+    return F.filter(trimmed(F.split(F.trim(c, F.lit(blank)), gap), blank), lambda s: s != "")
 
 
 def first_sentence(c: Column) -> Column:

@@ -294,3 +294,9 @@ def test_lexicon_finds_every_term(spark):
     assert got[1] == [lexicon.find(t, tuple(terms)) for t in texts] and got[2] == [] and got[3] == [[0, 1]]
     with pytest.raises(ValueError):
         lexicon.term_ids(["a", ""])
+
+
+def test_parts_keep_digits_at_their_ends(spark):
+    df = spark.createDataFrame([("0 to 60.  1 of 11", [" 0 to 60 ", "11", None, " 2 "])], "text string, parts array<string>")
+    r = df.select(C.sentences(F.col("text")).alias("s"), C.text_join(F.col("parts")).alias("joined")).first()
+    assert (r["s"], r["joined"]) == (["0 to 60.", "1 of 11"], "0 to 60 11 2")
