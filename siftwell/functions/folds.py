@@ -63,6 +63,6 @@ def in_blocks(ranked: DataFrame, rank: str = "rank", before: int = 0, after: int
     return ranked.select("*", F.explode(F.array_compact(copies)).alias("__copy")).select("*", "__copy.*").drop("__copy")
 
 
-def in_block(rank: str = "rank") -> WindowSpec:
-    """The window over a block's rows by rank."""
-    return Window.partitionBy("block").orderBy(rank)
+def in_block(rank: str = "rank", *ties: str) -> WindowSpec:
+    """The window over a block's rows by rank; ``ties`` order those that share one, alike in a block and in its neighbours' copies."""
+    return Window.partitionBy("block").orderBy(rank, *ties)

@@ -94,9 +94,9 @@ def order_issues(ranked: DataFrame, key: str = "candidate_id", score: str = "fin
 def repeated_openings(ranked: DataFrame, opening: Column, width: int = 5, rows: int = folds.BLOCK_ROWS, empty: bool = False) -> DataFrame:
     """(rank, most_repeated) for every ``width`` neighbours of a ranked table of any size, by the first one's rank: how often their most frequent opening occurs.
 
-    Null openings keep their place but aren't counted, and empty ones only where ``empty`` says so.
+    Null openings keep their place but aren't counted, and empty ones only where ``empty`` says so. Rows that share a rank stand by their openings.
     """
-    keys = F.collect_list(F.struct("opening")).over(folds.in_block().rowsBetween(0, width - 1))  # of bare openings it would drop the nulls
+    keys = F.collect_list(F.struct("opening")).over(folds.in_block("rank", "opening").rowsBetween(0, width - 1))  # of bare openings it would drop the nulls
     rows_ = folds.in_blocks(ranked.select("rank", opening.alias("opening")), after=width - 1, rows=rows).withColumn("keys", keys).where(F.col("own") & (F.size("keys") == width))
     said = F.filter("keys.opening", lambda k: k.isNotNull() if empty else k != "")
     return rows_.select("rank", F.coalesce(F.array_max(F.transform(said, lambda k: F.size(F.filter(said, lambda other: other == k)))), F.lit(0)).cast("long").alias("most_repeated"))
